@@ -25,10 +25,13 @@ broadcast only after its row count has been checked.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 EXACT_ROWS = 2_000_000      # rows a single task may sort to finish a bracket
+MAP_ROWS = 1_000_000        # group size up to which Spark's exact percentile
+                            # (a value->count map per group) is used directly
 GRID = 1000                 # grid intervals per round
 ACCURACY = 10 * GRID        # sketch accuracy: rank error < one tenth of a grid step
 BROADCAST_TARGETS = 200_000 # largest target table sent to every task
@@ -37,9 +40,14 @@ _GRID_PROBS = [i / GRID for i in range(GRID + 1)]
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage into the shared checkpoint folder. The frame is persisted
+    first so that the checkpoint write does not compute it a second time."""
     from tablewright.session import shared_dir
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
 
 
 def _join_targets(base: DataFrame, state: DataFrame, by: list[str],
@@ -62,30 +70,37 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     """Value of rank ``rank`` (1-based, ascending) per target.
 
     ``base``: rows with the ``by`` columns and a non-null ``value``.
-    ``targets``: the ``by`` columns, ``tid`` (any id) and ``rank`` (bigint,
-    1 <= rank <= group size). Returns ``by``, ``tid``, ``rank``, ``value``.
+    ``targets``: the ``by`` columns, ``tid`` (any id), ``rank`` (1 <= rank
+    <= n) and ``n`` (rows in the group); other columns are carried through.
+    Returns the target columns plus ``value``.
     """
     by = list(by)
     keys = by + ["tid", "rank"]
+    extra = [c for c in targets.columns if c not in keys + ["n"]]
     vtype = base.schema[value].dataType
     v = F.col(value)
     base = base.select(*by, v.alias("_v"))
+    carried = targets.select(*keys, *extra) if extra else None
     state = targets.select(
         *by, "tid", F.col("rank").cast("bigint").alias("rank"),
         F.lit(None).cast(vtype).alias("lo"), F.lit(None).cast(vtype).alias("hi"),
         F.lit(0).cast("bigint").alias("below"),
         F.col("n").cast("bigint").alias("m"),
-        F.lit(None).cast(vtype).alias("answer"))
-    state = _checkpoint(state)
-    n_targets = state.count()
+        F.lit(None).cast(vtype).alias("answer"),
+        *extra)
+    # the target table is small (one row per group and rank); keep it for
+    # the rounds below and learn its size and largest bracket in one job
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    info = state.agg(F.count(F.lit(1)).alias("t"), F.max("m").alias("mx")).collect()[0]
+    n_targets, biggest = info["t"], info["mx"] or 0
     if n_targets == 0:
-        return state.select(*keys, F.col("answer").alias(value))
+        return state.select(*keys, *extra, F.col("answer").alias(value))
+    carried = state.select(*keys, *extra) if extra else None
+    state = state.drop(*extra)
 
     grid = F.array(*[F.lit(p) for p in _GRID_PROBS])
-    while True:
+    while biggest > max_rows:
         open_big = state.filter(F.col("answer").isNull() & (F.col("m") > max_rows))
-        if open_big.limit(1).count() == 0:
-            break
         # 1. approximate grid of the rows still inside each big bracket
         cand = _join_targets(base, open_big.select(*keys, "lo", "hi"), by, n_targets)
         cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
@@ -136,6 +151,7 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
              .otherwise(F.lit(None)).cast(vtype).alias("answer"))
         done = state.join(nxt.select(*keys), keys, "left_anti")
         state = _checkpoint(done.unionByName(nxt))
+        biggest = state.filter(F.col("answer").isNull()).agg(F.max("m")).collect()[0][0] or 0
 
     # 3. finish every open bracket (now at most max_rows rows) with a sort
     open_small = state.filter(F.col("answer").isNull())
@@ -148,6 +164,8 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
               .select(*keys, F.col("_v").alias("_picked")))
     out = (state.join(picked, keys, "left")
            .select(*keys, F.coalesce("answer", "_picked").alias(value)))
+    if carried is not None:
+        out = out.join(carried, keys, "inner")
     return out
 
 
@@ -167,6 +185,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     base = df.select(*by, F.col(value).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull())
     counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.agg(F.max("n")).collect()[0][0] or 0
+    if largest <= min(MAP_ROWS, max_rows):
+        return _small_group_quantiles(base, probs, by, kind)
     specs = []
     for i, p in enumerate(probs):
         n = F.col("n")
@@ -188,9 +209,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     targets = (counts.select(*by, "n", F.explode(F.array(*specs)).alias("s"))
                .select(*by, "n", "s.*"))
     targets = targets.withColumn("tid", F.col("pid") * 2 + F.col("part"))
-    picked = select_ranks(base, "_x", targets.select(*by, "tid", "rank", "n"),
-                          by=by, max_rows=max_rows)
-    rows = targets.join(picked, by + ["tid", "rank"], "inner")
+    rows = select_ranks(base, "_x", targets, by=by, max_rows=max_rows)
     out = rows.groupBy(*by, "pid", "p").agg(
         F.max(F.when(F.col("part") == 0, F.col("_x"))).alias("v0"),
         F.max(F.when(F.col("part") == 1, F.col("_x"))).alias("v1"),
@@ -200,6 +219,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     return out.select(*by, "p", q.alias("q"))
 
 
+def _small_group_quantiles(base: DataFrame, probs: list[float], by: list[str],
+                           kind: str) -> DataFrame:
+    """Every group has at most ``MAP_ROWS`` rows (checked by the caller), so
+    the value->count map of Spark's exact ``percentile`` / ``percentile_disc``
+    is bounded; it is built map-side and merged per group in one pass."""
+    if kind == "disc":
+        cols = [F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY _x)").alias(f"_q{i}")
+                for i, p in enumerate(probs)]
+    else:
+        arr = F.percentile(F.col("_x"), F.array(*[F.lit(float(p)) for p in probs]))
+        cols = [F.get(arr, i).alias(f"_q{i}") for i in range(len(probs))]
+    wide = base.groupBy(*by).agg(*cols)
+    rows = [F.struct(F.lit(float(p)).alias("p"), F.col(f"_q{i}").cast("double").alias("q"))
+            for i, p in enumerate(probs)]
+    return wide.select(*by, F.inline(F.array(*rows)))
+
+
 def first_k_condition(df: DataFrame, order: list[str], k: int,
                       n: int | None = None, max_rows: int = EXACT_ROWS):
     """A row condition that holds for exactly the ``k`` rows that come first
@@ -222,7 +258,9 @@ def first_k_condition(df: DataFrame, order: list[str], k: int,
     on_cut = F.col(head) == F.lit(cut)
     if not rest:
         return before | on_cut
-    below = df.filter(before).count()
-    ties = df.filter(on_cut)
-    return before | (on_cut & first_k_condition(ties, rest, k - below,
-                                                n=None, max_rows=max_rows))
+    c = df.agg(F.count_if(before).alias("below"), F.count_if(on_cut).alias("ties")).collect()[0]
+    need = k - c["below"]
+    if need >= c["ties"]:          # the whole tie group fits: no finer cut
+        return before | on_cut
+    return before | (on_cut & first_k_condition(df.filter(on_cut), rest, need,
+                                                n=c["ties"], max_rows=max_rows))
