@@ -35,6 +35,7 @@ MAP_ROWS = 1_000_000        # group size up to which Spark's exact percentile
 GRID = 1000                 # grid intervals per round
 ACCURACY = 10 * GRID        # sketch accuracy: rank error < one tenth of a grid step
 BROADCAST_TARGETS = 200_000 # largest target table sent to every task
+GLOBAL_TARGETS = 1_000      # ranks of one ungrouped selection held as literals
 
 _GRID_PROBS = [i / GRID for i in range(GRID + 1)]
 
@@ -52,13 +53,24 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 
 def _join_targets(base: DataFrame, state: DataFrame, by: list[str],
                   n_targets: int) -> DataFrame:
-    keys = by if by else ["_all"]
-    if not by:
-        base = base.withColumn("_all", F.lit(0))
-        state = state.withColumn("_all", F.lit(0))
-    if n_targets <= BROADCAST_TARGETS:
-        state = F.broadcast(state)
-    return base.join(state, keys, "inner")
+    """Pair each row with the targets of its group. Grouped: an equi-join on
+    the group columns, the target table broadcast when its checked row
+    count allows. Global: the few targets (at most ``GLOBAL_TARGETS``) are
+    collected and attached to every row as a literal array, so there is no
+    join at all; each row is then exploded over the targets whose bracket
+    holds it (done by the caller's bracket filter)."""
+    if by:
+        if n_targets <= BROADCAST_TARGETS:
+            state = F.broadcast(state)
+        return base.join(state, by, "inner")
+    rows = state.collect()
+    fields = [f for f in state.schema.fields]
+    lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+            for r in rows]
+    if not lits:
+        return base.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).limit(0)
+    return (base.select("*", F.explode(F.array(*lits)).alias("_tw_t"))
+            .select(*base.columns, "_tw_t.*"))
 
 
 def _in_bracket(v, lo, hi):
@@ -93,6 +105,9 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     info = state.agg(F.count(F.lit(1)).alias("t"), F.max("m").alias("mx")).collect()[0]
     n_targets, biggest = info["t"], info["mx"] or 0
+    if not by and n_targets > GLOBAL_TARGETS:
+        raise ValueError(f"{n_targets} ranks of one ungrouped column: ask for at most "
+                         f"{GLOBAL_TARGETS}, or group the rows")
     if n_targets == 0:
         return state.select(*keys, *extra, F.col("answer").alias(value))
     carried = state.select(*keys, *extra) if extra else None

@@ -55,18 +55,16 @@ def mean_and_medians(df: DataFrame, column: str,
                      accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """A4-A7 on one column, one row: mean; the exact median that is a data
     value (``approxQuantile(c,[.5],0)``); ``percentile_approx`` with an
-    explicit accuracy; the exact interpolated median."""
-    agg = df.agg(F.avg(column).alias("mean_value"),
-                 F.percentile_approx(column, F.lit(0.5), accuracy).cast("double")
-                 .alias("median_approx"))
-    disc = exact_quantiles(df, column, [0.5], kind="disc").select(
-        F.col("q").alias("median_exact"))
-    cont = exact_quantiles(df, column, [0.5], kind="cont").select(
-        F.col("q").alias("median_interp"))
-    # three one-row frames side by side: constant-key equi-joins of single rows
-    k = F.lit(0).alias("_k")
-    return (agg.select("*", k).join(disc.select("*", k), "_k")
-            .join(cont.select("*", k), "_k").drop("_k"))
+    explicit accuracy; the exact interpolated median. The two exact medians
+    are single numbers from ``order_stats`` and join the one-row aggregate
+    as literals."""
+    disc = exact_quantiles(df, column, [0.5], kind="disc").collect()
+    cont = exact_quantiles(df, column, [0.5], kind="cont").collect()
+    return df.agg(F.avg(column).alias("mean_value"),
+                  F.lit(disc[0]["q"] if disc else None).cast("double").alias("median_exact"),
+                  F.percentile_approx(column, F.lit(0.5), accuracy).cast("double")
+                  .alias("median_approx"),
+                  F.lit(cont[0]["q"] if cont else None).cast("double").alias("median_interp"))
 
 
 # --- grouped statistics --------------------------------------------------------
@@ -204,9 +202,7 @@ def contingency(df: DataFrame, a: str, b: str, levels_a: list | None = None,
 
 
 def shares(counts: DataFrame, n: str = "n", digits: int = 1) -> DataFrame:
-    """Each count as a percentage of the total, rounded. The total is a
-    one-row aggregate joined back by a constant key."""
-    total = counts.agg(F.sum(n).alias("_total")).withColumn("_k", F.lit(0))
-    return (counts.withColumn("_k", F.lit(0)).join(F.broadcast(total), "_k")
-            .withColumn("pct", F.round(ratio(F.col(n) * 100.0, F.col("_total")), digits))
-            .drop("_k", "_total"))
+    """Each count as a percentage of the total, rounded. The total is
+    one number (an aggregate over the count table) used as a literal."""
+    total = counts.agg(F.sum(n)).collect()[0][0]
+    return counts.withColumn("pct", F.round(ratio(F.col(n) * 100.0, F.lit(total)), digits))
