@@ -12,6 +12,7 @@ persisted for the loop and released after it.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
@@ -26,19 +27,30 @@ from tablewright.functions.columns import ratio
 
 # --- features -------------------------------------------------------------------
 
+def column_moments(df: DataFrame, columns: list[str], ddof: int = 1) -> dict:
+    """One aggregate: row count, and mean and sd (sample for ``ddof=1``,
+    population for 0) of each column. 1 + 2 * len(columns) numbers."""
+    sd = F.stddev_samp if ddof == 1 else F.stddev_pop
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+                 *[sd(c).alias(f"s{i}") for i, c in enumerate(columns)]).collect()[0]
+    return {"n": row["n"],
+            "mean": {c: row[f"m{i}"] for i, c in enumerate(columns)},
+            "sd": {c: row[f"s{i}"] for i, c in enumerate(columns)}}
+
+
 def standardize(df: DataFrame, columns: list[str], ddof: int = 1,
-                keep: list[str] | None = None, suffix: str = "") -> DataFrame:
+                keep: list[str] | None = None, suffix: str = "",
+                moments: dict | None = None) -> DataFrame:
     """L1: (x - mean) / sd per column; ``ddof=1`` divides by the sample sd
     (R, Spark's StandardScaler), ``ddof=0`` by the population sd (sklearn).
     A constant column gives 0, as StandardScaler does. The means and sds
-    come from one aggregate (two numbers per column reach the driver)."""
-    sd = F.stddev_samp if ddof == 1 else F.stddev_pop
-    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-                 *[sd(c).alias(f"s{i}") for i, c in enumerate(columns)]).collect()[0]
+    come from one aggregate and are applied as literals."""
+    mom = moments or column_moments(df, columns, ddof)
     keep = [c for c in df.columns if c not in columns] if keep is None else keep
     out = []
-    for i, c in enumerate(columns):
-        m, s = row[f"m{i}"], row[f"s{i}"]
+    for c in columns:
+        m, s = mom["mean"][c], mom["sd"][c]
         if s is None or s == 0:
             out.append(F.when(F.col(c).isNotNull(), F.lit(0.0)).alias(c + suffix))
         else:
@@ -46,6 +58,18 @@ def standardize(df: DataFrame, columns: list[str], ddof: int = 1,
     return df.select(*keep, *out)
 
 
+@contextmanager
+def held(df: DataFrame):
+    """Persist a frame (memory, spilling to disk) while an estimator makes
+    several passes over it and its summary is read; release it after. The
+    lineage stays, so a lost executor's blocks are recomputed."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFrame:
     """The feature columns as one vector column; the label stays a
     column of the same frame (never two frames aligned by position)."""
@@ -73,16 +97,15 @@ def kmeans_fit(df: DataFrame, columns: list[str], k: int, seed: int = 1,
 
 def kmeans_centres(df: DataFrame, columns: list[str], k: int, seed: int = 1,
                    digits: int = 4) -> DataFrame:
-    """L2: centres and sizes of a k-means fit, one row per cluster. Sizes are
-    counted from the labelled rows (a grouped count)."""
-    model, labelled = kmeans_fit(df, columns, k, seed)
-    sizes = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    spark = df.sparkSession
-    centres = spark.createDataFrame(
-        [(i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        ["cluster"] + columns)
-    return (centres.join(sizes, "cluster", "inner")
-            .select(*[F.round(c, digits).alias(c) for c in columns], "size"))
+    """L2: centres and sizes of a k-means fit, one row per cluster (k rows;
+    the sizes come from the fit's own summary, no extra pass)."""
+    with held(assemble(df.select(*columns).na.drop(), columns).select("features")) as feats:
+        model = KMeans(k=k, seed=seed, featuresCol="features").fit(feats)
+        sizes = list(model.summary.clusterSizes)
+        centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    rows = [(*[round(x, digits) for x in c], int(sizes[i])) for i, c in enumerate(centres)]
+    return df.sparkSession.createDataFrame(
+        rows, ", ".join(f"`{c}` double" for c in columns) + ", size bigint")
 
 
 def kmeans_elbow(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1,
@@ -121,28 +144,21 @@ def cluster_profile(df: DataFrame, cluster: str, columns: list[str],
 
 # --- PCA -------------------------------------------------------------------------
 
-def _pca(df: DataFrame, columns: list[str], k: int):
-    scaled = standardize(df.select(*columns).na.drop(), columns, ddof=1, keep=[])
-    feats = assemble(scaled, columns)
-    model = PCA(k=k, inputCol="features", outputCol="pcs").fit(feats)
-    pc = model.pc.toArray()                       # d x k loadings
-    signs = []
-    for j in range(pc.shape[1]):                  # fix the arbitrary sign:
-        col = pc[:, j]                            # largest loading positive
-        signs.append(-1.0 if col[abs(col).argmax()] < 0 else 1.0)
-    return scaled, feats, model, pc, signs
-
-
 def pca_explained(df: DataFrame, columns: list[str], k: int | None = None,
                   digits: int = 6) -> DataFrame:
     """Per component: explained-variance ratio, cumulative ratio,
     eigenvalue of the sample covariance of the standardised columns, and
-    the singular value sqrt(eigenvalue * (n - 1))."""
+    the singular value sqrt(eigenvalue * (n - 1)). Each standardised
+    non-constant column has sample variance 1, so the covariance trace is
+    their number and no extra pass is needed."""
     k = k or len(columns)
-    scaled, _, model, _, _ = _pca(df, columns, k)
-    stats = scaled.agg(F.count(F.lit(1)).alias("n"),
-                       *[F.var_samp(c).alias(c) for c in columns]).collect()[0]
-    n, trace = stats["n"], sum((stats[c] or 0.0) for c in columns)
+    clean = df.select(*columns).na.drop()
+    mom = column_moments(clean, columns, ddof=1)
+    n = mom["n"]
+    trace = float(sum(1 for c in columns if mom["sd"][c]))
+    scaled = standardize(clean, columns, ddof=1, keep=[], moments=mom)
+    with held(assemble(scaled, columns).select("features")) as feats:
+        model = PCA(k=k, inputCol="features", outputCol="pcs").fit(feats)
     rows, cum = [], 0.0
     for j, r in enumerate(model.explainedVariance.toArray()):
         cum += float(r)
@@ -208,10 +224,12 @@ def linreg_fit(df: DataFrame, features: list[str], label: str, reg: float = 0.0,
 
 def linreg_coefficients(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """The coefficient table: estimate, standard error, t, p."""
-    m = linreg_fit(df, features, label)
-    s = m.summary
+    with held(df.select(label, *features)) as d:
+        m = linreg_fit(d, features, label)
+        s = m.summary
+        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
     return _coef_table(df.sparkSession, features, m.coefficients.toArray(), m.intercept,
-                       s.coefficientStandardErrors, s.tValues, s.pValues)
+                       se, tv, pv)
 
 
 def predict(model, df: DataFrame, features: list[str], out: str = "prediction") -> DataFrame:
@@ -235,16 +253,18 @@ def glm_table(df: DataFrame, features: list[str], label: str, family: str = "gau
               link: str | None = None) -> DataFrame:
     """Coefficients with standard errors, t/z and p values, plus
     fit rows: deviance, null deviance, their ratio and AIC."""
-    m = glm_fit(df, features, label, family, link)
-    s = m.summary
+    with held(df.select(label, *features)) as d:
+        m = glm_fit(d, features, label, family, link)
+        s = m.summary
+        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
+        dev, null_dev, aic = float(s.deviance), float(s.nullDeviance), float(s.aic)
     coef = _coef_table(df.sparkSession, features, m.coefficients.toArray(), m.intercept,
-                       s.coefficientStandardErrors, s.tValues, s.pValues)
+                       se, tv, pv)
     fit = df.sparkSession.createDataFrame(
-        [("deviance", float(s.deviance)),
-         ("null_deviance", float(s.nullDeviance)),
-         ("deviance_ratio", float(s.deviance) / float(s.nullDeviance)
-          if s.nullDeviance else None),
-         ("aic", float(s.aic))],
+        [("deviance", dev),
+         ("null_deviance", null_dev),
+         ("deviance_ratio", dev / null_dev if null_dev else None),
+         ("aic", aic)],
         "term string, estimate double")
     return coef.unionByName(fit, allowMissingColumns=True)
 

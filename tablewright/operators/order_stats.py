@@ -185,69 +185,79 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float],
-                    by: list[str] | tuple = (), kind: str = "cont",
+                    by: list[str] | tuple = (), kind: str | list[str] = "cont",
                     max_rows: int = EXACT_ROWS) -> DataFrame:
     """Exact quantiles of ``value`` per group, nulls skipped.
 
     ``kind="cont"``: linear interpolation at position 1 + (n-1)p, as Spark
     ``percentile``/``median``, DuckDB ``quantile_cont``, R type 7, numpy.
     ``kind="disc"``: the value of rank ceil(p*n), a real data value, as
-    ``approxQuantile(c, [p], 0)`` and DuckDB ``quantile_disc``.
+    ``approxQuantile(c, [p], 0)`` and DuckDB ``quantile_disc``. A list gives
+    one kind per probability; all are answered by the same passes.
 
-    Returns ``by``, ``p`` (double), ``q`` (double), one row per group and p.
+    Returns ``by``, ``p``, ``kind``, ``q``: one row per group and p.
     """
     by = list(by)
+    kinds = [kind] * len(probs) if isinstance(kind, str) else list(kind)
     base = df.select(*by, F.col(value).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull())
     counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     largest = counts.agg(F.max("n")).collect()[0][0] or 0
     if largest <= min(MAP_ROWS, max_rows):
-        return _small_group_quantiles(base, probs, by, kind)
+        return _small_group_quantiles(base, probs, kinds, by)
     specs = []
-    for i, p in enumerate(probs):
-        n = F.col("n")
-        if kind == "disc":
+    n = F.col("n")
+    for i, (p, k) in enumerate(zip(probs, kinds)):
+        head = [F.lit(i).alias("pid"), F.lit(float(p)).alias("p"), F.lit(k).alias("kind")]
+        if k == "disc":
             r = F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1)).cast("bigint")
-            specs += [F.struct(F.lit(i).alias("pid"), F.lit(float(p)).alias("p"),
-                               r.alias("rank"), F.lit(0.0).alias("frac"),
+            specs += [F.struct(*head, r.alias("rank"), F.lit(0.0).alias("frac"),
                                F.lit(0).alias("part"))]
         else:
             h = F.lit(1.0) + (n - 1) * F.lit(float(p))
             fl = F.floor(h).cast("bigint")
             frac = h - fl
-            specs += [F.struct(F.lit(i).alias("pid"), F.lit(float(p)).alias("p"),
-                               fl.alias("rank"), frac.alias("frac"),
+            specs += [F.struct(*head, fl.alias("rank"), frac.alias("frac"),
                                F.lit(0).alias("part")),
-                      F.struct(F.lit(i).alias("pid"), F.lit(float(p)).alias("p"),
-                               F.least(fl + 1, n).cast("bigint").alias("rank"),
+                      F.struct(*head, F.least(fl + 1, n).cast("bigint").alias("rank"),
                                frac.alias("frac"), F.lit(1).alias("part"))]
     targets = (counts.select(*by, "n", F.explode(F.array(*specs)).alias("s"))
                .select(*by, "n", "s.*"))
     targets = targets.withColumn("tid", F.col("pid") * 2 + F.col("part"))
     rows = select_ranks(base, "_x", targets, by=by, max_rows=max_rows)
-    out = rows.groupBy(*by, "pid", "p").agg(
+    out = rows.groupBy(*by, "pid", "p", "kind").agg(
         F.max(F.when(F.col("part") == 0, F.col("_x"))).alias("v0"),
         F.max(F.when(F.col("part") == 1, F.col("_x"))).alias("v1"),
         F.max("frac").alias("frac"))
     q = F.when(F.col("v1").isNull(), F.col("v0")).otherwise(
         F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("frac"))
-    return out.select(*by, "p", q.alias("q"))
+    return out.select(*by, "p", "kind", q.alias("q"))
 
 
-def _small_group_quantiles(base: DataFrame, probs: list[float], by: list[str],
-                           kind: str) -> DataFrame:
+def _small_group_quantiles(base: DataFrame, probs: list[float], kinds: list[str],
+                           by: list[str]) -> DataFrame:
     """Every group has at most ``MAP_ROWS`` rows (checked by the caller), so
     the value->count map of Spark's exact ``percentile`` / ``percentile_disc``
     is bounded; it is built map-side and merged per group in one pass."""
-    if kind == "disc":
-        cols = [F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY _x)").alias(f"_q{i}")
-                for i, p in enumerate(probs)]
-    else:
-        arr = F.percentile(F.col("_x"), F.array(*[F.lit(float(p)) for p in probs]))
-        cols = [F.get(arr, i).alias(f"_q{i}") for i in range(len(probs))]
+    cont = [float(p) for p, k in zip(probs, kinds) if k != "disc"]
+    cols = []
+    if cont:
+        cols.append(F.percentile(F.col("_x"), F.array(*[F.lit(p) for p in cont]))
+                    .alias("_cont"))
+    for i, (p, k) in enumerate(zip(probs, kinds)):
+        if k == "disc":
+            cols.append(F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY _x)")
+                        .alias(f"_d{i}"))
     wide = base.groupBy(*by).agg(*cols)
-    rows = [F.struct(F.lit(float(p)).alias("p"), F.col(f"_q{i}").cast("double").alias("q"))
-            for i, p in enumerate(probs)]
+    rows, j = [], 0
+    for i, (p, k) in enumerate(zip(probs, kinds)):
+        if k == "disc":
+            q = F.col(f"_d{i}")
+        else:
+            q = F.get(F.col("_cont"), j)
+            j += 1
+        rows.append(F.struct(F.lit(float(p)).alias("p"), F.lit(k).alias("kind"),
+                             q.cast("double").alias("q")))
     return wide.select(*by, F.inline(F.array(*rows)))
 
 

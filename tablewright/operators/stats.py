@@ -58,13 +58,13 @@ def mean_and_medians(df: DataFrame, column: str,
     explicit accuracy; the exact interpolated median. The two exact medians
     are single numbers from ``order_stats`` and join the one-row aggregate
     as literals."""
-    disc = exact_quantiles(df, column, [0.5], kind="disc").collect()
-    cont = exact_quantiles(df, column, [0.5], kind="cont").collect()
+    med = {r["kind"]: r["q"] for r in
+           exact_quantiles(df, column, [0.5, 0.5], kind=["disc", "cont"]).collect()}
     return df.agg(F.avg(column).alias("mean_value"),
-                  F.lit(disc[0]["q"] if disc else None).cast("double").alias("median_exact"),
+                  F.lit(med.get("disc")).cast("double").alias("median_exact"),
                   F.percentile_approx(column, F.lit(0.5), accuracy).cast("double")
                   .alias("median_approx"),
-                  F.lit(cont[0]["q"] if cont else None).cast("double").alias("median_interp"))
+                  F.lit(med.get("cont")).cast("double").alias("median_interp"))
 
 
 # --- grouped statistics --------------------------------------------------------
