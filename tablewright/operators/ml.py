@@ -269,6 +269,24 @@ def glm_table(df: DataFrame, features: list[str], label: str, family: str = "gau
     return coef.unionByName(fit, allowMissingColumns=True)
 
 
+def logistic_fit(df: DataFrame, features: list[str], label: str, reg: float = 0.0,
+                 max_iter: int = 100):
+    """Logistic regression (L-BFGS on partial gradients per task)."""
+    from pyspark.ml.classification import LogisticRegression
+    with held(assemble(df.select(label, *features).na.drop(), features)) as feats:
+        return LogisticRegression(featuresCol="features", labelCol=label, regParam=reg,
+                                  maxIter=max_iter).fit(feats)
+
+
+def predict_probability(model, df: DataFrame, features: list[str],
+                        out: str = "probability") -> DataFrame:
+    """The fitted probability of class 1 as a double column (the
+    response scale, not the log-odds)."""
+    scored = model.transform(assemble(df, features))
+    return scored.withColumn(out, vector_to_array(F.col("probability"))[1]).drop(
+        "features", "rawPrediction", "probability", "prediction")
+
+
 def regularization_sweep(train: DataFrame, valid: DataFrame, features: list[str],
                          label: str, regs: list[float], elastic: float = 0.0) -> DataFrame:
     """Fit on the training part for each regularisation strength and

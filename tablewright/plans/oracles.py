@@ -124,6 +124,10 @@ ORACLES: dict[str, str] = {
     "clean_cases": f"""
         WITH {CASES.strip()}
         SELECT * FROM clean""",
+    "clean_cases_numeric": f"""
+        WITH {CASES.strip()}
+        SELECT hospital, state, measure_name, measure_id, comparison,
+               CAST(TRY_CAST(score AS DECIMAL(10,0)) AS DOUBLE) AS score FROM clean""",
     "dropna_any": """
         WITH v AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
                           CASE WHEN value >= 1 THEN value END AS value FROM events)

@@ -81,6 +81,13 @@ def clean_cases(spark, sf_dir):
     return _clean(spark, sf_dir)
 
 
+def clean_cases_numeric(spark, sf_dir):
+    """P6 as written (``cast("numeric")`` = decimal(10,0), fractions rounded),
+    returned as double."""
+    d = C.clean_cases(SI.cases(spark, sf_dir), kind="decimal(10,0)")
+    return d.withColumn("score", F.col("score").cast("double"))
+
+
 def dropna_any(spark, sf_dir):
     """F2."""
     return C.drop_nulls(SI.values_with_nulls(spark, sf_dir), "any")
@@ -265,6 +272,11 @@ def bernoulli_sample(spark, sf_dir):
     return SM.bernoulli_sample(_orders(spark, sf_dir), 0.01, 1000)
 
 
+def sample_with_replacement(spark, sf_dir):
+    """M3 with replacement: each order drawn a Poisson(0.01) number of times."""
+    return SM.bernoulli_sample(_orders(spark, sf_dir), 0.01, 1000, with_replacement=True)
+
+
 def split_exact(spark, sf_dir):
     """M4: exactly 60/20/20 by a seeded hash order."""
     return SM.split_exact(_orders(spark, sf_dir), "o_orderkey", 100).select("o_orderkey", "part")
@@ -427,6 +439,23 @@ def roc_auc(spark, sf_dir):
     return MT.roc_auc(_scored(spark, sf_dir), "label", "score")
 
 
+def logit_validation(spark, sf_dir):
+    """L15-L20 end to end: fare above its median (P10) on the standardised
+    trip features; logistic fit on the training part, probability > 0.5 on
+    the test part, then accuracy, precision, recall and AUC."""
+    t = C.median_label(SI.trips(spark, sf_dir), "fare", "y", drop_source=True)
+    t = ML.standardize(t, SI.TRIP_FEATURES, ddof=1)
+    t = SM.split_bucket(t, TRIP_KEYS, 7000)
+    train = t.filter(F.col("part") == "train")
+    test = t.filter(F.col("part") == "test")
+    model = ML.logistic_fit(train, SI.TRIP_FEATURES, "y")
+    scored = ML.predict_probability(model, test, SI.TRIP_FEATURES, "p1")
+    pred = MT.classify(scored, "p1", 0.5)
+    ap = MT.accuracy_precision(pred, "y", "prediction")
+    auc = MT.roc_auc(scored, "y", "p1").select("auc")
+    return ap.select("*", F.lit(auc.collect()[0]["auc"]).alias("auc"))
+
+
 def regularization_sweep(spark, sf_dir):
     """Ridge strengths on the training part, scored on validation."""
     t = SM.split_bucket(SI.trips(spark, sf_dir), TRIP_KEYS, 7000)
@@ -438,18 +467,18 @@ def regularization_sweep(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         text_scan_split, csv_scan, csv_scan_strings, table_shape, schema_listing, head_rows,
-        clean_cases, dropna_any, dropna_all, token_vocabulary, token_one_hot,
+        clean_cases, clean_cases_numeric, dropna_any, dropna_all, token_vocabulary, token_one_hot,
         distinct_counts, global_mean_median, state_stats_by_name, state_stats_by_variance,
         state_stats_joined, most_dispersed_state, describe_typed, summary_quartiles,
         column_profile, histogram_equal_width, histogram_fixed_width, column_correlations,
         top5_states, above_median_dataframe, above_constant, above_median_subquery,
         join_all_states, join_condition, top5_join_above_median,
         top5_join_above_median_dataframe, outlier_fence, outlier_fence_trips,
-        median_binarize, hash_sample, bernoulli_sample, split_exact, split_bucket,
+        median_binarize, hash_sample, bernoulli_sample, sample_with_replacement, split_exact, split_bucket,
         split_random, standardize_samp, standardize_pop, kmeans_fit, kmeans_elbow,
         kmeans_r2, cluster_profile, pca_explained, pca_explained_all, pca_biplot,
         linreg_coefficients, linreg_summary, glm_gaussian, regression_metrics,
         logit_coefficients, classify_threshold, confusion_matrix, accuracy_precision,
-        roc_auc, regularization_sweep,
+        roc_auc, logit_validation, regularization_sweep,
     ]
 }
