@@ -261,31 +261,55 @@ def _small_group_quantiles(base: DataFrame, probs: list[float], kinds: list[str]
     return wide.select(*by, F.inline(F.array(*rows)))
 
 
-def first_k_condition(df: DataFrame, order: list[str], k: int,
-                      n: int | None = None, max_rows: int = EXACT_ROWS):
-    """A row condition that holds for exactly the ``k`` rows that come first
-    in ascending ``order`` (numeric columns without nulls, the tuple unique
-    per row). Replaces ``orderBy(order).limit(k)``, which funnels ``k`` rows
-    through one task: the cut tuple is found by ``select_ranks`` (one scalar
-    per order column reaches the driver) and rows are then kept by a plain
-    comparison, pushed down and spread over all tasks."""
+def first_k_conditions(df: DataFrame, order: list[str], ks: list[int],
+                       n: int | None = None, max_rows: int = EXACT_ROWS) -> list:
+    """Row conditions, one per ``k`` in ``ks``, each true for exactly the
+    ``k`` rows that come first in ascending ``order`` (numeric columns
+    without nulls, the tuple unique per row). Replaces
+    ``orderBy(order).limit(k)`` and a global ``row_number``, which funnel
+    rows through one task: all cut values are found by one ``select_ranks``
+    (one number per cut reaches the driver), then rows are kept by plain
+    comparisons that are pushed down and spread over all tasks. Ties on an
+    order column are split by the next one."""
     n = df.count() if n is None else n
-    if k <= 0:
-        return F.lit(False)
-    if k >= n:
-        return F.lit(True)
+    conds: list = [None] * len(ks)
+    inner = []
+    for i, k in enumerate(ks):
+        if k <= 0:
+            conds[i] = F.lit(False)
+        elif k >= n:
+            conds[i] = F.lit(True)
+        else:
+            inner.append((i, int(k)))
+    if not inner:
+        return conds
     head, rest = order[0], order[1:]
     targets = df.sparkSession.createDataFrame(
-        [(0, k, n)], "tid int, rank bigint, n bigint")
-    cut = select_ranks(df.select(F.col(head).alias("_o")), "_o", targets,
-                       max_rows=max_rows).collect()[0]["_o"]
-    before = F.col(head) < F.lit(cut)
-    on_cut = F.col(head) == F.lit(cut)
-    if not rest:
-        return before | on_cut
-    c = df.agg(F.count_if(before).alias("below"), F.count_if(on_cut).alias("ties")).collect()[0]
-    need = k - c["below"]
-    if need >= c["ties"]:          # the whole tie group fits: no finer cut
-        return before | on_cut
-    return before | (on_cut & first_k_condition(df.filter(on_cut), rest, need,
-                                                n=c["ties"], max_rows=max_rows))
+        [(i, k, n) for i, k in inner], "tid int, rank bigint, n bigint")
+    cuts = {r["tid"]: r["_o"] for r in
+            select_ranks(df.select(F.col(head).alias("_o")), "_o", targets,
+                         max_rows=max_rows).collect()}
+    if rest:
+        c = df.agg(*[F.count_if(F.col(head) < F.lit(cuts[i])).alias(f"b{i}") for i, _ in inner],
+                   *[F.count_if(F.col(head) == F.lit(cuts[i])).alias(f"t{i}") for i, _ in inner]
+                   ).collect()[0]
+    for i, k in inner:
+        before = F.col(head) < F.lit(cuts[i])
+        on_cut = F.col(head) == F.lit(cuts[i])
+        if not rest:
+            conds[i] = before | on_cut
+            continue
+        need, ties = k - c[f"b{i}"], c[f"t{i}"]
+        if need >= ties:          # the whole tie group fits: no finer cut
+            conds[i] = before | on_cut
+        else:
+            finer = first_k_conditions(df.filter(on_cut), rest, [need], n=ties,
+                                       max_rows=max_rows)[0]
+            conds[i] = before | (on_cut & finer)
+    return conds
+
+
+def first_k_condition(df: DataFrame, order: list[str], k: int,
+                      n: int | None = None, max_rows: int = EXACT_ROWS):
+    """``first_k_conditions`` for a single ``k``."""
+    return first_k_conditions(df, order, [k], n, max_rows)[0]

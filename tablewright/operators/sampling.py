@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import bucket100, hash60
-from tablewright.operators.order_stats import first_k_condition
+from tablewright.operators.order_stats import first_k_condition, first_k_conditions
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
@@ -41,8 +41,7 @@ def split_exact(df: DataFrame, key: str, seed: int, cuts=(0.6, 0.8),
     floor(0.8 n) rows. ``key`` numeric and unique."""
     n = df.count()
     h = df.withColumn("_tw_h", hash60(seed, key))
-    c1 = first_k_condition(h, ["_tw_h", key], int(cuts[0] * n), n=n)
-    c2 = first_k_condition(h, ["_tw_h", key], int(cuts[1] * n), n=n)
+    c1, c2 = first_k_conditions(h, ["_tw_h", key], [int(cuts[0] * n), int(cuts[1] * n)], n=n)
     part = F.when(c1, F.lit(labels[0])).when(c2, F.lit(labels[1])).otherwise(F.lit(labels[2]))
     return h.withColumn(out, part).drop("_tw_h")
 

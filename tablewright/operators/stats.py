@@ -121,6 +121,37 @@ def summary_quartiles(df: DataFrame, columns: list[str], digits: int = 4) -> Dat
     return base.join(qs, "column", "inner")
 
 
+def summary_selected(df: DataFrame, columns: list[str], statistics: list[str],
+                     digits: int = 4) -> DataFrame:
+    """Chosen statistics only, long form (column, statistic, value).
+    Names as in ``DataFrame.summary``: count, mean, stddev, min, max and
+    percentiles such as "50%" (exact, interpolated)."""
+    long = unpivot_numeric(df, columns)
+    simple = {"count": F.count("x").cast("double"), "mean": F.avg("x"),
+              "stddev": F.stddev_samp("x"), "min": F.min("x"), "max": F.max("x")}
+    wanted = [s for s in statistics if s in simple]
+    pcts = [s for s in statistics if s.endswith("%")]
+    parts = []
+    if wanted:
+        agg = long.groupBy("column").agg(*[simple[s].alias(f"_s{i}") for i, s in enumerate(wanted)])
+        parts.append(agg.select("column", F.inline(F.array(*[
+            F.struct(F.lit(s).alias("statistic"),
+                     F.round(F.col(f"_s{i}"), digits).alias("value"))
+            for i, s in enumerate(wanted)]))))
+    if pcts:
+        probs = [float(s[:-1]) / 100 for s in pcts]
+        q = exact_quantiles(long, "x", probs, by=["column"])
+        label = F.lit(None).cast("string")
+        for s_, p_ in zip(pcts, probs):     # the caller's own names ("2.5%")
+            label = F.when(F.col("p") == F.lit(p_), F.lit(s_)).otherwise(label)
+        parts.append(q.select("column", label.alias("statistic"),
+                              F.round("q", digits).alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def column_profile(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     """Per column min, max, mean and exact median."""
     long = unpivot_numeric(df, columns)

@@ -174,6 +174,11 @@ ORACLES: dict[str, str] = {
         WITH {CASES.strip()}
         SELECT state, round(var_samp(score), 2) AS variance_score FROM clean GROUP BY state
         HAVING var_samp(score) IS NOT NULL ORDER BY variance_score DESC, state LIMIT 1""",
+    "chosen_statistics": f"""
+        WITH {CASES.strip()}
+        SELECT 'score' AS column, 'mean' AS statistic, round(avg(score), 4) AS value FROM clean
+        UNION ALL
+        SELECT 'score', '50%', round(quantile_cont(score, 0.5), 4) FROM clean""",
     "describe_typed": f"WITH {TRIPS.strip()}\n" + _describe(),
     "summary_quartiles": f"WITH {TRIPS.strip()}, d AS (" + _describe() + "), q AS (" + _union([
         f"SELECT '{c}' AS column, round(quantile_cont({c}, 0.25), 4) AS q25, "

@@ -164,6 +164,11 @@ def describe_typed(spark, sf_dir):
     return ST.describe_columns(SI.trips(spark, sf_dir), TRIP_COLUMNS)
 
 
+def chosen_statistics(spark, sf_dir):
+    """Only the mean and the median of the cleaned score."""
+    return ST.summary_selected(_clean(spark, sf_dir), ["score"], ["mean", "50%"])
+
+
 def summary_quartiles(spark, sf_dir):
     """A13, A14."""
     return ST.summary_quartiles(SI.trips(spark, sf_dir), TRIP_COLUMNS)
@@ -469,7 +474,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         text_scan_split, csv_scan, csv_scan_strings, table_shape, schema_listing, head_rows,
         clean_cases, clean_cases_numeric, dropna_any, dropna_all, token_vocabulary, token_one_hot,
         distinct_counts, global_mean_median, state_stats_by_name, state_stats_by_variance,
-        state_stats_joined, most_dispersed_state, describe_typed, summary_quartiles,
+        state_stats_joined, most_dispersed_state, describe_typed, chosen_statistics,
+        summary_quartiles,
         column_profile, histogram_equal_width, histogram_fixed_width, column_correlations,
         top5_states, above_median_dataframe, above_constant, above_median_subquery,
         join_all_states, join_condition, top5_join_above_median,
