@@ -61,3 +61,28 @@ def test_select_ranks_carries_extra_columns(spark):
     t = spark.createDataFrame([(1, 0, 3, 10, "third")], "g int, tid int, rank bigint, n bigint, tag string")
     r = OS.select_ranks(base, "v", t, by=["g"], max_rows=4).collect()[0]
     assert r["v"] == 2.0 and r["tag"] == "third"
+
+
+def test_bracket_rounds_on_real_columns_match_duckdb(spark):
+    """Five trip columns (two with heavy ties) through the bracket rounds,
+    forced by a tiny max_rows, against DuckDB's quantile_cont/quantile_disc."""
+    from oracle_check import duck
+    from conftest import SF01
+    from tablewright.operators.clean import unpivot_numeric
+    from tablewright.sources.standins import trips
+
+    cols = ["fare", "l_quantity", "l_discount", "l_tax", "p_size"]
+    long = unpivot_numeric(trips(spark, SF01), cols)
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    con = duck(SF01)
+    for kind, fn in [("cont", "quantile_cont"), ("disc", "quantile_disc")]:
+        got = {(r["column"], r["p"]): r["q"] for r in
+               OS.exact_quantiles(long, "x", probs, by=["column"], kind=kind,
+                                  max_rows=300).collect()}
+        for c in cols:
+            sql = (f"SELECT {', '.join(f'{fn}(CAST({c} AS DOUBLE), {p})' for p in probs)} "
+                   f"FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey")
+            sql = sql.replace("CAST(fare AS", "CAST(l_extendedprice AS")
+            want = con.sql(sql).fetchall()[0]
+            for p, w in zip(probs, want):
+                assert got[(c, p)] == pytest.approx(w, abs=1e-9), (kind, c, p)
