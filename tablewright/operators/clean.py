@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import field_at, to_number
-from tablewright.operators.order_stats import exact_quantiles
+from tablewright.operators.order_stats import exact_column_quantiles
 
 
 # --- projections -----------------------------------------------------------
@@ -125,10 +125,9 @@ def clean_cases(cases: DataFrame, kind: str = "double") -> DataFrame:
 
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                      kind: str = "cont") -> DataFrame:
-    """Exact quantiles of several numeric columns in one plan: the columns
-    are unpivoted to (column, x) and the quantiles taken per column."""
-    return exact_quantiles(unpivot_numeric(df, columns), "x", probs,
-                           by=["column"], kind=kind)
+    """Exact quantiles of several numeric columns (long form: column, p,
+    kind, q), computed together (see ``exact_column_quantiles``)."""
+    return exact_column_quantiles(df, columns, probs, kind=kind)
 
 
 def unpivot_numeric(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -234,6 +234,45 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     return out.select(*by, "p", "kind", q.alias("q"))
 
 
+def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float],
+                           kind: str = "cont", max_rows: int = EXACT_ROWS) -> DataFrame:
+    """Exact quantiles of several numeric columns (nulls skipped), long form
+    (column, p, kind, q). One pass counts every column's values; the
+    columns within ``MAP_ROWS`` get their percentiles side by side from one
+    more aggregate over the original rows; any larger column goes through
+    the bracket rounds (unpivoted to (column, x) and grouped by name)."""
+    counts = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]
+                    ).collect()[0]
+    small = [c for i, c in enumerate(columns) if counts[f"_n{i}"] <= min(MAP_ROWS, max_rows)]
+    big = [c for c in columns if c not in small]
+    parts = []
+    if small:
+        cols = []
+        for i, c in enumerate(small):
+            x = F.col(c).cast("double")
+            if kind == "disc":
+                cols += [F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP "
+                                f"(ORDER BY CAST(`{c}` AS DOUBLE))").alias(f"_q{i}_{j}")
+                         for j, p in enumerate(probs)]
+            else:
+                arr = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
+                cols += [F.get(arr, j).alias(f"_q{i}_{j}") for j in range(len(probs))]
+        wide = df.agg(*cols)
+        rows = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"),
+                         F.lit(kind).alias("kind"), F.col(f"_q{i}_{j}").cast("double").alias("q"))
+                for i, c in enumerate(small) for j, p in enumerate(probs)]
+        parts.append(wide.select(F.inline(F.array(*rows))))
+    if big:
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in big]).unpivot(
+            [], big, "column", "x")
+        parts.append(exact_quantiles(long, "x", probs, by=["column"], kind=kind,
+                                     max_rows=max_rows))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _small_group_quantiles(base: DataFrame, probs: list[float], kinds: list[str],
                            by: list[str]) -> DataFrame:
     """Every group has at most ``MAP_ROWS`` rows (checked by the caller), so

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.columns import ratio, safe_corr
 from tablewright.operators.clean import unpivot_numeric
-from tablewright.operators.order_stats import exact_quantiles
+from tablewright.operators.order_stats import exact_column_quantiles, exact_quantiles
 
 APPROX_ACCURACY = 1_000_000
 
@@ -108,7 +108,7 @@ def describe_columns(df: DataFrame, columns: list[str], digits: int = 4) -> Data
 
 def _quantile_columns(df: DataFrame, columns: list[str], probs: list[float],
                       names: list[str], digits: int) -> DataFrame:
-    q = exact_quantiles(unpivot_numeric(df, columns), "x", probs, by=["column"])
+    q = exact_column_quantiles(df, columns, probs)
     return q.groupBy("column").agg(*[
         F.round(F.max(F.when(F.col("p") == F.lit(p), F.col("q"))), digits).alias(n)
         for p, n in zip(probs, names)])
@@ -140,7 +140,7 @@ def summary_selected(df: DataFrame, columns: list[str], statistics: list[str],
             for i, s in enumerate(wanted)]))))
     if pcts:
         probs = [float(s[:-1]) / 100 for s in pcts]
-        q = exact_quantiles(long, "x", probs, by=["column"])
+        q = exact_column_quantiles(df, columns, probs)
         label = F.lit(None).cast("string")
         for s_, p_ in zip(pcts, probs):     # the caller's own names ("2.5%")
             label = F.when(F.col("p") == F.lit(p_), F.lit(s_)).otherwise(label)

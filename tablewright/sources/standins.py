@@ -30,15 +30,17 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """hospital, state, measure_name, measure_id, comparison, score_text:
     all strings, as the cleaned infection table before its cast.
 
-    Join order: supplier with nation first (small with tiny), then the
-    lineitem side. Only the columns used are read from each table."""
+    The fact table is joined to one dimension at a time (supplier, nation,
+    part), so each dimension is the build side: broadcast while small,
+    sort-merge joined (AQE splitting a hot supplier or part) when large.
+    Only the columns used are read from each table."""
     li = load_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     su = load_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     na = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     pa = load_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    sup = su.join(na, su.s_nationkey == na.n_nationkey, "inner")
-    j = (li.join(sup, li.l_suppkey == sup.s_suppkey, "inner")
+    j = (li.join(su, li.l_suppkey == su.s_suppkey, "inner")
+           .join(na, F.col("s_nationkey") == na.n_nationkey, "inner")
            .join(pa, li.l_partkey == pa.p_partkey, "inner"))
     flagged = F.col("l_returnflag") == "N"
     return j.select(

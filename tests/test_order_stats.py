@@ -86,3 +86,15 @@ def test_bracket_rounds_on_real_columns_match_duckdb(spark):
             want = con.sql(sql).fetchall()[0]
             for p, w in zip(probs, want):
                 assert got[(c, p)] == pytest.approx(w, abs=1e-9), (kind, c, p)
+
+
+@pytest.mark.parametrize("max_rows", [300, OS.EXACT_ROWS])
+def test_column_quantiles_both_paths(spark, data, max_rows):
+    pdf, df = data
+    wide = df.withColumn("y", F.col("x") * 2 + F.col("g"))
+    res = OS.exact_column_quantiles(wide, ["x", "y"], [0.25, 0.5, 0.9], max_rows=max_rows).collect()
+    import numpy as np
+    ys = (pdf.x * 2 + pdf.g).to_numpy()
+    for r in res:
+        v = pdf.x.to_numpy() if r["column"] == "x" else ys
+        assert r["q"] == pytest.approx(float(np.percentile(v, r["p"] * 100)), abs=1e-9)
