@@ -13,6 +13,8 @@ Here the rank is found by narrowing a bracket:
 2. one counting pass tells which grid interval holds rank ``r``. Rows below
    the interval are added to ``below``; if ``r`` falls on an interval end,
    the value is known; otherwise the bracket becomes the open interval.
+   Both passes work per bracket, not per target, so a row is attached once
+   to each distinct bracket holding it (in the first round: once).
 
 Each round shrinks a bracket about ``GRID/3``-fold, whatever the skew; a value
 that fills a whole bracket (heavy ties) is resolved by the counts at once.
@@ -73,6 +75,17 @@ def _join_targets(base: DataFrame, state: DataFrame, by: list[str],
             .select(*base.columns, "_tw_t.*"))
 
 
+def _join_same(left: DataFrame, right: DataFrame, by: list[str],
+               nullable: list[str]) -> DataFrame:
+    """Inner equi-join of two small per-bracket tables on the group columns
+    and the bracket ends (null = unbounded, matched null-safely)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in by + nullable else F.col(c)
+                       for c in right.columns])
+    cond = ([left[c] == r[f"_r_{c}"] for c in by]
+            + [left[c].eqNullSafe(r[f"_r_{c}"]) for c in nullable])
+    return left.join(r, cond, "inner").drop(*[f"_r_{c}" for c in by + nullable])
+
+
 def _in_bracket(v, lo, hi):
     return ((lo.isNull()) | (v > lo)) & ((hi.isNull()) | (v < hi))
 
@@ -114,32 +127,53 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     state = state.drop(*extra)
 
     grid = F.array(*[F.lit(p) for p in _GRID_PROBS])
+    bracket = ["lo", "hi"]
     while biggest > max_rows:
         open_big = state.filter(F.col("answer").isNull() & (F.col("m") > max_rows))
-        # 1. approximate grid of the rows still inside each big bracket
-        cand = _join_targets(base, open_big.select(*keys, "lo", "hi"), by, n_targets)
+        # Work is done per bracket, not per target: targets of one group
+        # share a bracket (in the first round, the whole group), so a row is
+        # attached to each distinct bracket holding it, once.
+        brackets = open_big.select(*by, *bracket).distinct()
+        # 1. approximate grid of the rows inside each bracket
+        cand = _join_targets(base, brackets, by, n_targets)
         cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
-        sketch = cand.groupBy(*keys).agg(
+        sketch = cand.groupBy(*by, *bracket).agg(
             F.percentile_approx("_v", grid, ACCURACY).alias("_tw_grid"))
         q = (F.col("rank") - F.col("below")) / F.col("m")
         i_lo = F.greatest(F.floor(q * GRID) - 1, F.lit(0)).cast("int")
         i_hi = F.least(F.ceil(q * GRID) + 1, F.lit(GRID)).cast("int")
-        probe = (open_big.join(sketch, keys, "inner")
+        probe = (_join_same(open_big, sketch, by, bracket)
                  .withColumn("plo", F.get(F.col("_tw_grid"), i_lo))
                  .withColumn("phi", F.get(F.col("_tw_grid"), i_hi))
                  .drop("_tw_grid"))
         probe = _checkpoint(probe)
-        # 2. count the bracket's rows against the two probes
-        cand = _join_targets(base, probe.select(*keys, "lo", "hi", "plo", "phi"),
-                             by, n_targets)
+        # 2. one counting pass: each row is placed among its bracket's few
+        #    distinct probe values (a short sorted array) and counted per cell
+        probes = probe.groupBy(*by, *bracket).agg(F.array_sort(F.array_distinct(F.concat(
+            F.collect_list("plo"), F.collect_list("phi")))).alias("_tw_p"))
+        probes = _checkpoint(probes)
+        cand = _join_targets(base, probes, by, n_targets)
         cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
-        x, plo, phi = F.col("_v"), F.col("plo"), F.col("phi")
-        counts = cand.groupBy(*keys).agg(
-            F.count_if(x < plo).alias("c_lt"),
-            F.count_if(x == plo).alias("c_eqlo"),
-            F.count_if((x > plo) & (x < phi)).alias("c_mid"),
-            F.count_if((x == phi) & (phi > plo)).alias("c_eqhi"),
-            F.count_if((x > phi) & (phi >= plo)).alias("c_gt"))
+        x = F.col("_v")
+        cells = cand.groupBy(
+            *by, *bracket,
+            F.size(F.filter(F.col("_tw_p"), lambda p: p < x)).alias("_lt"),
+            F.size(F.filter(F.col("_tw_p"), lambda p: p <= x)).alias("_le"),
+        ).agg(F.count(F.lit(1)).alias("_c"))
+        # per target, from the cell table (small): a row lies below probe k
+        # when _le <= k, on it when _lt == k and _le == k + 1, above when _lt > k
+        per = _join_same(_join_same(probe, probes, by, bracket), cells, by, bracket)
+        klo = F.array_position(F.col("_tw_p"), F.col("plo")) - 1
+        khi = F.array_position(F.col("_tw_p"), F.col("phi")) - 1
+        lt, le, c = F.col("_lt"), F.col("_le"), F.col("_c")
+        zero = F.lit(0).cast("bigint")
+        counts = per.groupBy(*keys).agg(
+            F.sum(F.when(le <= klo, c).otherwise(zero)).alias("c_lt"),
+            F.sum(F.when((lt == klo) & (le == klo + 1), c).otherwise(zero)).alias("c_eqlo"),
+            F.sum(F.when((lt > klo) & (le <= khi), c).otherwise(zero)).alias("c_mid"),
+            F.sum(F.when((khi > klo) & (lt == khi) & (le == khi + 1), c)
+                  .otherwise(zero)).alias("c_eqhi"),
+            F.sum(F.when(lt > khi, c).otherwise(zero)).alias("c_gt"))
         nxt = probe.join(counts, keys, "left").fillna(
             0, ["c_lt", "c_eqlo", "c_mid", "c_eqhi", "c_gt"])
         t = F.col("rank") - F.col("below")
