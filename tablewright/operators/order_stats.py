@@ -269,15 +269,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
 
 
 def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                           kind: str = "cont", max_rows: int = EXACT_ROWS) -> DataFrame:
+                           kind: str = "cont", max_rows: int = EXACT_ROWS,
+                           counts: dict | None = None) -> DataFrame:
     """Exact quantiles of several numeric columns (nulls skipped), long form
-    (column, p, kind, q). One pass counts every column's values; the
-    columns within ``MAP_ROWS`` get their percentiles side by side from one
-    more aggregate over the original rows; any larger column goes through
-    the bracket rounds (unpivoted to (column, x) and grouped by name)."""
-    counts = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]
-                    ).collect()[0]
-    small = [c for i, c in enumerate(columns) if counts[f"_n{i}"] <= min(MAP_ROWS, max_rows)]
+    (column, p, kind, q). One pass counts every column's values (skipped
+    when the caller already has the non-null ``counts``); the columns within
+    ``MAP_ROWS`` get their percentiles side by side from one more aggregate
+    over the original rows; any larger column goes through the bracket
+    rounds (unpivoted to (column, x) and grouped by name)."""
+    if counts is None:
+        row = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]
+                     ).collect()[0]
+        counts = {c: row[f"_n{i}"] for i, c in enumerate(columns)}
+    small = [c for c in columns if counts[c] <= min(MAP_ROWS, max_rows)]
     big = [c for c in columns if c not in small]
     parts = []
     if small:

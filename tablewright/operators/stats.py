@@ -10,6 +10,7 @@ column in one task); ``percentile_approx`` keeps its bounded sketch.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,32 +96,58 @@ def most_dispersed(df: DataFrame, by: str, column: str, digits: int = 2) -> Data
 
 # --- column summaries ---------------------------------------------------------
 
+def column_stats(df: DataFrame, columns: list[str], stats: dict) -> DataFrame:
+    """Per-column statistics in long form (one row per column), computed
+    side by side in one aggregate over the original rows. ``stats`` maps an
+    output name to a function from column to aggregate expression."""
+    agg = df.agg(*[fn(F.col(c).cast("double")).alias(f"_{j}_{i}")
+                   for i, c in enumerate(columns) for j, fn in enumerate(stats.values())])
+    rows = [F.struct(F.lit(c).alias("column"),
+                     *[F.col(f"_{j}_{i}").alias(name) for j, name in enumerate(stats)])
+            for i, c in enumerate(columns)]
+    return agg.select(F.inline(F.array(*rows)))
+
+
 def describe_columns(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     """Per column: count, mean, sample sd, min, max (typed, long form)."""
-    long = unpivot_numeric(df, columns)
-    return long.groupBy("column").agg(
-        F.count("x").alias("count"),
-        F.round(F.avg("x"), digits).alias("mean"),
-        F.round(F.stddev_samp("x"), digits).alias("stddev"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"))
+    return column_stats(df, columns, {
+        "count": F.count,
+        "mean": lambda x: F.round(F.avg(x), digits),
+        "stddev": lambda x: F.round(F.stddev_samp(x), digits),
+        "min": F.min,
+        "max": F.max})
 
 
 def _quantile_columns(df: DataFrame, columns: list[str], probs: list[float],
-                      names: list[str], digits: int) -> DataFrame:
-    q = exact_column_quantiles(df, columns, probs)
+                      names: list[str], digits: int, counts: dict | None = None) -> DataFrame:
+    q = exact_column_quantiles(df, columns, probs, counts=counts)
     return q.groupBy("column").agg(*[
         F.round(F.max(F.when(F.col("p") == F.lit(p), F.col("q"))), digits).alias(n)
         for p, n in zip(probs, names)])
 
 
 def summary_quartiles(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
-    """``describe`` plus exact interpolated quartiles."""
-    base = describe_columns(df, columns, digits)
-    qs = _quantile_columns(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], digits)
+    """``describe`` plus exact interpolated quartiles. The describe
+    table (one row per column) is kept after its first run; its counts tell
+    the quantile step which path to take, so there is no separate count
+    pass."""
+    base = describe_columns(df, columns, digits).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = {r["column"]: r["count"] for r in base.select("column", "count").collect()}
+    qs = _quantile_columns(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], digits,
+                           counts)
     return base.join(qs, "column", "inner")
 
 
+def column_profile(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
+    """Per column min, max, mean and exact median."""
+    base = column_stats(df, columns, {
+        "n": F.count, "min": F.min, "max": F.max,
+        "mean": lambda x: F.round(F.avg(x), digits)}).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = {r["column"]: r["n"] for r in base.select("column", "n").collect()}
+    med = _quantile_columns(df, columns, [0.5], ["median"], digits, counts)
+    return base.join(med, "column", "inner").drop("n")
+
+
 def summary_selected(df: DataFrame, columns: list[str], statistics: list[str],
                      digits: int = 4) -> DataFrame:
     """Chosen statistics only, long form (column, statistic, value).
@@ -152,16 +179,6 @@ def summary_selected(df: DataFrame, columns: list[str], statistics: list[str],
     return out
 
 
-def column_profile(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
-    """Per column min, max, mean and exact median."""
-    long = unpivot_numeric(df, columns)
-    base = long.groupBy("column").agg(
-        F.min("x").alias("min"), F.max("x").alias("max"),
-        F.round(F.avg("x"), digits).alias("mean"))
-    med = _quantile_columns(df, columns, [0.5], ["median"], digits)
-    return base.join(med, "column", "inner")
-
-
 # --- histograms, correlation, contingency ---------------------------------------
 
 def histogram_equal_width(df: DataFrame, column: str, bins: int) -> DataFrame:
