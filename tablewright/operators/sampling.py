@@ -17,12 +17,13 @@ from tablewright.functions.columns import bucket100, hash60
 from tablewright.operators.order_stats import first_k_condition, first_k_conditions
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
-    """M1/M3: exactly ``int(fraction * n)`` rows without replacement, the
-    ones with the smallest seeded hash of ``key`` (ties by key). ``key``
-    must be numeric and unique per row."""
+def hash_sample(df: DataFrame, key: str, fraction: float | None, seed: int,
+                size: int | None = None) -> DataFrame:
+    """M1/M3: exactly ``int(fraction * n)`` rows (or exactly ``size`` rows)
+    without replacement, the ones with the smallest seeded hash of ``key``
+    (ties by key). ``key`` must be numeric and unique per row."""
     n = df.count()
-    k = int(fraction * n)
+    k = int(size) if size is not None else int(fraction * n)
     h = df.withColumn("_tw_h", hash60(seed, key))
     return h.filter(first_k_condition(h, ["_tw_h", key], k, n=n)).drop("_tw_h")
 

@@ -259,6 +259,10 @@ ORACLES: dict[str, str] = {
                    FROM orders)
         SELECT o_orderkey, o_custkey, o_totalprice FROM s
         QUALIFY row_number() OVER (ORDER BY h, o_orderkey) <= (SELECT floor(0.1 * count(*)) FROM orders)""",
+    "sample_1000": f"""
+        WITH s AS (SELECT o_orderkey, o_custkey, o_totalprice, {_hash60(7, 'o_orderkey')} AS h
+                   FROM orders)
+        SELECT o_orderkey, o_custkey, o_totalprice FROM s ORDER BY h, o_orderkey LIMIT 1000""",
     "split_exact": f"""
         WITH s AS (SELECT o_orderkey, {_hash60(100, 'o_orderkey')} AS h FROM orders),
         r AS (SELECT o_orderkey, row_number() OVER (ORDER BY h, o_orderkey) AS rn,

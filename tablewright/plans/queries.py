@@ -272,6 +272,11 @@ def hash_sample(spark, sf_dir):
     return SM.hash_sample(_orders(spark, sf_dir), "o_orderkey", 0.1, 1000)
 
 
+def sample_1000(spark, sf_dir):
+    """M3: exactly 1000 orders for a plot, seeded, without replacement."""
+    return SM.hash_sample(_orders(spark, sf_dir), "o_orderkey", None, 7, size=1000)
+
+
 def bernoulli_sample(spark, sf_dir):
     """M2: about 1 % of the orders (Spark's sampler)."""
     return SM.bernoulli_sample(_orders(spark, sf_dir), 0.01, 1000)
@@ -480,7 +485,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         top5_states, above_median_dataframe, above_constant, above_median_subquery,
         join_all_states, join_condition, top5_join_above_median,
         top5_join_above_median_dataframe, outlier_fence, outlier_fence_trips,
-        median_binarize, hash_sample, bernoulli_sample, sample_with_replacement, split_exact, split_bucket,
+        median_binarize, hash_sample, sample_1000, bernoulli_sample, sample_with_replacement, split_exact, split_bucket,
         split_random, standardize_samp, standardize_pop, kmeans_fit, kmeans_elbow,
         kmeans_r2, cluster_profile, pca_explained, pca_explained_all, pca_biplot,
         linreg_coefficients, linreg_summary, glm_gaussian, regression_metrics,
