@@ -160,6 +160,12 @@ ORACLES: dict[str, str] = {
         SELECT state, count(state) AS num_cases, round(avg(score), 4) AS mean_score,
                quantile_disc(score, 0.5) AS median_score, round(var_samp(score), 2) AS variance_score
         FROM clean GROUP BY state ORDER BY state""",
+    "state_stats_exact": f"""
+        WITH {CASES.strip()}
+        SELECT state, count(state) AS num_cases, round(avg(score), 4) AS mean_score,
+               round(quantile_cont(score, 0.5), 4) AS median_score,
+               round(var_samp(score), 2) AS variance_score
+        FROM clean GROUP BY state""",
     "state_stats_by_variance": f"""
         WITH {CASES.strip()}
         SELECT state, count(state) AS num_cases, round(avg(score), 4) AS mean_score,

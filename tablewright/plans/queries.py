@@ -137,6 +137,13 @@ def state_stats_by_name(spark, sf_dir):
     return ST.group_stats(_clean(spark, sf_dir), "state", "score").orderBy("state")
 
 
+def state_stats_exact(spark, sf_dir):
+    """A8 with A7: per state count, mean, exact interpolated median,
+    variance."""
+    return ST.group_stats_exact(_clean(spark, sf_dir), "state", "score").orderBy(
+        F.desc("variance_score"), "state")
+
+
 def state_stats_by_variance(spark, sf_dir):
     """The same in SQL over a view, by variance."""
     SRC.register_view(_clean(spark, sf_dir), "cases_clean")
@@ -478,7 +485,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         text_scan_split, csv_scan, csv_scan_strings, table_shape, schema_listing, head_rows,
         clean_cases, clean_cases_numeric, dropna_any, dropna_all, token_vocabulary, token_one_hot,
-        distinct_counts, global_mean_median, state_stats_by_name, state_stats_by_variance,
+        distinct_counts, global_mean_median, state_stats_by_name, state_stats_exact,
+        state_stats_by_variance,
         state_stats_joined, most_dispersed_state, describe_typed, chosen_statistics,
         summary_quartiles,
         column_profile, histogram_equal_width, histogram_fixed_width, column_correlations,
