@@ -6,9 +6,11 @@ rank ``r`` inside its group? The obvious answers do not scale: ``percentile``
 keeps a value->count map of the whole group in one task, a global
 ``row_number`` or ``orderBy().limit(n)`` sends every row through one task.
 
-Here the rank is found by narrowing a bracket:
+A count pass comes first. Groups of at most ``MAP_ROWS`` rows use Spark's
+exact ``percentile`` / ``percentile_disc``, whose map is then bounded by that
+count. For larger groups the rank is found by narrowing a bracket:
 
-1. per target, an approximate quantile grid (``percentile_approx``, a
+1. per bracket, an approximate quantile grid (``percentile_approx``, a
    bounded sketch, merged map-side) over the rows still in the bracket;
 2. one counting pass tells which grid interval holds rank ``r``. Rows below
    the interval are added to ``below``; if ``r`` falls on an interval end,
@@ -105,7 +107,6 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     vtype = base.schema[value].dataType
     v = F.col(value)
     base = base.select(*by, v.alias("_v"))
-    carried = targets.select(*keys, *extra) if extra else None
     state = targets.select(
         *by, "tid", F.col("rank").cast("bigint").alias("rank"),
         F.lit(None).cast(vtype).alias("lo"), F.lit(None).cast(vtype).alias("hi"),
@@ -125,9 +126,9 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
         return state.select(*keys, *extra, F.col("answer").alias(value))
     carried = state.select(*keys, *extra) if extra else None
     state = state.drop(*extra)
+    bracket = ["lo", "hi"]
 
     grid = F.array(*[F.lit(p) for p in _GRID_PROBS])
-    bracket = ["lo", "hi"]
     while biggest > max_rows:
         open_big = state.filter(F.col("answer").isNull() & (F.col("m") > max_rows))
         # Work is done per bracket, not per target: targets of one group
@@ -202,15 +203,20 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
         state = _checkpoint(done.unionByName(nxt))
         biggest = state.filter(F.col("answer").isNull()).agg(F.max("m")).collect()[0][0] or 0
 
-    # 3. finish every open bracket (now at most max_rows rows) with a sort
+    # 3. finish every open bracket (now at most max_rows rows) with one sort
+    #    per bracket; the wanted ranks are picked by a join with the (small,
+    #    checked) target table on the bracket and the row number
     open_small = state.filter(F.col("answer").isNull())
-    cand = _join_targets(base, open_small.select(*keys, "lo", "hi", "below"),
-                         by, n_targets)
+    brackets = open_small.select(*by, *bracket, "below").distinct()
+    cand = _join_targets(base, brackets, by, n_targets)
     cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
-    w = Window.partitionBy(*keys).orderBy(F.col("_v"))
-    picked = (cand.withColumn("_rn", F.row_number().over(w))
-              .filter(F.col("_rn") == F.col("rank") - F.col("below"))
-              .select(*keys, F.col("_v").alias("_picked")))
+    w = Window.partitionBy(*by, *bracket).orderBy(F.col("_v"))
+    ranked = cand.select(*by, *bracket, F.col("_v").alias("_picked"),
+                         F.row_number().over(w).alias("_rn"))
+    want = open_small.select(*keys, *bracket, (F.col("rank") - F.col("below")).alias("_rn"))
+    if n_targets <= BROADCAST_TARGETS:
+        want = F.broadcast(want)
+    picked = _join_same(want, ranked, by + ["_rn"], bracket).select(*keys, "_picked")
     out = (state.join(picked, keys, "left")
            .select(*keys, F.coalesce("answer", "_picked").alias(value)))
     if carried is not None:
