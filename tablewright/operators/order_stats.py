@@ -147,12 +147,12 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
                  .withColumn("plo", F.get(F.col("_tw_grid"), i_lo))
                  .withColumn("phi", F.get(F.col("_tw_grid"), i_hi))
                  .drop("_tw_grid"))
-        probe = _checkpoint(probe)
+        probe = probe.persist(StorageLevel.MEMORY_AND_DISK)
         # 2. one counting pass: each row is placed among its bracket's few
         #    distinct probe values (a short sorted array) and counted per cell
         probes = probe.groupBy(*by, *bracket).agg(F.array_sort(F.array_distinct(F.concat(
             F.collect_list("plo"), F.collect_list("phi")))).alias("_tw_p"))
-        probes = _checkpoint(probes)
+        probes = probes.persist(StorageLevel.MEMORY_AND_DISK)
         cand = _join_targets(base, probes, by, n_targets)
         cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
         x = F.col("_v")
@@ -200,7 +200,11 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
              .when(t <= a3, F.lit(None)).when(t <= a4, F.col("phi"))
              .otherwise(F.lit(None)).cast(vtype).alias("answer"))
         done = state.join(nxt.select(*keys), keys, "left_anti")
+        # the round's new target table is checkpointed (lineage cut once per
+        # round); the round's small intermediates can then be released
         state = _checkpoint(done.unionByName(nxt))
+        probe.unpersist()
+        probes.unpersist()
         biggest = state.filter(F.col("answer").isNull()).agg(F.max("m")).collect()[0][0] or 0
 
     # 3. finish every open bracket (now at most max_rows rows) with one sort
