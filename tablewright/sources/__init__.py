@@ -8,9 +8,10 @@ from tablewright.sources.files import (
     read_csv_doubles,
     write_lines,
     write_csv,
+    write_table,
     register_view,
     run_sql,
 )
 
 __all__ = ["load_table", "read_lines", "read_csv", "read_csv_doubles",
-           "write_lines", "write_csv", "register_view", "run_sql"]
+           "write_lines", "write_csv", "write_table", "register_view", "run_sql"]

@@ -57,6 +57,18 @@ def write_csv(df: DataFrame, name: str = "csv", header: bool = True) -> str:
     return path
 
 
+def write_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a derived table (the cleaned case table, a feature frame) as
+    parquet into the shared folder and return it read back. Many later
+    actions then scan the written columns (pruned, filters pushed) instead
+    of recomputing the joins and cleaning each time, and the lineage is
+    cut on shared storage, so a lost executor does not reach back to the
+    raw inputs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Name a plan for SQL (``registerTempTable`` is the old name)."""
     df.createOrReplaceTempView(name)

@@ -77,3 +77,15 @@ def test_text_lines_round_trip(spark):
     d = split_fields(SRC.read_lines(spark, path), {"a": 0, "c": 2})
     d = drop_header_rows(d, "a", "h1")
     assert sorted((r["a"], r["c"]) for r in d.collect()) == [("1", "3"), ("4", None)]
+
+
+def test_write_table_round_trip(spark):
+    from conftest import SF001
+    from tablewright.operators.clean import clean_cases
+    from tablewright.sources.standins import cases
+    d = clean_cases(cases(spark, SF001))
+    kept = SRC.write_table(d, "clean-cases")
+    assert kept.count() == d.count()
+    assert kept.exceptAll(d).count() == 0
+    plan = kept.filter(F.col("score") > 10).select("state")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(score,10" in plan
