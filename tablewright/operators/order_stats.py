@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 EXACT_ROWS = 2_000_000      # rows a single task may sort to finish a bracket
 MAP_ROWS = 1_000_000        # group size up to which Spark's exact percentile
                             # (a value->count map per group) is used directly
+MAP_BUDGET = 4 * MAP_ROWS   # map entries one side-by-side aggregate may hold
 GRID = 1000                 # grid intervals per round
 ACCURACY = 10 * GRID        # sketch accuracy: rank error < one tenth of a grid step
 BROADCAST_TARGETS = 200_000 # largest target table sent to every task
@@ -285,8 +286,11 @@ def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float]
     (column, p, kind, q). One pass counts every column's values (skipped
     when the caller already has the non-null ``counts``); the columns within
     ``MAP_ROWS`` get their percentiles side by side from one more aggregate
-    over the original rows; any larger column goes through the bracket
-    rounds (unpivoted to (column, x) and grouped by name)."""
+    over the original rows (several aggregates if their maps together would
+    pass ``MAP_BUDGET``); any larger column goes through the bracket rounds
+    (unpivoted to (column, x) and grouped by name)."""
+    if not columns:
+        raise ValueError("no columns")
     if counts is None:
         row = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]
                      ).collect()[0]
@@ -294,6 +298,34 @@ def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float]
     small = [c for c in columns if counts[c] <= min(MAP_ROWS, max_rows)]
     big = [c for c in columns if c not in small]
     parts = []
+    # columns share an aggregate while their maps together stay within the
+    # budget of one task; more columns take more (equally bounded) passes
+    maps = len(probs) if kind == "disc" else 1   # percentile_disc: a map per p
+    batches, cur, load = [], [], 0
+    for c in small:
+        if cur and load + counts[c] * maps > MAP_BUDGET:
+            batches.append(cur)
+            cur, load = [], 0
+        cur.append(c)
+        load += counts[c] * maps
+    if cur:
+        batches.append(cur)
+    for batch in batches:
+        parts.append(_side_by_side(df, batch, probs, kind))
+    if big:
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in big]).unpivot(
+            [], big, "column", "x")
+        parts.append(exact_quantiles(long, "x", probs, by=["column"], kind=kind,
+                                     max_rows=max_rows))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _side_by_side(df: DataFrame, small: list[str], probs: list[float],
+                  kind: str) -> DataFrame:
+    """Exact quantiles of a batch of bounded columns from one aggregate."""
     if small:
         cols = []
         for i, c in enumerate(small):
@@ -309,16 +341,7 @@ def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float]
         rows = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"),
                          F.lit(kind).alias("kind"), F.col(f"_q{i}_{j}").cast("double").alias("q"))
                 for i, c in enumerate(small) for j, p in enumerate(probs)]
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    if big:
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in big]).unpivot(
-            [], big, "column", "x")
-        parts.append(exact_quantiles(long, "x", probs, by=["column"], kind=kind,
-                                     max_rows=max_rows))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return wide.select(F.inline(F.array(*rows)))
 
 
 def _small_group_quantiles(base: DataFrame, probs: list[float], kinds: list[str],

@@ -98,3 +98,14 @@ def test_column_quantiles_both_paths(spark, data, max_rows):
     for r in res:
         v = pdf.x.to_numpy() if r["column"] == "x" else ys
         assert r["q"] == pytest.approx(float(np.percentile(v, r["p"] * 100)), abs=1e-9)
+
+
+def test_column_quantiles_in_budget_batches(spark, data, monkeypatch):
+    pdf, df = data
+    monkeypatch.setattr(OS, "MAP_BUDGET", 7000)      # one column per aggregate
+    wide = df.withColumn("y", F.col("x") + 1).withColumn("z", F.col("x") * 3)
+    res = {(r["column"], r["p"]): r["q"] for r in
+           OS.exact_column_quantiles(wide, ["x", "y", "z"], [0.5]).collect()}
+    m = float(np.percentile(pdf.x.to_numpy(), 50))
+    assert res[("x", 0.5)] == pytest.approx(m) and res[("y", 0.5)] == pytest.approx(m + 1)
+    assert res[("z", 0.5)] == pytest.approx(3 * m)
