@@ -27,3 +27,21 @@ def test_scan_is_pruned_and_filtered(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,40" in plan
     assert re.search(r"ReadSchema: struct<l_orderkey:bigint,l_quantity:double>", plan)
+
+
+def test_fact_table_is_never_the_broadcast_side(spark):
+    """In the flagship plan the lineitem scan streams through the joins; no
+    BroadcastExchange sits between it and its join."""
+    df = E.queries()["state_stats_by_name"](spark, SF01)
+    lines = df._jdf.queryExecution().executedPlan().treeString().split("\n")
+    depth = [len(ln) - len(ln.lstrip(" :+-")) for ln in lines]
+    scans = [i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "lineitem" in ln]
+    assert scans
+    for i in scans:
+        d = depth[i]
+        for j in range(i - 1, -1, -1):           # walk up to the nearest join
+            if depth[j] < d:
+                if "Join" in lines[j]:
+                    break
+                assert "BroadcastExchange" not in lines[j], "\n".join(lines)
+                d = depth[j]
