@@ -6,10 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import exact_dedup, line_dedup, mixing
+from tablewright.llm import exact_dedup, line_dedup, mixing, sentencepiece_fst, simhash
 from tablewright.llm.common import table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    g = simhash.simhash_groups(table(spark, sf_dir, "documents"))
+    return g.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+                    F.col("component").alias("component_id"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on more than 2 % of a source's documents, taken out of them."""
     d = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -33,4 +40,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op6_line_dedup, op7_mixing, op8_exact_dedup)}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return sentencepiece_fst.encode(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_simhash, op6_line_dedup, op7_mixing, op8_exact_dedup, op10_sentencepiece)}
