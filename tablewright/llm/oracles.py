@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablewright.llm import exact_dedup, line_dedup, mixing  # noqa: F401
+from tablewright.llm import licenses, line_dedup, mixing
 
 _WS = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -81,4 +81,74 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY n) AS keep_id,
 FROM t
 """
 
-ORACLES = {"op6_line_dedup": OP6, "op7_mixing": OP7, "op8_exact_dedup": OP8}
+OP3 = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM t),
+g AS (
+  SELECT doc_id, pos, word || ' ' || lead(word, 1) OVER d || ' ' || lead(word, 2) OVER d AS win
+  FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+r AS (SELECT doc_id, pos, win IS NOT NULL AND count(win) OVER (PARTITION BY doc_id, win) > 1 AS again FROM g),
+c AS (
+  SELECT doc_id, again OR coalesce(lag(again, 1) OVER d, false) OR coalesce(lag(again, 2) OVER d, false) AS inside
+  FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+rep AS (SELECT doc_id, count(*) FILTER (WHERE inside) AS n FROM c GROUP BY doc_id),
+facts AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
+per_word AS (
+  SELECT doc_id, max(n) AS top, sum(n) FILTER (WHERE contains(word, '!!')) AS loud,
+         sum(n) FILTER (WHERE regexp_matches(word, '[A-Za-z\\x{{80}}-\\x{{10FFFF}}]')) AS letters
+  FROM facts GROUP BY doc_id),
+ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t),
+lines AS (
+  SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM ln WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id),
+b AS (
+  SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '{_WS}', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(l.dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+         coalesce(l.n, 0) AS n_lines, coalesce(p.top, 0) AS top, coalesce(p.loud, 0) AS loud, coalesce(p.letters, 0) AS letters
+  FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN per_word p USING (doc_id) LEFT JOIN lines l USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 5 * top > 2 * n_words
+            OR 10 * loud > 3 * n_words OR 2 * letters < n_words) AS kept
+FROM f
+"""
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LICENSE_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_PHRASES = ", ".join(f"('{a}', string_split('{p}', ' '))" for a, p in licenses.PHRASES)
+_TEMPLATES = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(licenses.TEMPLATES))
+
+OP9 = f"""
+WITH phrases(label, p) AS (VALUES {_PHRASES}),
+templates AS (
+  SELECT i, label, list_distinct(regexp_extract_all(translate(body, '{_UPPER}', '{_UPPER.lower()}'), '{_LICENSE_WORDS}')) AS tw
+  FROM (VALUES {_TEMPLATES}) AS v(i, label, body)),
+t AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '{_LICENSE_WORDS}') AS ws FROM t),
+places AS (
+  SELECT doc_id, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1:i + len(p)] = p)) AS pos
+  FROM w, phrases),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels
+  FROM places GROUP BY doc_id),
+blocks AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, '{_LICENSE_WORDS}')) AS bw
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)),
+shared AS (
+  SELECT doc_id, label, len(list_intersect(bw, tw)) AS n, len(tw) AS size FROM blocks, templates),
+met AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(CAST(n AS DOUBLE) / size) AS containment
+  FROM shared WHERE n >= ceil({licenses.THRESHOLD} * size - 1e-9) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       first_word, last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
+       CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(containment, 0.0) END AS DOUBLE) AS score
+FROM w LEFT JOIN base b USING (doc_id) LEFT JOIN met m USING (doc_id)
+"""
+
+ORACLES = {"op3_quality": OP3, "op9_licenses": OP9, "op6_line_dedup": OP6, "op7_mixing": OP7, "op8_exact_dedup": OP8}

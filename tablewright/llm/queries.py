@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import exact_dedup, line_dedup, mixing, sentencepiece_fst, simhash
+from tablewright.llm import (
+    exact_dedup, licenses, line_dedup, mixing, quality, sentencepiece_fst, simhash)
 from tablewright.llm.common import table
 
 
@@ -17,6 +18,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("component").alias("component_id"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the rule cascade for every document."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on more than 2 % of a source's documents, taken out of them."""
     d = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -40,10 +46,23 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    r = licenses.license_scan(table(spark, sf_dir, "documents"))
+    base = F.array_sort(F.array_distinct("places.label"))
+    return r.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.at").alias("first_word"), F.array_max("places.at").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, "template_labels")), ",").alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.col("containment")).alias("score"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     return sentencepiece_fst.encode(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash, op6_line_dedup, op7_mixing, op8_exact_dedup, op10_sentencepiece)}
+    op2_simhash, op3_quality, op6_line_dedup, op7_mixing, op8_exact_dedup, op9_licenses,
+    op10_sentencepiece)}
