@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    exact_dedup, licenses, line_dedup, mixing, quality, sentencepiece_fst, simhash)
+    exact_dedup, licenses, line_dedup, mixing, quality, sentencepiece_fst, simhash, toxicity)
 from tablewright.llm.common import table
 
 
@@ -23,6 +23,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside fold 0."""
+    r = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return r.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on more than 2 % of a source's documents, taken out of them."""
     d = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -64,5 +70,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash, op3_quality, op6_line_dedup, op7_mixing, op8_exact_dedup, op9_licenses,
+    op2_simhash, op3_quality, op5_toxicity, op6_line_dedup, op7_mixing, op8_exact_dedup, op9_licenses,
     op10_sentencepiece)}
