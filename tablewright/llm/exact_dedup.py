@@ -82,7 +82,10 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     groups = (rows.where("_full is not null").groupBy("_full")
               .agg(F.min("_key").alias("_keep"), F.count(F.lit(1)).alias("_size"))
               .where("_size > 1"))
-    out = rows.join(groups, "_full", "left")
+    # rows without a full hash are alone; they would all meet in one task of
+    # the join under its null key
+    alone = rows.where("_full is null").withColumns({"_keep": F.col("_key"), "_size": F.lit(None).cast("long")})
+    out = rows.where("_full is not null").join(groups, "_full", "left").unionByName(alone)
     return out.select(
         F.col("_key").alias(key), *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)],
         F.when(F.col("_size").isNull(), F.col("_key")).otherwise(F.col("_keep")).alias("keep_key"),
