@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    exact_dedup, licenses, line_dedup, mixing, quality, sentencepiece_fst, simhash, toxicity)
+    exact_dedup, lattice_lm, licenses, line_dedup, mixing, quality, sentencepiece_fst,
+    simhash, toxicity)
 from tablewright.llm.common import table
 
 
@@ -23,6 +24,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log probability of every document; rows with remainder 1
+    are held out. A training row's language is its class."""
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (~held).alias("train"))
+    r = lattice_lm.lm_score(d, "train", kind="lang")
+    return r.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels outside fold 0."""
     r = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -70,5 +80,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash, op3_quality, op5_toxicity, op6_line_dedup, op7_mixing, op8_exact_dedup, op9_licenses,
-    op10_sentencepiece)}
+    op2_simhash, op3_quality, op4_lattice_lm, op5_toxicity, op6_line_dedup, op7_mixing,
+    op8_exact_dedup, op9_licenses, op10_sentencepiece)}
