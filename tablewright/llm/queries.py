@@ -8,10 +8,52 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import (
     exact_dedup, lattice_lm, licenses, line_dedup, mixing, quality, sentencepiece_fst,
-    simhash, toxicity)
+    simhash, tool_calls, toxicity)
 from tablewright.llm.common import table
 
 
+#: Schemas of the tools that ``tool_turns`` derives.
+SCHEMAS = {
+    "search": {"type": "object", "required": ["query", "limit"], "additionalProperties": False, "properties": {
+        "query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1, "maximum": 250}}},
+    "classify": {"type": "object", "required": ["text", "labels"], "additionalProperties": False, "properties": {
+        "text": {"type": "string"}, "threshold": {"type": "number", "minimum": 0, "maximum": 1},
+        "labels": {"type": "array", "minItems": 1, "items": {"type": "string"}}}},
+}
+
+
+def tool_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results that ``conversations`` stands for, as its turns name
+    no tools. An assistant's turn is a call whose arguments carry its text; a
+    turn of another role is the result of the turn before, and an orphan where
+    that is no assistant's. A call needs the call of half its turn's number,
+    and at each third turn that of the exchange before. A few calls name no
+    known tool, have arguments outside their schema, or broken JSON."""
+    c = F.col
+    ident = lambda turn: F.substring(F.md5(F.concat_ws(":", c("conv_id"), turn)), 1, 12)
+    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
+    tool = F.when(n % 23 == 0, "translate").when(n % 2 == 0, "search").otherwise("classify")
+    search = F.to_json(F.struct(c("text").alias("query"), n.alias("limit")))
+    label = F.to_json(F.struct((n % 11 / 10).alias("threshold"), c("text"), F.array(F.lit("a"), c("role")).alias("labels")))
+    arguments = F.when(n % 19 == 0, F.expr("left(arguments, length(arguments) - 1)")).otherwise(c("arguments"))
+    half = 2 * F.floor((c("turn") + 1) / 4).cast("long") - 1
+    turns = conversations.select("conv_id", "turn", "role", "text")
+    calls = (turns.where("role = 'assistant'")
+             .withColumn("arguments", F.when(tool == "search", search).otherwise(label))
+             .select("conv_id", ident(c("turn")).alias("call_id"), c("turn").alias("seq"), tool.alias("tool"), arguments.alias("arguments"),
+                     F.when(c("turn") >= 3, F.array_compact(F.array(ident(half), F.when(c("turn") % 3 == 0, ident(c("turn") - 2)))))
+                     .otherwise(F.array().cast("array<string>")).alias("needs")))
+    results = turns.where("role <> 'assistant' or role is null").select(
+        "conv_id", ident(c("turn") - 1).alias("call_id"), c("turn").alias("seq"), c("text").alias("content"))
+    return calls, results
+
+
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked, ordered and checked messages of every conversation."""
+    calls, results = tool_turns(table(spark, sf_dir, "conversations"))
+    return tool_calls.link_tool_calls(calls, results, SCHEMAS)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     g = simhash.simhash_groups(table(spark, sf_dir, "documents"))
@@ -80,5 +122,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash, op3_quality, op4_lattice_lm, op5_toxicity, op6_line_dedup, op7_mixing,
-    op8_exact_dedup, op9_licenses, op10_sentencepiece)}
+    op1_tool_calls, op2_simhash, op3_quality, op4_lattice_lm, op5_toxicity, op6_line_dedup,
+    op7_mixing, op8_exact_dedup, op9_licenses,
+    op10_sentencepiece)}
