@@ -115,11 +115,9 @@ def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str
         "_key", "_block", "template", "label", (shared / F.col("size")).alias("containment"))
 
 
-def phrase_places(text: Column, phrases: Sequence[tuple[str, str]] = PHRASES) -> Column:
+def phrase_places(w: Column, phrases: Sequence[tuple[str, str]] = PHRASES) -> Column:
     """array<struct<at, label>>: where the words of a phrase stand one after
-    the other, words counted from 0."""
-    w = words(text)
-
+    the other in ``w``, a column of words, counted from 0."""
     def places(label: str, p: list[str]) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - len(p)))
         at = F.filter(starts, lambda i: F.slice(w, i + 1, len(p)) == F.array(*map(F.lit, p)))
@@ -142,9 +140,12 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # the phrases in a text as it is written, before its words are listed
     seen = "|".join(r"(?<![0-9A-Za-z\x{80}-\x{10FFFF}])" + _GAP.join(p.split(" ")) + r"(?![0-9A-Za-z\x{80}-\x{10FFFF}])" for _, p in phrases)
     kind = "array<struct<at:bigint,label:string>>"
-    d = docs.select(
-        F.col(key).alias("_key"), F.regexp_count(body, F.lit(_WORD)).cast("long").alias("n_words"),
-        F.when(body.rlike(f"(?i:{seen})"), phrase_places(body, phrases)).otherwise(F.array().cast(kind)).alias("places"))
+    # words are listed in a column of their own, once a row, before places are
+    # looked for in it
+    d = docs.select(F.col(key).alias("_key"), F.regexp_count(body, F.lit(_WORD)).cast("long").alias("n_words"),
+                    F.when(body.rlike(f"(?i:{seen})"), words(body)).alias("_words"))
+    d = d.select("_key", "n_words", F.coalesce(F.when(F.col("_words").isNotNull(), phrase_places(F.col("_words"), phrases)),
+                                               F.array().cast(kind)).alias("places"))
     pairs = block_matches(docs, key, text, rows, threshold)
     best = pairs.groupBy(F.col("_key").alias("_mkey")).agg(
         F.sort_array(F.collect_set("label")).alias("template_labels"), F.max("containment").alias("containment"))
