@@ -6,25 +6,27 @@ rank ``r`` inside its group? The obvious answers do not scale: ``percentile``
 keeps a value->count map of the whole group in one task, a global
 ``row_number`` or ``orderBy().limit(n)`` sends every row through one task.
 
-A count pass comes first. Groups of at most ``MAP_ROWS`` rows use Spark's
-exact ``percentile`` / ``percentile_disc``, whose map is then bounded by that
-count. For larger groups the rank is found by narrowing a bracket:
+One path serves every size. A rank is found by narrowing a bracket:
 
 1. per bracket, an approximate quantile grid (``percentile_approx``, a
    bounded sketch, merged map-side) over the rows still in the bracket;
 2. one counting pass tells which grid interval holds rank ``r``. Rows below
    the interval are added to ``below``; if ``r`` falls on an interval end,
    the value is known; otherwise the bracket becomes the open interval.
-   Both passes work per bracket, not per target, so a row is attached once
-   to each distinct bracket holding it (in the first round: once).
+   Both passes work per bracket, not per target: the brackets of a group are
+   disjoint, so a row is placed in the one that holds it by its group's
+   sorted bracket ends, and is never copied per target.
 
 Each round shrinks a bracket about ``GRID/3``-fold, whatever the skew; a value
 that fills a whole bracket (heavy ties) is resolved by the counts at once.
-Once a bracket holds at most ``max_rows`` rows it is finished with a window
-sort over those rows only. Correctness never depends on the sketch's error
-bound, only the number of rounds does. The per-round target table is small
-(one row per group and rank), checkpointed to the shared folder, and
-broadcast only after its row count has been checked.
+A bracket of at most ``max_rows`` rows (from the start, for a small group) is
+finished with a window sort over those rows only. ``max_rows`` decides how
+many rounds there are, never a value: the answer is the data value of that
+rank either way, and interpolation is one expression for all. Correctness
+does not depend on the sketch's error bound, only the number of rounds does.
+The per-round target table is small (one row per group and rank),
+checkpointed to the shared folder, and broadcast only while its bytes are
+within ``BROADCAST_BYTES``.
 """
 
 from __future__ import annotations
@@ -33,14 +35,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_ROWS = 2_000_000      # rows a single task may sort to finish a bracket
-MAP_ROWS = 1_000_000        # group size up to which Spark's exact percentile
-                            # (a value->count map per group) is used directly
-MAP_BUDGET = 4 * MAP_ROWS   # map entries one side-by-side aggregate may hold
+EXACT_ROWS = 200_000        # rows a single task may sort to finish a bracket
 GRID = 1000                 # grid intervals per round
 ACCURACY = 10 * GRID        # sketch accuracy: rank error < one tenth of a grid step
-BROADCAST_TARGETS = 200_000 # largest target table sent to every task
-GLOBAL_TARGETS = 1_000      # ranks of one ungrouped selection held as literals
+BROADCAST_BYTES = 8 << 20   # largest target table sent to every task
+TARGET_BYTES = 128          # bytes of one target: bracket, probes, row overhead
 
 _GRID_PROBS = [i / GRID for i in range(GRID + 1)]
 
@@ -56,26 +55,25 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
-def _join_targets(base: DataFrame, state: DataFrame, by: list[str],
-                  n_targets: int) -> DataFrame:
-    """Pair each row with the targets of its group. Grouped: an equi-join on
-    the group columns, the target table broadcast when its checked row
-    count allows. Global: the few targets (at most ``GLOBAL_TARGETS``) are
-    collected and attached to every row as a literal array, so there is no
-    join at all; each row is then exploded over the targets whose bracket
-    holds it (done by the caller's bracket filter)."""
-    if by:
-        if n_targets <= BROADCAST_TARGETS:
-            state = F.broadcast(state)
-        return base.join(state, by, "inner")
-    rows = state.collect()
-    fields = [f for f in state.schema.fields]
-    lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields])
-            for r in rows]
-    if not lits:
-        return base.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).limit(0)
-    return (base.select("*", F.explode(F.array(*lits)).alias("_tw_t"))
-            .select(*base.columns, "_tw_t.*"))
+def _attach(base: DataFrame, brackets: DataFrame, by: list[str], small: bool) -> DataFrame:
+    """Each row of ``base`` with the bracket that holds its ``_v`` (``lo``,
+    ``hi`` and the other columns of ``brackets``); rows in no bracket go.
+
+    One row per group carries the group's brackets as a sorted array; the
+    last bracket that begins below the value is the only one that can hold
+    it. ``small``: the bracket table may be broadcast; otherwise the join is
+    shuffled, and a hot group's partition split by adaptive execution."""
+    rest = [c for c in brackets.columns if c not in by]
+    packed = brackets.groupBy(*by).agg(
+        F.sort_array(F.collect_list(F.struct("lo", "hi", *[c for c in rest if c not in ("lo", "hi")])))
+        .alias("_tw_b"))
+    joined = base.join(F.broadcast(packed) if small else packed, by, "inner")
+    v = F.col("_v")
+    at = F.size(F.filter("_tw_b", lambda b: b["lo"].isNull() | (b["lo"] < v)))
+    joined = joined.withColumn("_tw_h", F.get("_tw_b", at - 1)).drop("_tw_b")
+    hi = F.col("_tw_h.hi")
+    return (joined.filter(F.col("_tw_h").isNotNull() & (hi.isNull() | (v < hi)))
+            .select(*base.columns, *[F.col(f"_tw_h.{c}").alias(c) for c in rest]))
 
 
 def _join_same(left: DataFrame, right: DataFrame, by: list[str],
@@ -89,10 +87,6 @@ def _join_same(left: DataFrame, right: DataFrame, by: list[str],
     return left.join(r, cond, "inner").drop(*[f"_r_{c}" for c in by + nullable])
 
 
-def _in_bracket(v, lo, hi):
-    return ((lo.isNull()) | (v > lo)) & ((hi.isNull()) | (v < hi))
-
-
 def select_ranks(base: DataFrame, value: str, targets: DataFrame,
                  by: list[str] | tuple = (), max_rows: int = EXACT_ROWS) -> DataFrame:
     """Value of rank ``rank`` (1-based, ascending) per target.
@@ -102,6 +96,10 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     <= n) and ``n`` (rows in the group); other columns are carried through.
     Returns the target columns plus ``value``.
     """
+    if not by:   # one group
+        one = F.lit(0).alias("_tw_g")
+        return select_ranks(base.select("*", one), value, targets.select("*", one), ["_tw_g"],
+                            max_rows).drop("_tw_g")
     by = list(by)
     keys = by + ["tid", "rank"]
     extra = [c for c in targets.columns if c not in keys + ["n"]]
@@ -120,13 +118,16 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     info = state.agg(F.count(F.lit(1)).alias("t"), F.max("m").alias("mx")).collect()[0]
     n_targets, biggest = info["t"], info["mx"] or 0
-    if not by and n_targets > GLOBAL_TARGETS:
-        raise ValueError(f"{n_targets} ranks of one ungrouped column: ask for at most "
-                         f"{GLOBAL_TARGETS}, or group the rows")
     if n_targets == 0:
+        state.unpersist()
         return state.select(*keys, *extra, F.col("answer").alias(value))
+    small = n_targets * TARGET_BYTES <= BROADCAST_BYTES
     carried = state.select(*keys, *extra) if extra else None
-    state = state.drop(*extra)
+    first = state
+    state = _checkpoint(state.drop(*extra))
+    if carried is not None:
+        carried = _checkpoint(carried)
+    first.unpersist()
     bracket = ["lo", "hi"]
 
     grid = F.array(*[F.lit(p) for p in _GRID_PROBS])
@@ -137,8 +138,7 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
         # attached to each distinct bracket holding it, once.
         brackets = open_big.select(*by, *bracket).distinct()
         # 1. approximate grid of the rows inside each bracket
-        cand = _join_targets(base, brackets, by, n_targets)
-        cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
+        cand = _attach(base, brackets, by, small)
         sketch = cand.groupBy(*by, *bracket).agg(
             F.percentile_approx("_v", grid, ACCURACY).alias("_tw_grid"))
         q = (F.col("rank") - F.col("below")) / F.col("m")
@@ -148,64 +148,37 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
                  .withColumn("plo", F.get(F.col("_tw_grid"), i_lo))
                  .withColumn("phi", F.get(F.col("_tw_grid"), i_hi))
                  .drop("_tw_grid"))
-        probe = probe.persist(StorageLevel.MEMORY_AND_DISK)
-        # 2. one counting pass: each row is placed among its bracket's few
-        #    distinct probe values (a short sorted array) and counted per cell
-        probes = probe.groupBy(*by, *bracket).agg(F.array_sort(F.array_distinct(F.concat(
-            F.collect_list("plo"), F.collect_list("phi")))).alias("_tw_p"))
-        probes = probes.persist(StorageLevel.MEMORY_AND_DISK)
-        cand = _join_targets(base, probes, by, n_targets)
-        cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
+        # 2. one counting pass: the probe values of all targets in a bracket cut
+        #    it into cells, open intervals and single values; rows per cell
+        probes = _checkpoint(probe.groupBy(*by, *bracket).agg(F.array_sort(F.array_distinct(F.concat(
+            F.collect_list("plo"), F.collect_list("phi")))).alias("_tw_p")))
+        cand = _attach(base, probes, by, small)
         x = F.col("_v")
         cells = cand.groupBy(
             *by, *bracket,
             F.size(F.filter(F.col("_tw_p"), lambda p: p < x)).alias("_lt"),
             F.size(F.filter(F.col("_tw_p"), lambda p: p <= x)).alias("_le"),
         ).agg(F.count(F.lit(1)).alias("_c"))
-        # per target, from the cell table (small): a row lies below probe k
-        # when _le <= k, on it when _lt == k and _le == k + 1, above when _lt > k
-        per = _join_same(_join_same(probe, probes, by, bracket), cells, by, bracket)
-        klo = F.array_position(F.col("_tw_p"), F.col("plo")) - 1
-        khi = F.array_position(F.col("_tw_p"), F.col("phi")) - 1
-        lt, le, c = F.col("_lt"), F.col("_le"), F.col("_c")
-        zero = F.lit(0).cast("bigint")
-        counts = per.groupBy(*keys).agg(
-            F.sum(F.when(le <= klo, c).otherwise(zero)).alias("c_lt"),
-            F.sum(F.when((lt == klo) & (le == klo + 1), c).otherwise(zero)).alias("c_eqlo"),
-            F.sum(F.when((lt > klo) & (le <= khi), c).otherwise(zero)).alias("c_mid"),
-            F.sum(F.when((khi > klo) & (lt == khi) & (le == khi + 1), c)
-                  .otherwise(zero)).alias("c_eqhi"),
-            F.sum(F.when(lt > khi, c).otherwise(zero)).alias("c_gt"))
-        nxt = probe.join(counts, keys, "left").fillna(
-            0, ["c_lt", "c_eqlo", "c_mid", "c_eqhi", "c_gt"])
+        # each target's rank falls into one cell: a single value answers it, an
+        # interval becomes its bracket. Brackets of a group stay disjoint.
+        order = Window.partitionBy(*by, *bracket).orderBy("_lt", "_le")
+        cells = cells.withColumn("_upto", F.sum("_c").over(order))
+        ends = _join_same(cells, probes, by, bracket)
+        one = F.col("_le") > F.col("_lt")
+        ends = ends.select(
+            *by, *bracket, "_c", "_upto",
+            F.when(~one, F.when(F.col("_lt") > 0, F.get("_tw_p", F.col("_lt") - 1)).otherwise(F.col("lo"))).alias("_nlo"),
+            F.when(~one, F.coalesce(F.get("_tw_p", F.col("_lt")), F.col("hi"))).alias("_nhi"),
+            F.when(one, F.get("_tw_p", F.col("_lt"))).alias("_is"))
         t = F.col("rank") - F.col("below")
-        a1 = F.col("c_lt")
-        a2 = a1 + F.col("c_eqlo")
-        a3 = a2 + F.col("c_mid")
-        a4 = a3 + F.col("c_eqhi")
-        nxt = nxt.select(
-            *keys,
-            F.when(t <= a1, F.col("lo")).when(t <= a2, F.col("lo"))
-             .when(t <= a3, F.col("plo")).when(t <= a4, F.col("lo"))
-             .otherwise(F.col("phi")).alias("lo"),
-            F.when(t <= a1, F.col("plo")).when(t <= a2, F.col("hi"))
-             .when(t <= a3, F.col("phi")).when(t <= a4, F.col("hi"))
-             .otherwise(F.col("hi")).alias("hi"),
-            F.when(t <= a1, F.col("below")).when(t <= a2, F.col("below"))
-             .when(t <= a3, F.col("below") + a2).when(t <= a4, F.col("below"))
-             .otherwise(F.col("below") + a4).alias("below"),
-            F.when(t <= a1, a1).when(t <= a2, F.col("m"))
-             .when(t <= a3, F.col("c_mid")).when(t <= a4, F.col("m"))
-             .otherwise(F.col("c_gt")).alias("m"),
-            F.when(t <= a1, F.lit(None)).when(t <= a2, F.col("plo"))
-             .when(t <= a3, F.lit(None)).when(t <= a4, F.col("phi"))
-             .otherwise(F.lit(None)).cast(vtype).alias("answer"))
+        nxt = (_join_same(open_big, ends, by, bracket)
+               .filter((F.col("_upto") >= t) & (F.col("_upto") - F.col("_c") < t))
+               .select(*keys, F.col("_nlo").alias("lo"), F.col("_nhi").alias("hi"),
+                       (F.col("below") + F.col("_upto") - F.col("_c")).alias("below"),
+                       F.col("_c").alias("m"), F.col("_is").cast(vtype).alias("answer")))
         done = state.join(nxt.select(*keys), keys, "left_anti")
-        # the round's new target table is checkpointed (lineage cut once per
-        # round); the round's small intermediates can then be released
+        # lineage is cut once per round
         state = _checkpoint(done.unionByName(nxt))
-        probe.unpersist()
-        probes.unpersist()
         biggest = state.filter(F.col("answer").isNull()).agg(F.max("m")).collect()[0][0] or 0
 
     # 3. finish every open bracket (now at most max_rows rows) with one sort
@@ -213,13 +186,12 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     #    checked) target table on the bracket and the row number
     open_small = state.filter(F.col("answer").isNull())
     brackets = open_small.select(*by, *bracket, "below").distinct()
-    cand = _join_targets(base, brackets, by, n_targets)
-    cand = cand.filter(_in_bracket(F.col("_v"), F.col("lo"), F.col("hi")))
+    cand = _attach(base, brackets, by, small)
     w = Window.partitionBy(*by, *bracket).orderBy(F.col("_v"))
     ranked = cand.select(*by, *bracket, F.col("_v").alias("_picked"),
                          F.row_number().over(w).alias("_rn"))
     want = open_small.select(*keys, *bracket, (F.col("rank") - F.col("below")).alias("_rn"))
-    if n_targets <= BROADCAST_TARGETS:
+    if small:
         want = F.broadcast(want)
     picked = _join_same(want, ranked, by + ["_rn"], bracket).select(*keys, "_picked")
     out = (state.join(picked, keys, "left")
@@ -246,10 +218,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     kinds = [kind] * len(probs) if isinstance(kind, str) else list(kind)
     base = df.select(*by, F.col(value).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull())
-    counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.agg(F.max("n")).collect()[0][0] or 0
-    if largest <= min(MAP_ROWS, max_rows):
-        return _small_group_quantiles(base, probs, kinds, by)
+    counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     specs = []
     n = F.col("n")
     for i, (p, k) in enumerate(zip(probs, kinds)):
@@ -280,95 +249,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
 
 
 def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                           kind: str = "cont", max_rows: int = EXACT_ROWS,
-                           counts: dict | None = None) -> DataFrame:
+                           kind: str = "cont", max_rows: int = EXACT_ROWS) -> DataFrame:
     """Exact quantiles of several numeric columns (nulls skipped), long form
-    (column, p, kind, q). One pass counts every column's values (skipped
-    when the caller already has the non-null ``counts``); the columns within
-    ``MAP_ROWS`` get their percentiles side by side from one more aggregate
-    over the original rows (several aggregates if their maps together would
-    pass ``MAP_BUDGET``); any larger column goes through the bracket rounds
-    (unpivoted to (column, x) and grouped by name)."""
+    (column, p, kind, q): the columns as groups of one selection, so all share
+    its passes. The values are held (memory, spilling to disk) for those
+    passes and released; the result, one row per column and p, is brought
+    back as literals."""
     if not columns:
         raise ValueError("no columns")
-    if counts is None:
-        row = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]
-                     ).collect()[0]
-        counts = {c: row[f"_n{i}"] for i, c in enumerate(columns)}
-    small = [c for c in columns if counts[c] <= min(MAP_ROWS, max_rows)]
-    big = [c for c in columns if c not in small]
-    parts = []
-    # columns share an aggregate while their maps together stay within the
-    # budget of one task; more columns take more (equally bounded) passes
-    maps = len(probs) if kind == "disc" else 1   # percentile_disc: a map per p
-    batches, cur, load = [], [], 0
-    for c in small:
-        if cur and load + counts[c] * maps > MAP_BUDGET:
-            batches.append(cur)
-            cur, load = [], 0
-        cur.append(c)
-        load += counts[c] * maps
-    if cur:
-        batches.append(cur)
-    for batch in batches:
-        parts.append(_side_by_side(df, batch, probs, kind))
-    if big:
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in big]).unpivot(
-            [], big, "column", "x")
-        parts.append(exact_quantiles(long, "x", probs, by=["column"], kind=kind,
-                                     max_rows=max_rows))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _side_by_side(df: DataFrame, small: list[str], probs: list[float],
-                  kind: str) -> DataFrame:
-    """Exact quantiles of a batch of bounded columns from one aggregate."""
-    if small:
-        cols = []
-        for i, c in enumerate(small):
-            x = F.col(c).cast("double")
-            if kind == "disc":
-                cols += [F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP "
-                                f"(ORDER BY CAST(`{c}` AS DOUBLE))").alias(f"_q{i}_{j}")
-                         for j, p in enumerate(probs)]
-            else:
-                arr = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
-                cols += [F.get(arr, j).alias(f"_q{i}_{j}") for j in range(len(probs))]
-        wide = df.agg(*cols)
-        rows = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"),
-                         F.lit(kind).alias("kind"), F.col(f"_q{i}_{j}").cast("double").alias("q"))
-                for i, c in enumerate(small) for j, p in enumerate(probs)]
-        return wide.select(F.inline(F.array(*rows)))
-
-
-def _small_group_quantiles(base: DataFrame, probs: list[float], kinds: list[str],
-                           by: list[str]) -> DataFrame:
-    """Every group has at most ``MAP_ROWS`` rows (checked by the caller), so
-    the value->count map of Spark's exact ``percentile`` / ``percentile_disc``
-    is bounded; it is built map-side and merged per group in one pass."""
-    cont = [float(p) for p, k in zip(probs, kinds) if k != "disc"]
-    cols = []
-    if cont:
-        cols.append(F.percentile(F.col("_x"), F.array(*[F.lit(p) for p in cont]))
-                    .alias("_cont"))
-    for i, (p, k) in enumerate(zip(probs, kinds)):
-        if k == "disc":
-            cols.append(F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY _x)")
-                        .alias(f"_d{i}"))
-    wide = base.groupBy(*by).agg(*cols)
-    rows, j = [], 0
-    for i, (p, k) in enumerate(zip(probs, kinds)):
-        if k == "disc":
-            q = F.col(f"_d{i}")
-        else:
-            q = F.get(F.col("_cont"), j)
-            j += 1
-        rows.append(F.struct(F.lit(float(p)).alias("p"), F.lit(k).alias("kind"),
-                             q.cast("double").alias("q")))
-    return wide.select(*by, F.inline(F.array(*rows)))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], columns, "column", "x").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = exact_quantiles(long, "x", probs, by=["column"], kind=kind, max_rows=max_rows).collect()
+    finally:
+        long.unpersist()
+    return df.sparkSession.createDataFrame(
+        [(r["column"], r["p"], r["kind"], r["q"]) for r in rows],
+        "column string, p double, kind string, q double")
 
 
 def first_k_conditions(df: DataFrame, order: list[str], ks: list[int],

@@ -1,6 +1,6 @@
-"""Exact order statistics against numpy, on both paths: the bounded
-per-group percentile and the bracket-narrowing rounds (forced by a tiny
-``max_rows``), with heavy ties and a skewed group."""
+"""Exact order statistics against numpy, with one sort per group and with
+bracket-narrowing rounds (forced by a tiny ``max_rows``), with heavy ties and
+a skewed group. The bound never changes a value."""
 
 import numpy as np
 import pandas as pd
@@ -100,12 +100,38 @@ def test_column_quantiles_both_paths(spark, data, max_rows):
         assert r["q"] == pytest.approx(float(np.percentile(v, r["p"] * 100)), abs=1e-9)
 
 
-def test_column_quantiles_in_budget_batches(spark, data, monkeypatch):
+def test_the_bound_never_changes_a_value(spark):
+    """Random doubles: bound 100 and the default give bit-equal quantiles."""
+    rng = np.random.default_rng(11)
+    df = spark.createDataFrame(pd.DataFrame({"x": rng.normal(size=3001) * 1e3, "g": rng.integers(0, 3, 3001)}))
+    probs = [float(p) for p in rng.random(48)] + [0.0, 0.5, 1.0]
+    for by in ([], ["g"]):
+        for kind in ("cont", "disc"):
+            a, b = ({(*(r[c] for c in by), r["p"]): r["q"] for r in
+                     OS.exact_quantiles(df, "x", probs, by=by, kind=kind, max_rows=m).collect()}
+                    for m in (100, OS.EXACT_ROWS))
+            assert a == b and len(a) == len(probs) * (3 if by else 1)
+
+
+def test_a_shuffled_target_table_changes_no_value(spark, data, monkeypatch):
     pdf, df = data
-    monkeypatch.setattr(OS, "MAP_BUDGET", 7000)      # one column per aggregate
-    wide = df.withColumn("y", F.col("x") + 1).withColumn("z", F.col("x") * 3)
-    res = {(r["column"], r["p"]): r["q"] for r in
-           OS.exact_column_quantiles(wide, ["x", "y", "z"], [0.5]).collect()}
-    m = float(np.percentile(pdf.x.to_numpy(), 50))
-    assert res[("x", 0.5)] == pytest.approx(m) and res[("y", 0.5)] == pytest.approx(m + 1)
-    assert res[("z", 0.5)] == pytest.approx(3 * m)
+    monkeypatch.setattr(OS, "BROADCAST_BYTES", 0)
+    for r in OS.exact_quantiles(df, "x", [0.25, 0.5], by=["g"], max_rows=100).collect():
+        assert r["q"] == pytest.approx(_expected(pdf, r["g"], r["p"], "cont"), abs=1e-9)
+
+
+def test_many_ranks_of_one_column(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).cast("double").alias("x"))
+    probs = [i / 2000 for i in range(2001)]
+    got = {r["p"]: r["q"] for r in OS.exact_quantiles(df, "x", probs, kind="disc", max_rows=500).collect()}
+    assert got == {p: float(max(1, int(np.ceil(p * 5000))) - 1) for p in probs}
+
+
+def test_nothing_stays_cached(spark, data):
+    _, df = data
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    OS.exact_quantiles(df, "x", [0.5], by=["g"], max_rows=50).collect()
+    OS.exact_column_quantiles(df, ["x", "g"], [0.5]).collect()
+    cond = OS.first_k_condition(spark.range(0, 500).withColumn("h", F.col("id") % 9), ["h", "id"], 50, max_rows=20)
+    assert cond is not None
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
