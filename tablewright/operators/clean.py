@@ -69,24 +69,24 @@ def token_vocabulary(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return df.select(F.explode(F.col(tokens)).alias("token")).distinct()
 
 
-def top_tokens(df: DataFrame, n: int, tokens: str = "tokens") -> list[str]:
-    """The ``n`` most frequent tokens (ties by token): a bounded vocabulary
-    for ``token_flags``. Only ``n`` strings reach the driver."""
-    rows = (df.select(F.explode(F.col(tokens)).alias("token"))
-            .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), F.asc("token")).limit(n).collect())
-    return [r["token"] for r in rows]
-
-
 def token_flags(df: DataFrame, vocabulary: list[str], tokens: str = "tokens",
                 keep: list[str] | None = None) -> DataFrame:
-    """One boolean column per vocabulary token: is it in the row's
-    array. The vocabulary must be bounded (see ``top_tokens``)."""
+    """P9 for a vocabulary that the caller knows: one boolean column per
+    token: is it in the row's array."""
     keep = keep if keep is not None else [c for c in df.columns if c != tokens]
     return df.select(*keep, *[F.array_contains(F.col(tokens), F.lit(t)).alias(t)
                               for t in vocabulary])
 
 
+def token_flags_sparse(df: DataFrame, keep: list[str], tokens: str = "tokens") -> DataFrame:
+    """P9 over the whole vocabulary, in sparse long form: ``keep``, ``token``,
+    ``present``: one row for every token that a row holds. A flag that is not
+    listed is false. No vocabulary reaches the driver and no column is made
+    per token, however many there are; a narrow transform."""
+    return (df.select(*keep, F.explode(F.array_distinct(tokens)).alias("token"))
+            .withColumn("present", F.lit(True)))
+
+
 # --- filters ---------------------------------------------------------------
 
 def drop_header_rows(df: DataFrame, column: str, header_value: str) -> DataFrame:
@@ -178,8 +178,9 @@ def iqr_fence(df: DataFrame, columns: list[str], k: float = 1.5,
 def median_label(df: DataFrame, column: str, out: str = "label",
                  drop_source: bool = False) -> DataFrame:
     """P10: 1 where the value is strictly above the exact (interpolated)
-    median, else 0; rows on the median get 0."""
-    med = column_quantiles(df, [column], [0.5]).collect()[0]["q"]
-    lab = F.when(F.col(column) > F.lit(med), F.lit(1)).otherwise(F.lit(0))
+    median, else 0; rows on the median get 0, a null value no label."""
+    q = column_quantiles(df, [column], [0.5]).collect()
+    med = F.lit(q[0]["q"] if q else None).cast("double")
+    lab = F.when(F.col(column) > med, F.lit(1)).when(F.col(column).isNotNull(), F.lit(0))
     res = df.withColumn(out, lab.cast("int"))
     return res.drop(column) if drop_source else res

@@ -114,10 +114,8 @@ def kmeans_elbow(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1
     variance explained, 100 * (TSS - WSS) / TSS. k = 1 is the TSS itself
     (Spark's k-means needs k >= 2). The feature frame is persisted for the
     loop of fits and released after."""
-    feats = assemble(df.select(*columns).na.drop(), columns).select("features")
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tss = total_sum_squares(df.select(*columns).na.drop(), columns)
+    with held(assemble(df.select(*columns).na.drop(), columns)) as feats:
+        tss = total_sum_squares(feats, columns)
         rows = []
         for k in ks:
             if k == 1:
@@ -127,8 +125,6 @@ def kmeans_elbow(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1
                 wss = float(model.summary.trainingCost)
             r2 = None if tss == 0 else 100.0 * (tss - wss) / tss
             rows.append((int(k), wss, r2))
-    finally:
-        feats.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, wss double, r2_pct double")
 
 
@@ -169,28 +165,56 @@ def pca_explained(df: DataFrame, columns: list[str], k: int | None = None,
         rows, "component int, ratio double, cumulative double, eigenvalue double, singular_value double")
 
 
-def pca_biplot(df: DataFrame, columns: list[str], key: str, sample_fraction: float = 0.1,
+def _component_signs(pc) -> list[float]:
+    """One sign per component, so that the loading largest in size is positive;
+    of loadings equal in size (to 1e-9) the first column's decides, so rounding
+    in another partitioning cannot turn a component round."""
+    signs = []
+    for j in range(pc.shape[1]):
+        size = abs(pc[:, j])
+        first = next(i for i in range(len(size)) if size[i] >= size.max() - 1e-9)
+        signs.append(-1.0 if pc[first, j] < 0 else 1.0)
+    return signs
+
+
+def _pca_scored(df: DataFrame, columns: list[str], keep: list[str], k: int):
+    """(loadings with fixed signs, rows with ``keep`` and an array ``_s`` of
+    their ``k`` scores)."""
+    scaled = standardize(df.select(*keep, *columns).na.drop(subset=columns), columns, ddof=1, keep=keep)
+    feats = assemble(scaled, columns)
+    model = PCA(k=k, inputCol="features", outputCol="pcs").fit(feats)
+    pc = model.pc.toArray()
+    signs = _component_signs(pc)
+    arr = vector_to_array(F.col("pcs"))
+    rows = model.transform(feats).select(*keep, F.array(*[arr[j] * F.lit(signs[j]) for j in range(k)]).alias("_s"))
+    return pc * signs, rows
+
+
+def pca_scores(df: DataFrame, columns: list[str], keep: list[str], k: int | None = None,
+               digits: int = 4) -> DataFrame:
+    """The scores of all rows on the first ``k`` components, ``pc1``,
+    ``pc2``, ..., signs fixed. Rows with a null in ``columns`` have none."""
+    k = k or len(columns)
+    _, rows = _pca_scored(df, columns, keep, k)
+    return rows.select(*keep, *[F.round(F.col("_s")[j], digits).alias(f"pc{j + 1}") for j in range(k)])
+
+
+def pca_biplot(df: DataFrame, columns: list[str], key: list[str], sample_fraction: float = 0.1,
                seed: int = 1, digits: int = 4) -> DataFrame:
     """Data for a biplot of the first two components: the scores of a
     hash-sampled set of rows (``point``) and each variable's loadings scaled
     by the largest score on each axis (``arrow``), signs fixed."""
-    from tablewright.functions.columns import bucket100
-    scaled = standardize(df.select(key, *columns).na.drop(), columns, ddof=1, keep=[key])
-    feats = assemble(scaled, columns)
-    model = PCA(k=2, inputCol="features", outputCol="pcs").fit(feats)
-    pc = model.pc.toArray()
-    s = [(-1.0 if pc[:, j][abs(pc[:, j]).argmax()] < 0 else 1.0) for j in range(2)]
-    arr = vector_to_array(F.col("pcs"))
-    scores = model.transform(feats).select(
-        key, (arr[0] * F.lit(s[0])).alias("x"), (arr[1] * F.lit(s[1])).alias("y"))
-    mx = scores.agg(F.max("x").alias("mx"), F.max("y").alias("my")).collect()[0]
-    spark = df.sparkSession
-    arrows = spark.createDataFrame(
-        [("arrow", c, round(float(pc[i, 0] * s[0] * mx["mx"]), digits),
-          round(float(pc[i, 1] * s[1] * mx["my"]), digits)) for i, c in enumerate(columns)],
-        "kind string, name string, x double, y double")
-    pts = (scores.filter(bucket100(seed, key) < int(round(sample_fraction * 100)))
-           .select(F.lit("point").alias("kind"), F.col(key).cast("string").alias("name"),
+    from tablewright.operators.sampling import bernoulli_sample
+    pc, rows = _pca_scored(df, columns, key, 2)
+    scores = rows.select(*key, F.col("_s")[0].alias("x"), F.col("_s")[1].alias("y"))
+    with held(scores) as scores:
+        mx = scores.agg(F.max("x").alias("mx"), F.max("y").alias("my")).collect()[0]
+        arrows = df.sparkSession.createDataFrame(
+            [("arrow", c, round(float(pc[i, 0] * mx["mx"]), digits),
+              round(float(pc[i, 1] * mx["my"]), digits)) for i, c in enumerate(columns)],
+            "kind string, name string, x double, y double")
+    pts = (bernoulli_sample(scores, key, sample_fraction, seed)
+           .select(F.lit("point").alias("kind"), F.concat_ws("-", *key).alias("name"),
                    F.round("x", digits).alias("x"), F.round("y", digits).alias("y")))
     return arrows.unionByName(pts)
 
@@ -290,14 +314,11 @@ def predict_probability(model, df: DataFrame, features: list[str],
 def regularization_sweep(train: DataFrame, valid: DataFrame, features: list[str],
                          label: str, regs: list[float], elastic: float = 0.0) -> DataFrame:
     """Fit on the training part for each regularisation strength and
-    score the validation part (RMSE, R2). Both parts are persisted for the
-    loop and released after it."""
-    tr = assemble(train.select(label, *features).na.drop(), features).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    va = assemble(valid.select(label, *features).na.drop(), features).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    score the validation part (RMSE, R2). Both parts are held for the loop
+    and released after it."""
     rows = []
-    try:
+    with (held(assemble(train.select(label, *features).na.drop(), features)) as tr,
+          held(assemble(valid.select(label, *features).na.drop(), features)) as va):
         for r in regs:
             m = LinearRegression(featuresCol="features", labelCol=label, regParam=r,
                                  elasticNetParam=elastic, solver="auto").fit(tr)
@@ -306,10 +327,25 @@ def regularization_sweep(train: DataFrame, valid: DataFrame, features: list[str]
             st = p.agg(F.sqrt(F.avg((y - q) * (y - q))).alias("rmse"),
                        (F.lit(1.0) - ratio(F.sum((y - q) * (y - q)),
                                            F.var_pop(y) * F.count(F.lit(1)))).alias("r2")).collect()[0]
-            rows.append((float(r), round(float(st["rmse"]), 4),
+            rows.append((float(r), None if st["rmse"] is None else round(float(st["rmse"]), 4),
                          None if st["r2"] is None else round(float(st["r2"]), 6)))
-    finally:
-        tr.unpersist()
-        va.unpersist()
     return train.sparkSession.createDataFrame(
         rows, "reg_param double, rmse double, r2 double")
+
+
+def logistic_sweep(train: DataFrame, valid: DataFrame, features: list[str], label: str,
+                   regs: list[float], max_iter: int = 100) -> DataFrame:
+    """L21 for logistic regression: fit on the training part for each strength,
+    area under the ROC curve on the validation part."""
+    from pyspark.ml.classification import LogisticRegression
+    from tablewright.operators.metrics import roc_auc
+    rows = []
+    with (held(assemble(train.select(label, *features).na.drop(), features)) as tr,
+          held(valid.select(label, *features).na.drop()) as va):
+        for r in regs:
+            m = LogisticRegression(featuresCol="features", labelCol=label, regParam=r,
+                                   maxIter=max_iter).fit(tr)
+            auc = roc_auc(predict_probability(m, va, features, "p1"), label, "p1").collect()[0]
+            rows.append((float(r), auc["n_pos"], auc["n_neg"], auc["auc"]))
+    return train.sparkSession.createDataFrame(
+        rows, "reg_param double, n_pos bigint, n_neg bigint, auc double")

@@ -2,27 +2,35 @@
 
 The physical join is left to Spark: with AQE on, a side that turns out
 small at run time (the 5-row top-k, a per-group table) is broadcast, a big
-one is sort-merge joined and a skewed partition is split. An explicit
-``broadcast`` is only put on sides whose row count is bounded by the query
-itself (a ``limit``).
+one is sort-merge joined and a skewed partition is split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.operators.order_stats import exact_quantiles
 from tablewright.operators.stats import APPROX_ACCURACY, group_counts
 
-TOP_K_BROADCAST = 10_000   # a limit(k) side up to this many rows is broadcast
-
 
 def ranked_group_counts(df: DataFrame, by: str, name: str = "count") -> DataFrame:
     """Rows per group, largest first (ties by name)."""
     return group_counts(df, by, name).orderBy(F.desc(name), F.asc(by))
 
 
+def group_ranks(df: DataFrame, by: str, column: str) -> DataFrame:
+    """T1/T2/A10 with the order as columns: each group's place by name, by
+    count (largest first) and by sample variance (largest first, none last),
+    ties by name. The windows run over one row per group."""
+    per = df.groupBy(by).agg(F.count(F.lit(1)).alias("count"),
+                             F.round(F.var_samp(column), 2).alias("variance"))
+    place = lambda *order: F.row_number().over(Window.orderBy(*order)).cast("bigint")
+    return per.select(by, "count", "variance", place(F.asc(by)).alias("by_name"),
+                      place(F.desc("count"), F.asc(by)).alias("by_count"),
+                      place(F.desc_nulls_last("variance"), F.asc(by)).alias("by_variance"))
+
+
 def top_groups(df: DataFrame, by: str, k: int, name: str = "num_cases") -> DataFrame:
     """The ``k`` groups with most rows, ties at the cut by name. A top-k
     over the per-group table (``TakeOrderedAndProject``)."""
@@ -68,11 +76,9 @@ def join_on_condition(a: DataFrame, b: DataFrame, key: str, suffix: str = "_r")
 def top_groups_join_above_median(df: DataFrame, by: str, column: str, k: int = 5,
                                  accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """J5 in DataFrame form: the ``k`` largest groups joined to the rows
-    whose value is above the approximate median. The top-k side has at most
-    ``k`` rows, so it is broadcast and the big side is never shuffled."""
+    whose value is above the approximate median. Adaptive execution sees how
+    small the top-k side is and broadcasts it."""
     top = top_groups(df, by, k)
-    if k <= TOP_K_BROADCAST:
-        top = F.broadcast(top)
     med = df.agg(F.percentile_approx(column, F.lit(0.5), accuracy).alias("_m")).collect()[0]["_m"]
     rows = df.filter(F.col(column) > F.lit(med)).select(by, column)
     return rows.join(top, [by], "inner").select(by, "num_cases", column)

@@ -5,7 +5,7 @@ on its key only, not on partitioning or on how many tasks ran, so a rerun
 after a lost executor gives the same rows. Exact sizes (an exact 10 %
 sample, a cut at exactly 60 % / 80 %) are reached without a global sort:
 the cut hash is found by ``order_stats.first_k_condition`` and rows are
-then kept by comparison.
+then kept by comparison. Nothing here depends on Spark's own sampler.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import bucket100, hash60
-from tablewright.operators.order_stats import first_k_condition, first_k_conditions
+from tablewright.operators.order_stats import (
+    first_k_condition, first_k_conditions, select_ranks)
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float | None, seed: int,
@@ -28,12 +29,28 @@ def hash_sample(df: DataFrame, key: str, fraction: float | None, seed: int,
     return h.filter(first_k_condition(h, ["_tw_h", key], k, n=n)).drop("_tw_h")
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int,
-                     with_replacement: bool = False) -> DataFrame:
-    """M2/M3: Spark's own sample: each row kept with probability
-    ``fraction`` (or drawn a Poisson number of times with replacement).
-    The size varies and the rows depend on partitioning."""
-    return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
+def bernoulli_sample(df: DataFrame, key: str | list[str], fraction: float, seed: int) -> DataFrame:
+    """M2: each row kept with probability ``fraction``: its seeded 60-bit hash
+    is below that share of all hashes. The size varies; which rows does not
+    depend on partitioning, unlike ``DataFrame.sample``. A narrow filter."""
+    keys = [key] if isinstance(key, str) else key
+    return df.filter(hash60(seed, *keys) < F.lit(int(fraction * (1 << 60))))
+
+
+def draw_with_replacement(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """M3 with replacement: exactly ``size`` draws, numbered ``draw`` from 0:
+    draw i takes the row whose ``key`` (numeric, unique) has rank
+    ``hash(seed, i) mod n + 1``. The wanted ranks are found by
+    ``select_ranks``, and their rows by a join with at most ``size`` keys."""
+    n = df.count()
+    if not n:
+        return df.withColumn("draw", F.lit(0).cast("bigint")).limit(0)
+    draws = df.sparkSession.range(size).select(
+        F.col("id").alias("draw"), (hash60(seed, F.col("id")) % n + 1).alias("rank"))
+    ranks = draws.select("rank").distinct().select(
+        F.col("rank").cast("bigint").alias("tid"), "rank", F.lit(n).cast("bigint").alias("n"))
+    found = select_ranks(df.select(key), key, ranks).select("rank", key)
+    return df.join(draws.join(found, "rank"), key).drop("rank")
 
 
 def split_exact(df: DataFrame, key: str, seed: int, cuts=(0.6, 0.8),
@@ -58,13 +75,14 @@ def split_bucket(df: DataFrame, keys: list[str], seed: int, weights=(60, 20, 20)
     return df.withColumn(out, part)
 
 
-def split_random(df: DataFrame, weights=(0.6, 0.2, 0.2), seed: int = 100,
+def split_random(df: DataFrame, keys: list[str], weights=(0.6, 0.2, 0.2), seed: int = 100,
                  labels=("train", "validation", "test"), out: str = "part") -> DataFrame:
-    """M5: Spark's ``randomSplit`` (sorted within partitions, then sampled),
-    the parts put back together with a label column."""
-    parts = df.randomSplit(list(weights), seed=seed)
-    res = None
-    for lab, p in zip(labels, parts):
-        p = p.withColumn(out, F.lit(lab))
-        res = p if res is None else res.unionByName(p)
-    return res
+    """M5: parts of about the given weights from one hashed label column: one
+    scan, no sort, and the same parts on every run (``randomSplit`` scans and
+    sorts once per part)."""
+    h = hash60(seed, *keys)
+    part, upto = F.lit(labels[-1]), 1.0
+    for label, w in reversed(list(zip(labels[:-1], weights[:-1]))):
+        upto = sum(weights[:labels.index(label) + 1]) / sum(weights)
+        part = F.when(h < F.lit(int(upto * (1 << 60))), F.lit(label)).otherwise(part)
+    return df.withColumn(out, part)

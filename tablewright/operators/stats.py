@@ -10,15 +10,16 @@ column in one task); ``percentile_approx`` keeps its bounded sketch.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.columns import ratio, safe_corr
 from tablewright.operators.clean import unpivot_numeric
 from tablewright.operators.order_stats import exact_column_quantiles, exact_quantiles
 
-APPROX_ACCURACY = 1_000_000
+APPROX_ACCURACY = 10_000   # Spark's default: rank error at most n / 10,000, a small sketch
 
 
 # --- shape -------------------------------------------------------------------
@@ -134,33 +135,46 @@ def describe_columns(df: DataFrame, columns: list[str], digits: int = 4) -> Data
 
 
 def _quantile_columns(df: DataFrame, columns: list[str], probs: list[float],
-                      names: list[str], digits: int, counts: dict | None = None) -> DataFrame:
-    q = exact_column_quantiles(df, columns, probs, counts=counts)
+                      names: list[str], digits: int) -> DataFrame:
+    q = exact_column_quantiles(df, columns, probs)
     return q.groupBy("column").agg(*[
         F.round(F.max(F.when(F.col("p") == F.lit(p), F.col("q"))), digits).alias(n)
         for p, n in zip(probs, names)])
 
 
 def summary_quartiles(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
-    """``describe`` plus exact interpolated quartiles. The describe
-    table (one row per column) is kept after its first run; its counts tell
-    the quantile step which path to take, so there is no separate count
-    pass."""
-    base = describe_columns(df, columns, digits).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = {r["column"]: r["count"] for r in base.select("column", "count").collect()}
-    qs = _quantile_columns(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], digits,
-                           counts)
-    return base.join(qs, "column", "inner")
+    """``describe`` plus exact interpolated quartiles."""
+    qs = _quantile_columns(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], digits)
+    return describe_columns(df, columns, digits).join(qs, "column", "inner")
 
 
 def column_profile(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     """Per column min, max, mean and exact median."""
     base = column_stats(df, columns, {
-        "n": F.count, "min": F.min, "max": F.max,
-        "mean": lambda x: F.round(F.avg(x), digits)}).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = {r["column"]: r["n"] for r in base.select("column", "n").collect()}
-    med = _quantile_columns(df, columns, [0.5], ["median"], digits, counts)
-    return base.join(med, "column", "inner").drop("n")
+        "min": F.min, "max": F.max, "mean": lambda x: F.round(F.avg(x), digits)})
+    return base.join(_quantile_columns(df, columns, [0.5], ["median"], digits), "column", "inner")
+
+
+def describe_mixed(df: DataFrame, columns: list[str] | None = None,
+                   digits: int = 4) -> DataFrame:
+    """A12 on columns of any type, as ``DataFrame.describe`` prints them: count
+    of non-null values, mean and sample sd (null for text), smallest and
+    largest value as text (text compares by code point)."""
+    columns = columns or df.columns
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    aggs = []
+    for i, c in enumerate(columns):
+        num = c in numeric
+        x = F.col(c).cast("double") if num else F.lit(None).cast("double")
+        v = F.col(c).cast("double") if num else F.col(c).cast("string")
+        aggs += [F.count(c).alias(f"_n{i}"), F.round(F.avg(x), digits).alias(f"_m{i}"),
+                 F.round(F.stddev_samp(x), digits).alias(f"_s{i}"),
+                 F.min(v).cast("string").alias(f"_a{i}"), F.max(v).cast("string").alias(f"_z{i}")]
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("count"),
+                     F.col(f"_m{i}").alias("mean"), F.col(f"_s{i}").alias("stddev"),
+                     F.col(f"_a{i}").alias("min"), F.col(f"_z{i}").alias("max"))
+            for i, c in enumerate(columns)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def summary_selected(df: DataFrame, columns: list[str], statistics: list[str],
@@ -217,26 +231,27 @@ def histogram_equal_width(df: DataFrame, column: str, bins: int) -> DataFrame:
     frame = spark.range(nb).select(F.col("id").cast("int").alias("bin"))
     frame = frame.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
                          (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"))
-    return (frame.join(F.broadcast(counts) if nb <= 100_000 else counts, "bin", "left")
+    return (frame.join(counts, "bin", "left")
             .select("bin", F.round("bin_start", 6).alias("bin_start"),
                     F.round("bin_end", 6).alias("bin_end"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
 def histogram_fixed_width(df: DataFrame, column: str, width: float) -> DataFrame:
-    """A17, fixed bin width: bin = floor(x / width); every bin between the
-    lowest and highest occupied one is listed, empty ones with 0."""
+    """A17, fixed bin width: bin = floor(x / width). Every occupied bin is a
+    row with its count; a run of empty bins between two of them is one row
+    (``bins`` of them, count 0), so two far values do not list millions of
+    empty bins. The window runs over the occupied bins, not the rows."""
     x = F.col(column).cast("double")
     counts = (df.filter(x.isNotNull()).select(F.floor(x / F.lit(width)).cast("bigint").alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
-    mm = counts.agg(F.min("bin").alias("a"), F.max("bin").alias("b")).collect()[0]
-    spark = df.sparkSession
-    if mm["a"] is None:
-        return spark.createDataFrame([], "bin bigint, bin_start double, n bigint")
-    frame = spark.range(mm["a"], mm["b"] + 1).select(F.col("id").alias("bin"))
-    return (frame.join(counts, "bin", "left")
-            .select("bin", F.round(F.col("bin") * F.lit(width), 6).alias("bin_start"),
-                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
+    ahead = F.lead("bin").over(Window.orderBy("bin"))
+    one = F.lit(1).cast("bigint")
+    rows = counts.withColumn("_next", ahead).select(F.inline(F.filter(F.array(
+        F.struct(F.col("bin"), one.alias("bins"), F.col("n")),
+        F.struct((F.col("bin") + 1).alias("bin"), (F.col("_next") - F.col("bin") - 1).alias("bins"),
+                 F.lit(0).cast("bigint").alias("n"))), lambda r: r["bins"] > 0)))
+    return rows.select("bin", "bins", F.round(F.col("bin") * F.lit(width), 6).alias("bin_start"), "n")
 
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]], digits: int = 4) -> DataFrame:
@@ -265,7 +280,8 @@ def contingency(df: DataFrame, a: str, b: str, levels_a: list | None = None,
 
 
 def shares(counts: DataFrame, n: str = "n", digits: int = 1) -> DataFrame:
-    """Each count as a percentage of the total, rounded. The total is
-    one number (an aggregate over the count table) used as a literal."""
-    total = counts.agg(F.sum(n)).collect()[0][0]
-    return counts.withColumn("pct", F.round(ratio(F.col(n) * 100.0, F.lit(total)), digits))
+    """Each count as a percentage of the total, rounded. The total is a
+    one-row aggregate over the small count table, in the same plan."""
+    total = F.sum(n).over(Window.partitionBy(F.lit(0)))
+    return (counts.withColumn("_total", total)
+            .withColumn("pct", F.round(ratio(F.col(n) * 100.0, F.col("_total")), digits)).drop("_total"))

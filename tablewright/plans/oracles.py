@@ -105,7 +105,8 @@ ORACLES: dict[str, str] = {
         SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, CAST(c_nationkey AS DOUBLE) AS c_nationkey,
                CAST(c_acctbal AS DOUBLE) AS c_acctbal FROM customer""",
     "csv_scan_strings": """
-        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer""",
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+               CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
     "table_shape": f"""
         WITH {CASES.strip()}
         SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols FROM clean""",
@@ -140,12 +141,8 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT unnest(string_split(concat_ws(chr(9), c_name, c_mktsegment,
                CAST(c_nationkey AS VARCHAR)), chr(9))) AS token FROM customer""",
     "token_one_hot": """
-        WITH t AS (SELECT c_custkey, string_split(concat_ws(chr(9), c_name, c_mktsegment,
-                   CAST(c_nationkey AS VARCHAR)), chr(9)) AS tokens FROM customer),
-        v AS (SELECT token FROM (SELECT unnest(tokens) AS token FROM t)
-              GROUP BY token ORDER BY count(*) DESC, token ASC LIMIT 5)
-        SELECT t.c_custkey, v.token, list_contains(t.tokens, v.token) AS present
-        FROM t CROSS JOIN v""",
+        SELECT DISTINCT c_custkey, unnest(string_split(concat_ws(chr(9), c_name, c_mktsegment,
+               CAST(c_nationkey AS VARCHAR)), chr(9))) AS token, true AS present FROM customer""",
     "distinct_counts": f"""
         WITH {CASES.strip()}
         SELECT count(DISTINCT comparison) AS comparison, count(DISTINCT hospital) AS hospital,
@@ -205,10 +202,10 @@ ORACLES: dict[str, str] = {
     "histogram_fixed_width": """
         WITH c AS (SELECT CAST(floor(value / 25.0) AS BIGINT) AS bin, count(*) AS n
                    FROM events GROUP BY 1),
-        r AS (SELECT generate_series AS bin
-              FROM generate_series((SELECT min(bin) FROM c), (SELECT max(bin) FROM c)))
-        SELECT r.bin, round(r.bin * CAST(25.0 AS DOUBLE), 6) AS bin_start, coalesce(c.n, 0) AS n
-        FROM r LEFT JOIN c ON r.bin = c.bin""",
+        w AS (SELECT *, lead(bin) OVER (ORDER BY bin) AS nxt FROM c)
+        SELECT bin, CAST(1 AS BIGINT) AS bins, round(bin * CAST(25.0 AS DOUBLE), 6) AS bin_start, n FROM w
+        UNION ALL
+        SELECT bin + 1, nxt - bin - 1, round((bin + 1) * CAST(25.0 AS DOUBLE), 6), 0 FROM w WHERE nxt > bin + 1""",
     "column_correlations": f"""
         WITH {TRIPS.strip()}
         SELECT 'fare' AS col_a, 'l_quantity' AS col_b, round(corr(fare, l_quantity), 4) AS corr FROM trips
@@ -284,9 +281,8 @@ ORACLES: dict[str, str] = {
     "standardize_samp": _standardize("stddev_samp"),
     "standardize_pop": _standardize("stddev_pop"),
     "kmeans_fit": """
-        SELECT x, count(*) AS size
-        FROM (SELECT CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS DOUBLE) AS x FROM events)
-        GROUP BY x""",
+        WITH d AS (SELECT event_type = 'error' AS e, value + CASE WHEN event_type = 'error' THEN 1000 ELSE 0 END AS z FROM events)
+        SELECT round(avg(z), 3) AS z, count(*) AS size FROM d GROUP BY e""",
     "cluster_profile": """
         WITH d AS (SELECT value, CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS DOUBLE) AS x
                    FROM events)
@@ -364,3 +360,163 @@ ORACLES: dict[str, str] = {
                round((rs - CAST(n_pos AS DOUBLE) * (n_pos + 1) / 2) / (CAST(n_pos AS DOUBLE) * n_neg), 6)
                AS auc FROM c""",
 }
+
+
+def _split(key_exprs: str, seed: int = 7000) -> str:
+    """Hash bucket of a split, as ``_hash60`` over several keys."""
+    return (f"CAST(('0x' || substr(md5(concat_ws(':', '{seed}', {key_exprs})), 1, 15))::BIGINT % 100 AS INTEGER)")
+
+
+_TRIP_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_TRIP_PARTS = f"""{TRIPS.strip()},
+parts AS (SELECT *, {_split(_TRIP_KEYS)} AS b FROM trips),
+train AS (SELECT * FROM parts WHERE b < 60),
+valid AS (SELECT * FROM parts WHERE b >= 80)"""
+
+_METRICS = """
+SELECT count(*) AS n, round(avg((y - p) * (y - p)), 2) AS mse, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+       round(avg(abs(y - p)), 4) AS mae, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
+       round(corr(y, p) * corr(y, p), 6) AS r2_corr
+FROM scored"""
+
+_FENCED = """
+base AS (SELECT event_id, event_type, value, ln(value) AS log_value FROM events),
+q AS (SELECT quantile_cont(value, 0.25) AS a1, quantile_cont(value, 0.75) AS a3,
+             quantile_cont(log_value, 0.25) AS b1, quantile_cont(log_value, 0.75) AS b3 FROM base),
+fenced AS (
+  SELECT base.* FROM base, q
+  WHERE value >= a1 - 1.5 * (a3 - a1) AND value <= a3 + 1.5 * (a3 - a1)
+    AND log_value >= b1 - 1.5 * (b3 - b1) AND log_value <= b3 + 1.5 * (b3 - b1))"""
+
+# Two standardised columns: components (1, s)/sqrt2 and (1, -s)/sqrt2, s the
+# sign of the correlation; equal loadings are positive on the first column.
+_PCA2 = f"""
+{TRIPS.strip()},
+m AS (SELECT avg(fare) AS m1, stddev_samp(fare) AS s1, avg(l_quantity) AS m2, stddev_samp(l_quantity) AS s2,
+             CASE WHEN corr(fare, l_quantity) < 0 THEN -1.0 ELSE 1.0 END AS s FROM trips),
+scores AS (
+  SELECT t.*, ((fare - m1) / s1 + s * (l_quantity - m2) / s2) / sqrt(2.0) AS x,
+         ((fare - m1) / s1 - s * (l_quantity - m2) / s2) / sqrt(2.0) AS y
+  FROM trips t, m)"""
+
+_FLAG_PARTS = f"""
+med AS (SELECT median(value) AS med FROM events),
+d AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS x,
+             CASE WHEN value > med THEN 1 ELSE 0 END AS y, {_split('event_id')} AS b FROM events, med),
+fit AS (SELECT x, avg(y) AS p FROM d WHERE b < 60 GROUP BY x),
+test AS (SELECT d.y, fit.p FROM d JOIN fit USING (x) WHERE d.b >= 60 AND d.b < 80),
+auc AS (
+  SELECT sum(a.n * b.n * CASE WHEN a.p > b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0.0 END)
+         / (max(a.t) * max(b.t)) AS auc, CAST(max(a.t) AS BIGINT) AS n_pos, CAST(max(b.t) AS BIGINT) AS n_neg
+  FROM (SELECT p, count(*) AS n, sum(count(*)) OVER () AS t FROM test WHERE y = 1 GROUP BY p) a,
+       (SELECT p, count(*) AS n, sum(count(*)) OVER () AS t FROM test WHERE y = 0 GROUP BY p) b)"""
+
+
+ORACLES |= {
+    "sparse_fields": """
+        SELECT s_name AS hospital, n_name || '-' || CAST(s_suppkey % 7 AS VARCHAR) AS city, n_name AS state,
+               p_type AS measure_name, p_brand AS measure_id, l_returnflag AS comparison,
+               CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS score
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+        JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'N'""",
+    "numeric_text_cast": """
+        SELECT c_custkey, CAST(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(10,0)) AS DOUBLE) AS as_numeric,
+               c_acctbal AS as_double FROM customer""",
+    "trip_medians": f"""
+        WITH {TRIPS.strip()}
+        SELECT round(avg(fare), 4) AS mean_fare, quantile_disc(fare, 0.5) AS median_exact,
+               round(quantile_cont(fare, 0.5), 6) AS median_interp, true AS approx_within_bound FROM trips""",
+    "quantiles_in_rounds": f"WITH {TRIPS.strip()}\n" + _union([
+        f"SELECT '{c}' AS column, CAST({p} AS DOUBLE) AS p, round(quantile_cont({c}, {p}), 6) AS cont, "
+        f"round(quantile_disc({c}, {p}), 6) AS disc FROM trips"
+        for c in TRIP_COLUMNS for p in (0.05, 0.25, 0.5, 0.75, 0.95)]),
+    "state_ranking": f"""
+        WITH {CASES.strip()},
+        g AS (SELECT state, count(*) AS count, round(var_samp(score), 2) AS variance FROM clean GROUP BY state)
+        SELECT state, count, variance, row_number() OVER (ORDER BY state) AS by_name,
+               row_number() OVER (ORDER BY count DESC, state) AS by_count,
+               row_number() OVER (ORDER BY variance DESC NULLS LAST, state) AS by_variance FROM g""",
+    "describe_mixed": f"WITH {CASES.strip()}\n" + _union([
+        f"SELECT '{c}' AS column, count({c}) AS count, CAST(NULL AS DOUBLE) AS mean, "
+        f"CAST(NULL AS DOUBLE) AS stddev, min({c}) AS min, max({c}) AS max FROM clean"
+        for c in ("hospital", "state", "measure_name", "measure_id", "comparison")] + [
+        "SELECT 'score', count(score), round(avg(score), 4), round(stddev_samp(score), 4), "
+        "CAST(min(score) AS VARCHAR), CAST(max(score) AS VARCHAR) FROM clean"]),
+    "outlier_fence_columns": f"""
+        WITH {_FENCED.strip()}
+        SELECT event_id, value, round(log_value, 6) AS log_value FROM fenced""",
+    "bernoulli_sample": f"""
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+        WHERE {_hash60(1000, 'o_orderkey')} < {int(0.1 * (1 << 60))}""",
+    "sample_with_replacement": f"""
+        WITH r AS (SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS rk FROM orders),
+        d AS (SELECT range AS draw, {_hash60(5, 'range')} % (SELECT count(*) FROM orders) + 1 AS rk FROM range(1000))
+        SELECT o_orderkey, o_custkey, o_totalprice, draw FROM d JOIN r USING (rk)""",
+    "split_random": f"""
+        WITH s AS (SELECT o_orderkey, {_hash60(100, 'o_orderkey')} AS h FROM orders)
+        SELECT o_orderkey, CASE WHEN h < {int(0.6 * (1 << 60))} THEN 'train'
+                                WHEN h < {int((0.6 + 0.2) / (0.6 + 0.2 + 0.2) * (1 << 60))} THEN 'validation'
+                                ELSE 'test' END AS part FROM s""",
+    "kmeans_two": """
+        WITH d AS (SELECT event_type = 'error' AS e, value + CASE WHEN event_type = 'error' THEN 1000 ELSE 0 END AS z FROM events),
+        t AS (SELECT var_pop(z) * count(*) AS tss FROM d),
+        w AS (SELECT sum(v) AS wss FROM (SELECT var_pop(z) * count(*) AS v FROM d GROUP BY e))
+        SELECT 1 AS k, round(tss, 1) AS wss, CAST(0 AS DOUBLE) AS r2_pct FROM t
+        UNION ALL SELECT 2, round(wss, 1), round(100 * (tss - wss) / tss, 6) FROM t, w""",
+    "pca_identities": f"WITH {TRIPS.strip()}\nSELECT CAST(4 AS DOUBLE) AS trace, round(4 + 2 * (" + " + ".join(
+        f"corr({a}, {b}) ** 2" for i, a in enumerate(TRIP_COLUMNS[1:]) for b in TRIP_COLUMNS[i + 2:])
+        + "), 6) AS squares, CAST(1 AS DOUBLE) AS cumulative FROM trips",
+    "pca_scores": f"""
+        WITH {_PCA2.strip()}
+        SELECT {_TRIP_KEYS}, round(x, 4) + 0.0 AS pc1, round(y, 4) + 0.0 AS pc2 FROM scores""",
+    "pca_biplot": f"""
+        WITH {_PCA2.strip()},
+        mx AS (SELECT max(x) AS mx, max(y) AS my FROM scores)
+        SELECT 'arrow' AS kind, 'fare' AS name, round(mx / sqrt(2.0), 4) AS x, round(my / sqrt(2.0), 4) AS y FROM mx
+        UNION ALL SELECT 'arrow', 'l_quantity', round(s * mx / sqrt(2.0), 4), round(-s * my / sqrt(2.0), 4) FROM mx, m
+        UNION ALL SELECT 'point', concat_ws('-', {_TRIP_KEYS}), round(x, 4) + 0.0, round(y, 4) + 0.0 FROM scores
+        WHERE ('0x' || substr(md5(concat_ws(':', '1', {_TRIP_KEYS})), 1, 15))::BIGINT < {int(0.1 * (1 << 60))}""",
+    "linreg_significance": _LINREG + """
+        SELECT 'l_quantity' AS term, round(b1 / sqrt(v1), 4) AS t_value, abs(b1 / sqrt(v1)) > 2.5759 AS significant FROM w
+        UNION ALL SELECT 'l_discount', round(b2 / sqrt(v2), 4), abs(b2 / sqrt(v2)) > 2.5759 FROM w
+        UNION ALL SELECT '(intercept)', round(b0 / sqrt(v0), 4), abs(b0 / sqrt(v0)) > 2.5759 FROM w""",
+    "linreg_validation": f"""
+        WITH {_TRIP_PARTS.strip()},
+        m AS (SELECT avg(fare) AS my, avg(l_quantity) AS m1, avg(l_discount) AS m2,
+                     covar_pop(l_quantity, l_quantity) AS s11, covar_pop(l_discount, l_discount) AS s22,
+                     covar_pop(l_quantity, l_discount) AS s12, covar_pop(l_quantity, fare) AS s1y,
+                     covar_pop(l_discount, fare) AS s2y FROM train),
+        c AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+                     (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM m),
+        scored AS (SELECT fare AS y, my + b1 * (l_quantity - m1) + b2 * (l_discount - m2) AS p FROM valid, c)
+        {_METRICS}""",
+    "fenced_linreg": f"""
+        WITH {_FENCED.strip()},
+        mo AS (SELECT avg(value) AS m, stddev_samp(value) AS s FROM fenced),
+        z AS (SELECT (value - m) / s AS y, event_type = 'error' AS e, {_split('event_id')} AS b FROM fenced, mo),
+        g AS (SELECT e, avg(y) AS p FROM z WHERE b < 60 GROUP BY e),
+        scored AS (SELECT z.y, g.p FROM z JOIN g USING (e) WHERE z.b >= 80)
+        {_METRICS}""",
+    "logit_validation_flag": f"""
+        WITH {_FLAG_PARTS.strip()},
+        c AS (SELECT count(*) AS n, count_if(y = 1 AND p > 0.5) AS tp, count_if(y = 0 AND p <= 0.5) AS tn,
+                     count_if(y = 0 AND p > 0.5) AS fp, count_if(y = 1 AND p <= 0.5) AS fn FROM test)
+        SELECT n, tp, tn, fp, fn, round((tp + tn) / n, 6) AS accuracy, round(tp / nullif(tp + fp, 0), 6) AS precision,
+               round(tp / nullif(tp + fn, 0), 6) AS recall, round(CAST(auc AS DOUBLE), 6) AS auc FROM c, auc""",
+    "logistic_sweep": f"""
+        WITH {_FLAG_PARTS.strip()}
+        SELECT CAST(r AS DOUBLE) AS reg_param, n_pos, n_neg, round(CAST(auc AS DOUBLE), 6) AS auc
+        FROM auc, (VALUES (0.0), (0.01), (0.1)) v(r)""",
+    # ridge on one feature: the solver works on columns divided by their sds,
+    # with the strength divided by the label's
+    "ridge_sweep": f"""
+        WITH {_TRIP_PARTS.strip()},
+        m AS (SELECT avg(fare) AS my, avg(l_quantity) AS mx, stddev_pop(fare) AS sy, stddev_pop(l_quantity) AS sx,
+                     corr(l_quantity, fare) AS r FROM train),
+        k AS (SELECT CAST(reg AS DOUBLE) AS reg, my, mx, r / (1 + reg / sy) * sy / sx AS slope
+              FROM m, (VALUES (0.0), (100.0), (10000.0)) v(reg)),
+        scored AS (SELECT reg, fare AS y, my + slope * (l_quantity - mx) AS p FROM valid, k)
+        SELECT reg AS reg_param, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+               round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+        FROM scored GROUP BY reg""",
+}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import rounded
+from tablewright.functions.columns import hash60, rounded, to_number
 from tablewright.operators import clean as C
 from tablewright.operators import metrics as MT
 from tablewright.operators import ml as ML
@@ -37,9 +37,21 @@ def text_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = C.rename_all(d, SI.CUSTOMER_FIELDS)
     d = C.drop_header_rows(d, "c_name", "c_name")
     d = C.drop_nulls(d, "any")
-    return d.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
-                    F.col("c_nationkey").try_cast("int").alias("c_nationkey"),
-                    F.col("c_acctbal").try_cast("double").alias("c_acctbal"), "c_mktsegment")
+    d = d.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
+                 F.col("c_nationkey").try_cast("int").alias("c_nationkey"),
+                 F.col("c_acctbal").try_cast("double").alias("c_acctbal"), "c_mktsegment")
+    return SRC.settle(d, path)
+
+
+def sparse_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields 1, 3, 4 and 8-11 of twelve, with
+    the city: the seven-column case table."""
+    path = SI.case_lines(spark, sf_dir)
+    d = C.split_fields(SRC.read_lines(spark, path), SI.CASE_FIELDS)
+    d = C.drop_nulls(C.drop_header_rows(d, "state", "state"), "any")
+    d = C.drop_sentinel(d, "comparison")
+    d = d.withColumn("score", to_number("score_text")).drop("score_text")
+    return SRC.settle(d, path)
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,13 +60,13 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = SI.customer_csv(spark, sf_dir)
     d = SRC.read_csv_doubles(spark, path, SI.CUSTOMER_FIELDS)
     d = C.keep_positions(d, [0, 2, 3])
-    return C.drop_nulls(d, "all")
+    return SRC.settle(C.drop_nulls(d, "all"), path)
 
 
 def csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV with header, no schema: every column a string."""
     path = SI.customer_csv(spark, sf_dir)
-    return SRC.read_csv(spark, path).select("c_custkey", "c_mktsegment")
+    return SRC.settle(SRC.read_csv(spark, path), path)
 
 
 def table_shape(spark, sf_dir):
@@ -88,6 +100,15 @@ def clean_cases_numeric(spark, sf_dir):
     return d.withColumn("score", F.col("score").cast("double"))
 
 
+def numeric_text_cast(spark, sf_dir):
+    """P6 on text with fractions: ``numeric`` (decimal(10,0)) rounds, double
+    does not."""
+    t = SRC.load_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_acctbal").cast("string").alias("text"))
+    return t.select("c_custkey", to_number("text", "decimal(10,0)").cast("double").alias("as_numeric"),
+                    to_number("text").alias("as_double"))
+
+
 def dropna_any(spark, sf_dir):
     """F2."""
     return C.drop_nulls(SI.values_with_nulls(spark, sf_dir), "any")
@@ -111,11 +132,8 @@ def token_vocabulary(spark, sf_dir):
 
 
 def token_one_hot(spark, sf_dir):
-    """P9 over the 5 most frequent tokens, then in long form."""
-    t = _customer_tokens(spark, sf_dir)
-    vocab = C.top_tokens(t, 5)
-    wide = C.token_flags(t, vocab, keep=["c_custkey"])
-    return wide.unpivot(["c_custkey"], vocab, "token", "present")
+    """P9 over the whole vocabulary, sparse: the flags that are true."""
+    return C.token_flags_sparse(_customer_tokens(spark, sf_dir), ["c_custkey"])
 
 
 # --- statistics ------------------------------------------------------------------
@@ -132,6 +150,41 @@ def global_mean_median(spark, sf_dir):
                     "median_approx", "median_interp")
 
 
+def trip_medians(spark, sf_dir):
+    """A4-A7 on the fare, where the exact data median and the interpolated one
+    differ; the approximate one (A6) by its promise: its rank is within
+    n / accuracy of the middle."""
+    t = SI.trips(spark, sf_dir).select("fare")
+    r = ST.mean_and_medians(t, "fare").collect()[0]
+    m, x = F.lit(r["median_approx"]), F.col("fare")
+    n, low, upto = F.count(F.lit(1)), F.count_if(x < m), F.count_if(x <= m)
+    slack = n / ST.APPROX_ACCURACY + 1
+    return t.agg(rounded(F.avg("fare")).alias("mean_fare"),
+                 F.lit(r["median_exact"]).alias("median_exact"),
+                 F.round(F.lit(r["median_interp"]), 6).alias("median_interp"),
+                 ((low - slack <= n / 2) & (upto + slack >= n / 2)).alias("approx_within_bound"))
+
+
+def quantiles_in_rounds(spark, sf_dir):
+    """A5, A7 on five columns with a bound of 500 rows, so that brackets are
+    narrowed in rounds: the path of a table too large to sort."""
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    cols = TRIP_COLUMNS
+    cont, disc = (ST.exact_column_quantiles(SI.trips(spark, sf_dir), cols, probs, kind=k, max_rows=500)
+                  .select("column", "p", F.round("q", 6).alias(k)) for k in ("cont", "disc"))
+    return cont.join(disc, ["column", "p"])
+
+
+def state_ranking(spark, sf_dir):
+    """Each state's place by name, by count and by variance."""
+    return R.group_ranks(_clean(spark, sf_dir), "state", "score")
+
+
+def describe_mixed(spark, sf_dir):
+    """A12 on the whole cleaned case table, text and numbers."""
+    return ST.describe_mixed(_clean(spark, sf_dir))
+
+
 def state_stats_by_name(spark, sf_dir):
     """Per state count, mean, median, variance, by name."""
     return ST.group_stats(_clean(spark, sf_dir), "state", "score").orderBy("state")
@@ -238,8 +291,7 @@ def join_condition(spark, sf_dir):
     """Top-5 states joined by condition to rows with score > 1, both
     keys kept (the right one renamed)."""
     d = _clean(spark, sf_dir)
-    top = F.broadcast(R.top_groups(d, "state", 5))
-    return R.join_on_condition(top, C.above(d, "score", 1).select("state", "score"), "state")
+    return R.join_on_condition(R.top_groups(d, "state", 5), C.above(d, "score", 1).select("state", "score"), "state")
 
 
 def top5_join_above_median(spark, sf_dir):
@@ -263,6 +315,17 @@ def outlier_fence_trips(spark, sf_dir):
     return C.iqr_fence(SI.trips(spark, sf_dir), TRIP_COLUMNS)
 
 
+def _value_and_log(spark, sf_dir):
+    return SI.values(spark, sf_dir).withColumn("log_value", F.ln(F.col("value")))
+
+
+def outlier_fence_columns(spark, sf_dir):
+    """F8, U1 on a skewed column and its logarithm, whose fences cut opposite
+    ends."""
+    d = C.iqr_fence(_value_and_log(spark, sf_dir), ["value", "log_value"])
+    return d.select("event_id", "value", F.round("log_value", 6).alias("log_value"))
+
+
 def median_binarize(spark, sf_dir):
     """P10: fare above its median -> 1, fare dropped."""
     return C.median_label(SI.trips(spark, sf_dir), "fare", "fare_high", drop_source=True)
@@ -285,13 +348,13 @@ def sample_1000(spark, sf_dir):
 
 
 def bernoulli_sample(spark, sf_dir):
-    """M2: about 1 % of the orders (Spark's sampler)."""
-    return SM.bernoulli_sample(_orders(spark, sf_dir), 0.01, 1000)
+    """M2: about 10 % of the orders, by hash."""
+    return SM.bernoulli_sample(_orders(spark, sf_dir), "o_orderkey", 0.1, 1000)
 
 
 def sample_with_replacement(spark, sf_dir):
-    """M3 with replacement: each order drawn a Poisson(0.01) number of times."""
-    return SM.bernoulli_sample(_orders(spark, sf_dir), 0.01, 1000, with_replacement=True)
+    """M3 with replacement: exactly 1000 numbered draws."""
+    return SM.draw_with_replacement(_orders(spark, sf_dir), "o_orderkey", 1000, 5)
 
 
 def split_exact(spark, sf_dir):
@@ -305,8 +368,9 @@ def split_bucket(spark, sf_dir):
 
 
 def split_random(spark, sf_dir):
-    """M5: Spark's randomSplit."""
-    return SM.split_random(_orders(spark, sf_dir), (0.6, 0.2, 0.2), 100).select("o_orderkey", "part")
+    """M5: about 60/20/20 from one hashed label column."""
+    return SM.split_random(_orders(spark, sf_dir), ["o_orderkey"], (0.6, 0.2, 0.2), 100).select(
+        "o_orderkey", "part")
 
 
 # --- models ------------------------------------------------------------------
@@ -333,9 +397,33 @@ def _error_flag(spark, sf_dir):
                      F.when(F.col("event_type") == "error", 1.0).otherwise(0.0).alias("x"))
 
 
+def _separated(spark, sf_dir):
+    """1000 x the error flag + value: two clouds far apart, so that the best two
+    clusters are known, but not one point each."""
+    return _error_flag(spark, sf_dir).withColumn("z", F.lit(1000.0) * F.col("x") + F.col("value"))
+
+
 def kmeans_fit(spark, sf_dir):
-    """k = 2 on a 0/1 feature: centres 0 and 1, sizes the counts."""
-    return ML.kmeans_centres(_error_flag(spark, sf_dir), ["x"], 2, seed=1)
+    """k = 2 on two separated clouds: centres are their means."""
+    return ML.kmeans_centres(_separated(spark, sf_dir), ["z"], 2, seed=1, digits=3)
+
+
+def kmeans_two(spark, sf_dir):
+    """L3, L4, U2 for k = 1 and 2 on the separated column: WSS and its share."""
+    d = ML.kmeans_elbow(_separated(spark, sf_dir), ["z"], [1, 2], seed=1)
+    return d.select("k", F.round("wss", 1).alias("wss"), F.round("r2_pct", 6).alias("r2_pct"))
+
+
+def cluster_sample(spark, sf_dir):
+    """K-means on the standardised features, labels attached to
+    the rows (k = 3), a 1000-row sample of them, and each cluster described on
+    the original variables."""
+    t = SI.trips(spark, sf_dir)
+    scaled = ML.standardize(t, SI.TRIP_FEATURES, ddof=1, keep=TRIP_KEYS + SI.TRIP_FEATURES, suffix="_z")
+    _, rows = ML.kmeans_fit(scaled, [f"{c}_z" for c in SI.TRIP_FEATURES], 3, seed=1)
+    rows = rows.withColumn("row", hash60(3, *TRIP_KEYS, "l_quantity"))
+    sample = SM.hash_sample(rows, "row", None, 3, size=1000)
+    return ML.cluster_profile(sample, "cluster", SI.TRIP_FEATURES)
 
 
 def _trip_features_scaled(spark, sf_dir):
@@ -356,9 +444,9 @@ def kmeans_r2(spark, sf_dir):
 
 def cluster_profile(spark, sf_dir):
     """K-means labels attached to rows, clusters described on the
-    original variable; each cluster named by its centre."""
-    d = _error_flag(spark, sf_dir)
-    model, labelled = ML.kmeans_fit(d, ["x"], 2, seed=1)
+    original variables; each cluster named by its mean flag."""
+    d = _separated(spark, sf_dir)
+    _, labelled = ML.kmeans_fit(d, ["z"], 2, seed=1)
     prof = ML.cluster_profile(labelled, "cluster", ["value", "x"])
     return prof.select(F.round("x_mean", 4).alias("x"), "n", "value_mean", "value_min", "value_max")
 
@@ -373,11 +461,28 @@ def pca_explained_all(spark, sf_dir):
     return ML.pca_explained(SI.trips(spark, sf_dir), SI.TRIP_FEATURES)
 
 
+def pca_identities(spark, sf_dir):
+    """L6, L7 on the four features by what must hold: the eigenvalues sum to
+    the trace, and their squares to the sum of squared correlations."""
+    d = ML.pca_explained(SI.trips(spark, sf_dir), SI.TRIP_FEATURES, digits=12)
+    e = F.col("eigenvalue")
+    return d.agg(F.round(F.sum(e), 6).alias("trace"), F.round(F.sum(e * e), 6).alias("squares"),
+                 F.round(F.max("cumulative"), 6).alias("cumulative"))
+
+
+def pca_scores(spark, sf_dir):
+    """Scores of all rows on two standardised columns."""
+    return ML.pca_scores(SI.trips(spark, sf_dir), ["fare", "l_quantity"], TRIP_KEYS)
+
+
 def pca_biplot(spark, sf_dir):
     """Scores of a 10 % hash sample and scaled loadings."""
-    return ML.pca_biplot(_orders(spark, sf_dir).select(
-        "o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey"), "o_totalprice"),
-        ["o_custkey", "o_totalprice"], "o_orderkey")
+    return ML.pca_biplot(SI.trips(spark, sf_dir), ["fare", "l_quantity"], TRIP_KEYS)
+
+
+def pca_biplot_all(spark, sf_dir):
+    """L8 on the four trip features."""
+    return ML.pca_biplot(SI.trips(spark, sf_dir), SI.TRIP_FEATURES, TRIP_KEYS, 0.05)
 
 
 def linreg_coefficients(spark, sf_dir):
@@ -393,6 +498,35 @@ def linreg_summary(spark, sf_dir):
     return ML.linreg_coefficients(SI.trips(spark, sf_dir), SI.TRIP_FEATURES, "fare")
 
 
+def linreg_significance(spark, sf_dir):
+    """T and, from its p value, whether a term is significant at 1 %."""
+    t = ML.linreg_coefficients(SI.trips(spark, sf_dir), ["l_quantity", "l_discount"], "fare")
+    return t.select("term", F.round("t_value", 4).alias("t_value"),
+                    (F.col("p_value") < 0.01).alias("significant"))
+
+
+def linreg_validation(spark, sf_dir):
+    """Two-feature fit on the training part, prediction
+    and metrics on the validation part."""
+    t = SM.split_bucket(SI.trips(spark, sf_dir), TRIP_KEYS, 7000)
+    features = ["l_quantity", "l_discount"]
+    model = ML.linreg_fit(t.filter("part = 'train'"), features, "fare")
+    p = ML.predict(model, t.filter("part = 'validation'"), features)
+    return MT.regression_metrics(p, "fare", "prediction")
+
+
+def fenced_linreg(spark, sf_dir):
+    """F8, L1, M6, L9, L11-L14 in one: values and their logarithms fenced, the
+    value standardised, split, fitted on the error flag, judged on validation."""
+    d = C.iqr_fence(_value_and_log(spark, sf_dir), ["value", "log_value"])
+    d = d.select("event_id", "value", F.when(F.col("event_type") == "error", 1.0).otherwise(0.0).alias("x"))
+    d = ML.standardize(d, ["value"], ddof=1)
+    d = SM.split_bucket(d, ["event_id"], 7000)
+    model = ML.linreg_fit(d.filter("part = 'train'"), ["x"], "value")
+    p = ML.predict(model, d.filter("part = 'validation'"), ["x"])
+    return MT.regression_metrics(p, "value", "prediction")
+
+
 def glm_gaussian(spark, sf_dir):
     """Gaussian GLM: coefficients, deviance ratio, AIC."""
     t = ML.glm_table(SI.trips(spark, sf_dir), ["l_quantity", "l_discount"], "fare", "gaussian")
@@ -466,11 +600,38 @@ def logit_validation(spark, sf_dir):
     train = t.filter(F.col("part") == "train")
     test = t.filter(F.col("part") == "test")
     model = ML.logistic_fit(train, SI.TRIP_FEATURES, "y")
-    scored = ML.predict_probability(model, test, SI.TRIP_FEATURES, "p1")
-    pred = MT.classify(scored, "p1", 0.5)
-    ap = MT.accuracy_precision(pred, "y", "prediction")
-    auc = MT.roc_auc(scored, "y", "p1").select("auc")
-    return ap.select("*", F.lit(auc.collect()[0]["auc"]).alias("auc"))
+    return _judged(ML.predict_probability(model, test, SI.TRIP_FEATURES, "p1").select("y", "p1"))
+
+
+def _judged(scored):
+    """One row: counts, accuracy, precision, recall at 0.5, and AUC; the scored
+    rows are held while they are read."""
+    with ML.held(scored) as s:
+        auc = MT.roc_auc(s, "y", "p1").collect()[0]["auc"]
+        row = MT.accuracy_precision(MT.classify(s, "p1", 0.5), "y", "prediction").collect()[0]
+    spark = scored.sparkSession
+    return spark.createDataFrame(
+        [(*row, auc)], "n bigint, tp bigint, tn bigint, fp bigint, fn bigint, accuracy double, "
+                       "precision double, recall double, auc double")
+
+
+def _flag_parts(spark, sf_dir):
+    """Value above the exact median, on the error flag, by hash bucket."""
+    d = SM.split_bucket(_binary(spark, sf_dir), ["event_id"], 7000)
+    return d.filter("part = 'train'"), d.filter("part = 'test'")
+
+
+def logit_validation_flag(spark, sf_dir):
+    """L15-L20 end to end on one 0/1 feature, whose fit is known."""
+    train, test = _flag_parts(spark, sf_dir)
+    model = ML.logistic_fit(train, ["x"], "y")
+    return _judged(ML.predict_probability(model, test, ["x"], "p1").select("y", "p1"))
+
+
+def logistic_sweep(spark, sf_dir):
+    """AUC on the test part for several strengths."""
+    train, test = _flag_parts(spark, sf_dir)
+    return ML.logistic_sweep(train, test, ["x"], "y", [0.0, 0.01, 0.1])
 
 
 def regularization_sweep(spark, sf_dir):
@@ -481,6 +642,14 @@ def regularization_sweep(spark, sf_dir):
                                    SI.TRIP_FEATURES, "fare", [0.0, 0.01, 0.1, 1.0, 10.0])
 
 
+def ridge_sweep(spark, sf_dir):
+    """L21 with one feature, whose ridge fit is known: RMSE and R2 on the
+    validation part."""
+    t = SM.split_bucket(SI.trips(spark, sf_dir), TRIP_KEYS, 7000)
+    return ML.regularization_sweep(t.filter("part = 'train'"), t.filter("part = 'validation'"),
+                                   ["l_quantity"], "fare", [0.0, 100.0, 10000.0])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         text_scan_split, csv_scan, csv_scan_strings, table_shape, schema_listing, head_rows,
@@ -499,5 +668,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         linreg_coefficients, linreg_summary, glm_gaussian, regression_metrics,
         logit_coefficients, classify_threshold, confusion_matrix, accuracy_precision,
         roc_auc, logit_validation, regularization_sweep,
+        sparse_fields, numeric_text_cast, trip_medians, quantiles_in_rounds, state_ranking,
+        describe_mixed, outlier_fence_columns, kmeans_two, cluster_sample, pca_identities,
+        pca_scores, pca_biplot_all, linreg_significance, linreg_validation, fenced_linreg,
+        logit_validation_flag, logistic_sweep, ridge_sweep,
     ]
 }

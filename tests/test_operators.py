@@ -140,3 +140,47 @@ def test_keep_positions_and_rename(spark):
     assert C.keep_positions(df, [0, 2]).columns == ["a", "c"]
     assert C.keep_positions(df, [0, 2], drop=True).columns == ["b", "d"]
     assert C.rename_all(df, ["w", "x", "y", "z"]).columns == ["w", "x", "y", "z"]
+
+
+def test_median_label_of_null_is_null(spark):
+    from tablewright.operators.clean import median_label
+    df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double")
+    assert {r["x"]: r["label"] for r in median_label(df, "x").collect()} == {1.0: 0, None: None, 3.0: 1}
+
+
+def test_fixed_width_histogram_lists_gaps_once(spark):
+    from tablewright.operators.stats import histogram_fixed_width
+    df = spark.createDataFrame([(1.0,), (2.0,), (1e9,), (None,)], "x double")
+    got = sorted(tuple(r) for r in histogram_fixed_width(df, "x", 25.0).collect())
+    assert got == [(0, 1, 0.0, 2), (1, 39_999_999, 25.0, 0), (40_000_000, 1, 1e9, 1)]
+    assert histogram_fixed_width(df.filter("x > 5e9"), "x", 25.0).count() == 0
+
+
+def test_describe_mixed_types(spark):
+    from tablewright.operators.stats import describe_mixed
+    df = spark.createDataFrame([("b", 2, None), ("a", 4, None), (None, None, None)], "t string, n int, z double")
+    got = {r["column"]: tuple(r)[1:] for r in describe_mixed(df).collect()}
+    assert got == {"t": (2, None, None, "a", "b"), "n": (2, 3.0, 1.4142, "2.0", "4.0"), "z": (0, None, None, None, None)}
+
+
+def test_sparse_flags_keep_every_token(spark):
+    from tablewright.operators.clean import token_flags_sparse
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, None)], "k int, tokens array<string>")
+    assert sorted((r.k, r.token) for r in token_flags_sparse(df, ["k"]).collect()) == [(1, "a"), (1, "b")]
+
+
+def test_biplot_is_the_same_in_any_partitioning(spark):
+    from tablewright.operators import ml as ML
+    from tablewright.sources import standins as SI
+    t = SI.trips(spark, "/root/testdata/sf0.001")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    runs = [sorted(map(tuple, ML.pca_biplot(t.repartition(n), ["fare", "l_quantity"], keys, 0.004).collect())) for n in (1, 2, 8)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) > 2
+
+
+def test_queries_leave_nothing_cached(spark):
+    import __spark_entry__ as E
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for q in ("summary_quartiles", "column_profile", "hash_sample", "split_exact"):
+        E.queries()[q](spark, "/root/testdata/sf0.001").count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before

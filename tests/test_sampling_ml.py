@@ -43,7 +43,7 @@ def test_split_bucket_cover_and_stable(orders):
 
 
 def test_split_random_cover(orders):
-    s = SM.split_random(orders, (0.6, 0.2, 0.2), 100)
+    s = SM.split_random(orders, ["o_orderkey"], (0.6, 0.2, 0.2), 100)
     assert s.count() == orders.count()
     assert s.select("o_orderkey").distinct().count() == orders.count()
 
