@@ -7,7 +7,6 @@ and ``pyspark.ml``. Sub-packages:
 - ``functions`` column-expression helpers (field access, safe casts, hashes)
 - ``operators`` cleaning, statistics, joins, ranking, sampling, models, metrics
 - ``plans``     the registered queries and their DuckDB oracles
-- ``streaming`` the cleaning operators applied to a streaming line source
 """
 
 from tablewright.session import get_spark, shared_dir

@@ -44,21 +44,33 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
     On a cluster this setting names reliable shared storage and is used as
-    is. Only when it is unset (local runs, tests) a fresh local folder is made
-    and registered, so that ``checkpoint()`` and written tables work."""
+    is; without it this raises, as a local folder would leave each executor
+    with its own files. Only a local master (one machine) gets a fresh local
+    folder, so that ``checkpoint()`` and written tables work in tests."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            d = tempfile.mkdtemp(prefix="tablewright-ckpt-")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
+        d = tempfile.mkdtemp(prefix="tablewright-ckpt-")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared folder (never reused, never
-    deleted by us)."""
+    """A new, unique path under the shared folder (never reused; see
+    ``drop_scratch``)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a ``scratch_path`` that nothing will read again."""
+    if not path.startswith(shared_dir(spark).rstrip("/") + "/"):
+        raise ValueError("not a scratch path of this session")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablewright.session import scratch_path
+from tablewright.session import drop_scratch, scratch_path
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,16 @@ def write_table(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def settle(df: DataFrame, path: str) -> DataFrame:
+    """``df``, read from the scratch files at ``path``, stored by a reliable
+    checkpoint; the files are then deleted. Spark removes a checkpoint itself
+    when nothing refers to it
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+    out = df.checkpoint(eager=True)
+    drop_scratch(df.sparkSession, path)
+    return out
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Name a plan for SQL (``registerTempTable`` is the old name)."""
     df.createOrReplaceTempView(name)

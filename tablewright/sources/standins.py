@@ -82,6 +82,39 @@ def values_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("value") >= 1, F.col("value")).alias("value"))
 
 
+#: Places of the seven wanted fields in a case line of twelve.
+CASE_FIELDS = {"hospital": 1, "city": 3, "state": 4, "measure_name": 8, "measure_id": 9,
+               "comparison": 10, "score_text": 11}
+
+
+def case_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Write the case table with a city (state and supplier number) as lines of
+    twelve tab-separated fields, of which fields 1, 3, 4 and 8-11 are used,
+    with a header line, into the shared folder; return the path."""
+    li = load_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    su = load_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    na = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    pa = load_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    j = (li.join(su, li.l_suppkey == su.s_suppkey, "inner")
+           .join(na, F.col("s_nationkey") == na.n_nationkey, "inner")
+           .join(pa, li.l_partkey == pa.p_partkey, "inner"))
+    flagged = F.col("l_returnflag") == "N"
+    text = lambda c: F.col(c).cast("string")
+    used = {"hospital": F.col("s_name"),
+            "city": F.concat_ws("-", "n_name", (F.col("s_suppkey") % 7).cast("string")),
+            "state": F.col("n_name"), "measure_name": F.col("p_type"), "measure_id": F.col("p_brand"),
+            "comparison": F.when(flagged, F.lit(SENTINEL)).otherwise(F.col("l_returnflag")),
+            "score_text": F.when(flagged, F.lit(SENTINEL)).otherwise(
+                F.col("l_quantity").cast("int").cast("string"))}
+    at = {i: used[c] for c, i in CASE_FIELDS.items()}
+    other = [text("l_orderkey"), text("l_partkey"), text("l_suppkey"), F.lit("")]
+    line = F.concat_ws("\t", *[at.get(i, other[i % len(other)]) for i in range(12)])
+    names = {i: c for c, i in CASE_FIELDS.items()}
+    header = spark.range(1).select(F.lit("\t".join(names.get(i, f"x{i}") for i in range(12))).alias("value"))
+    return write_lines(header.unionByName(j.select(line.alias("value"))), "case-lines")
+
+
 def customer_lines(spark: SparkSession, sf_dir: str) -> str:
     """Write the customer table as tab-separated lines with a header line
     into the shared folder; return the path (read back with S1)."""
