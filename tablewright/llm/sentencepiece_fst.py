@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Entries of each cache in one Python worker; a full cache starts anew.
-CACHE = 1 << 19
+CACHE = 1 << 18
 
 _INF = float("inf")
 _UNIGRAM, _BPE = 1, 2
@@ -90,13 +90,13 @@ class Transducer:
     def _compile(self) -> None:
         self.side: dict[str, tuple] = {}
         arcs = set(self.ids)
+        self._next: dict[str, dict[str, bool]] = {}
+        self._pairs = 0
         if self.kind == _BPE:
             halves = {p: self._halves(p) for p in self.ids if len(p) > 1}
             arcs -= {p for p, h in halves.items() if h is None}
             self._formed: dict[str, float] = {}
             self._split = {p: h for p, h in halves.items() if h}
-            self._next: dict[str, dict[str, bool]] = {}
-            self._pairs = 0
         self.arcs = arcs
         self.stems = {p[:n] for p in arcs for n in range(1, len(p) + 1)}
         self.char = _Cache(self._char)
@@ -106,8 +106,11 @@ class Transducer:
         self.cuts = not any(BLANK in p.lstrip(BLANK) or "\n" in p for p in arcs if len(p) > 1)
         self.runs = re.compile(rf"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
         self.line_end = self.char["\n"]
-        self.stretch = _Cache(self._stretch)
-        self.word = _Cache(lambda w: self._stretch(BLANK + w))
+        self.joints = {p[i:i + 2] for p in arcs for i in range(len(p) - 1)}
+        self.coded = _Cache(self.char.__getitem__)
+        self.coded.update((p, self.ids[p].to_bytes(4, "little")) for p in self.ids)
+        self.stretch = _Cache(self._stretches)
+        self.word = _Cache(lambda w: self._stretches(BLANK + w))
 
     def _halves(self, piece: str) -> tuple[str, str] | None:
         """The two parts whose merge makes ``piece`` when it is encoded by
@@ -178,40 +181,66 @@ class Transducer:
     def _stretch(self, s: str) -> bytes:
         """The shortest path over one stretch: its ids, 4 bytes each."""
         last, back = self._least_pieces(s) if self.kind == _BPE else self._least_weight(s)
-        out, at, ids = [], len(s), self.ids
+        out, at = [], len(s)
         while at:
-            p = last[at]
-            out.append(ids[p].to_bytes(4, "little") if p in ids else self.char[p])
+            out.append(self.coded[last[at]])
             at = back[at]
         return b"".join(reversed(out))
 
+    def _stretches(self, s: str) -> bytes:
+        """The ids of a text without blanks inside, cut between characters
+        that stand side by side in no piece: its parts are paths of their own,
+        and a word is looked up without the marks around it."""
+        joints = self.joints
+        cuts = [i for i in range(1, len(s)) if s[i - 1:i + 1] not in joints]
+        if not cuts:
+            return self._stretch(s)
+        parts = [s[i:j] for i, j in zip([0, *cuts], [*cuts, len(s)])]
+        return b"".join(self.word[x[1:]] if x[0] == BLANK else self.stretch[x] for x in parts)
+
     def _least_pieces(self, s: str) -> tuple[list, list]:
-        """Byte-pair model: every prefix of a text has one sequence of finite
-        weight, so what reaches a place first is its only path, and an arc to
-        a place already reached weighs infinity without being looked at."""
+        """Byte-pair model: every prefix of a text has one path of finite
+        weight, so a depth-first search over arcs of finite weight, longest
+        first, finds the shortest path; a place that it had to leave is on no
+        such path and is not entered again."""
         n = len(s)
         back, last = [0] * (n + 1), [""] * (n + 1)
-        arcs, stems, follows = self.arcs, self.stems, self._follows
-        for i in range(n):
-            before = last[i]
-            if i and not before:
-                continue
-            seen = self._next.get(before, {})
-            j, sub = i + 1, s[i]
-            if sub not in arcs and (not i or follows(before, sub)):
+        arcs, stems, pairs, follows = self.arcs, self.stems, self._next, self._follows
+        dead = bytearray(n + 1)
+        open_: list[tuple[int, list[str]]] = []
+        i, before, found = 0, "", None
+        while True:
+            if found is None:
+                found, j, sub = [], i + 1, s[i]
+                if sub not in arcs:
+                    found.append(sub)
+                while sub in stems:
+                    if sub in arcs:
+                        found.append(sub)
+                    j += 1
+                    if j > n:
+                        break
+                    sub = s[i:j]
+            seen = pairs.get(before)
+            while found:
+                sub = found.pop()
+                j = i + len(sub)
+                if dead[j]:
+                    continue
+                if i:
+                    ok = seen.get(sub) if seen is not None else None
+                    if not (follows(before, sub) if ok is None else ok):
+                        continue
                 back[j], last[j] = i, sub
-            while sub in stems:
-                if not last[j] and sub in arcs:
-                    ok = seen.get(sub)
-                    if ok is None:
-                        ok = not i or follows(before, sub)
-                    if ok:
-                        back[j], last[j] = i, sub
-                j += 1
-                if j > n:
-                    break
-                sub = s[i:j]
-        return last, back
+                if j == n:
+                    return last, back
+                open_.append((i, found))
+                i, before, found = j, sub, None
+                break
+            else:
+                dead[i] = 1
+                i, found = open_.pop()
+                before = last[i]
 
     def _least_weight(self, s: str) -> tuple[list, list]:
         """Unigram model: the least sum of negative scores."""
