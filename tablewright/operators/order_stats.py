@@ -216,8 +216,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     """
     by = list(by)
     kinds = [kind] * len(probs) if isinstance(kind, str) else list(kind)
+    # the passes below read group and value only; held for them, so that what
+    # ``df`` stands for (a join, a cleaning) is computed once
     base = df.select(*by, F.col(value).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull())
+        F.col("_x").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _checkpoint(_quantiles(base, probs, kinds, by, max_rows))
+    finally:
+        base.unpersist()
+
+
+def _quantiles(base: DataFrame, probs: list[float], kinds: list[str], by: list[str],
+               max_rows: int) -> DataFrame:
     counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     specs = []
     n = F.col("n")
@@ -252,20 +262,12 @@ def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float]
                            kind: str = "cont", max_rows: int = EXACT_ROWS) -> DataFrame:
     """Exact quantiles of several numeric columns (nulls skipped), long form
     (column, p, kind, q): the columns as groups of one selection, so all share
-    its passes. The values are held (memory, spilling to disk) for those
-    passes and released; the result, one row per column and p, is brought
-    back as literals."""
+    its passes."""
     if not columns:
         raise ValueError("no columns")
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "column", "x").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = exact_quantiles(long, "x", probs, by=["column"], kind=kind, max_rows=max_rows).collect()
-    finally:
-        long.unpersist()
-    return df.sparkSession.createDataFrame(
-        [(r["column"], r["p"], r["kind"], r["q"]) for r in rows],
-        "column string, p double, kind string, q double")
+        [], columns, "column", "x")
+    return exact_quantiles(long, "x", probs, by=["column"], kind=kind, max_rows=max_rows)
 
 
 def first_k_conditions(df: DataFrame, order: list[str], ks: list[int],

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablewright.session import drop_scratch, scratch_path
+from tablewright.session import drop_scratch, scratch_path, shared_dir
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,12 +69,20 @@ def write_table(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` stored once by a reliable checkpoint in the shared folder: a query
+    that reads it several times does not compute it several times, and a lost
+    executor does not reach back to the raw inputs."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def settle(df: DataFrame, path: str) -> DataFrame:
     """``df``, read from the scratch files at ``path``, stored by a reliable
     checkpoint; the files are then deleted. Spark removes a checkpoint itself
     when nothing refers to it
     (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
-    out = df.checkpoint(eager=True)
+    out = stored(df)
     drop_scratch(df.sparkSession, path)
     return out
 

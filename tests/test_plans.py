@@ -1,6 +1,7 @@
 """Physical-plan guards for every registered query: no nested-loop or
 cartesian join, no row-at-a-time or Arrow Python evaluation, and the
-parquet scans read only the columns they need."""
+parquet scans read only the columns they need. Eager passes inside the queries
+are inspected too."""
 
 import re
 
@@ -13,11 +14,25 @@ from conftest import SF01
 BAD = re.compile(r"(BroadcastNestedLoopJoin|CartesianProduct|BatchEvalPython|ArrowEvalPython)")
 
 
+@pytest.fixture
+def passes(spark, monkeypatch):
+    """Plans of the eager passes that a query runs while it is built: counts,
+    collects and checkpoints."""
+    kind, plans = type(spark.range(0)), []
+    for name in ("collect", "count", "checkpoint", "isEmpty", "toArrow"):
+        def watched(self, *a, _f=getattr(kind, name), **k):
+            plans.append(self._jdf.queryExecution().executedPlan().toString())
+            return _f(self, *a, **k)
+        monkeypatch.setattr(kind, name, watched)
+    return plans
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_plan_has_no_scale_hazard(spark, name):
+def test_plan_has_no_scale_hazard(spark, name, passes):
     df = E.queries()[name](spark, SF01)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not BAD.findall(plan), plan
+    for p in (plan, *passes):
+        assert not BAD.findall(p), p
 
 
 def test_scan_is_pruned_and_filtered(spark):
