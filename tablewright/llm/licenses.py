@@ -58,8 +58,8 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
-#: A word of the contract, in a text whose A-Z are not lower-cased yet.
-_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+#: What stands between the words of the contract, whether or not A-Z are
+#: lower-cased.
 _GAP = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
@@ -95,7 +95,7 @@ def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str
 
     # the words of the templates that each block holds; a block that shares
     # none with any template is gone here
-    held = blocks.select("_key", "_block", F.explode("_set").alias("word")).join(vocabulary, "word", "left_semi")
+    held = blocks.select("_key", "_block", F.explode_outer("_set").alias("word")).join(vocabulary, "word", "left_semi")
     freq = cut(vocabulary.join(held.groupBy("word").agg(F.count(F.lit(1)).alias("_f")), "word", "left")
                .select("word", F.coalesce("_f", F.lit(0)).alias("_f")))
 
@@ -104,7 +104,9 @@ def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str
     order = cut(order.select("template", "label", "size", "need", F.expr("transform(_o, x -> x.word)").alias("_words")))
     prefix = order.select("template", "size", "need", F.posexplode(F.slice("_words", F.lit(1), F.col("size") - F.col("need") + 1)).alias("_place", "word"))
 
-    probes = blocks.select("_key", "_block", "_set", F.explode("_set").alias("word"))
+    # explode_outer: explode would list each block's words a second time, for a
+    # filter on their number
+    probes = blocks.select("_key", "_block", "_set", F.explode_outer("_set").alias("word"))
     hit = probes.join(F.broadcast(prefix), "word").where(F.size("_set") >= F.col("need"))      # prefix, length
     hit = hit.where(F.col("size") - F.col("_place") >= F.col("need"))                          # position
     found = hit.join(F.broadcast(order.select("template", "label", "_words")), "template")
@@ -136,16 +138,14 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
     A null or empty text has no words and no licence. Rows repeated with the
     same key get the labels of any of them; null keys are taken as one key.
     An empty table gives no rows; other columns of ``docs`` are ignored."""
-    body = text_or_empty(text)
-    # the phrases in a text as it is written, before its words are listed
-    seen = "|".join(r"(?<![0-9A-Za-z\x{80}-\x{10FFFF}])" + _GAP.join(p.split(" ")) + r"(?![0-9A-Za-z\x{80}-\x{10FFFF}])" for _, p in phrases)
     kind = "array<struct<at:bigint,label:string>>"
     # words are listed in a column of their own, once a row, before places are
-    # looked for in it
-    d = docs.select(F.col(key).alias("_key"), F.regexp_count(body, F.lit(_WORD)).cast("long").alias("n_words"),
-                    F.when(body.rlike(f"(?i:{seen})"), words(body)).alias("_words"))
-    d = d.select("_key", "n_words", F.coalesce(F.when(F.col("_words").isNotNull(), phrase_places(F.col("_words"), phrases)),
-                                               F.array().cast(kind)).alias("places"))
+    # looked for in it; most rows hold no phrase's first word
+    begins = F.array(*(F.lit(w) for w in sorted({p.split(" ")[0] for _, p in phrases})))
+    d = docs.select(F.col(key).alias("_key"), words(text_or_empty(text)).alias("_words"))
+    d = d.select("_key", F.size("_words").cast("long").alias("n_words"),
+                 F.when(F.arrays_overlap("_words", begins), phrase_places(F.col("_words"), phrases))
+                 .otherwise(F.array().cast(kind)).alias("places"))
     pairs = block_matches(docs, key, text, rows, threshold)
     best = pairs.groupBy(F.col("_key").alias("_mkey")).agg(
         F.sort_array(F.collect_set("label")).alias("template_labels"), F.max("containment").alias("containment"))
