@@ -96,9 +96,12 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     <= n) and ``n`` (rows in the group); other columns are carried through.
     Returns the target columns plus ``value``.
     """
-    if not by:   # one group
-        one = F.lit(0).alias("_tw_g")
-        return select_ranks(base.select("*", one), value, targets.select("*", one), ["_tw_g"],
+    if not by:
+        # one group: its key is 0 for every row, computed, as a literal key
+        # would turn the joins below into nested loops
+        one = F.pmod(F.xxhash64(value), F.lit(1)).cast("int").alias("_tw_g")
+        return select_ranks(base.select("*", one), value,
+                            targets.select("*", F.lit(0).alias("_tw_g")), ["_tw_g"],
                             max_rows).drop("_tw_g")
     by = list(by)
     keys = by + ["tid", "rank"]
