@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Largest table that is ever broadcast by hint, after its bytes are counted.
 BROADCAST_BYTES = 8 << 20
 
+#: Rows of texts that a Python task works on at once.
+SLICE_ROWS = 256
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,6 +40,15 @@ def broadcast_if_small(df: DataFrame, row_bytes: Column | int,
     return F.broadcast(df) if (size or 0) <= limit else df
 
 
+def slices(batches: Iterator, rows: int = SLICE_ROWS) -> Iterator:
+    """Arrow batches cut into smaller ones, for tasks over texts: what is made
+    of a batch (Python strings, results on their way back to the JVM) stays
+    small, however many rows Spark sends at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_or_empty(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 

@@ -35,7 +35,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import cut
+from tablewright.llm.common import cut, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words sent to all tasks, at most; the bound of what is broadcast.
@@ -120,9 +120,39 @@ class Lattice:
         return self._forward(w, self.arcs(w) if arcs is None else arcs)[len(w)] + self.stop
 
     def expect(self, w: str, begun: Counter, inner: Counter) -> None:
-        """Adds the expected counts of the pieces over all segmentations."""
+        """Adds the expected counts of the pieces over all segmentations:
+        products of probabilities, or of their logs where those would come
+        too near to zero."""
+        n, arcs = len(w), self.arcs(w)
+        if not hasattr(self, "p_inner"):
+            self.p_inner = {k: math.exp(v) for k, v in self.inner.items()}
+            self.p_start = {k: math.exp(v) for k, v in self.start.items()}
+        p_inner, p_start = self.p_inner, self.p_start
+        row_of = [[(j, p_inner[s] if s in p_inner else math.exp(self._weight(s)), s) for j, s in row] for row in arcs[:n]]
+        a = [0.0] * (n + 1)
+        a[0] = math.exp(self.bare)
+        for j, sub in arcs[n]:
+            a[j] = p_start[sub]
+        for i in range(n):
+            at = a[i]
+            for j, p, _ in row_of[i]:
+                a[j] += at * p
+        if a[n] < 1e-200:
+            return self._expect_logs(w, arcs, begun, inner)
+        b = [0.0] * n + [1.0 / a[n]]
+        for i in range(n - 1, -1, -1):
+            at, x = a[i], 0.0
+            for j, p, sub in row_of[i]:
+                y = p * b[j]
+                x += y
+                inner[sub] += at * y
+            b[i] = x
+        begun[""] += math.exp(self.bare) * b[0]
+        for j, sub in arcs[n]:
+            begun[sub] += p_start[sub] * b[j]
+
+    def _expect_logs(self, w: str, arcs: list, begun: Counter, inner: Counter) -> None:
         n, exp, log1p = len(w), math.exp, math.log1p
-        arcs = self.arcs(w)
         weighed = [[(j, self.inner[s] if s in self.inner else self._weight(s), s) for j, s in row] for row in arcs[:n]]
         a = self._forward(w, arcs)
         b = [-_INF] * n + [0.0]
@@ -176,8 +206,10 @@ def _lattice(prior: tuple, begun: dict, inner: dict, words: float) -> Lattice:
                    log(first[""]), log(stop))
 
 
-def tokens(text: str | None) -> list[str]:
-    return [w.decode("utf-8", "surrogatepass") for w in (text or "").encode("utf-8", "surrogatepass").lower().split()]
+def tokens(raw: bytes | None) -> list[bytes]:
+    """The words of a text in UTF-8, A-Z lower-cased: ``bytes.lower`` changes
+    no other letters, and ``bytes.split`` cuts at the six blanks."""
+    return raw.lower().split() if raw else []
 
 
 def count_words(d: DataFrame, classes: int) -> DataFrame:
@@ -189,13 +221,13 @@ def count_words(d: DataFrame, classes: int) -> DataFrame:
         words = [w for c in counts for w in c]
         kind = [k - 1 for k, c in enumerate(counts) for _ in c]
         return pa.RecordBatch.from_pydict({
-            "word": pa.array(words, pa.string()), "k": pa.array(kind, pa.int32()),
+            "word": pa.array(words, pa.binary()).cast(pa.string()), "k": pa.array(kind, pa.int32()),
             "x": pa.array([x for c in counts for x in c.values()], pa.int64())})
 
     def run(batches: Iterator) -> Iterator:
         counts = [Counter() for _ in range(classes + 1)]  # those not learned from come first
-        for b in batches:
-            for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for b in slices(batches):
+            for t, k in zip(b.column(0).cast("binary").to_pylist(), b.column(1).to_pylist()):
                 counts[0 if k is None else k + 1].update(tokens(t))
                 if sum(map(len, counts)) > _HOLD:
                     yield rows(counts)
@@ -217,7 +249,7 @@ def re_estimate(words: DataFrame, prior: tuple, lattices: list[Lattice], types:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         got = [(Counter(), Counter()) for _ in sent.value]
-        for b in batches:
+        for b in slices(batches):
             for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist()):
                 for k, x in enumerate(c):
                     if x:
@@ -239,7 +271,9 @@ def re_estimate(words: DataFrame, prior: tuple, lattices: list[Lattice], types:
 def score_words(words: DataFrame, lattices: list[Lattice], totals: list[int], types: list[int],
                 shares: list[float], discount: float) -> DataFrame:
     """(word, c, n, lm): ``c`` over all classes, ``lm`` the log10 probability
-    of the word in each class."""
+    of the word in each class. A word that no training row holds has its
+    lattice probability in every class; one that only other classes hold has
+    what is shared."""
     sent = words.sparkSession.sparkContext.broadcast(lattices)
     spared = [math.log(discount * t / n) if n else math.log(0.5) for t, n in zip(types, totals)]
     own = math.log(1.0 - SHARED) if len(lattices) > 1 else 0.0
@@ -247,22 +281,24 @@ def score_words(words: DataFrame, lattices: list[Lattice], totals: list[int], ty
 
     def add(x: float, y: float) -> float:
         hi, lo = (x, y) if x > y else (y, x)
-        return hi if lo == -_INF else hi + math.log1p(math.exp(lo - hi))
+        return hi + math.log1p(math.exp(lo - hi)) if lo > hi - 700.0 else hi
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         m, ln10 = sent.value, math.log(10.0)
-        for b in batches:
+        for b in slices(batches):
             out, known = [], []
             for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist()):
                 row, every = [], -_INF
-                arcs = m[0].arcs(w)
+                arcs, anywhere = m[0].arcs(w), any(c)
                 for k, x in enumerate(c):
-                    p = spared[k] + m[k].log_prob(w, arcs)
-                    if x:
-                        p = add(p, math.log((x - discount) / totals[k]))
+                    p = -_INF
+                    if x or not anywhere:
+                        p = spared[k] + m[k].log_prob(w, arcs)
+                        if x:
+                            p = add(p, math.log((x - discount) / totals[k]))
+                        every = add(every, mixed[k] + p)
                     row.append(p)
-                    every = add(every, mixed[k] + p)
                 out.append([add(own + p, every) / ln10 for p in row])
                 known.append(sum(c))
             yield pa.RecordBatch.from_arrays(
@@ -287,7 +323,7 @@ def head_of(words: DataFrame, limit: int) -> tuple:
         return {}, np.zeros(0), np.zeros((0, 1))
     t = words.where(level >= least).select("word", "c", "lm").toArrow()
     lm = np.array(t.column("lm").combine_chunks().flatten()).reshape(t.num_rows, -1)
-    return {w: i for i, w in enumerate(t.column("word").to_pylist())}, np.array(t.column("c")), lm
+    return {w: i for i, w in enumerate(t.column("word").cast("binary").to_pylist())}, np.array(t.column("c")), lm
 
 
 def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text", kind: str | None = None,
@@ -349,9 +385,9 @@ def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text
         import pyarrow as pa
         at, c, lm = head.value
         known, base = c > 0, np.log10((c + 0.5) / floor)
-        for b in batches:
+        for b in slices(batches):
             cols: list[list] = [[] for _ in range(8)]
-            for i, t in enumerate(b.column("_text").to_pylist()):
+            for i, t in enumerate(b.column("_text").cast("binary").to_pylist()):
                 counts = Counter(tokens(t))
                 place = [at.get(w, -1) for w in counts]
                 here = np.array([p for p in place if p >= 0], dtype=np.int64)
@@ -364,15 +400,16 @@ def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text
                 # nothing, and differs from row to row so that they do not meet
                 tokens_here = 1 + sum(counts.values())
                 for col, values in zip(cols, (
-                        [i] * (n + 1), [w for w, _ in rest] + [f" {i} {tokens_here}"], [m for _, m in rest] + [0], [k] * (n + 1),
+                        [i] * (n + 1), [w for w, _ in rest] + [b" %d %d" % (i, tokens_here)], [m for _, m in rest] + [0], [k] * (n + 1),
                         [0] * n + [int(ends > 0) + int(many @ known[here]) if len(here) else int(ends > 0)],
                         [0.0] * n + [end_base + (float(many @ base[here]) if len(here) else 0.0)],
                         [0.0] * n + [end_lm + float(by_class[k])], [0] * n + [tokens_here])):
                     col += values
             row = pa.array(cols[0], pa.int32())
-            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("_key").take(row), b.column("_row").take(row), *(pa.array(x, t) for x, t in zip(cols[1:], kinds))],
+                [b.column("_key").take(row), b.column("_row").take(row), pa.array(cols[1], pa.binary()).cast(pa.string()),
+                 *(pa.array(x, t) for x, t in zip(cols[2:], kinds))],
                 names=["_key", "_row", "word", "_many", "_k", "_known", "_base", "_lm", "_n"])
 
     of = d.schema["_key"].dataType.simpleString()
