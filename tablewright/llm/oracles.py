@@ -81,6 +81,58 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY n) AS keep_id,
 FROM t
 """
 
+# Calls and results derived as in ``queries.tool_turns``; levels by the longest
+# chain of needs; canonical JSON written key by key.
+OP1 = f"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, role, text, substr(md5(concat_ws(':', conv_id, turn)), 1, 12) AS own,
+         substr(md5(concat_ws(':', conv_id, turn - 1)), 1, 12) AS before,
+         len(regexp_extract_all(text, '{_WORD}')) AS n
+  FROM conversations),
+c AS (
+  SELECT conv_id, own AS id, turn, n, text, role,
+         CASE WHEN n % 23 = 0 THEN 'translate' WHEN n % 2 = 0 THEN 'search' ELSE 'classify' END AS tool,
+         CAST(n % 11 AS DOUBLE) / 10 AS threshold
+  FROM t WHERE role = 'assistant'),
+a AS (
+  SELECT *,
+         CASE WHEN tool = 'search' THEN '{{"query":' || to_json(text) || ',"limit":' || n
+              ELSE '{{"threshold":' || threshold || ',"text":' || to_json(text) || ',"labels":["a","' || role || '"]' END AS broken,
+         CASE WHEN tool = 'search' THEN '{{"limit":' || n || ',"query":' || to_json(text) || '}}'
+              ELSE '{{"labels":["a","' || role || '"],"text":' || to_json(text) || ',"threshold":'
+                   || CASE WHEN threshold IN (0, 1) THEN CAST(CAST(threshold AS INTEGER) AS VARCHAR) ELSE CAST(threshold AS VARCHAR) END || '}}'
+         END AS good
+  FROM c),
+needs AS (
+  SELECT conv_id, id, substr(md5(concat_ws(':', conv_id, 2 * ((turn + 1) // 4) - 1)), 1, 12) AS need FROM c WHERE turn >= 3
+  UNION
+  SELECT conv_id, id, substr(md5(concat_ws(':', conv_id, turn - 2)), 1, 12) FROM c WHERE turn >= 3 AND turn % 3 = 0),
+edges AS (SELECT n.* FROM needs n JOIN c ON c.conv_id = n.conv_id AND c.id = n.need),
+walk AS (
+  SELECT conv_id, id, 0 AS level FROM c
+  UNION
+  SELECT e.conv_id, e.id, w.level + 1 FROM edges e JOIN walk w ON w.conv_id = e.conv_id AND w.id = e.need),
+levels AS (SELECT conv_id, id, max(level) AS level FROM walk GROUP BY ALL),
+r AS (SELECT conv_id, before AS id, turn, text FROM t WHERE role <> 'assistant'),
+m AS (
+  SELECT a.conv_id, 0 AS k, a.id, l.level, a.turn AS call_turn, a.turn,
+         CASE WHEN n % 19 = 0 THEN 'invalid_json' WHEN tool = 'translate' THEN 'unknown_tool'
+              WHEN tool = 'search' AND n NOT BETWEEN 1 AND 250 THEN 'invalid_arguments' ELSE 'ok' END
+         || CASE WHEN EXISTS (SELECT 1 FROM r WHERE r.conv_id = a.conv_id AND r.id = a.id) THEN '' ELSE ', unanswered' END AS status,
+         CASE WHEN n % 19 = 0 THEN 'JSONDecodeError' WHEN tool = 'search' AND n NOT BETWEEN 1 AND 250 THEN '$.limit: out of range' ELSE '' END AS error,
+         '{{"function":{{"arguments":' || CASE WHEN n % 19 = 0 THEN CAST(to_json(broken) AS VARCHAR) ELSE good END
+         || ',"name":"' || tool || '"}},"id":"' || a.id || '","role":"assistant","type":"function"}}' AS message
+  FROM a JOIN levels l ON l.conv_id = a.conv_id AND l.id = a.id
+  UNION ALL
+  SELECT r.conv_id, 1, r.id, l.level, coalesce(c.turn, r.turn), r.turn,
+         CASE WHEN c.id IS NULL THEN 'orphan' ELSE 'ok' END, '',
+         '{{"content":' || to_json(r.text) || ',"role":"tool","tool_call_id":"' || r.id || '"}}'
+  FROM r LEFT JOIN c ON c.conv_id = r.conv_id AND c.id = r.id LEFT JOIN levels l ON l.conv_id = r.conv_id AND l.id = r.id)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(level, 1 << 30), call_turn, id, k, turn) - 1 AS position,
+       CASE k WHEN 0 THEN 'call' ELSE 'result' END AS kind, id AS call_id, level, status, error, CAST(1 AS BIGINT) AS copies, message
+FROM m
+"""
+
 OP3 = f"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
@@ -151,4 +203,4 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS
 FROM w LEFT JOIN base b USING (doc_id) LEFT JOIN met m USING (doc_id)
 """
 
-ORACLES = {"op3_quality": OP3, "op9_licenses": OP9, "op6_line_dedup": OP6, "op7_mixing": OP7, "op8_exact_dedup": OP8}
+ORACLES = {"op1_tool_calls": OP1, "op3_quality": OP3, "op9_licenses": OP9, "op6_line_dedup": OP6, "op7_mixing": OP7, "op8_exact_dedup": OP8}
