@@ -18,6 +18,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import slices
+
 #: Rows on which cost and selectivity are measured.
 SAMPLE_ROWS = 2000
 
@@ -134,7 +136,7 @@ def measure(docs: DataFrame, text: str, rules: tuple[Rule, ...], sample_rows: in
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(0).to_pylist()
             for k, rule in enumerate(rules):
                 fresh = [Text(t) for t in texts]
@@ -174,7 +176,7 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", base: tupl
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        for b in batches:
+        for b in slices(batches):
             out: dict[str, list] = {c: [] for c in ("n_words", *counts, "base_failed", "kept")}
             for raw in b.column(1).to_pylist():
                 t = Text(raw)

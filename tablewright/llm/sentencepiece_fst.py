@@ -31,6 +31,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import slices
+
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Entries of each cache in one Python worker; a full cache starts anew.
@@ -260,6 +262,12 @@ class Transducer:
                 sub = s[i:j]
         return last, back
 
+    def forget(self) -> None:
+        """Empties the caches: a Python worker may live on for other work."""
+        for cache in (self.stretch, self.word, self._next):
+            cache.clear()
+        self._pairs = 0
+
     def encode_bytes(self, text: str | None) -> bytes:
         """The ids of ``text``, 4 bytes each."""
         if not text:
@@ -321,7 +329,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
         import numpy as np
         import pyarrow as pa
         t = _transducer(spec.value)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).to_pylist()
             coded = [t.encode_bytes(x) for x in texts]
             sizes = np.fromiter((len(c) // 4 for c in coded), dtype=np.int32, count=len(coded))
@@ -331,6 +339,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(sizes), pa.array(same)],
                 names=[key, "ids", "n_pieces", "round_trip"])
+        t.forget()
 
     kind = d.schema["_key"].dataType.simpleString()
     return d.mapInArrow(run, f"`{key}` {kind}, ids array<int>, n_pieces int, round_trip boolean")
@@ -344,7 +353,7 @@ def decode(coded: DataFrame, key: str = "doc_id", ids: str = "ids", model: str =
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         t = _transducer(spec.value)
-        for b in batches:
+        for b in slices(batches):
             texts = [t.decode(x or ()) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[key, "text"])
 

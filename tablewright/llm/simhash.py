@@ -29,7 +29,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import broadcast_if_small, connected_components, cut
+from tablewright.llm.common import broadcast_if_small, connected_components, cut, slices
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int) -> DataFram
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        for b in batches:
+        for b in slices(batches):
             fp = pa.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), fp], names=["_key", "_fp"])
 

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import cut, text_or_empty
+from tablewright.llm.common import cut, slices, text_or_empty
 
 #: Labelled rows that are learned from, at most about this many.
 SAMPLE_ROWS = 20_000
@@ -168,7 +168,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     def sign(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from xxhash import xxh64_intdigest
-        for b in batches:
+        for b in slices(batches):
             mins = []
             for t in b.column("_text").to_pylist():
                 w = t.split()
@@ -192,7 +192,7 @@ def _stem_rows(rows: DataFrame, only: frozenset | None) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         count: Counter = Counter()
-        for b in batches:
+        for b in slices(batches):
             for t in b.column(0).to_pylist():
                 found = _stems_of(t)
                 count.update(found if only is None else found & only)
@@ -232,7 +232,7 @@ def _featured(rows: DataFrame, stems: dict[str, float], keep: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         g = Grammar(sent.value)
-        for b in batches:
+        for b in slices(batches):
             found = [g.features(t) for t in b.column(1).to_pylist()]
             cols = [pa.array([f[i] for f in found], pa.float64()) for i in range(N_FEATURES)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[keep, *names])
@@ -291,7 +291,7 @@ def toxic_filter(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         g = Grammar(sent.value)
-        for b in batches:
+        for b in slices(batches):
             keep = [weights[0] + sum(w * x for w, x in zip(weights[1:], g.features(t))) < 0
                     for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
