@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import cut, text_or_empty
+from tablewright.llm.common import broadcast_if_small, cut, text_or_empty
 
 #: Characters of the normalised text that the prefix hash covers.
 PREFIX_CHARS = 64
@@ -82,6 +82,9 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     groups = (rows.where("_full is not null").groupBy("_full")
               .agg(F.min("_key").alias("_keep"), F.count(F.lit(1)).alias("_size"))
               .where("_size > 1"))
+    # stored, so that the join's own shuffles are all it needs and adaptive
+    # execution may split the rows of a large group
+    groups = broadcast_if_small(cut(groups), 80)
     # rows without a full hash are alone; they would all meet in one task of
     # the join under its null key
     alone = rows.where("_full is null").withColumns({"_keep": F.col("_key"), "_size": F.lit(None).cast("long")})
