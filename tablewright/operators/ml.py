@@ -59,15 +59,23 @@ def standardize(df: DataFrame, columns: list[str], ddof: int = 1,
 
 
 @contextmanager
-def held(df: DataFrame):
+def held(df: DataFrame, spread: bool = False):
     """Persist a frame (memory, spilling to disk) while an estimator makes
     several passes over it and its summary is read; release it after. The
-    lineage stays, so a lost executor's blocks are recomputed."""
+    lineage stays, so a lost executor's blocks are recomputed.
+
+    ``spread``: for many passes; a frame in fewer partitions than there are
+    cores (one small file) is dealt out over all of them once."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    first = kept
+    if spread and kept.rdd.getNumPartitions() < cores:
+        kept = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:
         kept.unpersist()
+        first.unpersist()
 
 
 def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFrame:
@@ -90,8 +98,9 @@ def kmeans_fit(df: DataFrame, columns: list[str], k: int, seed: int = 1,
     """L2: fit k-means on the columns; returns (model, rows with a
     ``cluster`` column)."""
     feats = assemble(df, columns)
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
-                   predictionCol="cluster").fit(feats)
+    with held(feats.select("features"), spread=True) as points:
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
+                       predictionCol="cluster").fit(points)
     return model, model.transform(feats).drop("features")
 
 
@@ -99,7 +108,7 @@ def kmeans_centres(df: DataFrame, columns: list[str], k: int, seed: int = 1,
                    digits: int = 4) -> DataFrame:
     """L2: centres and sizes of a k-means fit, one row per cluster (k rows;
     the sizes come from the fit's own summary, no extra pass)."""
-    with held(assemble(df.select(*columns).na.drop(), columns).select("features")) as feats:
+    with held(assemble(df.select(*columns).na.drop(), columns).select("features"), spread=True) as feats:
         model = KMeans(k=k, seed=seed, featuresCol="features").fit(feats)
         sizes = list(model.summary.clusterSizes)
         centres = [[float(x) for x in c] for c in model.clusterCenters()]
@@ -114,7 +123,7 @@ def kmeans_elbow(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1
     variance explained, 100 * (TSS - WSS) / TSS. k = 1 is the TSS itself
     (Spark's k-means needs k >= 2). The feature frame is persisted for the
     loop of fits and released after."""
-    with held(assemble(df.select(*columns).na.drop(), columns)) as feats:
+    with held(assemble(df.select(*columns).na.drop(), columns), spread=True) as feats:
         tss = total_sum_squares(feats, columns)
         rows = []
         for k in ks:
@@ -297,7 +306,7 @@ def logistic_fit(df: DataFrame, features: list[str], label: str, reg: float = 0.
                  max_iter: int = 100):
     """Logistic regression (L-BFGS on partial gradients per task)."""
     from pyspark.ml.classification import LogisticRegression
-    with held(assemble(df.select(label, *features).na.drop(), features)) as feats:
+    with held(assemble(df.select(label, *features).na.drop(), features), spread=True) as feats:
         return LogisticRegression(featuresCol="features", labelCol=label, regParam=reg,
                                   maxIter=max_iter).fit(feats)
 

@@ -35,7 +35,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_ROWS = 200_000        # rows a single task may sort to finish a bracket
+EXACT_ROWS = 1_000_000      # rows (16 MB) a single task may sort to finish a bracket
 GRID = 1000                 # grid intervals per round
 ACCURACY = 10 * GRID        # sketch accuracy: rank error < one tenth of a grid step
 BROADCAST_BYTES = 8 << 20   # largest target table sent to every task

@@ -166,11 +166,11 @@ def trip_medians(spark, sf_dir):
 
 
 def quantiles_in_rounds(spark, sf_dir):
-    """A5, A7 on five columns with a bound of 500 rows, so that brackets are
+    """A5, A7 on five columns with a bound of 5000 rows, so that brackets are
     narrowed in rounds: the path of a table too large to sort."""
     probs = [0.05, 0.25, 0.5, 0.75, 0.95]
     cols = TRIP_COLUMNS
-    cont, disc = (ST.exact_column_quantiles(SI.trips(spark, sf_dir), cols, probs, kind=k, max_rows=500)
+    cont, disc = (ST.exact_column_quantiles(SI.trips(spark, sf_dir), cols, probs, kind=k, max_rows=5000)
                   .select("column", "p", F.round("q", 6).alias(k)) for k in ("cont", "disc"))
     return cont.join(disc, ["column", "p"])
 
