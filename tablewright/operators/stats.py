@@ -115,8 +115,9 @@ def most_dispersed(df: DataFrame, by: str, column: str, digits: int = 2) -> Data
 def column_stats(df: DataFrame, columns: list[str], stats: dict) -> DataFrame:
     """Per-column statistics in long form (one row per column), computed
     side by side in one aggregate over the original rows. ``stats`` maps an
-    output name to a function from column to aggregate expression."""
-    agg = df.agg(*[fn(F.col(c).cast("double")).alias(f"_{j}_{i}")
+    output name to a function from column to aggregate expression. Text that
+    is no number counts as null (``describe_mixed`` keeps text)."""
+    agg = df.agg(*[fn(F.col(c).try_cast("double")).alias(f"_{j}_{i}")
                    for i, c in enumerate(columns) for j, fn in enumerate(stats.values())])
     rows = [F.struct(F.lit(c).alias("column"),
                      *[F.col(f"_{j}_{i}").alias(name) for j, name in enumerate(stats)])

@@ -184,3 +184,10 @@ def test_queries_leave_nothing_cached(spark):
     for q in ("summary_quartiles", "column_profile", "hash_sample", "split_exact"):
         E.queries()[q](spark, "/root/testdata/sf0.001").count()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_describe_columns_on_text_is_null_not_an_error(spark):
+    from tablewright.operators.stats import describe_columns
+    df = spark.createDataFrame([("x", 1.0), ("2", 3.0)], "t string, n double")
+    got = {r["column"]: (r["count"], r["mean"]) for r in describe_columns(df, ["t", "n"]).collect()}
+    assert got == {"t": (1, 2.0), "n": (2, 2.0)}
