@@ -169,8 +169,8 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", base: tupl
     is that of one batch of texts; a long text is looked at whole. Repeated
     rows stay repeated, an empty table gives no rows, other columns of
     ``docs`` are ignored."""
-    order = cascade(measure(docs, text, rules, sample_rows))
-    first = cascade(measure(docs, text, base, sample_rows))
+    measured = measure(docs, text, base + rules, sample_rows)
+    first, order = cascade(measured[:len(base)]), cascade(measured[len(base):])
     d = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     counts = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
