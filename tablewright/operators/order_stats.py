@@ -134,6 +134,7 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     bracket = ["lo", "hi"]
 
     grid = F.array(*[F.lit(p) for p in _GRID_PROBS])
+    narrowed = biggest > max_rows
     while biggest > max_rows:
         open_big = state.filter(F.col("answer").isNull() & (F.col("m") > max_rows))
         # Work is done per bracket, not per target: targets of one group
@@ -188,15 +189,18 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     #    per bracket; the wanted ranks are picked by a join with the (small,
     #    checked) target table on the bracket and the row number
     open_small = state.filter(F.col("answer").isNull())
-    brackets = open_small.select(*by, *bracket, "below").distinct()
-    cand = _attach(base, brackets, by, small)
-    w = Window.partitionBy(*by, *bracket).orderBy(F.col("_v"))
-    ranked = cand.select(*by, *bracket, F.col("_v").alias("_picked"),
+    if narrowed:
+        brackets = open_small.select(*by, *bracket, "below").distinct()
+        cand, ends = _attach(base, brackets, by, small), bracket
+    else:   # every bracket still is its whole group
+        cand, ends = base, []
+    w = Window.partitionBy(*by, *ends).orderBy(F.col("_v"))
+    ranked = cand.select(*by, *ends, F.col("_v").alias("_picked"),
                          F.row_number().over(w).alias("_rn"))
-    want = open_small.select(*keys, *bracket, (F.col("rank") - F.col("below")).alias("_rn"))
+    want = open_small.select(*keys, *ends, (F.col("rank") - F.col("below")).alias("_rn"))
     if small:
         want = F.broadcast(want)
-    picked = _join_same(want, ranked, by + ["_rn"], bracket).select(*keys, "_picked")
+    picked = _join_same(want, ranked, by + ["_rn"], ends).select(*keys, "_picked")
     out = (state.join(picked, keys, "left")
            .select(*keys, F.coalesce("answer", "_picked").alias(value)))
     if carried is not None:
@@ -268,9 +272,11 @@ def exact_column_quantiles(df: DataFrame, columns: list[str], probs: list[float]
     its passes."""
     if not columns:
         raise ValueError("no columns")
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "column", "x")
-    return exact_quantiles(long, "x", probs, by=["column"], kind=kind, max_rows=max_rows)
+    long = df.select(F.posexplode(F.array(*[F.col(c).try_cast("double") for c in columns]))
+                     .alias("_tw_c", "x"))
+    q = exact_quantiles(long, "x", probs, by=["_tw_c"], kind=kind, max_rows=max_rows)
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_tw_c") + 1)
+    return q.select(name.alias("column"), "p", "kind", "q")
 
 
 def first_k_conditions(df: DataFrame, order: list[str], ks: list[int],
