@@ -13,7 +13,9 @@ of the template's distinct words stand in it. The join finds every such pair:
 * positional filter: if the rarest template word in a block stands at place
   ``p`` of the template's order, at most ``size - p`` words can be shared.
 
-What passes is verified by counting the shared words. The templates are a small
+What passes is verified by counting the shared words, and by the words that tell
+a template from the others (``TELLING``): a block without them has the wording of
+another licence, whatever its share. The templates are a small
 fixed table; blocks are never shuffled but for the few that pass the filters.
 """
 
@@ -58,6 +60,13 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
+#: Words that tell the templates of a label from those of other licences. A
+#: template is met only by blocks with all of its label's words that it has.
+TELLING = {
+    "gpl": ("gnu",), "lgpl": ("lesser",), "agpl": ("affero",), "apache": ("apache",), "mit": ("mit",),
+    "cc-by": ("attribution",), "cc-by-nc": ("nc",), "cc-by-sa": ("sa",), "cc-by-nd": ("nd",), "mpl": ("mozilla",),
+}
+
 #: What stands between the words of the contract, whether or not A-Z are
 #: lower-cased.
 _GAP = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
@@ -72,17 +81,21 @@ def words(c: Column) -> Column:
 
 
 def templates(spark: SparkSession, rows: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(label, template, word, size, need): a row for every distinct word."""
-    d = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "template int, label string, body string")
+    """(label, template, word, size, need, must): a row for every distinct
+    word; ``must`` are the words that no block goes without."""
+    d = spark.createDataFrame([(i, a, b, list(TELLING.get(a, ()))) for i, (a, b) in enumerate(rows)],
+                              "template int, label string, body string, _tell array<string>")
     d = d.withColumn("_set", F.array_distinct(words(F.col("body")))).withColumn("size", F.size("_set"))
     need = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * F.col("size") - 1e-9).cast("int"))
-    return d.select("label", "template", "size", need.alias("need"), F.explode("_set").alias("word"))
+    return d.select("label", "template", "size", need.alias("need"), F.array_intersect("_set", "_tell").alias("must"),
+                    F.explode("_set").alias("word"))
 
 
 def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str, str]] = TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
     """(_key, _block, template, label, containment) of every pair of a block
-    and a template with a containment of ``threshold`` or more.
+    and a template with a containment of ``threshold`` or more, if the block
+    has the template's telling words.
 
     ``_block`` counts the lines of a text from 0; blocks of equal text are
     looked up each by itself. Rows repeated with the same key give repeated
@@ -99,9 +112,9 @@ def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str
     freq = cut(vocabulary.join(held.groupBy("word").agg(F.count(F.lit(1)).alias("_f")), "word", "left")
                .select("word", F.coalesce("_f", F.lit(0)).alias("_f")))
 
-    order = t.join(freq, "word").groupBy("template", "label", "size", "need").agg(
+    order = t.join(freq, "word").groupBy("template", "label", "size", "need", "must").agg(
         F.sort_array(F.collect_list(F.struct("_f", "word"))).alias("_o"))
-    order = cut(order.select("template", "label", "size", "need", F.expr("transform(_o, x -> x.word)").alias("_words")))
+    order = cut(order.select("template", "label", "size", "need", "must", F.expr("transform(_o, x -> x.word)").alias("_words")))
     prefix = order.select("template", "size", "need", F.posexplode(F.slice("_words", F.lit(1), F.col("size") - F.col("need") + 1)).alias("_place", "word"))
 
     # explode_outer: explode would list each block's words a second time, for a
@@ -109,11 +122,12 @@ def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str
     probes = blocks.select("_key", "_block", "_set", F.explode_outer("_set").alias("word"))
     hit = probes.join(F.broadcast(prefix), "word").where(F.size("_set") >= F.col("need"))      # prefix, length
     hit = hit.where(F.col("size") - F.col("_place") >= F.col("need"))                          # position
-    found = hit.join(F.broadcast(order.select("template", "label", "_words")), "template")
+    found = hit.join(F.broadcast(order.select("template", "label", "must", "_words")), "template")
     # a pair met by several prefix words counts once, at the first of them
     found = found.where(F.col("word") == F.element_at(F.array_intersect("_words", "_set"), 1))
     shared = F.size(F.array_intersect("_words", "_set"))
-    return found.where(shared >= F.col("need")).select(
+    told = F.size(F.array_except("must", "_set")) == 0
+    return found.where((shared >= F.col("need")) & told).select(
         "_key", "_block", "template", "label", (shared / F.col("size")).alias("containment"))
 
 

@@ -103,3 +103,19 @@ def test_filters_lose_no_pair(spark):
     for th in (0.5, 0.8, 1.0):
         got = {r._key for r in C.block_matches(docs(spark, data), "doc_id", "text", [("t", body)], th).collect()}
         assert got == {r[0] for r in data if bin(r[0]).count("1") >= 10 * th}
+
+
+def test_sibling_notices_keep_their_own_label(spark):
+    want = {
+        "Licensed under the GNU General Public License": [],       # the base phrase has it
+        "This work is licensed under the GNU General Public License, version 3.": ["gpl"],
+        "Licensed under the GNU Lesser General Public License": ["lgpl"],
+        "Licensed under the GNU Affero General Public License": ["agpl"],
+        "Licensed under CC BY 4.0.": [], "Licensed under CC BY-NC 4.0.": ["cc-by-nc"],
+        "Licensed under CC BY-SA 4.0.": ["cc-by-sa"], "Licensed under CC BY-ND 4.0": ["cc-by-nd"],
+        "Licensed under a Creative Commons Attribution 4.0 International License": ["cc-by"],
+        "Released under the Apache License": [], "Released under the MIT License": ["mit"],
+        "This work is licensed under the Mozilla Public License, version 3": [],
+        "This Source Code Form is subject to the terms of the Common Public License, v. 2.0": []}
+    got = C.license_scan(docs(spark, [(i, t, "en", "s") for i, t in enumerate(want)])).collect()
+    assert {r.doc_id: r.template_labels for r in got} == dict(enumerate(want.values()))
