@@ -172,6 +172,88 @@ class Lattice:
             begun[sub] += exp(self.start[sub] + b[j] - total)
 
 
+class Joint:
+    """The lattices of all classes over one vocabulary: a word's arcs are
+    found once and its forward recursion runs for all classes at once, place
+    by place over many words."""
+
+    def __init__(self, lattices: list[Lattice]):
+        import numpy as np
+        one = lattices[0]
+        # a stem that is no piece has -1
+        self.inner, self.start = dict.fromkeys(one.inner_stems, -1), dict.fromkeys(one.start_stems, -1)
+        self.inner.update((p, i) for i, p in enumerate(one.inner))
+        self.start.update((p, len(one.inner) + i) for i, p in enumerate(one.start))
+        self.bytes = len(one.inner) + len(one.start) - 1   # ... + bytes of a character without a piece
+        self.weight = np.array([[*m.inner.values(), *m.start.values(), *(m.byte * n for n in (1, 2, 3, 4))] for m in lattices]).T.copy()
+        self.bare = np.array([m.bare for m in lattices])
+        self.stop = np.array([m.stop for m in lattices])
+
+    def log_probs(self, words: list[str]):
+        """Natural logs of the words' probabilities over all segmentations: a
+        row for each word, a column for each class."""
+        import numpy as np
+        inner, start, many_bytes = self.inner, self.start, self.bytes
+        base, bases, ends = 0, [], []
+        first_to, first_piece = [], []                  # arcs of the pieces that begin a word
+        place, of, leaves, to, piece = [], [], [], [], []
+        for w in words:
+            n = len(w)
+            for j in range(1, n + 1):
+                p = start.get(w[:j])
+                if p is None:
+                    break
+                if p >= 0:
+                    first_to.append(base + j)
+                    first_piece.append(p)
+            for i in range(n):
+                before, j, sub = len(to), i + 1, w[i]
+                p = inner.get(sub)
+                if p is None or p < 0:
+                    to.append(base + j)
+                    piece.append(many_bytes + len(sub.encode("utf-8", "surrogatepass")))
+                while p is not None:
+                    if p >= 0:
+                        to.append(base + j)
+                        piece.append(p)
+                    j += 1
+                    if j > n:
+                        break
+                    p = inner.get(w[i:j])
+                leaves.append(len(to) - before)
+            of.extend(range(base, base + n))
+            place.extend(range(n))
+            bases.append(base)
+            base += n + 1
+            ends.append(base - 1)
+        a = np.full((base, len(self.bare)), -_INF)
+        a[bases] = self.bare
+        a[first_to] = self.weight[first_piece]
+        step, source = np.repeat(place, leaves), np.repeat(of, leaves)
+        order = np.argsort(step, kind="stable")
+        source, to, piece = source[order], np.array(to, dtype=np.int64)[order], np.array(piece, dtype=np.int64)[order]
+        cuts = np.cumsum(np.bincount(step)) if len(step) else []
+        at = 0
+        for end in cuts:                                # of one place no two arcs lead to the same
+            t = to[at:end]
+            a[t] = np.logaddexp(a[t], a[source[at:end]] + self.weight[piece[at:end]])
+            at = end
+        return a[ends] + self.stop
+
+
+def _runs(words: list[str], characters: int = 32_768) -> Iterator[list[str]]:
+    """``words`` in order, in lists of so many characters or of one word."""
+    held, size = [], 0
+    for w in words:
+        if held and size + len(w) > characters:
+            yield held
+            held, size = [], 0
+        held.append(w)
+        size += len(w)
+    if held:
+        yield held
+
+
 def _prior(model: str) -> tuple[dict[str, float], dict[str, float]]:
     """Zipf weights of the vocabulary: pieces that begin a word ('' is the
     bare blank) and pieces within one, each summing to one."""
@@ -271,39 +353,29 @@ def re_estimate(words: DataFrame, prior: tuple, lattices: list[Lattice], types:
 def score_words(words: DataFrame, lattices: list[Lattice], totals: list[int], types: list[int],
                 shares: list[float], discount: float) -> DataFrame:
     """(word, c, n, lm): ``c`` over all classes, ``lm`` the log10 probability
-    of the word in each class. A word that no training row holds has its
-    lattice probability in every class; one that only other classes hold has
-    what is shared."""
+    of the word in each class. Every word has its lattice probability in
+    every class, whether or not a training row of the class holds it."""
     sent = words.sparkSession.sparkContext.broadcast(lattices)
-    spared = [math.log(discount * t / n) if n else math.log(0.5) for t, n in zip(types, totals)]
-    own = math.log(1.0 - SHARED) if len(lattices) > 1 else 0.0
-    mixed = [math.log(SHARED * s) if s and len(lattices) > 1 else -_INF for s in shares]
-
-    def add(x: float, y: float) -> float:
-        hi, lo = (x, y) if x > y else (y, x)
-        return hi + math.log1p(math.exp(lo - hi)) if lo > hi - 700.0 else hi
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
-        m, ln10 = sent.value, math.log(10.0)
-        for b in slices(batches):
-            out, known = [], []
-            for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist()):
-                row, every = [], -_INF
-                arcs, anywhere = m[0].arcs(w), any(c)
-                for k, x in enumerate(c):
-                    p = -_INF
-                    if x or not anywhere:
-                        p = spared[k] + m[k].log_prob(w, arcs)
-                        if x:
-                            p = add(p, math.log((x - discount) / totals[k]))
-                        every = add(every, mixed[k] + p)
-                    row.append(p)
-                out.append([add(own + p, every) / ln10 for p in row])
-                known.append(sum(c))
+        m, many = Joint(sent.value), np.array(totals, dtype=float)
+        spared = np.array([math.log(discount * t / n) if n else math.log(0.5) for t, n in zip(types, totals)])
+        own = math.log(1.0 - SHARED) if len(totals) > 1 else 0.0
+        mixed = np.array([math.log(SHARED * s) if s and len(totals) > 1 else -_INF for s in shares])
+        for b in slices(batches, 4096):
+            c = np.array(b.column("c").flatten()).reshape(b.num_rows, -1)
+            p = np.concatenate([m.log_probs(w) for w in _runs(b.column("word").to_pylist())]) + spared
+            held = c > 0
+            seen = np.full(p.shape, -_INF)
+            seen[held] = np.log(((c - discount) / np.where(many > 0, many, 1.0))[held])
+            p = np.logaddexp(p, seen)
+            every = np.logaddexp.reduce(p + mixed, axis=1)
+            out = np.logaddexp(p + own, every[:, None]) / math.log(10.0)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, out.shape[1]), pa.int32()), pa.array(out.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [b.column("word"), pa.array(known, pa.int64()), b.column("n"), pa.array(out, pa.list_(pa.float64()))],
-                names=["word", "c", "n", "lm"])
+                [b.column("word"), pa.array(c.sum(axis=1), pa.int64()), b.column("n"), lists], names=["word", "c", "n", "lm"])
 
     return words.mapInArrow(run, "word string, c long, n long, lm array<double>")
 

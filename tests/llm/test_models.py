@@ -118,6 +118,33 @@ def test_forward_sums_all_segmentations():
     assert -1e6 < m.log_prob("ab" * 20_000) < 0         # no underflow
 
 
+def test_all_classes_at_once():
+    ms = [L._lattice(PRIOR, {"ab": x}, {"a": 3.0, "bab": x}, 5) for x in (0.0, 40.0, 900.0)]
+    words = ["".join(w) for n in range(0, 6) for w in itertools.product("abé", repeat=n)] + ["ab" * 20_000, "😀b", "\ud800", "a"]
+    for run in L._runs(words, 50):
+        got = L.Joint(ms).log_probs(run)
+        assert got.shape == (len(run), 3)
+        for w, row in zip(run, got):
+            assert all(math.isclose(x, m.log_prob(w), rel_tol=1e-9) for x, m in zip(row, ms)), w
+    assert [w for r in L._runs(words, 50) for w in r] == words
+
+
+def test_words_of_other_classes_keep_their_lattice_term(spark):
+    """By class the marginal over all segmentations, with the discounted
+    frequency where the class has the word."""
+    ms = [L._lattice(PRIOR, {"ab": x}, {"a": 3.0, "bab": x}, 5) for x in (0.0, 900.0)]
+    totals, types, shares, discount = [40, 60], [7, 9], [0.25, 0.75], 0.6
+    data = [("abab", [0, 3], 3), ("bab", [2, 0], 2), ("aab", [1, 4], 5), ("bbba", [0, 0], 1)]
+    words = spark.createDataFrame(data, "word string, c array<long>, n long")
+    got = {r.word: r for r in L.score_words(words, ms, totals, types, shares, discount).collect()}
+    for w, c, n in data:
+        p = [discount * t / m * every_path(x, w) + max(0.0, k - discount) / m for t, m, x, k in zip(types, totals, ms, c)]
+        shared = sum(s * x for s, x in zip(shares, p))
+        want = [math.log10((1 - L.SHARED) * x + L.SHARED * shared) for x in p]
+        assert (got[w].c, got[w].n) == (sum(c), n)
+        assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(got[w].lm, want)), w
+
+
 def test_word_probabilities_sum_to_one():
     m = L._lattice(PRIOR, {}, {}, 0)
     part = [sum(every_path(m, w) for w in map("".join, itertools.product("ab", repeat=n))) for n in range(1, 9)]
