@@ -14,7 +14,7 @@ lattice (absolute discounting, the discount from the counts of counts).
 
 Training rows may name a class (their language). Each class then has a model
 of its own, mixed with a little of all classes together, and a text takes the
-class under which its frequent words are likeliest, at the cost of that class's
+class under which all its words are likeliest, at the cost of that class's
 share of the rows: one term of the mixture over classes, so never more than its
 probability. Only the text decides; the class column of a scored row is not
 looked at.
@@ -22,7 +22,8 @@ looked at.
 Distribution: a table of distinct words is counted with a combine before the
 shuffle and scored once a word. Documents meet it again by word: the most
 frequent words, at most ``HEAD_WORDS``, are sent to every task; the others are
-joined, and as none of them is frequent, no key is hot.
+joined, and as none of them is frequent, no key is hot. The logs are summed for
+every class, and the class is taken from the sums over all words.
 """
 
 from __future__ import annotations
@@ -458,45 +459,44 @@ def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text
         at, c, lm = head.value
         known, base = c > 0, np.log10((c + 0.5) / floor)
         for b in slices(batches):
-            cols: list[list] = [[] for _ in range(8)]
+            cols: list[list] = [[] for _ in range(7)]
             for i, t in enumerate(b.column("_text").cast("binary").to_pylist()):
                 counts = Counter(tokens(t))
                 place = [at.get(w, -1) for w in counts]
                 here = np.array([p for p in place if p >= 0], dtype=np.int64)
                 many = np.array([m for p, m in zip(place, counts.values()) if p >= 0], dtype=np.int64)
                 by_class = np.array(entry) + (many @ lm[here] if len(here) else 0.0)
-                k = int(by_class.argmax())
                 rest = [(w, m) for p, (w, m) in zip(place, counts.items()) if p < 0]
                 n = len(rest)
                 # no word holds a blank: the key of the row of sums joins with
                 # nothing, and differs from row to row so that they do not meet
                 tokens_here = 1 + sum(counts.values())
                 for col, values in zip(cols, (
-                        [i] * (n + 1), [w for w, _ in rest] + [b" %d %d" % (i, tokens_here)], [m for _, m in rest] + [0], [k] * (n + 1),
+                        [i] * (n + 1), [w for w, _ in rest] + [b" %d %d" % (i, tokens_here)], [m for _, m in rest] + [0],
                         [0] * n + [int(ends > 0) + int(many @ known[here]) if len(here) else int(ends > 0)],
                         [0.0] * n + [end_base + (float(many @ base[here]) if len(here) else 0.0)],
-                        [0.0] * n + [end_lm + float(by_class[k])], [0] * n + [tokens_here])):
+                        [None] * n + [(end_lm + by_class).tolist()], [0] * n + [tokens_here])):
                     col += values
             row = pa.array(cols[0], pa.int32())
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+            kinds = (pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column("_key").take(row), b.column("_row").take(row), pa.array(cols[1], pa.binary()).cast(pa.string()),
                  *(pa.array(x, t) for x, t in zip(cols[2:], kinds))],
-                names=["_key", "_row", "word", "_many", "_k", "_known", "_base", "_lm", "_n"])
+                names=["_key", "_row", "word", "_many", "_known", "_base", "_lm", "_n"])
 
     of = d.schema["_key"].dataType.simpleString()
     rows = d.select("_key", "_text", F.xxhash64("_key", "_text").alias("_row")).mapInArrow(
-        run, f"_key {of}, _row long, word string, _many int, _k int, _known long, _base double, _lm double, _n long")
+        run, f"_key {of}, _row long, word string, _many int, _known long, _base double, _lm array<double>, _n long")
     c = F.coalesce("c", F.lit(0))
     many = F.col("_many")
     met = rows.join(scored.select("word", "c", "lm"), "word", "left").select(
         "_key", "_row", "_n", (F.col("_known") + F.when(c > 0, many).otherwise(0)).alias("_known"),
         (F.col("_base") + F.when(many > 0, many * F.log10((c + 0.5) / F.lit(floor))).otherwise(0.0)).alias("_base"),
-        (F.col("_lm") + F.when(many > 0, many * F.get("lm", F.col("_k"))).otherwise(0.0)).alias("_lm"))
+        *[F.when(many > 0, many * F.get("lm", F.lit(k))).otherwise(F.get("_lm", F.lit(k))).alias(f"_lm{k}") for k in range(classes)])
     # rows with equal key and text were summed as one: _same of them
     sums = met.groupBy("_key", "_row").agg(
         F.count_if(F.col("_n") > 0).alias("_same"), F.max("_n").alias("_n"), F.sum("_known").alias("_known"),
-        F.sum("_base").alias("_base"), F.sum("_lm").alias("_lm"))
+        F.sum("_base").alias("_base"), F.array_max(F.array(*[F.sum(f"_lm{k}") for k in range(classes)])).alias("_lm"))
     each = sums.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_same").cast("int"))))
     return each.select(F.col("_key").alias(key), F.col("_n").alias("n_tokens"),
                        F.floor(F.col("_known") / F.col("_same") + 0.5).cast("long").alias("n_known"),

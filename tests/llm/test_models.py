@@ -195,6 +195,18 @@ def test_head_only_moves_the_work(spark):
     assert all(abs(few[i] - all_[i]) < 1e-6 * abs(all_[i]) for i in all_)
 
 
+def test_head_does_not_choose_the_class(spark):
+    """The words that tell the classes apart are too rare for the head."""
+    r, data = random.Random(3), []
+    for i in range(90):
+        own = [f"{'xyz'[i % 3]}{r.randrange(60)}" for _ in range(12)]
+        data.append((i, " ".join(own + ["the", "of", "and", "to", "in"] * 4), ["en", "de", "fr"][i % 3 if i < 80 else 0], "s"))
+    d = docs(spark, data).withColumn("train", F.col("doc_id") < 60)
+    few = {r.doc_id: r.score for r in L.lm_score(d, "train", kind="lang", head_words=5).collect()}
+    all_ = {r.doc_id: r.score for r in L.lm_score(d, "train", kind="lang", head_words=200_000).collect()}
+    assert all(abs(few[i] - all_[i]) < 1e-6 * abs(all_[i]) for i in all_)
+
+
 def test_lm_edges(spark):
     d = docs(spark).withColumn("train", F.lit(False))
     got = L.lm_score(d, "train").collect()
