@@ -1,7 +1,8 @@
 """Licence scan: exact phrases, and an exact set-similarity join of text blocks
 with licence templates. DataFrame functions only.
 
-A block is a line of a text. A block meets a template if at least ``threshold``
+A block is a line of a text, or (``wrapped``) a run of words twice as long as the
+template, wherever its lines end. A block meets a template if at least ``threshold``
 of the template's distinct words stand in it. The join finds every such pair:
 
 * words are ordered by how many blocks hold them, over the whole table, rarest
@@ -91,6 +92,59 @@ def templates(spark: SparkSession, rows: Sequence[tuple[str, str]] = TEMPLATES,
                     F.explode("_set").alias("word"))
 
 
+def _rarest_first(t: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The templates with their words, those in fewest ``blocks`` first."""
+    vocabulary = F.broadcast(t.select("word").distinct())   # words of a fixed table
+    # the words of the templates that each block holds; a block that shares
+    # none with any template is gone here
+    held = blocks.select(F.explode_outer("_set").alias("word")).join(vocabulary, "word", "left_semi")
+    freq = cut(vocabulary.join(held.groupBy("word").agg(F.count(F.lit(1)).alias("_f")), "word", "left")
+               .select("word", F.coalesce("_f", F.lit(0)).alias("_f")))
+
+    order = t.join(freq, "word").groupBy("template", "label", "size", "need", "must").agg(
+        F.sort_array(F.collect_list(F.struct("_f", "word"))).alias("_o"))
+    return cut(order.select("template", "label", "size", "need", "must", F.expr("transform(_o, x -> x.word)").alias("_words")))
+
+
+def _prefix(order: DataFrame) -> DataFrame:
+    return order.select("template", "size", "need", F.posexplode(F.slice("_words", F.lit(1), F.col("size") - F.col("need") + 1)).alias("_place", "word"))
+
+
+def window_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str, str]] = TEMPLATES,
+                   threshold: float = THRESHOLD) -> DataFrame:
+    """(_key, template, label, containment) of templates and texts in which a
+    run of words, twice as many as the template has distinct ones, holds a
+    share of ``threshold`` or more of them and its telling words, which count
+    only next to another of its words. Runs go on over line ends.
+
+    Every run that is looked for holds a prefix word, so only the runs around
+    those are formed, at every place. A pair comes once for each prefix word
+    near which it is met."""
+    t = templates(docs.sparkSession, rows, threshold)
+    d = docs.select(F.col(key).alias("_key"), words(text_or_empty(text)).alias("_all"))
+    order = _rarest_first(t, d.select(F.array_distinct("_all").alias("_set")))
+    span = 2 * F.col("size")
+    hit = d.select("_key", "_all", F.posexplode_outer("_all").alias("_at", "word")).join(F.broadcast(_prefix(order)), "word")
+    begin = F.greatest(F.lit(0), F.col("_at") - span + 1)
+    hit = hit.select("_key", "template", "size", "need", F.slice("_all", begin + 1, F.col("_at") + span - begin).alias("_near"))
+    found = hit.join(F.broadcast(order.select("template", "label", "must", "_words")), "template")
+    found = found.where(F.size(F.array_intersect("_words", "_near")) >= F.col("need"))
+
+    def known(i):
+        return F.coalesce(F.array_contains("_words", F.get("_near", i)), F.lit(False))
+
+    found = found.withColumn("_near", F.transform("_near", lambda x, i: F.when(
+        F.array_contains("must", x) & ~known(i - 1) & ~known(i + 1), "").otherwise(x)))
+
+    def shared(i):
+        run = F.slice("_near", i, span)
+        return F.when(F.size(F.array_except("must", run)) == 0, F.size(F.array_intersect("_words", run))).otherwise(0)
+
+    best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("_near")), shared))
+    found = found.withColumn("_best", best).where(F.col("_best") >= F.col("need"))
+    return found.select("_key", "template", "label", (F.col("_best") / F.col("size")).alias("containment"))
+
+
 def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str, str]] = TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
     """(_key, _block, template, label, containment) of every pair of a block
@@ -102,20 +156,10 @@ def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str
     pairs."""
     spark = docs.sparkSession
     t = templates(spark, rows, threshold)
-    vocabulary = F.broadcast(t.select("word").distinct())   # words of a fixed table
     d = docs.select(F.col(key).alias("_key"), F.posexplode(F.split(text_or_empty(text), "\n", -1)).alias("_block", "_line"))
     blocks = d.select("_key", "_block", F.array_distinct(words(F.col("_line"))).alias("_set"))
-
-    # the words of the templates that each block holds; a block that shares
-    # none with any template is gone here
-    held = blocks.select("_key", "_block", F.explode_outer("_set").alias("word")).join(vocabulary, "word", "left_semi")
-    freq = cut(vocabulary.join(held.groupBy("word").agg(F.count(F.lit(1)).alias("_f")), "word", "left")
-               .select("word", F.coalesce("_f", F.lit(0)).alias("_f")))
-
-    order = t.join(freq, "word").groupBy("template", "label", "size", "need", "must").agg(
-        F.sort_array(F.collect_list(F.struct("_f", "word"))).alias("_o"))
-    order = cut(order.select("template", "label", "size", "need", "must", F.expr("transform(_o, x -> x.word)").alias("_words")))
-    prefix = order.select("template", "size", "need", F.posexplode(F.slice("_words", F.lit(1), F.col("size") - F.col("need") + 1)).alias("_place", "word"))
+    order = _rarest_first(t, blocks)
+    prefix = _prefix(order)
 
     # explode_outer: explode would list each block's words a second time, for a
     # filter on their number
@@ -144,10 +188,12 @@ def phrase_places(w: Column, phrases: Sequence[tuple[str, str]] = PHRASES) -> Co
 
 def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  phrases: Sequence[tuple[str, str]] = PHRASES,
-                 rows: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+                 rows: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
+                 wrapped: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``n_words``, ``places`` (of the
     phrases: place and label), ``template_labels`` (of the templates met by
     any block) and ``containment`` (the largest, 0 if no template is met).
+    Blocks are lines, or with ``wrapped`` runs of words over line ends.
 
     A null or empty text has no words and no licence. Rows repeated with the
     same key get the labels of any of them; null keys are taken as one key.
@@ -160,7 +206,7 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
     d = d.select("_key", F.size("_words").cast("long").alias("n_words"),
                  F.when(F.arrays_overlap("_words", begins), phrase_places(F.col("_words"), phrases))
                  .otherwise(F.array().cast(kind)).alias("places"))
-    pairs = block_matches(docs, key, text, rows, threshold)
+    pairs = (window_matches if wrapped else block_matches)(docs, key, text, rows, threshold)
     best = pairs.groupBy(F.col("_key").alias("_mkey")).agg(
         F.sort_array(F.collect_set("label")).alias("template_labels"), F.max("containment").alias("containment"))
     out = d.join(best, F.col("_key").eqNullSafe(F.col("_mkey")), "left")

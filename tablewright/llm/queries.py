@@ -106,7 +106,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and templates in every document."""
-    r = licenses.license_scan(table(spark, sf_dir, "documents"))
+    r = licenses.license_scan(table(spark, sf_dir, "documents"), wrapped=True)
     base = F.array_sort(F.array_distinct("places.label"))
     return r.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),

@@ -119,3 +119,25 @@ def test_sibling_notices_keep_their_own_label(spark):
         "This Source Code Form is subject to the terms of the Common Public License, v. 2.0": []}
     got = C.license_scan(docs(spark, [(i, t, "en", "s") for i, t in enumerate(want)])).collect()
     assert {r.doc_id: r.template_labels for r in got} == dict(enumerate(want.values()))
+
+
+def test_wrapped_notices_are_found(spark):
+    """Notices over several lines are met, words strewn over a long line not;
+    siblings keep their own label."""
+    import textwrap
+    body = {label: text for label, text in C.TEMPLATES}
+    data, want = [], {}
+    for i, (label, notice) in enumerate(body.items()):
+        for k, width in enumerate((30, 70, 10_000)):
+            lines = textwrap.wrap(word_salad(i, 40) + " " + notice + " " + word_salad(i + 50, 900), width)
+            data.append((10 * i + k, "\n * ".join(lines), "en", "s"))
+            want[10 * i + k] = [label]
+    strewn = f"all {word_salad(1, 50)} rights {word_salad(2, 50)} reserved"
+    data += [(900, strewn, "en", "s"), (901, None, "en", "s"), (902, "", "en", "s"), (903, "Released under MIT\nLicense", "en", "s"),
+             (904, "Licensed under the terms of the GNU\nLesser General Public License", "en", "s")]
+    data.append((905, "be nd atoned onor on\nLicensed under CC BY-NC 4.0", "en", "s"))
+    want |= {905: ["cc-by-nc"], 900: [], 901: [], 902: [], 903: ["mit"], 904: ["lgpl"]}
+    got = {r.doc_id: r.template_labels for r in C.license_scan(docs(spark, data), wrapped=True).collect()}
+    assert got == want
+    lines = {r.doc_id: r.template_labels for r in C.license_scan(docs(spark, data)).collect()}
+    assert lines[903] == [] and lines[900] == ["proprietary"]
