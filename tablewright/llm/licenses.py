@@ -10,9 +10,10 @@ of the template's distinct words stand in it. The join finds every such pair:
 * prefix filter: a block that holds ``need = ceil(threshold * size)`` of a
   template's words holds one of its ``size - need + 1`` rarest, so only those
   are joined on;
-* length filter: a block with fewer than ``need`` distinct words is out;
-* positional filter: if the rarest template word in a block stands at place
-  ``p`` of the template's order, at most ``size - p`` words can be shared.
+* length filter (lines): a block with fewer than ``need`` distinct words is out.
+
+A positional filter would remove nothing: a prefix word always leaves ``need``
+places of its template from its own on.
 
 What passes is verified by counting the shared words, and by the words that tell
 a template from the others (``TELLING``): a block without them has the wording of
@@ -165,7 +166,6 @@ def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str
     # filter on their number
     probes = blocks.select("_key", "_block", "_set", F.explode_outer("_set").alias("word"))
     hit = probes.join(F.broadcast(prefix), "word").where(F.size("_set") >= F.col("need"))      # prefix, length
-    hit = hit.where(F.col("size") - F.col("_place") >= F.col("need"))                          # position
     found = hit.join(F.broadcast(order.select("template", "label", "must", "_words")), "template")
     # a pair met by several prefix words counts once, at the first of them
     found = found.where(F.col("word") == F.element_at(F.array_intersect("_words", "_set"), 1))
