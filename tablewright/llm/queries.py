@@ -3,12 +3,12 @@ with production parameters, and the digest columns of its contract."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    exact_dedup, lattice_lm, licenses, line_dedup, mixing, quality, sentencepiece_fst,
-    simhash, tool_calls, toxicity)
+    exact_dedup, lattice_lm, licenses, line_dedup, mixing, periodic_runs, quality,
+    sentencepiece_fst, simhash, tool_calls, toxicity)
 from tablewright.llm.common import table
 
 
@@ -121,7 +121,38 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_fst.encode(table(spark, sf_dir, "documents"))
 
 
+def repeated_from(doc_id: str, text: str) -> Column:
+    """The text, in one of ten documents with its words from a place on
+    repeated at a period; place and period follow from crc32 of the id."""
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n = F.size(words).cast("long")
+    a = g % F.nullif(n, F.lit(0))
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    planted = F.transform(
+        F.array(F.struct(words.alias("w"), a.alias("a"), p.alias("p"))),
+        lambda x: F.array_join(F.transform(x.w, lambda w, i: F.when(i < x.a, w).otherwise(
+            F.get(x.w, (x.a + (i - x.a) % x.p).cast("int")))), " "))
+    return F.when((h % 10 == 0) & (F.col(text).rlike(r"[^\x20\x09-\x0D]")), F.get(planted, F.lit(0))).otherwise(F.col(text))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of runs, longest run and digests of runs and collapsed text of
+    every document, some of which get a run planted."""
+    d = table(spark, sf_dir, "documents").select("doc_id", repeated_from("doc_id", "text").alias("text"))
+    r = periodic_runs.periodic_runs(d).withColumn("best", F.get(F.array_sort(F.transform("runs", lambda x: F.struct(
+        (-x.length).alias("l"), x.start.alias("start"), x.period.alias("period")))), F.lit(0)))
+    line = lambda x: F.concat_ws(",", x.start, x.length, x.period)
+    listed = F.array_join(F.transform("runs", lambda x: F.concat(line(x), F.lit("\n"))), "")
+    return r.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.l")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(F.expr("1000 * -best.l") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_tool_calls, op2_simhash, op3_quality, op4_lattice_lm, op5_toxicity, op6_line_dedup,
     op7_mixing, op8_exact_dedup, op9_licenses,
-    op10_sentencepiece)}
+    op10_sentencepiece, op11_periodic_runs)}
