@@ -203,4 +203,40 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS
 FROM w LEFT JOIN base b USING (doc_id) LEFT JOIN met m USING (doc_id)
 """
 
-ORACLES = {"op1_tool_calls": OP1, "op3_quality": OP3, "op9_licenses": OP9, "op6_line_dedup": OP6, "op7_mixing": OP7, "op8_exact_dedup": OP8}
+OP12 = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS doc, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), corpus AS (
+  SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0
+), items AS MATERIALIZED (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+), wanted AS (
+  SELECT item, term, count(*) AS times FROM (SELECT item, unnest(terms) AS term FROM items) GROUP BY ALL
+), tf AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, corpus GROUP BY term, n_docs
+), impacts AS (
+  SELECT doc, term,
+         w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(terms) * n_docs) // n_terms))) AS impact
+  FROM tf JOIN weights USING (term) JOIN d USING (doc), corpus
+), scores AS (
+  SELECT item, doc, sum(times * impact)::BIGINT AS score
+  FROM wanted JOIN impacts USING (term) GROUP BY ALL HAVING sum(times * impact) > 0
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scores JOIN items USING (item) JOIN d USING (doc)
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op1_tool_calls": OP1, "op3_quality": OP3, "op9_licenses": OP9, "op6_line_dedup": OP6, "op7_mixing": OP7,
+           "op8_exact_dedup": OP8, "op12_lexical_search": OP12}

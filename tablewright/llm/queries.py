@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    exact_dedup, lattice_lm, licenses, line_dedup, mixing, periodic_runs, quality,
+    exact_dedup, lattice_lm, lexical_search, licenses, line_dedup, mixing, periodic_runs, quality,
     sentencepiece_fst, simhash, tool_calls, toxicity)
 from tablewright.llm.common import table
 
@@ -152,7 +152,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_tool_calls, op2_simhash, op3_quality, op4_lattice_lm, op5_toxicity, op6_line_dedup,
     op7_mixing, op8_exact_dedup, op9_licenses,
-    op10_sentencepiece, op11_periodic_runs)}
+    op10_sentencepiece, op11_periodic_runs, op12_lexical_search)}
