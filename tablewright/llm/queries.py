@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    exact_dedup, lattice_lm, lexical_search, licenses, line_dedup, mixing, periodic_runs, quality,
+    exact_dedup, language_id, lattice_lm, lexical_search, licenses, line_dedup, mixing, periodic_runs, quality,
     sentencepiece_fst, simhash, tool_calls, toxicity)
 from tablewright.llm.common import table
 
@@ -157,7 +157,15 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows with remainder 2 are held out."""
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    d = table(spark, sf_dir, "documents")
+    r = language_id.identify(d, language_id.fit(d.where(~held)), carry=("doc_id",))
+    return r.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_tool_calls, op2_simhash, op3_quality, op4_lattice_lm, op5_toxicity, op6_line_dedup,
     op7_mixing, op8_exact_dedup, op9_licenses,
-    op10_sentencepiece, op11_periodic_runs, op12_lexical_search)}
+    op10_sentencepiece, op11_periodic_runs, op12_lexical_search, op13_language_id)}
