@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import math
 from contextlib import contextmanager
+from threading import Lock
 
-from pyspark import StorageLevel
+from pyspark import InheritableThread, StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,7 +23,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import ratio
+from tablewright.operators import sufficient as SS
 
 
 # --- features -------------------------------------------------------------------
@@ -117,24 +118,91 @@ def kmeans_centres(df: DataFrame, columns: list[str], k: int, seed: int = 1,
         rows, ", ".join(f"`{c}` double" for c in columns) + ", size bigint")
 
 
-def kmeans_elbow(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1,
-                 max_iter: int = 20) -> DataFrame:
-    """Within-cluster sum of squares (WSS) per k and the share of
-    variance explained, 100 * (TSS - WSS) / TSS. k = 1 is the TSS itself
-    (Spark's k-means needs k >= 2). The feature frame is persisted for the
-    loop of fits and released after."""
+def concurrently(tasks: list, workers: int = 4) -> list:
+    """The results of ``tasks`` (functions that run Spark jobs), called from
+    several driver threads with the session's local properties, so that cores
+    which one task's small stages leave idle serve another. The first error is
+    raised once all threads have ended."""
+    out: list = [None] * len(tasks)
+    errors: list[BaseException] = []
+    left = iter(range(len(tasks)))
+    lock = Lock()
+
+    def work() -> None:
+        while not errors:
+            with lock:
+                i = next(left, None)
+            if i is None:
+                return
+            try:
+                out[i] = tasks[i]()
+            except BaseException as e:  # noqa: BLE001 - raised below, in the caller's thread
+                errors.append(e)
+
+    threads = [InheritableThread(target=work) for _ in range(min(workers, len(tasks)))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return out
+
+
+def kmeans_clusters(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1,
+                    max_iter: int = 20, workers: int = 4) -> DataFrame:
+    """L3/L4: (k, cluster, n, centre, within) for each k and cluster: the rows
+    that the fit assigns to it, their mean, and their sum of squared distances
+    to it. The fits of all k run concurrently over one held frame; each is
+    followed by one aggregate over its assignment. k = 1 needs no fit. Rows
+    with a null in a column do not count; k must be positive. No rows: no
+    clusters."""
+    spark = df.sparkSession
+    schema = "k int, cluster int, n bigint, centre array<double>, within double"
+    by = {"n": F.count(F.lit(1)), "centre": F.array(*[F.avg(c) for c in columns]),
+          "within": sum((F.var_pop(c) for c in columns[1:]), F.var_pop(columns[0])) * F.count(F.lit(1))}
+    aggregates = [v.alias(c) for c, v in by.items()]
     with held(assemble(df.select(*columns).na.drop(), columns), spread=True) as feats:
-        tss = total_sum_squares(feats, columns)
-        rows = []
-        for k in ks:
+        whole = feats.agg(*aggregates).first()       # fills the cache before the fits start
+        if not whole["n"]:
+            return spark.createDataFrame([], schema)
+
+        def one(k: int) -> list[tuple]:
             if k == 1:
-                wss = tss
-            else:
-                model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(feats)
-                wss = float(model.summary.trainingCost)
-            r2 = None if tss == 0 else 100.0 * (tss - wss) / tss
-            rows.append((int(k), wss, r2))
-    return df.sparkSession.createDataFrame(rows, "k int, wss double, r2_pct double")
+                return [(1, 0, *whole)]
+            model = KMeans(k=k, seed=seed, maxIter=max_iter, predictionCol="_cluster").fit(feats)
+            rows = model.transform(feats).groupBy("_cluster").agg(*aggregates).collect()
+            return [(k, *r) for r in sorted(rows)]
+
+        order = sorted(ks, reverse=True)             # the longest fits first
+        found = concurrently([lambda k=k: one(int(k)) for k in order], workers)
+    return spark.createDataFrame([r for rows in reversed(found) for r in rows], schema)
+
+
+def kmeans_elbow(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1,
+                 max_iter: int = 20, workers: int = 4) -> DataFrame:
+    """For each k the within-cluster sum of squares (WSS), the total
+    (TSS), that between the centres (from centres and sizes alone), and the
+    share of variance explained, 100 * (TSS - WSS) / TSS. One fit a k; the
+    rows are those of ``kmeans_clusters``, a few dozen."""
+    found = kmeans_clusters(df, columns, ks, seed, max_iter, workers).collect()
+    rows = []
+    for k in ks:
+        own = [r for r in found if r.k == k]
+        n = sum(r.n for r in own)
+        if not n:
+            continue
+        wss = float(sum(r.within for r in own))
+        mean = [sum(r.n * r.centre[i] for r in own) / n for i in range(len(columns))]
+        between = float(sum(r.n * sum((x - m) ** 2 for x, m in zip(r.centre, mean)) for r in own))
+        rows.append((int(k), n, wss, between))
+    total = [float(r.within) for r in found if r.k == 1]
+    if rows and not total:
+        total = [total_sum_squares(df.select(*columns).na.drop(), columns)]
+    rows = [(k, n, wss, between, total[0], 100.0 * (total[0] - wss) / total[0] if total[0] else None)
+            for k, n, wss, between in rows]
+    return df.sparkSession.createDataFrame(
+        rows, "k int, n bigint, wss double, between double, tss double, r2_pct double")
 
 
 def cluster_profile(df: DataFrame, cluster: str, columns: list[str],
@@ -256,13 +324,12 @@ def linreg_fit(df: DataFrame, features: list[str], label: str, reg: float = 0.0,
 
 
 def linreg_coefficients(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """The coefficient table: estimate, standard error, t, p."""
-    with held(df.select(label, *features)) as d:
-        m = linreg_fit(d, features, label)
-        s = m.summary
-        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
-    return _coef_table(df.sparkSession, features, m.coefficients.toArray(), m.intercept,
-                       se, tv, pv)
+    """The coefficient table: estimate, standard error, t, p. One scan:
+    all of it follows from the moments of label and features."""
+    columns = [label, *features]
+    fit = SS.least_squares(SS.read_moments(SS.moments(df, columns), columns)[None], features, label)
+    return df.sparkSession.createDataFrame(
+        fit.table(), "term string, estimate double, std_error double, t_value double, p_value double")
 
 
 def predict(model, df: DataFrame, features: list[str], out: str = "prediction") -> DataFrame:
@@ -323,23 +390,10 @@ def predict_probability(model, df: DataFrame, features: list[str],
 def regularization_sweep(train: DataFrame, valid: DataFrame, features: list[str],
                          label: str, regs: list[float], elastic: float = 0.0) -> DataFrame:
     """Fit on the training part for each regularisation strength and
-    score the validation part (RMSE, R2). Both parts are held for the loop
-    and released after it."""
-    rows = []
-    with (held(assemble(train.select(label, *features).na.drop(), features)) as tr,
-          held(assemble(valid.select(label, *features).na.drop(), features)) as va):
-        for r in regs:
-            m = LinearRegression(featuresCol="features", labelCol=label, regParam=r,
-                                 elasticNetParam=elastic, solver="auto").fit(tr)
-            p = m.transform(va)
-            y, q = F.col(label), F.col("prediction")
-            st = p.agg(F.sqrt(F.avg((y - q) * (y - q))).alias("rmse"),
-                       (F.lit(1.0) - ratio(F.sum((y - q) * (y - q)),
-                                           F.var_pop(y) * F.count(F.lit(1)))).alias("r2")).collect()[0]
-            rows.append((float(r), None if st["rmse"] is None else round(float(st["rmse"]), 4),
-                         None if st["r2"] is None else round(float(st["r2"]), 6)))
-    return train.sparkSession.createDataFrame(
-        rows, "reg_param double, rmse double, r2 double")
+    score the validation part (RMSE, R2), from one aggregate over both.
+    Parts of one table that a column tells apart: ``sufficient.sweep``."""
+    parts = [d.select(F.lit(name).alias("_part"), label, *features) for name, d in (("t", train), ("v", valid))]
+    return SS.sweep(parts[0].unionByName(parts[1]), "_part", "t", "v", features, label, regs, elastic)
 
 
 def logistic_sweep(train: DataFrame, valid: DataFrame, features: list[str], label: str,

@@ -520,3 +520,101 @@ ORACLES |= {
                round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
         FROM scored GROUP BY reg""",
 }
+
+
+# --- four features: normal equations by the sweep operator --------------------------
+
+_X = TRIP_COLUMNS[1:]
+
+
+def _swept(source: str, p: int, carried: str = "") -> str:
+    """CTEs s1 to s<p> that sweep the pivots 0 to p - 1 of the symmetric matrix
+    a_i_j (i <= j <= p) in the columns of ``source``: then a_j_p are the
+    coefficients, a_p_p is the residual sum and -a_i_j the inverse."""
+    a = lambda i, j: f"a_{min(i, j)}_{max(i, j)}"
+    out, src = [], source
+    for k in range(p):
+        cells = []
+        for i in range(p + 1):
+            for j in range(i, p + 1):
+                if i == j == k:
+                    v = f"-1 / {a(k, k)}"
+                elif k in (i, j):
+                    v = f"{a(i, j)} / {a(k, k)}"
+                else:
+                    v = f"{a(i, j)} - {a(i, k)} * {a(k, j)} / {a(k, k)}"
+                cells.append(f"{v} AS {a(i, j)}")
+        out.append(f"s{k + 1} AS (SELECT {carried}{', '.join(cells)} FROM {src})")
+        src = f"s{k + 1}"
+    return ",\n".join(out)
+
+
+_XY = [*_X, "fare"]
+_CROSS = ", ".join(f"covar_pop({_XY[i]}, {_XY[j]}) * count(*) AS a_{i}_{j}" for i in range(5) for j in range(i, 5))
+_MEANS = ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(_XY))
+_INTERCEPT_VAR = " + ".join(f"m{i} * m{j} * -a_{min(i, j)}_{max(i, j)}" for i in range(4) for j in range(4))
+# p value of t by Simpson's rule over the density of Student's t, which is 0 to many digits beyond 40
+_SUMMARY = f"""
+WITH {TRIPS.strip()},
+s0 AS (SELECT count(*) AS n, {_MEANS}, {_CROSS} FROM trips),
+{_swept("s0", 4, "n, " + ", ".join(f"m{i}" for i in range(5)) + ", ")},
+fit AS (SELECT *, a_4_4 / (n - 5) AS sigma2 FROM s4),
+terms AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS term, n, a_{i}_4 AS b, sqrt(sigma2 * -a_{i}_{i}) AS se FROM fit" for i, c in enumerate(_X))}
+  UNION ALL SELECT '(intercept)', n, m4 - {" - ".join(f"a_{i}_4 * m{i}" for i in range(4))},
+                   sqrt(sigma2 * (1.0 / n + {_INTERCEPT_VAR})) FROM fit),
+density AS (
+  SELECT term, k, least(abs(b / se), 40) / 4000 AS h,
+         CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+         * exp(lgamma((n - 4) / 2.0) - lgamma((n - 5) / 2.0)) / sqrt((n - 5) * pi())
+         * pow(1 + pow(k * least(abs(b / se), 40) / 4000, 2) / (n - 5), -(n - 4) / 2.0) AS f
+  FROM terms, range(4001) r(k)),
+tail AS (SELECT term, greatest(1 - 2 * max(h) / 3 * sum(f), 0) AS p FROM density GROUP BY term)
+SELECT term, round(b, 4) AS estimate, round(se, 4) AS std_error, round(b / se, 4) AS t_value, round(p, 6) + 0.0 AS p_value"""
+
+_CORR = ", ".join(f"{'1' if i == j else f'corr({_XY[i]}, {_XY[j]})'} {'+ reg / stddev_pop(fare)' if i == j < 4 else ''} AS a_{i}_{j}"
+                  for i in range(5) for j in range(i, 5))
+_TOTALS = ", ".join(f"stddev_pop({c}) AS d{i}" for i, c in enumerate(_XY))
+
+ORACLES |= {
+    "linreg_summary": _SUMMARY + " FROM terms JOIN tail USING (term)",
+    "chunked_linreg": _SUMMARY + """,
+       (SELECT count(DISTINCT l_orderkey // 1000) FROM trips) AS chunks FROM terms JOIN tail USING (term)""",
+    "regularization_sweep": f"""
+        WITH {_TRIP_PARTS.strip()},
+        s0 AS (SELECT CAST(reg AS DOUBLE) AS reg, {_MEANS}, {_TOTALS}, {_CORR}
+               FROM train, (VALUES (0.0), (0.01), (0.1), (1.0), (10.0)) v(reg) GROUP BY reg),
+        {_swept("s0", 4, "reg, " + ", ".join(f"m{i}, d{i}" for i in range(5)) + ", ")},
+        scored AS (SELECT reg, fare AS y, m4 + {" + ".join(f"a_{i}_4 * d4 / d{i} * ({c} - m{i})" for i, c in enumerate(_X))} AS p
+                   FROM valid, s4)
+        SELECT reg AS reg_param, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+               round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+        FROM scored GROUP BY reg""",
+    "elastic_sweep": f"""
+        WITH {_TRIP_PARTS.strip()},
+        m AS (SELECT avg(fare) AS my, avg(l_quantity) AS mx, stddev_pop(fare) AS sy, stddev_pop(l_quantity) AS sx,
+                     corr(l_quantity, fare) AS r FROM train),
+        k AS (SELECT CAST(reg AS DOUBLE) AS reg, my, mx,
+                     sign(r) * greatest(abs(r) - reg / sy / 2, 0) / (1 + reg / sy / 2) * sy / sx AS slope
+              FROM m, (VALUES (0.0), (100.0), (5000.0), (50000.0)) v(reg)),
+        scored AS (SELECT reg, fare AS y, my + slope * (l_quantity - mx) AS p FROM valid, k)
+        SELECT reg AS reg_param, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+               round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+        FROM scored GROUP BY reg""",
+    "merged_moments": f"""
+        WITH {TRIPS.strip()}
+        {" UNION ALL ".join(f"SELECT '{c}' AS name, count(*) AS n, round(avg({c}), 6) AS mean, round(covar_pop(fare, {c}), 4) AS covar_fare FROM trips" for c in TRIP_COLUMNS)}""",
+    "kmeans_balance": f"""
+        WITH {TRIPS.strip()}
+        SELECT k, count(*) AS n, round(CAST(4 * (count(*) - 1) AS DOUBLE), 2) AS tss, CAST(0 AS DOUBLE) AS gap, true AS within
+        FROM trips, (VALUES (1), (2), (3), (5), (8)) v(k) GROUP BY k""",
+    "cluster_sample_clouds": f"""
+        WITH s AS (SELECT CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END AS x, value FROM events
+                   ORDER BY {_hash60(3, 'event_id')}, event_id LIMIT 1000)
+        SELECT CAST(x AS DOUBLE) AS x, count(*) AS n, round(avg(value), 4) AS value_mean, min(value) AS value_min,
+               max(value) AS value_max FROM s GROUP BY x""",
+    "chunked_logit": ORACLES["logit_coefficients"],
+    **{f"logit_{name}_equations": f"""
+        SELECT term, (SELECT count(*) FROM lineitem JOIN part ON l_partkey = p_partkey) AS n, CAST(0 AS DOUBLE) AS score
+        FROM (VALUES {", ".join(f"('{c}')" for c in [*_X, "(intercept)"])}) t(term)""" for name in ("score", "solver")},
+}

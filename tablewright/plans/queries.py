@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import hash60, rounded, to_number
+from tablewright.operators import chunked as CH
 from tablewright.operators import clean as C
 from tablewright.operators import metrics as MT
 from tablewright.operators import ml as ML
 from tablewright.operators import relational as R
 from tablewright.operators import sampling as SM
 from tablewright.operators import stats as ST
+from tablewright.operators import sufficient as SS
 from tablewright.sources import files as SRC
 from tablewright.sources import standins as SI
+from tablewright.session import drop_scratch, scratch_path
 
 TRIP_COLUMNS = ["fare"] + SI.TRIP_FEATURES
 TRIP_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -424,16 +427,26 @@ def cluster_sample(spark, sf_dir):
     """K-means on the standardised features, labels attached to
     the rows (k = 3), a 1000-row sample of them, and each cluster described on
     the original variables."""
-    t = SI.trips(spark, sf_dir)
+    t = SRC.stored(SI.trips(spark, sf_dir))
     scaled = ML.standardize(t, SI.TRIP_FEATURES, ddof=1, keep=TRIP_KEYS + SI.TRIP_FEATURES, suffix="_z")
     _, rows = ML.kmeans_fit(scaled, [f"{c}_z" for c in SI.TRIP_FEATURES], 3, seed=1)
-    rows = rows.withColumn("row", hash60(3, *TRIP_KEYS, "l_quantity"))
+    rows = SRC.stored(rows.select("cluster", *SI.TRIP_FEATURES, hash60(3, *TRIP_KEYS, "l_quantity").alias("row")))
     sample = SM.hash_sample(rows, "row", None, 3, size=1000)
     return ML.cluster_profile(sample, "cluster", SI.TRIP_FEATURES)
 
 
+def cluster_sample_clouds(spark, sf_dir):
+    """L2, L5, P12 on two separated clouds, whose labels are known: labels
+    attached to the rows, 1000 of them sampled, each cluster described."""
+    _, rows = ML.kmeans_fit(_separated(spark, sf_dir), ["z"], 2, seed=1)
+    sample = SM.hash_sample(SRC.stored(rows.select("event_id", "cluster", "value", "x")), "event_id", None, 3, size=1000)
+    prof = ML.cluster_profile(sample, "cluster", ["value", "x"])
+    return prof.select(F.col("x_mean").alias("x"), "n", "value_mean", "value_min", "value_max")
+
+
 def _trip_features_scaled(spark, sf_dir):
-    return ML.standardize(SI.trips(spark, sf_dir), SI.TRIP_FEATURES, ddof=1, keep=[])
+    t = SRC.stored(SI.trips(spark, sf_dir).select(*SI.TRIP_FEATURES))
+    return ML.standardize(t, SI.TRIP_FEATURES, ddof=1, keep=[])
 
 
 def kmeans_elbow(spark, sf_dir):
@@ -448,6 +461,16 @@ def kmeans_r2(spark, sf_dir):
                            list(range(1, 11)), seed=1).select("k", "r2_pct")
 
 
+def kmeans_balance(spark, sf_dir):
+    """L3, L4, U2 by what must hold for every fit: the sum of squares within
+    the clusters and that between their centres, from centres and sizes, make
+    the total, and no row is lost."""
+    d = ML.kmeans_elbow(_trip_features_scaled(spark, sf_dir), SI.TRIP_FEATURES, [1, 2, 3, 5, 8], seed=1)
+    gap = F.abs(F.col("tss") - F.col("wss") - F.col("between")) / F.col("tss")
+    return d.select("k", "n", F.round("tss", 2).alias("tss"), F.round(gap, 9).alias("gap"),
+                    ((F.col("wss") > 0) & (F.col("wss") <= F.col("tss"))).alias("within"))
+
+
 def cluster_profile(spark, sf_dir):
     """K-means labels attached to rows, clusters described on the
     original variables; each cluster named by its mean flag."""
@@ -501,7 +524,82 @@ def linreg_coefficients(spark, sf_dir):
 
 def linreg_summary(spark, sf_dir):
     """The full coefficient table with p-values, four features."""
-    return ML.linreg_coefficients(SI.trips(spark, sf_dir), SI.TRIP_FEATURES, "fare")
+    return _rounded_terms(ML.linreg_coefficients(SI.trips(spark, sf_dir), SI.TRIP_FEATURES, "fare"))
+
+
+def _rounded_terms(t):
+    return t.select("term", *[F.round(c, 4).alias(c) for c in ("estimate", "std_error", "t_value")],
+                    F.round("p_value", 6).alias("p_value"))
+
+
+def merged_moments(spark, sf_dir):
+    """Moments of each line number's trips, stored, and merged over
+    the line numbers without the trips: mean and covariances with the fare."""
+    columns = ["fare", *SI.TRIP_FEATURES]
+    t = SI.trips(spark, sf_dir).select("l_linenumber", *columns)
+    parts = SRC.stored(SS.moments(t, columns, ["l_linenumber"]))
+    m = SS.merge_moments(parts, len(columns))
+    return m.select(F.posexplode("mean").alias("i", "mean"), "n", "cross").select(
+        F.element_at(F.lit(columns), F.col("i") + 1).alias("name"), "n", F.round("mean", 6).alias("mean"),
+        F.round(F.element_at("cross", F.col("i") + 1) / F.col("n"), 4).alias("covar_fare"))
+
+
+#: Keys of orders in a chunk of ``chunked_linreg``.
+CHUNK_KEYS = 1000
+
+
+def chunked_linreg(spark, sf_dir):
+    """Fare on four features over chunks of orders. The first half
+    of the chunks makes a stored state; a second call adds the others without
+    reading the first again, a third finds nothing new. Then the fit."""
+    columns = ["fare", *SI.TRIP_FEATURES]
+    t = SI.trips(spark, sf_dir).withColumn("chunk", F.floor(F.col("l_orderkey") / CHUNK_KEYS))
+    path = scratch_path(spark, "chunk-state")
+    last = t.agg(F.max("chunk")).first()[0] or 0
+    for new in (F.col("chunk") <= last // 2, F.col("chunk") > last // 2, F.col("chunk") == last):
+        state = CH.add_chunks(t.where(new), columns, "chunk", path)
+    fit, chunks = CH.fit_chunks(state, columns, SI.TRIP_FEATURES, "fare"), state.count()
+    drop_scratch(spark, path)
+    d = spark.createDataFrame(fit.table(), "term string, estimate double, std_error double, t_value double, p_value double")
+    return _rounded_terms(d).withColumn("chunks", F.lit(chunks).cast("long"))
+
+
+def chunked_logit(spark, sf_dir):
+    """A logistic fit of two passes, stored, and gone on with until it
+    has converged: value above its median on the 0/1 error flag."""
+    d = SRC.stored(_binary(spark, sf_dir))
+    path = scratch_path(spark, "logit-state")
+    CH.logistic_passes(d, ["x"], "y", path, passes=2)
+    fit = CH.logistic_passes(d, ["x"], "y", path, passes=20)
+    drop_scratch(spark, path)
+    t = spark.createDataFrame(fit.table(), "term string, estimate double, std_error double")
+    return t.select("term", F.round("estimate", 6).alias("estimate"))
+
+
+def logit_score_equations(spark, sf_dir):
+    """L15 on four features by what must hold: at the fit the residuals are
+    orthogonal to every feature and sum to 0."""
+    d = _trip_labels(spark, sf_dir)
+    path = scratch_path(spark, "logit-state")
+    fit = CH.logistic_passes(d, SI.TRIP_FEATURES, "y", path, passes=25)
+    drop_scratch(spark, path)
+    e = CH.score_equations(d, SI.TRIP_FEATURES, "y", fit.coefficients)
+    return e.select("term", "n", (F.round("score", 6) + 0.0).alias("score"))
+
+
+def logit_solver_equations(spark, sf_dir):
+    """As ``logit_score_equations``, for the coefficients of ``logistic_fit``,
+    the model that ``logit_validation`` judges."""
+    d = _trip_labels(spark, sf_dir)
+    m = ML.logistic_fit(d, SI.TRIP_FEATURES, "y")
+    e = CH.score_equations(d, SI.TRIP_FEATURES, "y", [*m.coefficients.toArray(), m.intercept])
+    return e.select("term", "n", (F.round("score", 4) + 0.0).alias("score"))
+
+
+def _trip_labels(spark, sf_dir):
+    t = SRC.stored(SI.trips(spark, sf_dir).select("fare", *SI.TRIP_FEATURES))
+    t = C.median_label(t, "fare", "y", drop_source=True)
+    return SRC.stored(ML.standardize(t, SI.TRIP_FEATURES, ddof=1))
 
 
 def linreg_significance(spark, sf_dir):
@@ -600,7 +698,7 @@ def logit_validation(spark, sf_dir):
     """L15-L20 end to end: fare above its median (P10) on the standardised
     trip features; logistic fit on the training part, probability > 0.5 on
     the test part, then accuracy, precision, recall and AUC."""
-    t = C.median_label(SI.trips(spark, sf_dir), "fare", "y", drop_source=True)
+    t = C.median_label(SRC.stored(SI.trips(spark, sf_dir)), "fare", "y", drop_source=True)
     t = ML.standardize(t, SI.TRIP_FEATURES, ddof=1)
     t = SM.split_bucket(t, TRIP_KEYS, 7000)
     train = t.filter(F.col("part") == "train")
@@ -641,19 +739,24 @@ def logistic_sweep(spark, sf_dir):
 
 
 def regularization_sweep(spark, sf_dir):
-    """Ridge strengths on the training part, scored on validation."""
+    """Ridge strengths on the training part, scored on validation: one
+    scan of the trips for all of them."""
     t = SM.split_bucket(SI.trips(spark, sf_dir), TRIP_KEYS, 7000)
-    return ML.regularization_sweep(t.filter(F.col("part") == "train"),
-                                   t.filter(F.col("part") == "validation"),
-                                   SI.TRIP_FEATURES, "fare", [0.0, 0.01, 0.1, 1.0, 10.0])
+    return SS.sweep(t, "part", "train", "validation", SI.TRIP_FEATURES, "fare", [0.0, 0.01, 0.1, 1.0, 10.0])
 
 
 def ridge_sweep(spark, sf_dir):
     """L21 with one feature, whose ridge fit is known: RMSE and R2 on the
     validation part."""
     t = SM.split_bucket(SI.trips(spark, sf_dir), TRIP_KEYS, 7000)
-    return ML.regularization_sweep(t.filter("part = 'train'"), t.filter("part = 'validation'"),
-                                   ["l_quantity"], "fare", [0.0, 100.0, 10000.0])
+    return SS.sweep(t, "part", "train", "validation", ["l_quantity"], "fare", [0.0, 100.0, 10000.0])
+
+
+def elastic_sweep(spark, sf_dir):
+    """L21 with half of the penalty on the coefficients' size (the lasso's),
+    one feature: the fit is a soft threshold."""
+    t = SM.split_bucket(SI.trips(spark, sf_dir), TRIP_KEYS, 7000)
+    return SS.sweep(t, "part", "train", "validation", ["l_quantity"], "fare", [0.0, 100.0, 5000.0, 50000.0], elastic=0.5)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -678,5 +781,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         describe_mixed, outlier_fence_columns, kmeans_two, cluster_sample, pca_identities,
         pca_scores, pca_biplot_all, linreg_significance, linreg_validation, fenced_linreg,
         logit_validation_flag, logistic_sweep, ridge_sweep,
+        kmeans_balance, cluster_sample_clouds, merged_moments, elastic_sweep, chunked_linreg, chunked_logit,
+        logit_score_equations, logit_solver_equations,
     ]
 }
