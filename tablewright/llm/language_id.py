@@ -244,7 +244,7 @@ def fit(df: DataFrame, text: str = "text", language: str = "lang", order: int =
     model = Model(order, languages, [], [], [], [float("inf")] * len(languages))
     if not languages:
         return model
-    share, rest = shares(gram_counts(counted, order), max(1, model_grams // (len(languages) * order)))
+    share, rest = shares(cut(gram_counts(counted, order)), max(1, model_grams // (len(languages) * order)))
     got = {}
     for name, frame in (("share", share), ("rest", rest)):
         gram = frame.columns[2]
