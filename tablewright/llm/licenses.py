@@ -1,32 +1,34 @@
-"""Licence scan: exact phrases, and an exact set-similarity join of text blocks
-with licence templates. DataFrame functions only.
-
-A block is a line of a text, or (``wrapped``) a run of words twice as long as the
-template, wherever its lines end. A block meets a template if at least ``threshold``
-of the template's distinct words stand in it. The join finds every such pair:
-
-* words are ordered by how many blocks hold them, over the whole table, rarest
+"""Licence scan: exact phrases, and an exact set-similarity join of blocks of
+words with licence templates. DataFrame functions only.
+
+A block is a run of words twice as long as the template has distinct ones, at
+any place of a text, over line ends. It meets a template if at least ``need =
+ceil(threshold * size)`` of the template's ``size`` distinct words stand in it,
+and among them the words that tell it from other licences (``TELLING``), which
+count only beside another word of the template. Words of no template cannot
+matter, so a text is split once, and only the places of the templates' words
+are kept. Over these the join finds every pair:
+
+* words are ordered by how many texts hold them, over the whole table, rarest
   first;
-* prefix filter: a block that holds ``need = ceil(threshold * size)`` of a
-  template's words holds one of its ``size - need + 1`` rarest, so only those
-  are joined on;
-* length filter (lines): a block with fewer than ``need`` distinct words is out.
-
-A positional filter would remove nothing: a prefix word always leaves ``need``
-places of its template from its own on.
+* prefix filter: a block that holds ``need`` of a template's words holds one
+  of its ``size - need + 1`` rarest, so only texts are joined that hold one;
+  what follows looks at the words around each place of such a word;
+* length filter: there must be ``need`` distinct words of templates around it;
+* positional filter: if it is the rarest of the template in a block, all others
+  come behind it in the order, so ``need - 1`` words around it must.
 
-What passes is verified by counting the shared words, and by the words that tell
-a template from the others (``TELLING``): a block without them has the wording of
-another licence, whatever its share. The templates are a small
-fixed table; blocks are never shuffled but for the few that pass the filters.
-"""
+What passes is verified at every place. The templates are a small fixed table,
+whose words and their order are all that is sent to tasks."""
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import cut, text_or_empty
@@ -72,6 +74,7 @@ TELLING = {
 #: What stands between the words of the contract, whether or not A-Z are
 #: lower-cased.
 _GAP = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
+_GAP_PLAIN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(c: Column) -> Column:
@@ -82,97 +85,88 @@ def words(c: Column) -> Column:
     return F.array_remove(F.split(plain, _GAP), "")
 
 
-def templates(spark: SparkSession, rows: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(label, template, word, size, need, must): a row for every distinct
-    word; ``must`` are the words that no block goes without."""
-    d = spark.createDataFrame([(i, a, b, list(TELLING.get(a, ()))) for i, (a, b) in enumerate(rows)],
-                              "template int, label string, body string, _tell array<string>")
-    d = d.withColumn("_set", F.array_distinct(words(F.col("body")))).withColumn("size", F.size("_set"))
-    need = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * F.col("size") - 1e-9).cast("int"))
-    return d.select("label", "template", "size", need.alias("need"), F.array_intersect("_set", "_tell").alias("must"),
-                    F.explode("_set").alias("word"))
-
-
-def _rarest_first(t: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The templates with their words, those in fewest ``blocks`` first."""
-    vocabulary = F.broadcast(t.select("word").distinct())   # words of a fixed table
-    # the words of the templates that each block holds; a block that shares
-    # none with any template is gone here
-    held = blocks.select(F.explode_outer("_set").alias("word")).join(vocabulary, "word", "left_semi")
-    freq = cut(vocabulary.join(held.groupBy("word").agg(F.count(F.lit(1)).alias("_f")), "word", "left")
-               .select("word", F.coalesce("_f", F.lit(0)).alias("_f")))
-
-    order = t.join(freq, "word").groupBy("template", "label", "size", "need", "must").agg(
-        F.sort_array(F.collect_list(F.struct("_f", "word"))).alias("_o"))
-    return cut(order.select("template", "label", "size", "need", "must", F.expr("transform(_o, x -> x.word)").alias("_words")))
-
-
-def _prefix(order: DataFrame) -> DataFrame:
-    return order.select("template", "size", "need", F.posexplode(F.slice("_words", F.lit(1), F.col("size") - F.col("need") + 1)).alias("_place", "word"))
-
-
-def window_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str, str]] = TEMPLATES,
-                   threshold: float = THRESHOLD) -> DataFrame:
-    """(_key, template, label, containment) of templates and texts in which a
-    run of words, twice as many as the template has distinct ones, holds a
-    share of ``threshold`` or more of them and its telling words, which count
-    only next to another of its words. Runs go on over line ends.
-
-    Every run that is looked for holds a prefix word, so only the runs around
-    those are formed, at every place. A pair comes once for each prefix word
-    near which it is met."""
-    t = templates(docs.sparkSession, rows, threshold)
-    d = docs.select(F.col(key).alias("_key"), words(text_or_empty(text)).alias("_all"))
-    order = _rarest_first(t, d.select(F.array_distinct("_all").alias("_set")))
-    span = 2 * F.col("size")
-    hit = d.select("_key", "_all", F.posexplode_outer("_all").alias("_at", "word")).join(F.broadcast(_prefix(order)), "word")
-    begin = F.greatest(F.lit(0), F.col("_at") - span + 1)
-    hit = hit.select("_key", "template", "size", "need", F.slice("_all", begin + 1, F.col("_at") + span - begin).alias("_near"))
-    found = hit.join(F.broadcast(order.select("template", "label", "must", "_words")), "template")
-    found = found.where(F.size(F.array_intersect("_words", "_near")) >= F.col("need"))
-
-    def known(i):
-        return F.coalesce(F.array_contains("_words", F.get("_near", i)), F.lit(False))
-
-    found = found.withColumn("_near", F.transform("_near", lambda x, i: F.when(
-        F.array_contains("must", x) & ~known(i - 1) & ~known(i + 1), "").otherwise(x)))
-
-    def shared(i):
-        run = F.slice("_near", i, span)
-        return F.when(F.size(F.array_except("must", run)) == 0, F.size(F.array_intersect("_words", run))).otherwise(0)
-
-    best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("_near")), shared))
-    found = found.withColumn("_best", best).where(F.col("_best") >= F.col("need"))
-    return found.select("_key", "template", "label", (F.col("_best") / F.col("size")).alias("containment"))
-
-
-def block_matches(docs: DataFrame, key: str, text: str, rows: Sequence[tuple[str, str]] = TEMPLATES,
-                  threshold: float = THRESHOLD) -> DataFrame:
-    """(_key, _block, template, label, containment) of every pair of a block
-    and a template with a containment of ``threshold`` or more, if the block
-    has the template's telling words.
-
-    ``_block`` counts the lines of a text from 0; blocks of equal text are
-    looked up each by itself. Rows repeated with the same key give repeated
-    pairs."""
-    spark = docs.sparkSession
-    t = templates(spark, rows, threshold)
-    d = docs.select(F.col(key).alias("_key"), F.posexplode(F.split(text_or_empty(text), "\n", -1)).alias("_block", "_line"))
-    blocks = d.select("_key", "_block", F.array_distinct(words(F.col("_line"))).alias("_set"))
-    order = _rarest_first(t, blocks)
-    prefix = _prefix(order)
-
-    # explode_outer: explode would list each block's words a second time, for a
-    # filter on their number
-    probes = blocks.select("_key", "_block", "_set", F.explode_outer("_set").alias("word"))
-    hit = probes.join(F.broadcast(prefix), "word").where(F.size("_set") >= F.col("need"))      # prefix, length
-    found = hit.join(F.broadcast(order.select("template", "label", "must", "_words")), "template")
-    # a pair met by several prefix words counts once, at the first of them
-    found = found.where(F.col("word") == F.element_at(F.array_intersect("_words", "_set"), 1))
-    shared = F.size(F.array_intersect("_words", "_set"))
-    told = F.size(F.array_except("must", "_set")) == 0
-    return found.where((shared >= F.col("need")) & told).select(
-        "_key", "_block", "template", "label", (shared / F.col("size")).alias("containment"))
+@dataclass(frozen=True)
+class Template:
+    """``words``: the numbers of its distinct words, rarest first."""
+
+    label: str
+    words: tuple[int, ...]
+    need: int
+    must: tuple[int, ...]
+
+    @property
+    def span(self) -> int:
+        return 2 * len(self.words)
+
+    @property
+    def prefix(self) -> tuple[int, ...]:
+        return self.words[:len(self.words) - self.need + 1]
+
+
+def template_words(body: str) -> list[str]:
+    """The distinct words of a template, in order, as ``words`` has them."""
+    return list(dict.fromkeys(w for w in re.split(_GAP_PLAIN, body.replace("\u212a", "\u00e9").lower()) if w))
+
+
+def vocabulary(rows: Sequence[tuple[str, str]]) -> list[str]:
+    return sorted({w for _, body in rows for w in template_words(body)})
+
+
+def _ordered(rows: Sequence[tuple[str, str]], threshold: float, order: dict[str, int]) -> list[Template]:
+    out = []
+    for label, body in rows:
+        own = template_words(body)
+        need = max(1, math.ceil(threshold * len(own) - 1e-9))
+        out.append(Template(label, tuple(sorted(order[w] for w in own)), need,
+                            tuple(order[w] for w in TELLING.get(label, ()) if w in own)))
+    return out
+
+
+def _held(w: str, known: list[str]) -> Column:
+    """array<struct<at, v>>: the places in ``w`` of the words ``known``, and
+    their number there."""
+    number = lambda x: (F.array_position(F.lit(known), x) - 1).cast("int")
+    return F.filter(F.transform(w, lambda x, i: F.when(x.isin(known), F.struct(i.alias("at"), number(x).alias("v")))),
+                    lambda x: x.isNotNull())
+
+
+def candidates(held: DataFrame, found: list[Template], filters: Sequence[str] = ("length", "positional")) -> DataFrame:
+    """(_row, _held, template, _near) of every place of a prefix word that
+    passes the ``filters``; ``_near``: the template's words around it."""
+    spark = held.sparkSession
+    t = spark.createDataFrame([(i, x.need, x.span, list(x.words), list(x.must)) for i, x in enumerate(found)],
+                              "template int, need int, span int, _words array<int>, _must array<int>")
+    prefix = spark.createDataFrame([(i, v) for i, x in enumerate(found) for v in x.prefix], "template int, v int")
+    hit = held.select("_row", "_held", F.explode("_held").alias("_hit")).select("_row", "_held", "_hit.at", "_hit.v")
+    hit = hit.join(F.broadcast(prefix), "v").join(F.broadcast(t), "template")   # as many rows as the templates have words
+    around = F.filter("_held", lambda x: F.abs(x.at - F.col("at")) < F.col("span"))
+    hit = hit.withColumn("_around", around)
+    block = F.array_distinct(F.transform("_around", lambda x: x.v))
+    if "length" in filters:
+        hit = hit.where(F.size(block) >= F.col("need"))
+    if "positional" in filters:
+        hit = hit.where(F.size(F.filter(block, lambda v: v > F.col("v"))) >= F.col("need") - 1)
+    return hit.withColumn("_near", F.filter("_around", lambda x: F.array_contains("_words", x.v)))
+
+
+def window_matches(held: DataFrame, found: list[Template]) -> DataFrame:
+    """(_row, template, containment) of the templates that a block of the
+    text ``_row`` meets; a pair comes once for each place of a prefix word
+    near which it is met. ``held``: (_row, _held), see ``_held``."""
+    hit = candidates(held, found)
+    own = F.filter("_held", lambda x: F.array_contains("_words", x.v))
+    told = F.filter("_near", lambda x: ~F.array_contains("_must", x.v) | F.exists("_own", lambda y: F.abs(y.at - x.at) == 1))
+    hit = hit.withColumn("_own", own).withColumn("_near", told)
+    hit = hit.where(F.size(F.array_distinct(F.transform("_near", lambda x: x.v))) >= F.col("need"))
+
+    def shared(start):
+        run = F.array_distinct(F.transform(F.filter(
+            "_near", lambda x: (x.at >= start) & (x.at < start + F.col("span"))), lambda x: x.v))
+        return F.when(F.size(F.array_except("_must", run)) == 0, F.size(run)).otherwise(0)
+
+    best = F.array_max(F.transform("_near", lambda x: shared(x.at)))
+    return hit.withColumn("_best", best).where(F.col("_best") >= F.col("need")).select(
+        "_row", "template", (F.col("_best") / F.size("_words")).alias("containment"))
 
 
 def phrase_places(w: Column, phrases: Sequence[tuple[str, str]] = PHRASES) -> Column:
@@ -188,28 +182,34 @@ def phrase_places(w: Column, phrases: Sequence[tuple[str, str]] = PHRASES) -> Co
 
 def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  phrases: Sequence[tuple[str, str]] = PHRASES,
-                 rows: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
-                 wrapped: bool = False) -> DataFrame:
+                 rows: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``n_words``, ``places`` (of the
     phrases: place and label), ``template_labels`` (of the templates met by
     any block) and ``containment`` (the largest, 0 if no template is met).
-    Blocks are lines, or with ``wrapped`` runs of words over line ends.
 
-    A null or empty text has no words and no licence. Rows repeated with the
-    same key get the labels of any of them; null keys are taken as one key.
-    An empty table gives no rows; other columns of ``docs`` are ignored."""
+    A null or empty text has no words and no licence. Every row is looked at
+    by itself, whether or not its key is null or repeated. An empty table
+    gives no rows; other columns of ``docs`` are ignored."""
     kind = "array<struct<at:bigint,label:string>>"
-    # words are listed in a column of their own, once a row, before places are
-    # looked for in it; most rows hold no phrase's first word
+    known = vocabulary(rows)
+    # words are listed in a column of their own, once a row, before anything
+    # is looked for in it; most rows hold no phrase's first word
     begins = F.array(*(F.lit(w) for w in sorted({p.split(" ")[0] for _, p in phrases})))
     d = docs.select(F.col(key).alias("_key"), words(text_or_empty(text)).alias("_words"))
-    d = d.select("_key", F.size("_words").cast("long").alias("n_words"),
-                 F.when(F.arrays_overlap("_words", begins), phrase_places(F.col("_words"), phrases))
-                 .otherwise(F.array().cast(kind)).alias("places"))
-    pairs = (window_matches if wrapped else block_matches)(docs, key, text, rows, threshold)
-    best = pairs.groupBy(F.col("_key").alias("_mkey")).agg(
-        F.sort_array(F.collect_set("label")).alias("template_labels"), F.max("containment").alias("containment"))
-    out = d.join(best, F.col("_key").eqNullSafe(F.col("_mkey")), "left")
+    d = cut(d.select("_key", F.size("_words").cast("long").alias("n_words"),
+                     F.when(F.arrays_overlap("_words", begins), phrase_places(F.col("_words"), phrases))
+                     .otherwise(F.array().cast(kind)).alias("places"), _held("_words", known).alias("_held")))
+    d = d.withColumn("_row", F.monotonically_increasing_id())       # of stored rows: the same at every read
+    in_texts = d.select(F.explode(F.array_distinct(F.transform("_held", lambda x: x.v))).alias("v")).groupBy("v").count()
+    count = {r.v: r["count"] for r in in_texts.collect()}           # at most the words of the templates
+    order = {w: i for i, (_, w) in enumerate(sorted((count.get(i, 0), w) for i, w in enumerate(known)))}
+    ranked = F.lit([order[w] for w in known])
+    held = d.select("_row", F.transform("_held", lambda x: F.struct(x.at.alias("at"), F.get(ranked, x.v).alias("v"))).alias("_held"))
+    found = _ordered(rows, threshold, order)
+    label = F.get(F.lit([t.label for t in found]), F.col("template"))
+    best = window_matches(held, found).groupBy("_row").agg(
+        F.sort_array(F.collect_set(label)).alias("template_labels"), F.max("containment").alias("containment"))
+    out = d.drop("_held").join(best, "_row", "left")
     return out.select(F.col("_key").alias(key), "n_words", "places",
                       F.coalesce("template_labels", F.array().cast("array<string>")).alias("template_labels"),
                       F.coalesce("containment", F.lit(0.0)).alias("containment"))

@@ -172,10 +172,12 @@ FROM f
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LICENSE_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PHRASES = ", ".join(f"('{a}', string_split('{p}', ' '))" for a, p in licenses.PHRASES)
+_TELLING = ", ".join(f"('{label}', '{w}')" for label, ws in licenses.TELLING.items() for w in ws)
 _TEMPLATES = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(licenses.TEMPLATES))
 
 OP9 = f"""
 WITH phrases(label, p) AS (VALUES {_PHRASES}),
+told(label, word) AS (VALUES {_TELLING}),
 templates AS (
   SELECT i, label, list_distinct(regexp_extract_all(translate(body, '{_UPPER}', '{_UPPER.lower()}'), '{_LICENSE_WORDS}')) AS tw
   FROM (VALUES {_TEMPLATES}) AS v(i, label, body)),
@@ -187,14 +189,27 @@ places AS (
 base AS (
   SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels
   FROM places GROUP BY doc_id),
-blocks AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(line, '{_LICENSE_WORDS}')) AS bw
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)),
-shared AS (
-  SELECT doc_id, label, len(list_intersect(bw, tw)) AS n, len(tw) AS size FROM blocks, templates),
+lists AS (
+  SELECT i, t.label, len(tw) AS size, word, (t.label, word) IN (SELECT (label, word) FROM told) AS must
+  FROM templates t, unnest(tw) u(word)),
+own AS (
+  SELECT doc_id, i, label, size, word, must, pos
+  FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w) JOIN lists USING (word)),
+-- a telling word counts beside another word of the template
+seen AS (
+  SELECT * FROM own o
+  WHERE NOT must OR EXISTS (SELECT 1 FROM own n WHERE n.doc_id = o.doc_id AND n.i = o.i AND n.pos = o.pos - 1)
+                 OR EXISTS (SELECT 1 FROM own n WHERE n.doc_id = o.doc_id AND n.i = o.i AND n.pos = o.pos + 1)),
+-- a run of twice the template's words from every place of one of them
+runs AS (
+  SELECT a.doc_id, a.i, a.pos, a.label, a.size, count(DISTINCT b.word) AS n, count(DISTINCT b.word) FILTER (WHERE b.must) AS n_must
+  FROM (SELECT DISTINCT doc_id, i, pos, label, size FROM seen) a
+  JOIN seen b ON a.doc_id = b.doc_id AND a.i = b.i AND b.pos >= a.pos AND b.pos < a.pos + 2 * a.size
+  GROUP BY ALL),
 met AS (
   SELECT doc_id, list(DISTINCT label) AS labels, max(CAST(n AS DOUBLE) / size) AS containment
-  FROM shared WHERE n >= ceil({licenses.THRESHOLD} * size - 1e-9) GROUP BY doc_id)
+  FROM runs JOIN (SELECT i, count(*) FILTER (WHERE must) AS all_must FROM lists GROUP BY i) USING (i)
+  WHERE n >= ceil({licenses.THRESHOLD} * size - 1e-9) AND n_must = all_must GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
        first_word, last_word,
        coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,

@@ -1,8 +1,12 @@
 """Quality cascade and licence scan on edge cases and against plain Python."""
 
+import random
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from edges import docs, rows, word_salad
 from tablewright.llm import licenses as C
 from tablewright.llm import quality as Q
@@ -57,20 +61,23 @@ def test_measure_is_bounded_and_any_order_decides_alike(spark):
             assert (not any(x(t) for x in Q.BASE + order)) == plain(r[1])[-1]
 
 
-def lic(t):
+def lic(t, rows=C.TEMPLATES, threshold=C.THRESHOLD):
     low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     words = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", x)
     w = words(low)
     places = sorted((i, label) for label, p in C.PHRASES for i in range(len(w)) if w[i:i + len(p.split())] == p.split())
     best, labels = 0.0, set()
-    for line in low.split("\n"):
-        have = set(words(line))
-        for label, body in C.TEMPLATES:
-            tw = set(words(body.lower()))
-            share = len(tw & have) / len(tw)
-            if share >= C.THRESHOLD - 1e-9:
-                labels.add(label)
-                best = max(best, share)
+    for label, body in rows:
+        tw = set(words(body.lower()))
+        must = tw & set(C.TELLING.get(label, ()))
+        # a telling word counts beside another word of the template
+        own = [x in tw and (x not in must or any(0 <= j < len(w) and w[j] in tw for j in (i - 1, i + 1))) for i, x in enumerate(w)]
+        for start in range(len(w)):
+            if own[start]:
+                have = {w[i] for i in range(start, min(len(w), start + 2 * len(tw))) if own[i]}
+                if len(have) / len(tw) >= threshold - 1e-9 and must <= have:
+                    labels.add(label)
+                    best = max(best, len(have) / len(tw))
     return len(w), places, sorted(labels), best
 
 
@@ -83,25 +90,58 @@ def test_licenses(spark):
         (208, "mKit worK Released under the MIT License", "en", "s"), (209, "Released under MIT\nLicense", "en", "s"),
         (210, "reserved rights all " + word_salad(1, 5000), "en", "s"),
         (211, "Permission is hereby granted, free of charge, to any person obtaining a copy of software and documentation files", "en", "s")]
-    data = [r for r in data if r[0] is not None and r[0] != 11] + [(11, "MIT License", "en", "s"), (11, "nothing", "en", "s")]
+    data = [(i, *r[1:]) for i, r in enumerate(data)] + [(None, "MIT License", "en", "s"), (None, None, None, None)]
     got = C.license_scan(docs(spark, data))
-    seen = Counter((r.doc_id, r.n_words, tuple(sorted((p.at, p.label) for p in r.places))) for r in got.collect())
-    assert seen == Counter((r[0], lic(r[1])[0], tuple(lic(r[1])[1])) for r in data)
-    for r in got.collect():
-        if r.doc_id != 11:
-            _, _, labels, best = lic(next(x[1] for x in data if x[0] == r.doc_id))
-            assert (r.template_labels, round(r.containment, 9)) == (labels, round(best, 9)), r.doc_id
+    for r in got.where("doc_id is not null").collect():
+        n, places, labels, best = lic(data[r.doc_id][1])
+        assert (r.n_words, sorted((p.at, p.label) for p in r.places), r.template_labels, round(r.containment, 9)) == (
+            n, places, labels, round(best, 9)), r.doc_id
+    assert got.count() == len(data)
+    assert sorted(len(r.places) for r in got.where("doc_id is null").collect()) == [0, 1]
+    twice = C.license_scan(docs(spark, [(1, "Released under the MIT License", "en", "s")] * 2 + [(1, "other", "en", "s")]))
+    assert sorted(r.template_labels for r in twice.collect()) == [[], ["mit"], ["mit"]]      # each row by itself
     assert C.license_scan(docs(spark, [])).count() == 0
-    nulls = C.license_scan(docs(spark, [(None, None, None, None), (None, "mit license", "en", "s")])).collect()
-    assert sorted(len(r.places) for r in nulls) == [0, 1]
 
 
-def test_filters_lose_no_pair(spark):
-    """Blocks with every share of a template's words, at several thresholds."""
+def random_blocks(n):
+    """Shuffled parts of templates between other words, close and far apart."""
+    r = random.Random(n)
+    rows = [("one", "alpha beta gamma delta epsilon zeta eta theta iota kappa"), ("lgpl", "gamma lesser delta alpha"),
+            ("two", "omega alpha"), ("mit", "mit beta theta of to"), ("of", "of to the")]
+    every = sorted({w for _, b in rows for w in b.split()})
+    data = []
+    for i in range(n):
+        own = r.choice(rows)[1].split()
+        text = r.sample(own, r.randint(0, len(own))) + r.choices([*every, "x", "y", "z"], k=r.randint(0, 30))
+        if r.random() < 0.5:
+            r.shuffle(text)
+        data.append((i, r.choice([" ", "\n", ", "]).join(text), "en", "s"))
+    return rows, data
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 1.0])
+def test_random_blocks_brute_force(spark, threshold):
+    rows, data = random_blocks(300)
+    for r in C.license_scan(docs(spark, data), rows=rows, threshold=threshold).collect():
+        assert (r.template_labels, r.containment) == lic(data[r.doc_id][1], rows, threshold)[2:], data[r.doc_id][1]
+
+
+def test_filters_prune_and_lose_no_pair(spark):
+    """Every share of a template's words; each filter drops places, and what
+    is met is met with any of them."""
+    rows, data = random_blocks(400)
+    known = C.vocabulary(rows)
+    d = docs(spark, data).select(F.col("doc_id").alias("_row"), C.words(F.col("text")).alias("_w"))
+    held = d.select("_row", C._held("_w", known).alias("_held"))
+    found = C._ordered(rows, 0.8, {w: i for i, w in enumerate(known)})
+    n = {f: C.candidates(held, found, f).count() for f in ((), ("length",), ("positional",), ("length", "positional"))}
+    assert n["length",] < n[()] and n["positional",] < n["length",] and n["length", "positional"] == n["positional",]
+    prefixed = held.select(F.explode("_held").alias("x")).count()
+    assert n[()] < prefixed * len(rows) / 2
     body = "one two three four five six seven eight nine ten"
     data = [(i, " ".join(w for k, w in enumerate(body.split()) if i >> k & 1) + " filler", "en", "s") for i in range(1, 1024, 3)]
     for th in (0.5, 0.8, 1.0):
-        got = {r._key for r in C.block_matches(docs(spark, data), "doc_id", "text", [("t", body)], th).collect()}
+        got = {r.doc_id for r in C.license_scan(docs(spark, data), rows=[("t", body)], threshold=th).collect() if r.template_labels}
         assert got == {r[0] for r in data if bin(r[0]).count("1") >= 10 * th}
 
 
@@ -137,7 +177,5 @@ def test_wrapped_notices_are_found(spark):
              (904, "Licensed under the terms of the GNU\nLesser General Public License", "en", "s")]
     data.append((905, "be nd atoned onor on\nLicensed under CC BY-NC 4.0", "en", "s"))
     want |= {905: ["cc-by-nc"], 900: [], 901: [], 902: [], 903: ["mit"], 904: ["lgpl"]}
-    got = {r.doc_id: r.template_labels for r in C.license_scan(docs(spark, data), wrapped=True).collect()}
+    got = {r.doc_id: r.template_labels for r in C.license_scan(docs(spark, data)).collect()}
     assert got == want
-    lines = {r.doc_id: r.template_labels for r in C.license_scan(docs(spark, data)).collect()}
-    assert lines[903] == [] and lines[900] == ["proprietary"]
