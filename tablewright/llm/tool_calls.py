@@ -1,17 +1,19 @@
 """Chat formatting: tool calls and their results linked, ordered, checked and
 written as canonical JSON.
 
+* Arguments are checked against the tool's JSON schema, and every message is
+  written as canonical JSON (RFC 8785): keys sorted by UTF-16 units, no blanks,
+  shortest numbers. Calls take one Arrow pass for both; results are written by
+  the JVM. What is written is stored once; only identifiers, turns and digests
+  take part in what follows, and messages are joined back at the end.
 * Calls and results are hash-joined by conversation and call identifier.
-* Calls are ordered topologically by the calls they need (Kahn's layers): a
-  round settles every call whose needs are settled, by joins on identifiers
-  only. The number of rounds is the length of the longest chain; what is left
-  lies on a cycle or behind one.
-* Arguments are checked against the tool's JSON schema.
-* Every message is written as canonical JSON (RFC 8785): keys sorted by UTF-16
-  units, no blanks, shortest numbers.
-
-No conversation is gathered in one task: its messages get their places from
-counts per block of its turns and ranks within a block.
+* Calls are ordered topologically by the calls they need (Kahn). The needs of
+  a conversation with at most ``GRAPH`` of them are ordered by one task. In
+  larger ones chains of single needs are contracted first, by pointer doubling,
+  and each round then settles every other call whose needs are settled, so the
+  rounds follow the depth of the branching and not the length of a chain.
+* Messages get their places from ranks over range partitions: a conversation,
+  a call with very many results and turns that are all null are split too.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ import math
 from collections.abc import Iterator
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import cut, slices
+from tablewright.operators.prefix import global_rank
 
-#: Turns of a conversation that are ranked together.
-BLOCK = 512
+#: Needs of a conversation that one task may order.
+GRAPH = 4096
 
 
 # --- canonical JSON ---------------------------------------------------------------
@@ -120,66 +124,145 @@ def check_arguments(tool: str | None, arguments: str | None, schemas: dict) -> t
     return ("invalid_arguments" if wrong else "ok"), wrong, text
 
 
-# --- linking and ordering ------------------------------------------------------------
+# --- messages ------------------------------------------------------------------------
 
-def _checked(calls: DataFrame, schemas: dict) -> DataFrame:
-    """``calls`` with ``_status``, ``_error`` and ``_arguments``."""
-    cols = calls.columns
-    tool, arguments = cols.index("_tool"), cols.index("_raw")
+def json_text(c: Column) -> Column:
+    """A text as a canonical JSON string, by the JVM."""
+    short = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+    plain = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    for x in ("\n", "\r", "\t"):
+        plain = F.replace(plain, F.lit(x), F.lit(short[x]))
+    rare = plain
+    for i in range(32):
+        if chr(i) not in "\n\r\t":
+            rare = F.replace(rare, F.lit(chr(i)), F.lit(short.get(chr(i), f"\\u{i:04x}")))
+    escaped = F.when(c.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F]"), rare).when(c.rlike(r'[\n\r\t"\\]'), plain).otherwise(c)
+    return F.concat(F.lit('"'), escaped, F.lit('"'))
 
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        for b in slices(batches):
-            got = [check_arguments(t, a, schemas) for t, a in zip(b.column(tool).to_pylist(), b.column(arguments).to_pylist())]
-            new = [pa.array([g[i] for g in got], pa.string()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*cols, "_status", "_error", "_arguments"])
-
-    from pyspark.sql.types import StringType, StructField, StructType
-    more = [StructField(n, StringType()) for n in ("_status", "_error", "_arguments")]
-    return calls.mapInArrow(run, StructType([*calls.schema.fields, *more]))
 
+def _written(calls: DataFrame, schemas: dict) -> DataFrame:
+    """(_conv, _id, _seq, _tool, _digest, _needs, _status, _error, message) of
+    calls with the columns (..., _needs, _ident, _raw)."""
+    keep = ["_conv", "_id", "_seq", "_tool", "_digest", "_needs"]
 
-def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(_conv, _id, _level) of the calls that can be ordered: 0 without needs,
-    else one more than the highest level needed. ``edges`` (_conv, _id, _need)
-    lead from calls of ``nodes`` to calls of ``nodes``."""
-    edges = cut(edges.distinct())
-    waiting = edges.select("_conv", "_id").distinct()
-    front = cut(nodes.join(waiting, ["_conv", "_id"], "left_anti").withColumn("_level", F.lit(0)))
-    done = front
-    level = 0
-    while not edges.isEmpty():
-        level += 1
-        settled = front.select("_conv", F.col("_id").alias("_need"))
-        left = cut(edges.join(settled, ["_conv", "_need"], "left_anti"))
-        freed = edges.join(settled, ["_conv", "_need"], "left_semi").select("_conv", "_id").distinct()
-        front = cut(freed.join(left.select("_conv", "_id").distinct(), ["_conv", "_id"], "left_anti")
-                    .withColumn("_level", F.lit(level)))
-        if front.isEmpty():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            out = []
+            for tool, ident, raw in zip(*(b.column(n).to_pylist() for n in ("_tool", "_ident", "_raw"))):
+                status, error, arguments = check_arguments(tool, raw, schemas)
+                out.append((status, error, f'{{"function":{{"arguments":{arguments},"name":{canonical(tool)}}},'
+                                           f'"id":{canonical(ident)},"role":"assistant","type":"function"}}'))
+            new = [pa.array([o[i] for o in out], pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*map(b.column, keep), *new], names=[*keep, "_status", "_error", "message"])
+
+    return calls.mapInArrow(run, "_conv string, _id string, _seq long, _tool string, _digest string, _needs array<string>, "
+                                 "_status string, _error string, message string")
+
+
+# --- ordering ------------------------------------------------------------------------
+
+def kahn(edges: list[tuple[str, str]]) -> dict[str, int | None]:
+    """The level of every call in ``edges`` (call, need): 0 without needs, else
+    one more than the highest needed; None on a cycle or behind one."""
+    needs, used = {}, {}
+    for a, b in set(edges):
+        needs[a] = needs.get(a, 0) + 1
+        needs.setdefault(b, 0)
+        used.setdefault(b, []).append(a)
+    level: dict[str, int | None] = dict.fromkeys(needs)
+    front = [x for x, n in needs.items() if not n]
+    for at in range(len(needs)):
+        level.update(dict.fromkeys(front, at))
+        after = []
+        for b in front:
+            for a in used.get(b, ()):
+                needs[a] -= 1
+                if not needs[a]:
+                    after.append(a)
+        front = after
+    return level
+
+
+def _small_levels(edges: DataFrame) -> DataFrame:
+    """(_conv, _id, _level) of the calls in ``edges``, a conversation by one
+    task; null: not ordered."""
+    lists = edges.groupBy("_conv").agg(F.collect_list("_id").alias("a"), F.collect_list("_need").alias("b"))
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = [(conv, x, n) for conv, a, b in zip(*(c.to_pylist() for c in batch.columns)) for x, n in kahn(list(zip(a, b))).items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32()))],
+                                             names=["_conv", "_id", "_level"])
+
+    return lists.mapInArrow(order, "_conv string, _id string, _level int")
+
+
+def _chains(edges: DataFrame) -> DataFrame:
+    """(_conv, _id, _need, _far) for calls with one need: the call that the
+    chain of single needs from it ends at, and how many steps away. Those on
+    a cycle of single needs, or behind one, have none. Each round doubles the
+    steps; a chain of n calls takes log2(n) rounds."""
+    single = edges.groupBy("_conv", "_id").agg(F.count(F.lit(1)).alias("_n"), F.min("_need").alias("_need"))
+    open_ = cut(single.where("_n = 1").select("_conv", "_id", "_need", F.lit(1).cast("long").alias("_far")))
+    total, steps, done = open_.count(), 1, None
+    while total and steps <= 2 * total:
+        on = open_.select("_conv", F.col("_id").alias("_need"), F.col("_need").alias("_next"), F.col("_far").alias("_more"))
+        if done is not None:
+            on = on.unionByName(done.select("_conv", F.col("_id").alias("_need"), F.col("_need").alias("_next"), F.col("_far").alias("_more")))
+        moved = cut(open_.join(on, ["_conv", "_need"], "left"))
+        ended = moved.where("_next is null").select("_conv", "_id", "_need", "_far")
+        done = ended if done is None else cut(done.unionByName(ended))
+        open_ = cut(moved.where("_next is not null").select("_conv", "_id", F.col("_next").alias("_need"), (F.col("_far") + F.col("_more")).alias("_far")))
+        if open_.isEmpty():
             break
+        steps *= 2
+    return done if done is not None else open_.limit(0)
+
+
+def _large_levels(edges: DataFrame) -> DataFrame:
+    """As ``_small_levels``, by joins. Chains of single needs are contracted;
+    a round settles the calls with none or several needs whose needs' ends are
+    settled."""
+    edges = cut(edges)
+    chain = cut(_chains(edges))
+    nodes = cut(edges.select("_conv", "_id").unionByName(edges.select("_conv", F.col("_need").alias("_id"))).distinct())
+    several = edges.join(edges.groupBy("_conv", "_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), ["_conv", "_id"], "left_semi")
+    single = edges.groupBy("_conv", "_id").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").select("_conv", "_id")
+    lost = single.join(chain, ["_conv", "_id"], "left_anti")             # on a cycle or behind one
+    end = chain.select("_conv", F.col("_id").alias("_need"), F.col("_need").alias("_end"), F.col("_far").alias("_more"))
+    left = several.join(end, ["_conv", "_need"], "left").select(
+        "_conv", "_id", F.coalesce("_end", "_need").alias("_need"), (F.coalesce("_more", F.lit(0)) + 1).alias("_far"))
+    left = cut(left)
+    front = cut(nodes.join(edges.select("_conv", "_id").distinct(), ["_conv", "_id"], "left_anti").withColumn("_level", F.lit(0).cast("long")))
+    done = front
+    known = cut(left.select("_conv", "_id", "_far", "_need", F.lit(None).cast("long").alias("_level")))
+    while not known.isEmpty() and not front.isEmpty():
+        new = front.select("_conv", F.col("_id").alias("_need"), F.col("_level").alias("_new"))
+        known = cut(known.join(new, ["_conv", "_need"], "left").select(
+            "_conv", "_id", "_far", "_need", F.coalesce("_level", F.col("_new") + F.col("_far")).alias("_level")))
+        full = known.groupBy("_conv", "_id").agg(F.max("_level").alias("_level"), F.count("_level").alias("_have"), F.count(F.lit(1)).alias("_all"))
+        front = cut(full.where("_have = _all").select("_conv", "_id", "_level"))
+        known = cut(known.join(front.select("_conv", "_id"), ["_conv", "_id"], "left_anti"))
         done = done.unionByName(front)
-        edges = left
-    return done
-
-
-def _placed(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``position`` in their conversation, from 0, by level (none
-    last), turn of the call, call, call before result, turn of the result."""
-    late = F.coalesce("_level", F.lit(1 << 30)).alias("_l")
-    block = F.floor(F.coalesce("_call_seq", F.lit(0)) / BLOCK).alias("_block")
-    r = rows.select("*", late, block)
-    counts = r.groupBy("_conv", "_l", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_conv").orderBy("_l", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(F.col("_conv").alias("_bconv"), F.col("_l").alias("_bl"), F.col("_block").alias("_bblock"),
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_conv", "_l", "_block").orderBy("_call_seq", "_id", "_kind", "_seq", "_content")
-    r = r.withColumn("_rank", F.row_number().over(inside) - 1)
-    r = r.join(counts, F.col("_conv").eqNullSafe(F.col("_bconv")) & (F.col("_l") == F.col("_bl")) & (F.col("_block") == F.col("_bblock")))
-    return r.withColumn("position", (F.col("_offset") + F.col("_rank")).cast("long"))
+    ends = done.select("_conv", F.col("_id").alias("_need"), "_level")
+    along = chain.join(ends, ["_conv", "_need"]).select("_conv", "_id", (F.col("_level") + F.col("_far")).alias("_level"))
+    level = done.unionByName(along.join(lost, ["_conv", "_id"], "left_anti"))
+    return nodes.join(level, ["_conv", "_id"], "left").select("_conv", "_id", F.col("_level").cast("int").alias("_level"))
+
+
+def layers(edges: DataFrame, graph: int = GRAPH) -> DataFrame:
+    """(_conv, _id, _level) of the calls that ``edges`` (_conv, _id, _need)
+    lead from and to: 0 without needs, else one more than the highest level
+    needed; null on a cycle or behind one."""
+    edges = cut(edges.distinct())
+    large = cut(edges.groupBy("_conv").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > graph).select("_conv"))
+    if large.isEmpty():
+        return _small_levels(edges)
+    return _small_levels(edges.join(large, "_conv", "left_anti")).unionByName(_large_levels(edges.join(large, "_conv", "left_semi")))
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict, conv: str = "conv_id",
-                    call_id: str = "call_id", seq: str = "seq") -> DataFrame:
+                    call_id: str = "call_id", seq: str = "seq", graph: int = GRAPH) -> DataFrame:
     """One row per call and per result: ``conv``, ``position`` (topological,
     from 0), ``kind`` ('call', 'result'), ``call_id``, ``level`` (null: not
     ordered), ``status``, ``error``, ``copies`` and ``message`` (canonical JSON).
@@ -188,9 +271,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict, conv: s
     ``arguments`` (JSON text) and ``needs`` (identifiers of calls whose results
     it uses); ``results`` has ``conv``, ``call_id``, ``seq`` and ``content``.
 
-    Of calls with one identifier in one conversation the first by turn, tool
-    and arguments stands, ``copies`` of them; equal results are one row
-    likewise. A call is 'ok', 'invalid_json', 'unknown_tool' or
+    Equal calls of one identifier in one conversation are one row, ``copies``
+    of them, as are equal results. Of different calls of one identifier the
+    first by turn, tool and digest stands; the others are rows with '
+    conflicting' before their status, without a level, after the calls in
+    order. A call is 'ok', 'invalid_json', 'unknown_tool' or
     'invalid_arguments'; ', unanswered' follows where no result names it. Needs
     that name no call of the conversation are left out of the order. Calls on
     a cycle or behind one have no level and come last, as do results that name
@@ -200,59 +285,51 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict, conv: s
     other columns are ignored, whatever their names."""
     # what is null gets a name that begins with a null character; a call without
     # an identifier is told from others by what it says
-    in_conv = F.coalesce(F.col(conv).cast("string"), F.lit("\0")).alias("_conv")
-    ident = F.col(call_id).cast("string")
-    turn = F.coalesce(F.col(seq).cast("long"), F.lit(0))
-    says = F.concat(F.lit("\0"), F.md5(F.to_json(F.struct(turn, "tool", "arguments"))))
-    c = calls.select(in_conv, F.coalesce(ident, says).alias("_id"), F.struct(turn.alias("_s"), F.col("tool").alias("_t"), F.col("arguments").alias("_a"),
-                                    F.col("needs").cast("array<string>").alias("_n")).alias("_c"))
-    c = c.groupBy("_conv", "_id").agg(F.min("_c").alias("_c"), F.count(F.lit(1)).alias("_copies"))
-    c = c.select("_conv", "_id", F.col("_c._s").alias("_seq"), F.col("_c._t").alias("_tool"), F.col("_c._a").alias("_raw"),
-                 F.col("_c._n").alias("_needs"), "_copies")
-    c = cut(_checked(c, schemas))
-    r = results.select(in_conv, F.coalesce(ident, F.lit("\0")).alias("_id"), turn.alias("_seq"), F.coalesce("content", F.lit("")).alias("_content"))
-    r = r.groupBy("_conv", "_id", "_seq", "_content").agg(F.count(F.lit(1)).alias("_copies"))
-
-    nodes = c.select("_conv", "_id")
-    needs = c.select("_conv", "_id", F.explode("_needs").alias("_need")).where(F.col("_need").isNotNull())
-    edges = needs.join(nodes.select("_conv", F.col("_id").alias("_need")), ["_conv", "_need"], "left_semi")
-    level = layers(nodes, edges)
-    c = c.join(level, ["_conv", "_id"], "left")
-
-    named = ~F.col("_id").startswith("\0")
-    answered = r.where(named).select("_conv", "_id").distinct().withColumn("_answered", F.lit(True))
-    c = cut(c.join(answered, ["_conv", "_id"], "left").select(
-        "_conv", "_id", "_seq", F.lit(0).alias("_kind"), "_level", "_copies", F.col("_seq").alias("_call_seq"),
-        F.concat("_status", F.when(F.col("_answered").isNull(), F.lit(", unanswered")).otherwise(F.lit(""))).alias("_status"),
-        "_error", "_tool", "_arguments", F.lit(None).cast("string").alias("_content")))
-    by = c.where(named).select("_conv", "_id", F.col("_level").alias("_clevel"), F.col("_seq").alias("_cseq"), F.lit(True).alias("_known"))
-    r = r.join(by.hint("shuffle_hash"), ["_conv", "_id"], "left").select(
-        "_conv", "_id", "_seq", F.lit(1).alias("_kind"), F.col("_clevel").alias("_level"), "_copies",
-        F.coalesce("_cseq", "_seq").alias("_call_seq"),
-        F.when(F.col("_known").isNull(), F.lit("orphan")).otherwise(F.lit("ok")).alias("_status"),
-        F.lit("").alias("_error"), F.lit(None).cast("string").alias("_tool"), F.lit(None).cast("string").alias("_arguments"), "_content")
-
-    placed = _placed(c.unionByName(r)).select(
-        "_conv", "position", "_kind", "_id", "_level", "_status", "_error", "_copies", "_tool", "_arguments", "_content")
-    kind = calls.schema[conv].dataType
-
-    def write(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        for b in slices(batches):
-            d = {n: b.column(n).to_pylist() for n in ("_id", "_kind", "_tool", "_arguments", "_content")}
-            out = []
-            for i, k, tool, arguments, content in zip(*d.values()):
-                name = "null" if i[:1] == "\0" else canonical(i)
-                if k == 0:
-                    out.append(f'{{"function":{{"arguments":{arguments},"name":{canonical(tool)}}},"id":{name},"role":"assistant","type":"function"}}')
-                else:
-                    out.append(f'{{"content":{canonical(content)},"role":"tool","tool_call_id":{name}}}')
-            keep = ["_conv", "position", "_kind", "_id", "_level", "_status", "_error", "_copies"]
-            yield pa.RecordBatch.from_arrays([*map(b.column, keep), pa.array(out, pa.string())], names=[*keep, "message"])
-
-    rows = placed.mapInArrow(write, "_conv string, position long, _kind int, _id string, _level int, _status string, _error string, _copies long, message string")
-    null = lambda x: F.when(~F.col(x).startswith("\0"), F.col(x))
-    return rows.select(
-        null("_conv").cast(kind).alias(conv), "position", F.when(F.col("_kind") == 0, "call").otherwise("result").alias("kind"),
-        null("_id").alias(call_id), F.col("_level").alias("level"), F.col("_status").alias("status"),
-        F.col("_error").alias("error"), F.col("_copies").alias("copies"), "message")
+    c_ = F.col
+    in_conv = F.coalesce(c_(conv).cast("string"), F.lit("\0")).alias("_conv")
+    ident = c_(call_id).cast("string")
+    turn = F.coalesce(c_(seq).cast("long"), F.lit(0))
+    says = F.md5(F.to_json(F.struct(turn, "tool", "arguments", "needs")))
+    named = F.when(ident.isNotNull(), json_text(ident)).otherwise(F.lit("null"))
+    c = _written(calls.select(
+        in_conv, F.coalesce(ident, F.concat(F.lit("\0"), says)).alias("_id"), turn.alias("_seq"), c_("tool").alias("_tool"), says.alias("_digest"),
+        F.coalesce(c_("needs").cast("array<string>"), F.array().cast("array<string>")).alias("_needs"),
+        ident.alias("_ident"), c_("arguments").alias("_raw")), schemas).withColumn("_kind", F.lit(0))
+    content = F.coalesce(c_("content"), F.lit(""))
+    none = F.lit(None).cast("string")
+    r = results.select(
+        in_conv, F.coalesce(ident, F.lit("\0")).alias("_id"), turn.alias("_seq"), none.alias("_tool"), F.md5(content).alias("_digest"),
+        F.array().cast("array<string>").alias("_needs"), F.lit("ok").alias("_status"), F.lit("").alias("_error"),
+        F.concat(F.lit('{"content":'), json_text(content), F.lit(',"role":"tool","tool_call_id":'), named, F.lit("}")).alias("message"),
+        F.lit(1).alias("_kind"))
+    said = cut(c.unionByName(r)).withColumn("_row", F.monotonically_increasing_id())     # of stored rows: the same at every read
+    rows = said.groupBy("_conv", "_id", "_kind", "_seq", "_tool", "_digest").agg(F.count(F.lit(1)).alias("_copies"), F.min("_row").alias("_row"))
+    call, name = c_("_kind") == 0, ~c_("_id").startswith("\0")
+    known = rows.groupBy("_conv", "_id").agg(
+        F.min(F.when(call, F.struct("_seq", "_tool", "_digest", "_row"))).alias("_head"), F.max("_kind").alias("_answered"))
+    heads = known.where("_head is not null")
+
+    first = cut(heads.select("_conv", "_id", c_("_head._row").alias("_row")))
+    needs = said.where("size(_needs) > 0").select("_row", "_needs").join(first, "_row").select("_conv", "_id", F.explode("_needs").alias("_need"))
+    edges = needs.join(first.select("_conv", c_("_id").alias("_need")), ["_conv", "_need"], "left_semi")
+    level = layers(edges, graph).withColumn("_in", F.lit(True))
+    of = known.join(level, ["_conv", "_id"], "left").select(
+        "_conv", "_id", "_head", "_answered", F.when(c_("_in"), c_("_level")).when(c_("_head").isNotNull(), 0).alias("_level"))
+
+    rows = rows.join(of, ["_conv", "_id"])
+    stands = c_("_row") == c_("_head._row")
+    linked = F.when(call, stands).otherwise(name & c_("_head").isNotNull())
+    late = F.coalesce(F.when(linked, c_("_level")), F.lit(1 << 30)).alias("_late")
+    at = F.when(linked, c_("_head._seq")).otherwise(c_("_seq")).alias("_call_seq")
+    tail = F.when(call, F.when(~stands, "conflicting").when((c_("_answered") == 0) | ~name, "unanswered")).when(~linked, "orphan")
+    rows = rows.select("_conv", "_id", "_kind", "_seq", "_digest", "_copies", "_row", late, at, tail.alias("_tail"),
+                       F.when(linked, c_("_level")).alias("_level"))
+    placed = global_rank(rows, ["_late", "_call_seq", "_id", "_kind", "_seq", "_digest", "_row"], by=["_conv"], name="_rank")
+    out = placed.select("_row", "_rank", "_copies", "_tail", "_level").join(said, "_row")
+    null = lambda x: F.when(~c_(x).startswith("\0"), c_(x))
+    status = (F.when(c_("_tail") == "orphan", c_("_tail")).when(c_("_tail") == "conflicting", F.concat(F.lit("conflicting, "), "_status"))
+              .when(c_("_tail") == "unanswered", F.concat("_status", F.lit(", unanswered"))).otherwise(c_("_status")))
+    return out.select(
+        null("_conv").cast(calls.schema[conv].dataType).alias(conv), (c_("_rank") - 1).alias("position"),
+        F.when(call, "call").otherwise("result").alias("kind"), null("_id").alias(call_id), c_("_level").alias("level"),
+        status.alias("status"), c_("_error").alias("error"), c_("_copies").alias("copies"), "message")

@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.llm import queries as Q
 from tablewright.llm import tool_calls as T
@@ -65,24 +66,81 @@ def test_empty(spark):
     assert link(spark, [], []).count() == 0
 
 
-def test_hot_conversation_against_kahn(spark, monkeypatch):
-    monkeypatch.setattr(T, "BLOCK", 16)
-    rng = random.Random(5)
-    n = 300
-    needs = {i: sorted({rng.randrange(n) for _ in range(rng.choice([0, 1, 2]))}) for i in range(n)}
-    calls = [(7, f"k{i}", i, "search", "{}", [f"k{j}" for j in needs[i]]) for i in range(n)]
-    rows = {r.call_id: r for r in link(spark, calls, []).collect()}
+def plain_levels(needs):
     level, left = {}, dict(needs)
     while ready := [i for i, js in left.items() if all(j in level for j in js)]:
-        new = {i: max((level[j] + 1 for j in needs[i]), default=0) for i in ready}
-        level |= new
+        level |= {i: max((level[j] + 1 for j in needs[i]), default=0) for i in ready}
         for i in ready:
             del left[i]
+    return level
+
+
+@pytest.mark.parametrize("graph", [T.GRAPH, 10])        # by one task, and by joins
+def test_hot_conversation_against_kahn(spark, graph):
+    rng = random.Random(5)
+    n = 300
+    needs = {i: sorted({rng.randrange(n) for _ in range(rng.choice([0, 1, 2]))}) for i in range(n)}
+    needs |= {i: [i - 1] for i in range(100, 140)} | {200: [201], 201: [202], 202: [200], 203: [202]}   # a chain, a cycle
+    calls = [(7, f"k{i}", i, "search", "{}", [f"k{j}" for j in needs[i]]) for i in range(n)]
+    got = T.link_tool_calls(spark.createDataFrame([(*c, "clash") for c in calls], CALLS), spark.createDataFrame([], RESULTS), Q.SCHEMAS, graph=graph)
+    rows = {r.call_id: r for r in got.collect()}
+    level = plain_levels(needs)
     assert {i: rows[f"k{i}"].level for i in range(n)} == {i: level.get(i) for i in range(n)}
     order = sorted(range(n), key=lambda i: (level.get(i, 1 << 30), i))
     assert [rows[f"k{i}"].position for i in order] == list(range(n))
 
 
+def test_random_graphs(spark):
+    rng = random.Random(11)
+    want, data = {}, []
+    for conv in range(12):
+        n = rng.randint(1, 25)
+        needs = {f"{i}": [f"{rng.randrange(max(1, i + rng.choice([0, 0, 0, 3])))}" for _ in range(rng.choice([0, 1, 1, 2]))] for i in range(n)}
+        needs = {i: [j for j in js if j in needs] for i, js in needs.items()}
+        used = {x for i, js in needs.items() if js for x in (i, *js)}
+        level = plain_levels(needs)
+        want |= {(f"{conv}", i): level.get(i) for i in used}
+        data += [(f"{conv}", i, j) for i, js in needs.items() for j in js]
+    edges = spark.createDataFrame(data, "_conv string, _id string, _need string")
+    for graph in (T.GRAPH, 5, 0):
+        assert {(r._conv, r._id): r._level for r in T.layers(edges, graph).collect()} == want
+
+
+def test_long_chain_takes_few_rounds(spark):
+    edges = spark.createDataFrame([("c", f"{i}", f"{i - 1}") for i in range(1, 1001)], "_conv string, _id string, _need string")
+    for graph in (T.GRAPH, 0):
+        assert {r._id: r._level for r in T.layers(edges, graph).collect()} == {f"{i}": i for i in range(1001)}
+
+
+def test_hot_call_null_turns_and_conflicts(spark):
+    """Thousands of results of one call, turns that are all null, and calls
+    that differ under one identifier: each has its row."""
+    calls = [(1, "a", None, "search", f'{{"query":"q","limit":{1 + i % 3}}}', []) for i in range(30)]
+    calls += [(1, f"b{i}", None, "search", '{"query":"q","limit":1}', ["a"]) for i in range(200)]
+    results = [(1, "a", None, f"r{i}") for i in range(3000)]
+    rows = link(spark, calls, results).collect()
+    assert sorted(r.position for r in rows) == list(range(3 + 200 + 3000))
+    a = [r for r in rows if r.call_id == "a" and r.kind == "call"]
+    assert sorted((r.status, r.level, r.copies) for r in a if r.level == 0) == [("ok", 0, 10)]
+    assert [(r.status, r.level, r.copies) for r in a if r.level is None] == [("conflicting, ok", None, 10)] * 2
+    assert len({r.message for r in a}) == 3
+    first = next(r.position for r in a if r.level == 0)
+    assert {r.position for r in rows if r.kind == "result"} == set(range(first + 1, first + 3001))
+
+
+def test_deep_and_long_arguments(spark):
+    deep, wide = "[" * 100_000 + "]" * 100_000, '{"limit":1,"query":"' + "x" * 3_000_000 + '"}'
+    rows = {r.call_id: r for r in link(spark, [(1, "d", 0, "search", deep, []), (1, "w", 1, "search", wide, [])], []).collect()}
+    assert rows["d"].status == "invalid_json, unanswered" and json.loads(rows["d"].message)["function"]["arguments"] == deep
+    assert rows["w"].status == "ok, unanswered" and json.loads(rows["w"].message)["function"]["arguments"]["query"] == "x" * 3_000_000
+
+
+def test_json_text_by_the_jvm(spark):
+    texts = ["", "plain é 😀", 'a"b\\c/', "line\nnext\r\t", "".join(map(chr, range(33))) + "\x7f\u2028", "\\u001f \\n"]
+    d = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.json_text(F.col("t")).alias("j"))
+    assert all(r.j == T.canonical(r.t) for r in d.collect())
+
+
 def test_query_covers_every_turn(spark):
     from conftest import SF01
     rows = Q.op1_tool_calls(spark, SF01).collect()
