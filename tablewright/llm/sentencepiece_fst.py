@@ -35,27 +35,41 @@ from tablewright.llm.common import slices
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Entries of each cache in one Python worker; a full cache starts anew.
+#: Entries of each half of a cache in one Python worker.
 CACHE = 1 << 18
 
+#: Stretches up to so many characters share the paths of their ends; longer
+#: ones are searched from place to place, in memory linear in their length.
+SHORT = 40
+
 _INF = float("inf")
 _UNIGRAM, _BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
 
 
 class _Cache(dict):
-    """A dictionary that computes what is missing and forgets all when full."""
+    """A dictionary that computes what is missing. When it is full, what it
+    holds becomes the elder half, from which entries that are asked for again
+    come back; the elder half before goes."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.elder = make, {}
 
     def __missing__(self, key):
         if len(self) >= CACHE:
+            self.elder = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        value = self.elder.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.elder = {}
+
 
 class Transducer:
     """The compiled machines of one model file."""
@@ -94,6 +108,7 @@ class Transducer:
         arcs = set(self.ids)
         self._next: dict[str, dict[str, bool]] = {}
         self._pairs = 0
+        self.ends: dict[tuple[str, str], bytes | None] = {}
         if self.kind == _BPE:
             halves = {p: self._halves(p) for p in self.ids if len(p) > 1}
             arcs -= {p for p, h in halves.items() if h is None}
@@ -182,6 +197,8 @@ class Transducer:
 
     def _stretch(self, s: str) -> bytes:
         """The shortest path over one stretch: its ids, 4 bytes each."""
+        if self.kind == _BPE and len(s) <= SHORT:
+            return self._path("", s)
         last, back = self._least_pieces(s) if self.kind == _BPE else self._least_weight(s)
         out, at = [], len(s)
         while at:
@@ -194,12 +211,53 @@ class Transducer:
         that stand side by side in no piece: its parts are paths of their own,
         and a word is looked up without the marks around it."""
         joints = self.joints
+        if len(s) <= SHORT:
+            if len(s) < 2 or s[-2:] in joints:
+                return self._stretch(s)
+            head = s[:-1]       # "word," is "word" and ","
+            return (self.word[head[1:]] if head[0] == BLANK else self.stretch[head]) + self.stretch[s[-1]]
         cuts = [i for i in range(1, len(s)) if s[i - 1:i + 1] not in joints]
         if not cuts:
             return self._stretch(s)
         parts = [s[i:j] for i, j in zip([0, *cuts], [*cuts, len(s)])]
         return b"".join(self.word[x[1:]] if x[0] == BLANK else self.stretch[x] for x in parts)
 
+    def _path(self, before: str, rest: str) -> bytes | None:
+        """Byte-pair model: the ids of the path of finite weight over ``rest``
+        after the piece ``before``, or None; as ``_least_pieces``, longest arcs
+        first. Ends of words recur more than words do, so what a state leads to
+        is held and shared by all words that come to it."""
+        key = (before, rest)
+        if (held := self.ends.get(key, 0)) != 0:
+            return held
+        n, found = len(rest), []
+        arcs, stems, j, sub = self.arcs, self.stems, 1, rest[0]
+        if sub not in arcs:
+            found.append(sub)
+        while sub in stems:
+            if sub in arcs:
+                found.append(sub)
+            j += 1
+            if j > n:
+                break
+            sub = rest[:j]
+        seen, out = self._next.get(before), None
+        for sub in reversed(found):
+            if before:
+                ok = seen.get(sub) if seen is not None else None
+                if not (self._follows(before, sub) if ok is None else ok):
+                    continue
+            if len(sub) == n:
+                out = self.coded[sub]
+                break
+            if (tail := self._path(sub, rest[len(sub):])) is not None:
+                out = self.coded[sub] + tail
+                break
+        if len(self.ends) >= CACHE:
+            self.ends.clear()
+        self.ends[key] = out
+        return out
+
     def _least_pieces(self, s: str) -> tuple[list, list]:
         """Byte-pair model: every prefix of a text has one path of finite
         weight, so a depth-first search over arcs of finite weight, longest
@@ -264,8 +322,10 @@ class Transducer:
 
     def forget(self) -> None:
         """Empties the caches: a Python worker may live on for other work."""
-        for cache in (self.stretch, self.word, self._next):
-            cache.clear()
+        for cache in (self.stretch, self.word):
+            cache.forget()
+        self._next.clear()
+        self.ends.clear()
         self._pairs = 0
 
     def encode_bytes(self, text: str | None) -> bytes:
