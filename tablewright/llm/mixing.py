@@ -99,7 +99,7 @@ def source_cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     # no edge: the remainder is the whole source
     return (plan.join(edge, plan["_source"].eqNullSafe(edge["_esource"]), "left")
             .withColumn("_cut", F.coalesce("_ecut", F.lit((1 << 60) - 1)))
-            .select("_source", "source_size", "target", "_whole", "_cut"))
+            .select("_source", "source_size", "target", "_whole", F.col("_rest").alias("_left"), "_cut"))
 
 
 def _decided(docs: DataFrame, key: str, text: str, source: str, weights: tuple,
@@ -112,10 +112,10 @@ def _decided(docs: DataFrame, key: str, text: str, source: str, weights: tuple,
     cuts = cut(source_cuts(rows, plan))
     cuts = broadcast_if_small(cuts, F.lit(64) + F.coalesce(F.octet_length(F.col("_source").cast("string")), F.lit(0)))
     cuts = cuts.select(F.col("_source").alias("_csource"), F.col("source_size").alias("_csize"),
-                       F.col("target").alias("_ctarget"), "_whole", "_cut")
+                       F.col("target").alias("_ctarget"), "_whole", "_left", "_cut")
     d = docs.withColumns({"_size": facts["_size"], "_h": facts["_h"]})
     d = d.join(cuts, d[source].eqNullSafe(F.col("_csource")), "left")
-    return d.withColumn("_copies", F.col("_whole") + (F.col("_h") <= F.col("_cut")).cast("long"))
+    return d.withColumn("_copies", F.col("_whole") + ((F.col("_left") > 0) & (F.col("_h") <= F.col("_cut"))).cast("long"))
 
 
 def mix_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
@@ -126,7 +126,8 @@ def mix_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     one of these names is replaced.
 
     Null sources are one source and come last. A null or empty text has size 0
-    and is in the mix like other rows of its hash. The choice is a function of
+    and is in the mix like other rows of its hash; where whole repetitions meet
+    the target there is no other, and none of a source of size 0. The choice is a function of
     seed, key and text alone: reruns and lost executors give the same rows;
     rows repeated with the same key and text go together. A source of size 0
     has target 0. An empty table gives no rows."""
@@ -141,7 +142,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         weights: tuple = WEIGHTS, total_share: float = TOTAL_SHARE,
         max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as ``mix_counts`` says,
-    with the columns of ``docs`` unchanged."""
+    with the columns of ``docs`` unchanged. Nulls, empty texts, repeated rows
+    and empty tables as there."""
     d = _decided(docs, key, text, source, weights, total_share, max_epochs, seed)
     return (d.where("_copies > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))

@@ -64,7 +64,7 @@ c AS (
          sum(d.size) OVER (PARTITION BY d.source, d.h) AS tie
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
 k AS (
-  SELECT *, CAST(whole AS BIGINT) + CASE WHEN cum <= rest OR cum - rest < rest - (cum - tie) THEN 1 ELSE 0 END AS copies
+  SELECT *, CAST(whole AS BIGINT) + CASE WHEN rest > 0 AND (cum <= rest OR cum - rest < rest - (cum - tie)) THEN 1 ELSE 0 END AS copies
   FROM c)
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(copies AS BIGINT) AS copies, CAST(size * copies AS BIGINT) AS taken
