@@ -67,13 +67,23 @@ def test_line_dedup(spark):
     data = rows() + [(1000 + i, "\n".join([f"nav {rng.randrange(3)} ", word_salad(i, 5), "", rng.choice(["foot", "other"])]), "en", "h" + str(i % 2))
                      for i in range(60)] + [(2000 + i, "foot", None, None) for i in range(6)]
     d = docs(spark, data)
-    for ratio, least in ((0.3, 4), (0.02, 4), (0.0, 1)):
+    for ratio, least in ((0.3, 4), (0.02, 4), (0.02, L.MIN_PAGES), (0.0, 1)):
         got = L.line_dedup(d, ratio=ratio, min_pages=least)
         assert got.columns == [c for c in d.columns if c != "n_lines"] + ["n_lines", "n_dropped"]
         assert Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()) == plain_lines(data, ratio, least)
     assert L.line_dedup(docs(spark, [])).count() == 0
 
 
+def test_equal_pages_count_once(spark):
+    """A page copied onto all pages of a host but a few keeps its lines; a
+    line of many different pages goes, from the copies too."""
+    data = [(i, "copied page\nof two lines\nnav", "en", "h") for i in range(60)]
+    data += [(100 + i, f"own {i}\nnav", "en", "h") for i in range(40)] + [(200 + i, "x", "en", "one") for i in range(5)]
+    got = {r.doc_id: r.text for r in L.line_dedup(docs(spark, data), ratio=0.5, equal_once=True).collect()}
+    assert got[0] == got[59] == "copied page\nof two lines" and got[100] == "own 0" and got[200] == "x"
+    assert {r.doc_id: r.text for r in L.line_dedup(docs(spark, data), ratio=0.5).collect()}[0] == ""
+
+
 def test_line_dedup_without_broadcast(spark, monkeypatch):
     data = [(i, f"same\n{i}", "en", "h") for i in range(20)]
     monkeypatch.setattr(L, "broadcast_if_small", lambda df, *_: df)
@@ -126,6 +136,16 @@ def test_mixing(spark):
     assert M.mix_counts(docs(spark, [])).count() == 0
 
 
+def test_empty_texts_at_the_cap(spark):
+    """Sources at twice their size take no third copy of their empty texts."""
+    data = [(i, "w " * 20, "en", "big") for i in range(200)]
+    data += [(1000 + i, "" if i % 3 else f"few words {i}", "en", f"small{i % 4}") for i in range(300)]
+    got = M.mix_counts(docs(spark, data)).withColumn("n", F.col("size")).collect()
+    check_mix(data, got)
+    capped = [r for r in got if r.source != "big"]
+    assert all(r.target == 2 * r.source_size for r in capped) and {r.copies for r in capped} == {2}
+
+
 def test_mixing_all_empty_and_one_source(spark):
     assert all(r.target == 0 and r.size == 0 for r in M.mix_counts(docs(spark, [(1, "", "en", "a"), (2, None, "en", "b")])).collect())
     data = [(i, "w " * 10, "en", "only") for i in range(50)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from conftest import SF01
-from edges import rows
+from edges import rows, word_salad
 from tablewright.llm import line_dedup, mixing, simhash
 from tablewright.session import scratch_path
 
@@ -30,7 +30,7 @@ def test_stages(spark):
     assert clean.join(toxic, "doc_id", "left_anti").count() <= 0.02 * clean.count()
     assert lines.count() == toxic.count()
     assert lines.where(F.length("text") != F.col("n_chars")).count() == 0
-    want = {(r.doc_id, r.text) for r in line_dedup.line_dedup(toxic).collect()}
+    want = {(r.doc_id, r.text) for r in line_dedup.line_dedup(toxic, min_pages=P.MIN_PAGES, equal_once=True).collect()}
     assert {(r.doc_id, r.text) for r in lines.collect()} == want
     groups = simhash.simhash_groups(lines).collect()
     assert {r.doc_id for r in near.collect()} == {r.component for r in groups}
@@ -39,6 +39,18 @@ def test_stages(spark):
     assert coded.count() == mixed.count() and coded.where("not round_trip").count() == 0
 
 
+def test_every_text_has_a_survivor(spark, tmp_path):
+    """Exact copies on most pages of a source: after the stages that drop
+    documents, one of each group is left with its whole text."""
+    groups = {g: "\n".join(f"{g} line {i} " + word_salad(100 * g + i, 12) for i in range(5)) for g in range(8)}
+    data = [(1000 * g + i, t, "en", f"s{g % 2}", len(t)) for g, t in groups.items() for i in range(40 if g < 2 else 5)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for _, stage in P.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+    assert {(r.doc_id, r.text) for r in docs.collect()} == {(1000 * g, t) for g, t in groups.items()}
+
+
 def test_stages_on_edges(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
@@ -56,7 +68,7 @@ def test_run(spark):
 def test_registered(spark):
     import __spark_entry__ as E
     q = E.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {k.split("_")[0] for k in q if k.startswith("op")}
+    assert {f"op{i}" for i in range(1, 14)} == {k.split("_")[0] for k in q if k.startswith("op")}
     assert "pipeline" in q
 
 
