@@ -46,20 +46,21 @@ LEXICON = {
 #: Log odds of a listed insult of which the labels say nothing.
 PRIOR = 4.0
 
-CLASSES = ("other", "insult", "threat", "target", "negation", "report", "end")
+CLASSES = ("other", "insult", "threat", "target", "negation", "report", "end", "pause")
 KINDS = ("plain", "targeted", "negated", "reported", "threat")
-_OTHER, _INSULT, _THREAT, _TARGET, _NEGATION, _REPORT, _END = range(len(CLASSES))
+_OTHER, _INSULT, _THREAT, _TARGET, _NEGATION, _REPORT, _END, _PAUSE = range(len(CLASSES))
 
 
 def _held(opens: int, words: int):
     """A transducer that stays open for ``words`` words after a class: its
-    states count down. An end of clause closes it."""
+    states count down. An end of clause closes it, and so does a pause."""
     def step(state: int, cls: int) -> int:
-        return 0 if cls == _END else words if cls == opens else max(0, state - 1)
+        return 0 if cls in (_END, _PAUSE) else words if cls == opens else max(0, state - 1)
     return step
 
 
 def _until_end(opens: int):
+    """Open until the clause ends; what is said begins after a pause."""
     def step(state: int, cls: int) -> int:
         return 0 if cls == _END else 1 if cls == opens else state
     return step
@@ -97,7 +98,9 @@ def compose() -> list[list[tuple[int, int]]]:
 
 
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-_ENDS = frozenset(".,;:!?|")
+#: What a word ends with where a clause ends, and where it only pauses.
+_ENDS = dict.fromkeys(".;!?|", _END) | dict.fromkeys(",:", _PAUSE)
+_QUOTES = "\"'\u2018\u2019\u201c\u201d\u00bb\u00ab)"
 
 
 class Grammar:
@@ -109,8 +112,9 @@ class Grammar:
         self.fixed = {w: CLASSES.index(c) for c, ws in LEXICON.items() for w in ws.split()}
         self.seen: dict[str, tuple] = {}
 
-    def word(self, raw: str) -> tuple[int, float, bool]:
-        """Class and weight of a word, and whether a clause ends behind it."""
+    def word(self, raw: str) -> tuple[int, float, int]:
+        """Class and weight of a word, and the class of what follows it: 0, or
+        an end or a pause, whether or not a quotation closes behind that."""
         if len(self.seen) >= 1 << 18:
             self.seen.clear()
         core = _EDGES.sub("", raw.lower())
@@ -120,7 +124,7 @@ class Grammar:
             learned = max((self.stems.get(core[:n], 0.0) for n in STEM_LENGTHS if n <= len(core)), default=0.0)
             if learned > 0:
                 cls, weight = _INSULT, max(weight, learned)
-        out = self.seen[raw] = (cls, weight, raw[-1] in _ENDS)
+        out = self.seen[raw] = (cls, weight, _ENDS.get((raw.rstrip(_QUOTES) or raw)[-1], 0))
         return out
 
     def features(self, text: str | None) -> list[float]:
@@ -137,7 +141,7 @@ class Grammar:
                 sums[kind] += w
                 top = max(top, w)
             if ends:
-                state = table[state][_END][0]
+                state = table[state][ends][0]
         rate = 100.0 * n / max(1, len(words))
         return [*map(math.log1p, sums), top, math.log1p(n), math.log1p(rate)]
 
@@ -204,15 +208,14 @@ def _stem_rows(rows: DataFrame, only: frozenset | None) -> DataFrame:
 
 def learn_stems(sample: DataFrame, min_rows: int = MIN_ROWS, min_odds: float = MIN_ODDS,
                 max_stems: int = MAX_STEMS) -> dict[str, float]:
-    """Stem to log odds, from a bounded sample. Only stems of toxic rows are
-    counted in the others, and at most ``max_stems`` reach the driver's
-    lexicon."""
+    """Stem to log odds, from a bounded sample; the ``max_stems`` highest
+    stay. Only stems that ``min_rows`` toxic rows hold are counted in the
+    others. The driver sees all of those: the sample's rows are their bound."""
     toxic, clean = sample.where("_toxic = 1"), sample.where("_toxic = 0")
     n1, n0 = toxic.count(), clean.count()
     if not n1 or not n0:
         return {}
-    held = {r.stem: r.n for r in _stem_rows(toxic, None).where(F.col("n") >= min_rows)
-            .orderBy(F.desc("n"), "stem").limit(20 * max_stems).collect()}
+    held = {r.stem: r.n for r in _stem_rows(toxic, None).where(F.col("n") >= min_rows).collect()}
     wanted = frozenset(held)
     rare = {r.stem: r.n for r in _stem_rows(clean, wanted).collect()}
     odds = {s: math.log((n + 0.5) / (n1 + 1)) - math.log((rare.get(s, 0) + 1.0) / (n0 + 1)) for s, n in held.items()}
@@ -283,7 +286,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 
 def toxic_filter(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
-    """``docs`` without the rows that are predicted toxic."""
+    """``docs`` without the rows that are predicted toxic. Null and empty
+    texts score as texts without a match and stay; repeated rows go or stay
+    together; no rows give no rows; all columns stay as they are."""
     stems, weights = fit(docs, labels, key, text, **kw)
     sent = docs.sparkSession.sparkContext.broadcast(stems)
     at = docs.columns.index(text)

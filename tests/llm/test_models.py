@@ -27,6 +27,8 @@ def kinds(text):
 
 @pytest.mark.parametrize("text, found", [
     ("what an idiot", {"plain"}), ("you are an idiot", {"targeted"}), ("you are not an idiot", {"negated"}),
+    ("He said, you are an idiot", {"reported"}), ("he said: \"you, you idiot!\" you idiot", {"reported", "targeted"}),
+    ('they wrote: "you moron." You are a moron', {"reported", "targeted"}), ("you, idiot", {"plain"}),
     ("she said you are an idiot", {"reported"}), ("she said hello. you idiot", {"targeted"}), ("we will kill them", {"threat"}),
     ("they did not kill them", {"negated"}), ("kill time", set()), ("IDIOT!!", {"plain"}), ("moron%%% |", {"plain"}),
     ("not one of all those many idiots", {"targeted"}), ("", set()), (None, set()), ("idiotic", set())])
