@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import ratio, safe_corr
+from tablewright.operators.prefix import running_sums
 from tablewright.operators.stats import contingency, shares
 
 
@@ -66,6 +67,20 @@ def accuracy_precision(df: DataFrame, label: str, prediction: str) -> DataFrame:
         F.round(ratio(F.col("tp"), F.col("tp") + F.col("fn")), 6).alias("recall"))
 
 
+def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """A point for each distinct score, from the highest: ``score``, the
+    true and false positives (``tp``, ``fp``) where it is the threshold, and
+    their rates, null for a class without rows. Running sums over range
+    partitions: as many distinct scores as rows are no load on one task."""
+    y = F.col(label).cast("int")
+    d = df.select(F.col(score).cast("double").alias("score"), y.alias("_y")).na.drop()
+    points = d.groupBy("score").agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))
+    sums = running_sums(points, [F.col("score").desc()], {"tp": "_pos", "fp": "_neg"})
+    total = points.agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    return sums.join(F.broadcast(total)).select(       # one row
+        "score", "tp", "fp", ratio(F.col("tp"), F.col("_p")).alias("tpr"), ratio(F.col("fp"), F.col("_n")).alias("fpr"))
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve, ties counted half (the rank-sum
     statistic), as one row. Null when only one class is present."""

@@ -618,3 +618,15 @@ ORACLES |= {
         SELECT term, (SELECT count(*) FROM lineitem JOIN part ON l_partkey = p_partkey) AS n, CAST(0 AS DOUBLE) AS score
         FROM (VALUES {", ".join(f"('{c}')" for c in [*_X, "(intercept)"])}) t(term)""" for name in ("score", "solver")},
 }
+
+ORACLES |= {
+    "roc_curve": """
+        WITH g AS (SELECT CAST(value AS DOUBLE) AS score, count_if(event_type = 'error') AS p, count_if(event_type <> 'error') AS n
+                   FROM events GROUP BY value),
+        c AS (SELECT score, CAST(sum(p) OVER (ORDER BY score DESC) AS BIGINT) AS tp, CAST(sum(n) OVER (ORDER BY score DESC) AS BIGINT) AS fp,
+                     sum(p) OVER () AS all_p, sum(n) OVER () AS all_n FROM g)
+        SELECT score, tp, fp, round(tp / all_p, 9) AS tpr, round(fp / all_n, 9) AS fpr FROM c""",
+    "trip_ranks": f"""
+        WITH {TRIPS.strip()}
+        SELECT {_TRIP_KEYS}, fare, row_number() OVER (PARTITION BY l_linenumber ORDER BY fare DESC, {_TRIP_KEYS}) AS place FROM trips""",
+}

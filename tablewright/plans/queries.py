@@ -15,6 +15,7 @@ from tablewright.operators import clean as C
 from tablewright.operators import metrics as MT
 from tablewright.operators import ml as ML
 from tablewright.operators import relational as R
+from tablewright.operators.prefix import global_rank
 from tablewright.operators import sampling as SM
 from tablewright.operators import stats as ST
 from tablewright.operators import sufficient as SS
@@ -694,6 +695,19 @@ def roc_auc(spark, sf_dir):
     return MT.roc_auc(_scored(spark, sf_dir), "label", "score")
 
 
+def roc_curve(spark, sf_dir):
+    """The points of the ROC curve at all distinct scores."""
+    d = MT.roc_curve(_scored(spark, sf_dir), "label", "score")
+    return d.select("score", "tp", "fp", F.round("tpr", 9).alias("tpr"), F.round("fpr", 9).alias("fpr"))
+
+
+def trip_ranks(spark, sf_dir):
+    """T1, T2, A10 for rows: every trip's place by fare among its line
+    number's, the hot ones split over tasks."""
+    t = SI.trips(spark, sf_dir).select(*TRIP_KEYS, "fare")
+    return global_rank(t, [F.col("fare").desc(), *TRIP_KEYS], by=["l_linenumber"], name="place")
+
+
 def logit_validation(spark, sf_dir):
     """L15-L20 end to end: fare above its median (P10) on the standardised
     trip features; logistic fit on the training part, probability > 0.5 on
@@ -782,6 +796,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pca_scores, pca_biplot_all, linreg_significance, linreg_validation, fenced_linreg,
         logit_validation_flag, logistic_sweep, ridge_sweep,
         kmeans_balance, cluster_sample_clouds, merged_moments, elastic_sweep, chunked_linreg, chunked_logit,
-        logit_score_equations, logit_solver_equations,
+        logit_score_equations, logit_solver_equations, roc_curve, trip_ranks,
     ]
 }
