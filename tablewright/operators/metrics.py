@@ -76,9 +76,9 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     d = df.select(F.col(score).cast("double").alias("score"), y.alias("_y")).na.drop()
     points = d.groupBy("score").agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))
     sums = running_sums(points, [F.col("score").desc()], {"tp": "_pos", "fp": "_neg"})
-    total = points.agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-    return sums.join(F.broadcast(total)).select(       # one row
-        "score", "tp", "fp", ratio(F.col("tp"), F.col("_p")).alias("tpr"), ratio(F.col("fp"), F.col("_n")).alias("fpr"))
+    last = sums.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
+    p, n = (F.lit(v or 0).cast("long") for v in last)
+    return sums.select("score", "tp", "fp", ratio(F.col("tp"), p).alias("tpr"), ratio(F.col("fp"), n).alias("fpr"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -50,8 +50,9 @@ def merge_moments(m: DataFrame, p: int, by: list[str] | tuple[str, ...] = ()) ->
         for c in by:
             same = same & m[c].eqNullSafe(keyed[f"_by_{c}"])
         both = m.join(keyed, same)
-    else:
-        both = m.join(F.broadcast(total))     # one row
+    else:                                       # one row, brought back as literals
+        t = total.first()
+        both = m.withColumns({"_n": F.lit(t["_n"]).cast("long"), "_mean": F.lit(t["_mean"]).cast("array<double>")})
     off = lambda i: at("mean", i) - at("_mean", i)
     return (both.groupBy(*by, "_n", "_mean")
             .agg(F.array(*[F.sum(at("cross", k) + F.col("n") * off(i) * off(j)) for k, (i, j) in enumerate(_pairs(p))]).alias("cross"))
