@@ -13,17 +13,16 @@ discounted relative frequency; the mass that the discount frees goes to the
 lattice (absolute discounting, the discount from the counts of counts).
 
 Training rows may name a class (their language). Each class then has a model
-of its own, mixed with a little of all classes together, and a text takes the
-class under which all its words are likeliest, at the cost of that class's
-share of the rows: one term of the mixture over classes, so never more than its
-probability. Only the text decides; the class column of a scored row is not
-looked at.
+of its own, mixed with a little of all classes together. A text's probability
+is the sum over the classes of the class's share of the rows times the text's
+probability in it. Only the text decides; the class column of a scored row is
+not looked at.
 
 Distribution: a table of distinct words is counted with a combine before the
 shuffle and scored once a word. Documents meet it again by word: the most
 frequent words, at most ``HEAD_WORDS``, are sent to every task; the others are
 joined, and as none of them is frequent, no key is hot. The logs are summed for
-every class, and the class is taken from the sums over all words.
+every class over all words, and the classes are added up last.
 """
 
 from __future__ import annotations
@@ -39,13 +38,12 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import cut, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words sent to all tasks, at most; the bound of what is broadcast.
+#: Words sent to all tasks, at most, with up to ``HEAD_CLASSES`` classes; with
+#: more classes fewer words. The bound of what is broadcast.
 HEAD_WORDS = 200_000
+HEAD_CLASSES = 8
 #: Passes that re-estimate the piece weights.
 PASSES = 1
-#: Classes with a model of their own: those with the most training rows. The
-#: last model is that of all other training rows.
-MAX_CLASSES = 7
 #: Share of all classes together in the model of each.
 SHARED = 0.05
 
@@ -400,17 +398,16 @@ def head_of(words: DataFrame, limit: int) -> tuple:
 
 
 def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text", kind: str | None = None,
-             model: str = MODEL, head_words: int = HEAD_WORDS, passes: int = PASSES,
-             max_classes: int = MAX_CLASSES) -> DataFrame:
+             model: str = MODEL, head_words: int = HEAD_WORDS, passes: int = PASSES) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``n_tokens`` (words and an end),
     ``n_known`` (tokens that the training rows hold), ``train_tokens``,
     ``base_score`` (unigrams with 0.5 added) and ``score``, the model's log10
-    probability. ``train`` names a boolean column: rows to learn from;
+    probability of the text, over all classes and segmentations. ``train`` names a boolean column: rows to learn from;
     ``kind`` a column with the class of a training row.
 
     Null and empty texts are an end alone. Without training rows the
-    vocabulary's own weights score the words. Null classes and those beyond
-    ``max_classes`` share one model. Long words take time linear in their
+    vocabulary's own weights score the words. Every class has a model, the rows
+    of a null class one more; memory is a vocabulary a class. Long words take time linear in their
     length. Repeated rows stay repeated, an empty table gives no rows, other
     columns of ``docs`` are ignored, whatever their names."""
     import numpy as np
@@ -418,7 +415,7 @@ def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text
                     F.coalesce(F.col(train), F.lit(False)).alias("_train"),
                     (F.col(kind).cast("string") if kind else F.lit(None).cast("string")).alias("_kind"))
     learned = d.where("_train").groupBy("_kind").count()
-    top = [r for r in learned.where("_kind is not null").orderBy(F.desc("count"), "_kind").limit(max_classes).collect()]
+    top = learned.where("_kind is not null").orderBy(F.desc("count"), "_kind").collect()  # one row a class
     ends = learned.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     number = F.lit(len(top))
     for k, r in enumerate(top):
@@ -447,7 +444,7 @@ def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text
     for _ in range(passes if f.types else 0):
         lattices = re_estimate(words, prior, lattices, types)
     scored = cut(score_words(words, lattices, totals, types, shares, discount))
-    head = docs.sparkSession.sparkContext.broadcast(head_of(scored, head_words))
+    head = docs.sparkSession.sparkContext.broadcast(head_of(scored, head_words * HEAD_CLASSES // max(HEAD_CLASSES, classes)))
 
     floor = total + 0.5 * (distinct + 1)
     end_base = math.log10((ends + 0.5) / floor)
@@ -496,9 +493,11 @@ def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text
     # rows with equal key and text were summed as one: _same of them
     sums = met.groupBy("_key", "_row").agg(
         F.count_if(F.col("_n") > 0).alias("_same"), F.max("_n").alias("_n"), F.sum("_known").alias("_known"),
-        F.sum("_base").alias("_base"), F.array_max(F.array(*[F.sum(f"_lm{k}") for k in range(classes)])).alias("_lm"))
+        F.sum("_base").alias("_base"), F.array(*[F.sum(f"_lm{k}") for k in range(classes)]).alias("_lm"))
+    sums = sums.withColumn("_lm", F.transform("_lm", lambda x: x / F.col("_same"))).withColumn("_best", F.array_max("_lm"))
+    rest = F.aggregate("_lm", F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), x - F.col("_best")))
     each = sums.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_same").cast("int"))))
     return each.select(F.col("_key").alias(key), F.col("_n").alias("n_tokens"),
                        F.floor(F.col("_known") / F.col("_same") + 0.5).cast("long").alias("n_known"),
                        F.lit(total).cast("long").alias("train_tokens"),
-                       (F.col("_base") / F.col("_same")).alias("base_score"), (F.col("_lm") / F.col("_same")).alias("score"))
+                       (F.col("_base") / F.col("_same")).alias("base_score"), (F.col("_best") + F.log10(rest)).alias("score"))

@@ -189,6 +189,61 @@ def test_counts_and_base(spark, head):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def whole_score(data, learned, passes):
+    """log10 probability of every text, a class and a segmentation after the
+    other."""
+    tok = lambda t: (t or "").lower().split()
+    kinds = sorted({r[2] for r in data if learned(r)}, key=lambda k: (k is None, k or ""))
+    rows_of = {k: [tok(r[1]) for r in data if learned(r) and r[2] == k] for k in kinds}
+    count = {k: Counter(w for t in rows_of[k] for w in t) for k in kinds}
+    ends = sum(map(len, rows_of.values()))
+    total, every = ends + sum(sum(c.values()) for c in count.values()), sum(count.values(), Counter())
+    once, twice = (sum(n == x for n in every.values()) for x in (1, 2))
+    discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+    models = {}
+    for k in kinds:
+        models[k] = L._lattice(PRIOR, {}, {}, 0)
+        for _ in range(passes):
+            begun, inner = Counter(), Counter()
+            for w in count[k]:
+                models[k].expect(w, begun, inner)
+            models[k] = L._lattice(PRIOR, begun, inner, len(count[k]))
+    share = {k: len(rows_of[k]) / ends for k in kinds}
+
+    def word(w):
+        p = {}
+        for k in kinds:
+            n = sum(count[k].values()) + len(rows_of[k]) if count[k] else 0
+            p[k] = every_path(models[k], w) * (discount * len(count[k]) / n if n else 0.5)
+            p[k] += (count[k][w] - discount) / n if count[k][w] else 0.0
+        mixed = sum(share[k] * p[k] for k in kinds)
+        return {k: (1 - L.SHARED) * p[k] + L.SHARED * mixed if len(kinds) > 1 else p[k] for k in kinds}
+
+    out = {}
+    for r in data:
+        words = [word(w) for w in tok(r[1])]
+        out[r[0]] = math.log10(ends / total * sum(share[k] * math.prod(w[k] for w in words) for k in kinds))
+    return out
+
+
+@pytest.mark.parametrize("head", [0, 3, 200_000])
+@pytest.mark.parametrize("classes", [1, 3, 11])
+def test_score_is_the_texts_probability(spark, monkeypatch, head, classes):
+    """Ten classes and the null one too: each has its own model, and the
+    score is the sum over them, not the likeliest one's term."""
+    monkeypatch.setattr(L, "_prior", lambda model: PRIOR)
+    r = random.Random(classes)
+    kinds = [None, *"klmnopqrst"][-classes:]
+    data = [(i, " ".join("".join(r.choices("abé", k=r.randrange(1, 6))) for _ in range(r.randrange(0, 7))),
+             kinds[i % classes], "s") for i in range(66)]
+    d = docs(spark, data).withColumn("train", F.col("doc_id") < 50)
+    for passes in (0, 1):
+        want = whole_score(data, lambda r: r[0] < 50, passes)
+        got = {r.doc_id: r.score for r in L.lm_score(d, "train", kind="lang", head_words=head, passes=passes).collect()}
+        assert got.keys() == want.keys()
+        assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
 def test_head_only_moves_the_work(spark):
     data = [(i, word_salad(i, 50), "en", "s") for i in range(60)]
     d = docs(spark, data).withColumn("train", F.col("doc_id") < 40)
