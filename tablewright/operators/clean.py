@@ -87,6 +87,26 @@ def token_flags_sparse(df: DataFrame, keep: list[str], tokens: str = "tokens") -
             .withColumn("present", F.lit(True)))
 
 
+def checked_fields(df: DataFrame, places: dict[str, int], kinds: dict[str, str] | None = None,
+                   line: str = "value", sep: str = "\t") -> DataFrame:
+    """P1 and P6 with the faults named: the line, its fields at ``places`` (cast
+    to ``kinds`` where given) and ``reason``: null for a good line, ``fields``
+    for one too short or null, else the first column whose text is not of its
+    kind. Empty text is null and no fault. A narrow transform: filter on
+    ``reason`` for the good rows and for the rejected lines."""
+    parts = F.split(F.col(line), sep, -1)
+    reason = F.when(F.coalesce(F.size(parts), F.lit(0)) <= max(places.values()), F.lit("fields"))
+    fields = []
+    for name, i in places.items():
+        text = F.nullif(F.get(parts, F.lit(i)), F.lit(""))
+        kind = (kinds or {}).get(name)
+        if kind:
+            reason = reason.when(text.isNotNull() & text.try_cast(kind).isNull(), F.lit(f"{name}: not {kind}"))
+            text = text.try_cast(kind)
+        fields.append(text.alias(name))
+    return df.select(line, *fields, reason.alias("reason"))
+
+
 # --- filters ---------------------------------------------------------------
 
 def drop_header_rows(df: DataFrame, column: str, header_value: str) -> DataFrame:

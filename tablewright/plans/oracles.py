@@ -629,4 +629,33 @@ ORACLES |= {
     "trip_ranks": f"""
         WITH {TRIPS.strip()}
         SELECT {_TRIP_KEYS}, fare, row_number() OVER (PARTITION BY l_linenumber ORDER BY fare DESC, {_TRIP_KEYS}) AS place FROM trips""",
+    "token_numbers": """
+        WITH t AS (SELECT DISTINCT c_custkey, unnest(string_split(concat_ws(chr(9), c_name, c_mktsegment,
+               CAST(c_nationkey AS VARCHAR)), chr(9))) AS token FROM customer)
+        SELECT token, dense_rank() OVER (ORDER BY token) - 1 AS token_id, count(*) AS n_rows FROM t GROUP BY token""",
+    "token_vectors": """
+        WITH t AS (SELECT c_custkey, unnest(string_split(concat_ws(chr(9), c_name, c_mktsegment,
+               CAST(c_nationkey AS VARCHAR)), chr(9))) AS token FROM customer),
+        m AS (SELECT c_custkey, token, count(*) AS many FROM t GROUP BY ALL),
+        d AS (SELECT token, dense_rank() OVER (ORDER BY token) - 1 AS id FROM m WHERE c_custkey % 2 = 0 GROUP BY token)
+        SELECT c_custkey, coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) FILTER (id IS NOT NULL), '') AS indices,
+               coalesce(string_agg(CAST(many AS VARCHAR), ',' ORDER BY id) FILTER (id IS NOT NULL), '') AS counts,
+               CAST(coalesce(sum(many) FILTER (id IS NULL), 0) AS BIGINT) AS n_unknown
+        FROM m LEFT JOIN d USING (token) GROUP BY c_custkey""",
+    "csv_accepted_rows": """
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 10 NOT IN (3, 7)""",
+    "csv_rejected_lines": """
+        SELECT concat_ws(',', c_custkey, c_name, c_nationkey,
+                         CASE WHEN c_custkey % 10 = 7 THEN 'Not Available' ELSE CAST(c_acctbal AS VARCHAR) END,
+                         CASE WHEN c_custkey % 10 <> 3 THEN c_mktsegment END) AS line,
+               CASE WHEN c_custkey % 10 = 3 THEN 'fields' ELSE 'c_acctbal: not double' END AS reason
+        FROM customer WHERE c_custkey % 10 IN (3, 7)""",
+    "line_faults": """
+        SELECT CASE c_custkey % 10 WHEN 3 THEN 'fields' WHEN 7 THEN 'c_acctbal: not double' END AS reason, count(*) AS n_lines,
+               round(sum(CASE WHEN c_custkey % 10 <> 7 THEN c_acctbal END), 2) AS balance
+        FROM customer GROUP BY 1""",
+    "merged_sketches": """
+        SELECT event_type, CAST(p AS DOUBLE) AS p, count(value) AS n, count(DISTINCT user_id) AS n_users,
+               true AS rank_holds, true AS count_holds
+        FROM events, (VALUES (0.25), (0.5), (0.75)) AS q(p) GROUP BY event_type, p""",
 }

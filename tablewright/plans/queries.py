@@ -8,15 +8,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.columns import hash60, rounded, to_number
 from tablewright.operators import chunked as CH
 from tablewright.operators import clean as C
+from tablewright.operators import dictionary as DI
 from tablewright.operators import metrics as MT
 from tablewright.operators import ml as ML
 from tablewright.operators import relational as R
 from tablewright.operators.prefix import global_rank
 from tablewright.operators import sampling as SM
+from tablewright.operators import sketches as SK
 from tablewright.operators import stats as ST
 from tablewright.operators import sufficient as SS
 from tablewright.sources import files as SRC
@@ -140,8 +143,61 @@ def token_one_hot(spark, sf_dir):
     return C.token_flags_sparse(_customer_tokens(spark, sf_dir), ["c_custkey"])
 
 
+def token_numbers(spark, sf_dir):
+    """The vocabulary with dense numbers and the rows of each token."""
+    return DI.token_dictionary(_customer_tokens(spark, sf_dir))
+
+
+def token_vectors(spark, sf_dir):
+    """Every customer's tokens as a sparse vector over the dictionary
+    of the customers of even keys; tokens it lacks are counted."""
+    t = _customer_tokens(spark, sf_dir)
+    v = DI.sparse_vectors(t, ["c_custkey"], SRC.stored(DI.token_dictionary(t.where("c_custkey % 2 = 0"))))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return v.select("c_custkey", text("indices").alias("indices"), text("counts").alias("counts"), "n_unknown")
+
+
+# --- rejected lines ----------------------------------------------------------------
+
+def _damaged_csv(spark, sf_dir):
+    kinds = {"c_custkey": T.LongType(), "c_nationkey": T.IntegerType(), "c_acctbal": T.DoubleType()}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in SI.CUSTOMER_FIELDS])
+    return SRC.read_csv_checked(spark, SI.damaged_lines(spark, sf_dir), schema, header=False)
+
+
+def csv_accepted_rows(spark, sf_dir):
+    """The rows of a damaged file that fit their types."""
+    return _damaged_csv(spark, sf_dir)[0]
+
+
+def csv_rejected_lines(spark, sf_dir):
+    """The other lines, with the reason."""
+    return _damaged_csv(spark, sf_dir)[1]
+
+
+def line_faults(spark, sf_dir):
+    """Lines of a damaged text file by fault, with the sum of the
+    balances that could be read."""
+    lines = SRC.read_lines(spark, SI.damaged_lines(spark, sf_dir, "\t"))
+    d = C.checked_fields(lines, {c: i for i, c in enumerate(SI.CUSTOMER_FIELDS)}, {"c_nationkey": "int", "c_acctbal": "double"})
+    return d.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
 # --- statistics ------------------------------------------------------------------
 
+def merged_sketches(spark, sf_dir):
+    """Sketches for each event type and day, stored, merged over the
+    days: quartiles and distinct users by type. The answer is whether ranks and
+    counts are within twice the promised bound and four standard errors."""
+    e = SRC.load_table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "user_id", "value")
+    merged = SRC.stored(SK.merge_sketches(SK.sketch_table(e, ["event_type", "day"], "value", "user_id"), ["event_type"]))
+    est = SRC.stored(SK.quantile_estimates(merged, ["event_type"], [0.25, 0.5, 0.75]))
+    users = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    off = SK.quantile_errors(e, est, ["event_type"], "value").join(users, "event_type")
+    return off.select("event_type", "p", "n", "n_users", (F.col("rank_off") <= 2 * SK.rank_error()).alias("rank_holds"),
+                      (F.abs(F.col("n_distinct") - F.col("n_users")) <= 4 * SK.count_error() * F.col("n_users")).alias("count_holds"))
+
+
 def distinct_counts(spark, sf_dir):
     """A2, A3."""
     return ST.distinct_counts(_clean(spark, sf_dir), ["comparison", "hospital", "measure_id"])
@@ -797,5 +853,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         logit_validation_flag, logistic_sweep, ridge_sweep,
         kmeans_balance, cluster_sample_clouds, merged_moments, elastic_sweep, chunked_linreg, chunked_logit,
         logit_score_equations, logit_solver_equations, roc_curve, trip_ranks,
+        token_numbers, token_vectors, csv_accepted_rows, csv_rejected_lines, line_faults, merged_sketches,
     ]
 }

@@ -8,6 +8,7 @@ machine-local temporary folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.session import drop_scratch, scratch_path, shared_dir
@@ -43,6 +44,30 @@ def read_csv_doubles(spark: SparkSession, path: str, columns: list[str],
             .option("mode", "PERMISSIVE").schema(schema).csv(path))
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                     sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """S2, S3 with nothing lost unseen: the rows that fit ``schema``, and the
+    other lines as ``line`` and ``reason``: ``fields`` (too few or too many) or
+    the first column whose text is not of its type. An empty field is null and
+    no fault; an empty line is no line. The file is read once; both frames come
+    from the parsed rows stored as parquet."""
+    types = {f.name: f.dataType.simpleString() for f in schema.fields}
+    read = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_line")
+            .schema(T.StructType([*schema.fields, T.StructField("_line", T.StringType())])).csv(path))
+    kept = write_table(read, "csv-checked")
+    names = [f"`{c}` string" for c in types]
+    parts = F.from_csv("line", ", ".join([*names, "_faulty string"]),
+                       {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_faulty"})
+    reason = F.when(F.col("_parts._faulty").isNotNull(), F.lit("fields"))
+    for c, kind in types.items():
+        text = F.col("_parts").getField(c)
+        reason = reason.when(text.isNotNull() & text.try_cast(kind).isNull(), F.lit(f"{c}: not {kind}"))
+    bad = kept.where("_line is not null").select(F.col("_line").alias("line")).withColumn("_parts", parts)
+    return (kept.where("_line is null").drop("_line"),
+            bad.select("line", reason.otherwise(F.lit("unreadable")).alias("reason")))
+
+
 def write_lines(df: DataFrame, name: str = "lines") -> str:
     """Write a one-string-column frame as text; return the new path."""
     path = scratch_path(df.sparkSession, name)

@@ -125,6 +125,18 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> str:
     return write_lines(header.unionByName(body), "customer-lines")
 
 
+def damaged_lines(spark: SparkSession, sf_dir: str, sep: str = ",") -> str:
+    """Write the customer table as lines without a header, of which some have a
+    field too few (keys that end in 3) or a balance that is no number (in 7);
+    return the path."""
+    cu = load_table(spark, sf_dir, "customer").select(*CUSTOMER_FIELDS)
+    last = F.col("c_custkey") % 10
+    cut = F.when(last != 3, F.col("c_mktsegment"))
+    balance = F.when(last == 7, F.lit(SENTINEL)).otherwise(F.col("c_acctbal").cast("string"))
+    line = F.concat_ws(sep, F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"), balance, cut)
+    return write_lines(cu.select(line.alias("value")), "damaged-lines")
+
+
 def customer_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the customer table as CSV with a header into the shared folder."""
     cu = load_table(spark, sf_dir, "customer").select(*CUSTOMER_FIELDS)
