@@ -46,7 +46,8 @@ def sketch_table(df: DataFrame, by: Sequence[str], value: str, distinct: str,
 
 def merge_sketches(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``sketch_table``, or of several in one, merged to the groups
-    of ``by``; without ``by`` to one row."""
+    of ``by``; without ``by`` to one row. Merging draws at random, within the
+    bound: store the estimates before reading them twice."""
     return table.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("ranks").alias("ranks"),
                                   F.hll_union_agg("ids").alias("ids"))
 

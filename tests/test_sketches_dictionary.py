@@ -30,7 +30,7 @@ def test_merged_sketches_keep_their_bounds(spark):
     data = measured(20_000)
     parts = [SK.sketch_table(frame(spark, [r for r in data if (r[1] < 5) == first]), ["g", "day"], "v", "u") for first in (True, False)]
     table = parts[0].unionByName(parts[1])          # the second date range came later
-    got = SK.quantile_estimates(SK.merge_sketches(table, ["g"]), ["g"], [0.0, 0.25, 0.5, 0.9, 1.0])
+    got = SRC.stored(SK.quantile_estimates(SK.merge_sketches(table, ["g"]), ["g"], [0.0, 0.25, 0.5, 0.9, 1.0]))
     off = {(r.g, r.p): r.rank_off for r in SK.quantile_errors(frame(spark, data), got, ["g"], "v").collect()}
     assert len(off) == 15
     for r in got.collect():
@@ -105,7 +105,7 @@ def test_no_task_holds_the_vocabulary(spark):
 
 # --- rejected lines -------------------------------------------------------------------
 
-LINES = ['1,"x,y",2.5', "2,z,", "3,z", "4,z,1,9", "x,z,1", "5,z,Not Available", "6,,1e3", "7,z, 8", '8,"a ""q""",4', "9.5,z,1"]
+LINES = ['1,"x,y",2.5', "2,z,", "3,z", "4,z,1,9", "x,z,1", "5,z,Not Available", "6,,1e3", "7,z, 8", '8,"a \\"q\\"",4', "9.5,z,1"]
 SCHEMA = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("s", T.StringType()), T.StructField("v", T.DoubleType())])
 
 
