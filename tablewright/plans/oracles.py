@@ -658,4 +658,8 @@ ORACLES |= {
         SELECT event_type, CAST(p AS DOUBLE) AS p, count(value) AS n, count(DISTINCT user_id) AS n_users,
                true AS rank_holds, true AS count_holds
         FROM events, (VALUES (0.25), (0.5), (0.75)) AS q(p) GROUP BY event_type, p""",
+    "order_lines_bucketed": """
+        SELECT o_orderkey, n_lines, quantity, o_totalprice FROM orders JOIN
+        (SELECT l_orderkey, count(*) AS n_lines, round(sum(l_quantity), 4) AS quantity FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""",
 }
+ORACLES["join_all_states_bucketed"] = ORACLES["join_all_states"]

@@ -22,6 +22,7 @@ from tablewright.operators import sampling as SM
 from tablewright.operators import sketches as SK
 from tablewright.operators import stats as ST
 from tablewright.operators import sufficient as SS
+from tablewright.sources import bucketed as BU
 from tablewright.sources import files as SRC
 from tablewright.sources import standins as SI
 from tablewright.session import drop_scratch, scratch_path
@@ -353,6 +354,26 @@ def join_all_states(spark, sf_dir):
                          R.above_median(d, "score", ["state", "score"]), "state")
 
 
+def join_all_states_bucketed(spark, sf_dir):
+    """J1, A10 over a table bucketed by state and salt: counts and join move
+    no row of it."""
+    t = BU.write_bucketed(_clean(spark, sf_dir), ["state"], 16, salts=32, columns=["state", "score"],
+                          salt_by=["hospital", "measure_id", "measure_name", "score"])
+    counts = BU.grouped_bucketed(t, ["state"], {}, salts=32)
+    above = t.where(F.col("score") > F.lit(R.median_disc(t, "score")))
+    return BU.join_bucketed(above, counts, ["state"], salts=32).select("state", "count", "score")
+
+
+def order_lines_bucketed(spark, sf_dir):
+    """J1, A9 over two tables bucketed by the order: they meet and are grouped
+    bucket by bucket."""
+    orders = BU.write_bucketed(SRC.load_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 16)
+    lines = SRC.load_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    lines = BU.write_bucketed(lines, ["o_orderkey"], 16)
+    per = BU.grouped_bucketed(lines, ["o_orderkey"], {"quantity": "l_quantity"}, "n_lines")
+    return per.join(orders, ["o_orderkey"]).select("o_orderkey", "n_lines", F.round("quantity", 4).alias("quantity"), "o_totalprice")
+
+
 def join_condition(spark, sf_dir):
     """Top-5 states joined by condition to rows with score > 1, both
     keys kept (the right one renamed)."""
@@ -854,5 +875,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         kmeans_balance, cluster_sample_clouds, merged_moments, elastic_sweep, chunked_linreg, chunked_logit,
         logit_score_equations, logit_solver_equations, roc_curve, trip_ranks,
         token_numbers, token_vectors, csv_accepted_rows, csv_rejected_lines, line_faults, merged_sketches,
+        join_all_states_bucketed, order_lines_bucketed,
     ]
 }
