@@ -663,3 +663,49 @@ ORACLES |= {
         (SELECT l_orderkey, count(*) AS n_lines, round(sum(l_quantity), 4) AS quantity FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""",
 }
 ORACLES["join_all_states_bucketed"] = ORACLES["join_all_states"]
+
+
+def _eigen_sql(columns: list[str]) -> str:
+    """CTEs to ``eigen`` (component, value, n): the eigenvalues of the four
+    columns' correlation matrix, as 1 plus the roots of the characteristic
+    polynomial x^4 + a2 x^2 + a3 x + a4 of the matrix less the unit matrix.
+    The roots are found together: each is corrected by the polynomial over
+    the product of its distances to the others."""
+    r = lambda i, j: f"r{min(i, j)}{max(i, j)}"
+    pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
+    corr = ", ".join(f"corr({columns[i]}, {columns[j]}) AS {r(i, j)}" for i, j in pairs)
+    triples = [(i, j, k) for i in range(4) for j in range(i + 1, 4) for k in range(j + 1, 4)]
+    a2 = "-(" + " + ".join(f"{r(i, j)} ** 2" for i, j in pairs) + ")"
+    a3 = "-2 * (" + " + ".join(f"{r(i, j)} * {r(j, k)} * {r(i, k)}" for i, j, k in triples) + ")"
+    u, v, w = "r01 * r23", "r02 * r13", "r03 * r12"
+    a4 = f"({u}) ** 2 + ({v}) ** 2 + ({w}) ** 2 - 2 * ({u} * {v} + {u} * {w} + {v} * {w})"
+    step = ", ".join(
+        f"x{i} - (x{i} ** 4 + a2 * x{i} ** 2 + a3 * x{i} + a4) / ("
+        + " * ".join(f"(x{i} - x{j})" for j in range(4) if j != i) + ")" for i in range(4))
+    return f"""{TRIPS.strip()},
+c AS (SELECT count(*) AS n, {corr} FROM trips),
+poly AS (SELECT n, {a2} AS a2, {a3} AS a3, {a4} AS a4 FROM c),
+roots(step, x0, x1, x2, x3, a2, a3, a4, n) AS (
+  SELECT 0, CAST(-1.1 AS DOUBLE), CAST(-0.37 AS DOUBLE), CAST(0.53 AS DOUBLE), CAST(1.7 AS DOUBLE), a2, a3, a4, n FROM poly
+  UNION ALL
+  SELECT step + 1, {step}, a2, a3, a4, n FROM roots WHERE step < 200 AND x0 <> x1 AND x0 <> x2 AND x0 <> x3 AND x1 <> x2 AND x1 <> x3 AND x2 <> x3),
+last AS (SELECT * FROM roots ORDER BY step DESC LIMIT 1),
+eigen AS (SELECT row_number() OVER (ORDER BY x DESC) AS component, 1 + x AS value, n
+          FROM (SELECT unnest([x0, x1, x2, x3]) AS x, n FROM last))"""
+
+
+_EXPLAINED = f"""
+WITH RECURSIVE {_eigen_sql(_X)}
+SELECT CAST(component AS INTEGER) AS component, round(value / 4, 6) AS ratio,
+       round(sum(value) OVER (ORDER BY component) / 4, 6) AS cumulative,
+       round(value, 6) AS eigenvalue, round(sqrt(value * (n - 1)), 4) AS singular_value
+FROM eigen"""
+
+ORACLES |= {
+    "pca_explained_all": _EXPLAINED,
+    "pca_explained_qr": _EXPLAINED,
+    "pca_loadings_qr": f"WITH {TRIPS.strip()}\n" + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS name, '{b}' AS other, round(corr({a}, {b}), 6) + 0.0 AS correlation, "
+        f"CAST({int(a == b)} AS DOUBLE) AS product FROM trips" for a in _X for b in _X),
+    "linreg_qr": ORACLES["linreg_summary"],
+}

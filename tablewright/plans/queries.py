@@ -22,6 +22,7 @@ from tablewright.operators import sampling as SM
 from tablewright.operators import sketches as SK
 from tablewright.operators import stats as ST
 from tablewright.operators import sufficient as SS
+from tablewright.operators import tall_qr as QR
 from tablewright.sources import bucketed as BU
 from tablewright.sources import files as SRC
 from tablewright.sources import standins as SI
@@ -577,6 +578,28 @@ def pca_identities(spark, sf_dir):
                  F.round(F.max("cumulative"), 6).alias("cumulative"))
 
 
+def pca_explained_qr(spark, sf_dir):
+    """L6, L7 on the four features from partition QR factors."""
+    return QR.pca_explained_qr(SI.trips(spark, sf_dir), SI.TRIP_FEATURES)
+
+
+def pca_loadings_qr(spark, sf_dir):
+    """What the loadings must rebuild: for each pair of features the sum
+    over components of eigenvalue and loadings (their correlation), and the
+    product of their loadings (1 with itself, else 0)."""
+    d = QR.pca_loadings_qr(SI.trips(spark, sf_dir), SI.TRIP_FEATURES)
+    other = d.select("component", F.col("name").alias("other"), F.col("loading").alias("l2"))
+    product = F.col("loading") * F.col("l2")
+    return d.join(other, "component").groupBy("name", "other").agg(
+        (F.round(F.sum(F.col("eigenvalue") * product), 6) + 0.0).alias("correlation"),
+        (F.round(F.sum(product), 6) + 0.0).alias("product"))
+
+
+def linreg_qr(spark, sf_dir):
+    """The coefficient table from partition QR factors, four features."""
+    return _rounded_terms(QR.linreg_table_qr(SI.trips(spark, sf_dir), SI.TRIP_FEATURES, "fare"))
+
+
 def pca_scores(spark, sf_dir):
     """Scores of all rows on two standardised columns."""
     return ML.pca_scores(SI.trips(spark, sf_dir), ["fare", "l_quantity"], TRIP_KEYS)
@@ -875,6 +898,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         kmeans_balance, cluster_sample_clouds, merged_moments, elastic_sweep, chunked_linreg, chunked_logit,
         logit_score_equations, logit_solver_equations, roc_curve, trip_ranks,
         token_numbers, token_vectors, csv_accepted_rows, csv_rejected_lines, line_faults, merged_sketches,
-        join_all_states_bucketed, order_lines_bucketed,
+        join_all_states_bucketed, order_lines_bucketed, pca_explained_qr, pca_loadings_qr, linreg_qr,
     ]
 }
