@@ -87,6 +87,18 @@ def _join_same(left: DataFrame, right: DataFrame, by: list[str],
     return left.join(r, cond, "inner").drop(*[f"_r_{c}" for c in by + nullable])
 
 
+def _finished(base: DataFrame, targets: DataFrame, keys: list[str], extra: list[str], by: list[str],
+              value: str, small: bool) -> DataFrame:
+    """The wanted ranks of groups that one task each may sort: a row number in
+    the group, joined with the targets. Without a round there is nothing to
+    store between rounds."""
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy("_v"))
+    ranked = base.select(*by, F.col("_v").alias("_picked"), rank.cast("bigint").alias("_rn"))
+    want = targets.select(*keys, *extra, F.col("rank").alias("_rn"))
+    picked = _join_same(F.broadcast(want) if small else want, ranked, by + ["_rn"], [])
+    return picked.select(*keys, *extra, F.col("_picked").alias(value))
+
+
 def select_ranks(base: DataFrame, value: str, targets: DataFrame,
                  by: list[str] | tuple = (), max_rows: int = EXACT_ROWS) -> DataFrame:
     """Value of rank ``rank`` (1-based, ascending) per target.
@@ -125,6 +137,9 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
         state.unpersist()
         return state.select(*keys, *extra, F.col("answer").alias(value))
     small = n_targets * TARGET_BYTES <= BROADCAST_BYTES
+    if biggest <= max_rows:     # every group is one bracket, finished at once
+        state.unpersist()
+        return _finished(base, state, keys, extra, by, value, small)
     carried = state.select(*keys, *extra) if extra else None
     first = state
     state = _checkpoint(state.drop(*extra))
@@ -134,7 +149,6 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     bracket = ["lo", "hi"]
 
     grid = F.array(*[F.lit(p) for p in _GRID_PROBS])
-    narrowed = biggest > max_rows
     while biggest > max_rows:
         open_big = state.filter(F.col("answer").isNull() & (F.col("m") > max_rows))
         # Work is done per bracket, not per target: targets of one group
@@ -189,18 +203,15 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     #    per bracket; the wanted ranks are picked by a join with the (small,
     #    checked) target table on the bracket and the row number
     open_small = state.filter(F.col("answer").isNull())
-    if narrowed:
-        brackets = open_small.select(*by, *bracket, "below").distinct()
-        cand, ends = _attach(base, brackets, by, small), bracket
-    else:   # every bracket still is its whole group
-        cand, ends = base, []
-    w = Window.partitionBy(*by, *ends).orderBy(F.col("_v"))
-    ranked = cand.select(*by, *ends, F.col("_v").alias("_picked"),
+    brackets = open_small.select(*by, *bracket, "below").distinct()
+    cand = _attach(base, brackets, by, small)
+    w = Window.partitionBy(*by, *bracket).orderBy(F.col("_v"))
+    ranked = cand.select(*by, *bracket, F.col("_v").alias("_picked"),
                          F.row_number().over(w).alias("_rn"))
-    want = open_small.select(*keys, *ends, (F.col("rank") - F.col("below")).alias("_rn"))
+    want = open_small.select(*keys, *bracket, (F.col("rank") - F.col("below")).alias("_rn"))
     if small:
         want = F.broadcast(want)
-    picked = _join_same(want, ranked, by + ["_rn"], ends).select(*keys, "_picked")
+    picked = _join_same(want, ranked, by + ["_rn"], bracket).select(*keys, "_picked")
     out = (state.join(picked, keys, "left")
            .select(*keys, F.coalesce("answer", "_picked").alias(value)))
     if carried is not None:
