@@ -709,3 +709,44 @@ ORACLES |= {
         f"CAST({int(a == b)} AS DOUBLE) AS product FROM trips" for a in _X for b in _X),
     "linreg_qr": ORACLES["linreg_summary"],
 }
+
+
+def _vectors_sql(columns: list[str]) -> str:
+    """CTEs to ``vec`` (``v0`` and ``v1``: loadings of the first two
+    components as lists). The product of the matrix less each of the other
+    three eigenvalues has the component's vector in every column; the column
+    with the largest diagonal is taken, at length 1, its loading largest in
+    size positive."""
+    a = lambda i, j, e: f"-e[{e + 1}]" if i == j else f"r{min(i, j)}{max(i, j)}"
+    span, rest = range(4), {0: (1, 2, 3), 1: (0, 2, 3)}
+    two = ", ".join(f"{' + '.join(f'({a(i, m, o[0])}) * ({a(m, j, o[1])})' for m in span)} AS b{k}_{i}{j}"
+                    for k, o in rest.items() for i in span for j in span)
+    three = ", ".join(f"{' + '.join(f'b{k}_{i}{m} * ({a(m, j, o[2])})' for m in span)} AS p{k}_{i}{j}"
+                      for k, o in rest.items() for i in span for j in span)
+    column = ", ".join(
+        f"list_extract([{', '.join('[' + ', '.join(f'p{k}_{i}{j}' for i in span) + ']' for j in span)}], "
+        f"list_position({d}, list_max({d}))) AS w{k}"
+        for k in rest for d in ["[" + ", ".join(f"abs(p{k}_{i}{i})" for i in span) + "]"])
+    length = {k: "sqrt(" + " + ".join(f"w{k}[{i + 1}] ** 2" for i in span) + ")" for k in rest}
+    sign = {k: f"CASE WHEN list_max(w{k}) >= -list_min(w{k}) THEN 1 ELSE -1 END" for k in rest}
+    unit = ", ".join("[" + ", ".join(f"w{k}[{i + 1}] * ({sign[k]}) / {length[k]}" for i in span) + f"] AS v{k}" for k in rest)
+    return f"""{_eigen_sql(columns)},
+sorted AS (SELECT c.*, list_reverse_sort([x0, x1, x2, x3]) AS e FROM last, c),
+two AS (SELECT *, {two} FROM sorted),
+three AS (SELECT {three} FROM two),
+picked AS (SELECT {column} FROM three),
+vec AS (SELECT {unit} FROM picked)"""
+
+
+_AXES = [" + ".join(f"v{k}[{i + 1}] * ({c} - m{i}) / d{i}" for i, c in enumerate(_X)) for k in (0, 1)]
+ORACLES["pca_biplot_all"] = f"""
+WITH RECURSIVE {_vectors_sql(_X)},
+ms AS (SELECT {", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS d{i}" for i, c in enumerate(_X))} FROM trips),
+scores AS (SELECT {_TRIP_KEYS}, {_AXES[0]} AS x, {_AXES[1]} AS y FROM trips, vec, ms),
+top AS (SELECT max(x) AS mx, max(y) AS my FROM scores)
+""" + "\nUNION ALL\n".join(
+    f"SELECT 'arrow' AS kind, '{c}' AS name, round(v0[{i + 1}] * mx, 4) + 0.0 AS x, round(v1[{i + 1}] * my, 4) + 0.0 AS y FROM vec, top"
+    for i, c in enumerate(_X)) + f"""
+UNION ALL
+SELECT 'point', concat_ws('-', {_TRIP_KEYS}), round(x, 4) + 0.0, round(y, 4) + 0.0 FROM scores
+WHERE ('0x' || substr(md5(concat_ws(':', '1', {_TRIP_KEYS})), 1, 15))::BIGINT < {int(0.05 * (1 << 60))}"""
