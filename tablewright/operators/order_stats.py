@@ -32,7 +32,7 @@ within ``BROADCAST_BYTES``.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EXACT_ROWS = 1_000_000      # rows (16 MB) a single task may sort to finish a bracket
@@ -55,21 +55,32 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
-def _attach(base: DataFrame, brackets: DataFrame, by: list[str], small: bool) -> DataFrame:
+def _leading(array: str, holds, most: int) -> Column:
+    """How many elements of ``array`` come before the first for which ``holds``
+    is not true; once it is not, it is for none after it. A binary search over
+    up to ``most`` elements: the cost of a row grows with their logarithm."""
+    steps = [1 << b for b in reversed(range(max(1, most).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when((at + step <= F.size(array)) & holds(F.get(array, at + step - 1)), at + step).otherwise(at))
+
+
+def _attach(base: DataFrame, brackets: DataFrame, by: list[str], small: bool, most: int) -> DataFrame:
     """Each row of ``base`` with the bracket that holds its ``_v`` (``lo``,
     ``hi`` and the other columns of ``brackets``); rows in no bracket go.
 
     One row per group carries the group's brackets as a sorted array; the
     last bracket that begins below the value is the only one that can hold
-    it. ``small``: the bracket table may be broadcast; otherwise the join is
-    shuffled, and a hot group's partition split by adaptive execution."""
+    it, and is found by a binary search. ``small``: the bracket table may be
+    broadcast; otherwise the join is shuffled, and a hot group's partition
+    split by adaptive execution. ``most``: brackets of a group, at most."""
     rest = [c for c in brackets.columns if c not in by]
     packed = brackets.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("lo", "hi", *[c for c in rest if c not in ("lo", "hi")])))
         .alias("_tw_b"))
     joined = base.join(F.broadcast(packed) if small else packed, by, "inner")
     v = F.col("_v")
-    at = F.size(F.filter("_tw_b", lambda b: b["lo"].isNull() | (b["lo"] < v)))
+    at = _leading("_tw_b", lambda b: b["lo"].isNull() | (b["lo"] < v), most)
     joined = joined.withColumn("_tw_h", F.get("_tw_b", at - 1)).drop("_tw_b")
     hi = F.col("_tw_h.hi")
     return (joined.filter(F.col("_tw_h").isNotNull() & (hi.isNull() | (v < hi)))
@@ -156,7 +167,7 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
         # attached to each distinct bracket holding it, once.
         brackets = open_big.select(*by, *bracket).distinct()
         # 1. approximate grid of the rows inside each bracket
-        cand = _attach(base, brackets, by, small)
+        cand = _attach(base, brackets, by, small, n_targets)
         sketch = cand.groupBy(*by, *bracket).agg(
             F.percentile_approx("_v", grid, ACCURACY).alias("_tw_grid"))
         q = (F.col("rank") - F.col("below")) / F.col("m")
@@ -170,13 +181,12 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
         #    it into cells, open intervals and single values; rows per cell
         probes = _checkpoint(probe.groupBy(*by, *bracket).agg(F.array_sort(F.array_distinct(F.concat(
             F.collect_list("plo"), F.collect_list("phi")))).alias("_tw_p")))
-        cand = _attach(base, probes, by, small)
+        cand = _attach(base, probes, by, small, n_targets)
         x = F.col("_v")
-        cells = cand.groupBy(
-            *by, *bracket,
-            F.size(F.filter(F.col("_tw_p"), lambda p: p < x)).alias("_lt"),
-            F.size(F.filter(F.col("_tw_p"), lambda p: p <= x)).alias("_le"),
-        ).agg(F.count(F.lit(1)).alias("_c"))
+        cells = cand.withColumn("_lt", _leading("_tw_p", lambda p: p < x, 2 * n_targets))
+        on = F.get("_tw_p", F.col("_lt")) == x          # the probes are distinct
+        cells = cells.withColumn("_le", F.col("_lt") + F.when(on, 1).otherwise(0)).groupBy(
+            *by, *bracket, "_lt", "_le").agg(F.count(F.lit(1)).alias("_c"))
         # each target's rank falls into one cell: a single value answers it, an
         # interval becomes its bracket. Brackets of a group stay disjoint.
         order = Window.partitionBy(*by, *bracket).orderBy("_lt", "_le")
@@ -204,7 +214,7 @@ def select_ranks(base: DataFrame, value: str, targets: DataFrame,
     #    checked) target table on the bracket and the row number
     open_small = state.filter(F.col("answer").isNull())
     brackets = open_small.select(*by, *bracket, "below").distinct()
-    cand = _attach(base, brackets, by, small)
+    cand = _attach(base, brackets, by, small, n_targets)
     w = Window.partitionBy(*by, *bracket).orderBy(F.col("_v"))
     ranked = cand.select(*by, *bracket, F.col("_v").alias("_picked"),
                          F.row_number().over(w).alias("_rn"))

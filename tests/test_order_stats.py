@@ -135,3 +135,32 @@ def test_nothing_stays_cached(spark, data):
     cond = OS.first_k_condition(spark.range(0, 500).withColumn("h", F.col("id") % 9), ["h", "id"], 50, max_rows=20)
     assert cond is not None
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_places_come_from_a_binary_search(spark):
+    import bisect
+    probes = sorted({(i * 37) % 101 for i in range(60)})
+    most = 2 * len(probes)
+    d = spark.createDataFrame([(i, probes) for i in range(-3, 105)], "id long, p array<long>")
+    rows = d.select("id", OS._leading("p", lambda p: p < F.col("id"), most).alias("at"),
+                    OS._leading("p", lambda p: F.lit(False), most).alias("none"),
+                    OS._leading("p", lambda p: F.lit(True), most).alias("all")).collect()
+    assert [r["at"] for r in rows] == [bisect.bisect_left(probes, r["id"]) for r in rows]
+    assert {(r["none"], r["all"]) for r in rows} == {(0, len(probes))}
+    empty = spark.createDataFrame([([],)], "p array<long>")
+    assert empty.select(OS._leading("p", lambda p: F.lit(True), 4).alias("at")).first()["at"] == 0
+
+
+def test_many_ranks_of_one_group_in_rounds(spark):
+    """Ties and many targets, in rounds: no row is compared with every probe."""
+    values = sorted([(i * i) % 4001 for i in range(3000)] + [7] * 900)
+    base = spark.createDataFrame([(v,) for v in values], "x long")
+    ranks = list(range(1, len(values) + 1, 137))
+    t = spark.createDataFrame([(r, r, len(values)) for r in ranks], "tid long, rank long, n long")
+    out = OS.select_ranks(base, "x", t, max_rows=500)
+    assert {r["rank"]: r["x"] for r in out.collect()} == {r: values[r - 1] for r in ranks}
+    b = base.withColumnRenamed("x", "_v").withColumn("g", F.lit(0))
+    brackets = spark.createDataFrame([(0, None, 5), (0, 5, 90), (0, 200, None)], "g int, lo long, hi long")
+    at = OS._attach(b, brackets, ["g"], True, 3)
+    want = [v for v in values if v < 5 or 5 < v < 90 or v > 200]
+    assert sorted(r["_v"] for r in at.collect()) == want
