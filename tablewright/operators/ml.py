@@ -12,10 +12,11 @@ persisted for the loop and released after it.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from contextlib import contextmanager
 from threading import Lock
 
-from pyspark import InheritableThread, StorageLevel
+from pyspark import InheritableThread, StorageLevel, TaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -149,43 +150,199 @@ def concurrently(tasks: list, workers: int = 4) -> list:
     return out
 
 
+def _points(batches: Iterator) -> Iterator:
+    """The rows of each Arrow batch of numbers as an array, a column a row."""
+    import numpy as np
+    for b in batches:
+        if b.num_rows:
+            yield np.array([c.to_numpy(zero_copy_only=False) for c in b.columns])
+
+
+def _nearest(x, groups: list) -> Iterator:
+    """For each array of centres in ``groups`` the place in it of the centre
+    that is closest to each of the points ``x``: one product for all groups."""
+    import numpy as np
+    c = np.concatenate(groups)
+    far = np.column_stack([-2.0 * c, (c * c).sum(axis=1)]) @ np.vstack([x, np.ones(x.shape[1])])
+    at = 0
+    for g in groups:
+        yield far[at:at + len(g)].argmin(axis=0)
+        at += len(g)
+
+
+def _tallies(points: DataFrame, groups: list, origin, squares: bool = False) -> dict:
+    """One pass for all ``groups`` of centres: {(group, place): (n, sums,
+    within)} of the rows closest to each centre: their number, the sums of
+    their differences from ``origin``, or with ``squares`` from their centre,
+    and the sum of their squares. As many rows as centres reach the driver."""
+    d = len(origin)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        sums = [np.zeros((d + 2, len(g))) for g in groups]
+        for x in _points(batches):
+            x = x - origin[:, None]
+            for g, s, near in zip(groups, sums, _nearest(x, groups)):
+                off = x - g.T[:, near] if squares else x
+                s[0] += np.bincount(near, minlength=len(g))
+                for j in range(d):
+                    s[1 + j] += np.bincount(near, weights=off[j], minlength=len(g))
+                if squares:
+                    s[-1] += np.bincount(near, weights=(off * off).sum(axis=0), minlength=len(g))
+        flat = np.concatenate(sums, axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, g in enumerate(groups) for _ in g], pa.int32()),
+             pa.array([j for g in groups for j in range(len(g))], pa.int32()),
+             pa.array(flat[0].astype(np.int64)), *[pa.array(v) for v in flat[1:]]],
+            names=["g", "c", "n", *[f"s{j}" for j in range(d)], "q"])
+
+    parts = points.mapInArrow(run, f"g int, c int, n long, {', '.join(f's{j} double' for j in range(d))}, q double")
+    rows = parts.groupBy("g", "c").agg(*[F.sum(v).alias(v) for v in parts.columns[2:]]).collect()
+    return {(r.g, r.c): (r.n, [r[f"s{j}"] for j in range(d)], r.q) for r in rows}
+
+
+def _candidates(points: DataFrame, k: int, origin, squares: float, seed: int, steps: int = 2) -> tuple:
+    """The start of k-means||: (candidates, rows closest to each). A random
+    row, and in each step rows drawn with a chance in proportion to their
+    squared distance from the candidates so far, 2 ``k`` of them on average.
+    The draws are seeded by step and partition, as Spark's own are.
+    ``squares``: the sum of squares around ``origin``, the mean."""
+    import numpy as np
+    columns = points.columns
+    kind = ", ".join(f"`{c}` double" for c in columns)
+
+    def rows(x, names, *first):
+        import pyarrow as pa
+        return pa.RecordBatch.from_arrays([*map(pa.array, first), *map(pa.array, x)], names=names)
+
+    def generator(step: int):
+        return np.random.default_rng([seed % (1 << 32), step, TaskContext.get().partitionId()])
+
+    def lowest(batches: Iterator) -> Iterator:
+        draws = generator(0)
+        for x in _points(batches):
+            u = draws.random(x.shape[1])
+            i = [int(u.argmin())]
+            yield rows(x[:, i], ["_u", *columns], u[i])
+
+    def cost(x, c):
+        return ((x - c.T[:, next(_nearest(x, [c]))]) ** 2).sum(axis=0)
+
+    first = points.mapInArrow(lowest, f"_u double, {kind}").orderBy("_u", *columns).first()
+    found = np.array([first[1:]]) - origin
+    n = points.count()
+    for step in range(1, steps + 1):
+        if step == 1:
+            total = squares + n * float((found ** 2).sum())
+        else:
+            def costs(batches: Iterator, c=found) -> Iterator:
+                yield rows([[float(sum(cost(x - origin[:, None], c).sum() for x in _points(batches)))]], ["cost"])
+            total = points.mapInArrow(costs, "cost double").agg(F.sum("cost")).first()[0]
+        if not total > 0:
+            break
+
+        def drawn(batches: Iterator, c=found, step=step, total=total) -> Iterator:
+            draws = generator(step)
+            for x in _points(batches):
+                keep = draws.random(x.shape[1]) * total < 2.0 * k * cost(x - origin[:, None], c)
+                yield rows(x[:, keep], columns)
+        more = points.mapInArrow(drawn, kind).collect()     # about 2 k rows
+        if more:
+            found = np.unique(np.concatenate([found, np.array([tuple(r) for r in more]) - origin]), axis=0)
+    held_by = _tallies(points, [found], origin)
+    return found, np.array([held_by.get((0, i), (0,))[0] for i in range(len(found))], dtype=float)
+
+
+def _start(candidates, weights, k: int, seed: int, tries: int = 10, rounds: int = 30):
+    """k-means++ and Lloyd's steps over the few weighted candidates, the best
+    of ``tries``; with no more candidates than ``k``, these."""
+    import numpy as np
+    if len(candidates) <= k:
+        return candidates
+    draws, best = np.random.default_rng([seed % (1 << 32), k]), None
+    apart = lambda c: ((candidates[:, None] - c[None]) ** 2).sum(axis=2)
+    for _ in range(tries):
+        c = candidates[[draws.choice(len(candidates), p=weights / weights.sum())]]
+        while len(c) < k:
+            p = weights * apart(c).min(axis=1)
+            if not p.sum() > 0:
+                break
+            c = np.concatenate([c, candidates[[draws.choice(len(candidates), p=p / p.sum())]]])
+        for _ in range(rounds):
+            near = apart(c).argmin(axis=1)
+            new = np.array([np.average(candidates[near == j], axis=0, weights=weights[near == j])
+                            if weights[near == j].sum() > 0 else c[j] for j in range(len(c))])
+            if np.array_equal(new, c):
+                break
+            c = new
+        loss = float((weights * apart(c).min(axis=1)).sum())
+        if best is None or loss < best[0]:
+            best = (loss, c)
+    return best[1]
+
+
 def kmeans_clusters(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1,
-                    max_iter: int = 20, workers: int = 4) -> DataFrame:
+                    max_iter: int = 20, tol: float = 1e-4) -> DataFrame:
     """L3/L4: (k, cluster, n, centre, within) for each k and cluster: the rows
     that the fit assigns to it, their mean, and their sum of squared distances
-    to it. The fits of all k run concurrently over one held frame; each is
-    followed by one aggregate over its assignment. k = 1 needs no fit. Rows
-    with a null in a column do not count; k must be positive. No rows: no
-    clusters."""
+    to it. All k are fitted together over one held frame: the candidates of one
+    k-means|| start, for the largest k, serve every k, and a pass makes a
+    Lloyd step of each k whose centres still move by more than ``tol``. So the
+    passes do not grow with the number of k. k = 1 needs no fit. Rows with a
+    null in a column do not count; k must be positive. No rows: no clusters."""
+    import numpy as np
     spark = df.sparkSession
     schema = "k int, cluster int, n bigint, centre array<double>, within double"
-    by = {"n": F.count(F.lit(1)), "centre": F.array(*[F.avg(c) for c in columns]),
-          "within": sum((F.var_pop(c) for c in columns[1:]), F.var_pop(columns[0])) * F.count(F.lit(1))}
-    aggregates = [v.alias(c) for c, v in by.items()]
-    with held(assemble(df.select(*columns).na.drop(), columns), spread=True) as feats:
-        whole = feats.agg(*aggregates).first()       # fills the cache before the fits start
-        if not whole["n"]:
+    if min(ks, default=1) < 1:
+        raise ValueError("k must be positive")
+    clean = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
+    with held(clean, spread=True) as points:
+        whole = points.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c) for c in columns],
+                           *[F.var_pop(c) for c in columns]).first()       # fills the cache
+        n, d = whole["n"], len(columns)
+        if not n:
             return spark.createDataFrame([], schema)
-
-        def one(k: int) -> list[tuple]:
-            if k == 1:
-                return [(1, 0, *whole)]
-            model = KMeans(k=k, seed=seed, maxIter=max_iter, predictionCol="_cluster").fit(feats)
-            rows = model.transform(feats).groupBy("_cluster").agg(*aggregates).collect()
-            return [(k, *r) for r in sorted(rows)]
-
-        order = sorted(ks, reverse=True)             # the longest fits first
-        found = concurrently([lambda k=k: one(int(k)) for k in order], workers)
-    return spark.createDataFrame([r for rows in reversed(found) for r in rows], schema)
+        origin, squares = np.array(whole[1:1 + d]), float(sum(whole[1 + d:]) * n)
+        found = {1: [(1, 0, n, origin.tolist(), squares)]}
+        fits = sorted({int(k) for k in ks} - {1})
+        if fits:
+            candidates, weights = _candidates(points, fits[-1], origin, squares, seed)
+            centres = {k: _start(candidates, weights, k, seed) for k in fits}
+            moving = list(fits)
+            for _ in range(max_iter):
+                if not moving:
+                    break
+                got = _tallies(points, [centres[k] for k in moving], origin)
+                still = []
+                for i, k in enumerate(moving):
+                    new = centres[k].copy()
+                    for j in range(len(new)):
+                        if (i, j) in got and got[i, j][0]:
+                            new[j] = np.array(got[i, j][1]) / got[i, j][0]
+                    if ((new - centres[k]) ** 2).sum(axis=1).max() > tol * tol:
+                        still.append(k)
+                    centres[k] = new
+                moving = still
+            got = _tallies(points, [centres[k] for k in fits], origin, squares=True)
+            for i, k in enumerate(fits):
+                found[k] = []
+                for j, c in enumerate(centres[k]):
+                    many, sums, within = got.get((i, j), (0, None, None))
+                    if many:
+                        off = np.array(sums) / many
+                        found[k].append((k, j, many, (origin + c + off).tolist(),
+                                         max(0.0, float(within - many * (off @ off)))))
+    return spark.createDataFrame([r for k in sorted(ks) for r in found[int(k)]], schema)
 
 
 def kmeans_elbow(df: DataFrame, columns: list[str], ks: list[int], seed: int = 1,
-                 max_iter: int = 20, workers: int = 4) -> DataFrame:
+                 max_iter: int = 20) -> DataFrame:
     """For each k the within-cluster sum of squares (WSS), the total
     (TSS), that between the centres (from centres and sizes alone), and the
-    share of variance explained, 100 * (TSS - WSS) / TSS. One fit a k; the
+    share of variance explained, 100 * (TSS - WSS) / TSS. The
     rows are those of ``kmeans_clusters``, a few dozen."""
-    found = kmeans_clusters(df, columns, ks, seed, max_iter, workers).collect()
+    found = kmeans_clusters(df, columns, ks, seed, max_iter).collect()
     rows = []
     for k in ks:
         own = [r for r in found if r.k == k]

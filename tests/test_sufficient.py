@@ -156,3 +156,31 @@ def test_concurrently(spark):
     with pytest.raises(ZeroDivisionError):
         ML.concurrently([lambda: 1 / 0, lambda: 1], 2)
     assert ML.concurrently([]) == []
+
+
+def test_kmeans_of_many_k_share_their_passes(spark, frame):
+    d = frame
+    jobs = {}
+    for name, ks in (("few", [2, 3]), ("many", list(range(1, 10)))):
+        spark.sparkContext.setJobGroup(f"kmeans-{name}", name)
+        rows = ML.kmeans_clusters(d, COLUMNS, ks, max_iter=3).collect()
+        jobs[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"kmeans-{name}"))
+        assert sorted({r.k for r in rows}) == ks
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs["many"] <= jobs["few"] + 8
+
+
+def test_kmeans_clusters_are_lloyds_fixed_point(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(m, 0.2, (60, 2)) for m in ((0, 0), (5, 0), (0, 5))])
+    d = spark.createDataFrame([(float(a), float(b)) for a, b in x] + [(None, 1.0)], "a double, b double")
+    rows = [r for r in ML.kmeans_clusters(d, ["a", "b"], [3, 1]).collect()]
+    c = np.array([r.centre for r in rows if r.k == 3])
+    apart = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+    near = apart.argmin(axis=1)
+    for j, r in enumerate(r for r in rows if r.k == 3):
+        assert r.n == (near == j).sum() == 60
+        assert np.allclose(r.centre, x[near == j].mean(axis=0))
+        assert np.isclose(r.within, apart[near == j, j].sum())
+    same = spark.createDataFrame([(1.0,)] * 7, "a double")     # fewer distinct points than k
+    assert [(r.k, r.n, r.within) for r in ML.kmeans_clusters(same, ["a"], [2]).collect()] == [(2, 7, 0.0)]
