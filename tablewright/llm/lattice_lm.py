@@ -122,22 +122,39 @@ class Lattice:
         """Adds the expected counts of the pieces over all segmentations:
         products of probabilities, or of their logs where those would come
         too near to zero."""
-        n, arcs = len(w), self.arcs(w)
-        if not hasattr(self, "p_inner"):
-            self.p_inner = {k: math.exp(v) for k, v in self.inner.items()}
-            self.p_start = {k: math.exp(v) for k, v in self.start.items()}
+        n, exp = len(w), math.exp
+        if not hasattr(self, "p_inner"):        # of a stem that is no piece, -1
+            self.p_inner, self.p_start = dict.fromkeys(self.inner_stems, -1.0), dict.fromkeys(self.start_stems, -1.0)
+            self.p_inner.update((k, exp(v)) for k, v in self.inner.items())
+            self.p_start.update((k, exp(v)) for k, v in self.start.items())
+            self.p_bare = exp(self.bare)
         p_inner, p_start = self.p_inner, self.p_start
-        row_of = [[(j, p_inner[s] if s in p_inner else math.exp(self._weight(s)), s) for j, s in row] for row in arcs[:n]]
         a = [0.0] * (n + 1)
-        a[0] = math.exp(self.bare)
-        for j, sub in arcs[n]:
-            a[j] = p_start[sub]
+        a[0] = self.p_bare
+        firsts, row_of = [], []
+        for j in range(1, n + 1):
+            if (p := p_start.get(sub := w[:j])) is None:
+                break
+            if p >= 0.0:
+                a[j] = p
+                firsts.append((j, p, sub))
         for i in range(n):
-            at = a[i]
-            for j, p, _ in row_of[i]:
-                a[j] += at * p
+            at, j, sub, row = a[i], i + 1, w[i], []
+            if (p := p_inner.get(sub)) is None or p < 0.0:
+                x = exp(self._weight(sub))
+                row.append((j, x, sub))
+                a[j] += at * x
+            while p is not None:
+                if p >= 0.0:
+                    row.append((j, p, sub))
+                    a[j] += at * p
+                j += 1
+                if j > n:
+                    break
+                p = p_inner.get(sub := w[i:j])
+            row_of.append(row)
         if a[n] < 1e-200:
-            return self._expect_logs(w, arcs, begun, inner)
+            return self._expect_logs(w, self.arcs(w), begun, inner)
         b = [0.0] * n + [1.0 / a[n]]
         for i in range(n - 1, -1, -1):
             at, x = a[i], 0.0
@@ -146,9 +163,9 @@ class Lattice:
                 x += y
                 inner[sub] += at * y
             b[i] = x
-        begun[""] += math.exp(self.bare) * b[0]
-        for j, sub in arcs[n]:
-            begun[sub] += p_start[sub] * b[j]
+        begun[""] += self.p_bare * b[0]
+        for j, p, sub in firsts:
+            begun[sub] += p * b[j]
 
     def _expect_logs(self, w: str, arcs: list, begun: Counter, inner: Counter) -> None:
         n, exp, log1p = len(w), math.exp, math.log1p
@@ -459,11 +476,12 @@ def lm_score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text
             cols: list[list] = [[] for _ in range(7)]
             for i, t in enumerate(b.column("_text").cast("binary").to_pylist()):
                 counts = Counter(tokens(t))
-                place = [at.get(w, -1) for w in counts]
-                here = np.array([p for p in place if p >= 0], dtype=np.int64)
-                many = np.array([m for p, m in zip(place, counts.values()) if p >= 0], dtype=np.int64)
+                place = np.fromiter((at.get(w, -1) for w in counts), dtype=np.int64, count=len(counts))
+                many = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+                held = place >= 0
+                here, many = place[held], many[held]
                 by_class = np.array(entry) + (many @ lm[here] if len(here) else 0.0)
-                rest = [(w, m) for p, (w, m) in zip(place, counts.items()) if p < 0]
+                rest = [] if len(here) == len(counts) else [x for x, h in zip(counts.items(), held.tolist()) if not h]
                 n = len(rest)
                 # no word holds a blank: the key of the row of sums joins with
                 # nothing, and differs from row to row so that they do not meet
