@@ -151,16 +151,11 @@ def test_places_come_from_a_binary_search(spark):
     assert empty.select(OS._leading("p", lambda p: F.lit(True), 4).alias("at")).first()["at"] == 0
 
 
-def test_many_ranks_of_one_group_in_rounds(spark):
-    """Ties and many targets, in rounds: no row is compared with every probe."""
-    values = sorted([(i * i) % 4001 for i in range(3000)] + [7] * 900)
-    base = spark.createDataFrame([(v,) for v in values], "x long")
-    ranks = list(range(1, len(values) + 1, 137))
-    t = spark.createDataFrame([(r, r, len(values)) for r in ranks], "tid long, rank long, n long")
-    out = OS.select_ranks(base, "x", t, max_rows=500)
-    assert {r["rank"]: r["x"] for r in out.collect()} == {r: values[r - 1] for r in ranks}
-    b = base.withColumnRenamed("x", "_v").withColumn("g", F.lit(0))
+def test_a_row_meets_the_bracket_that_holds_it(spark):
+    values = sorted([(i * i) % 301 for i in range(400)] + [5] * 30 + [90, 200])
+    base = spark.createDataFrame([(0, v) for v in values], "g int, _v long")
     brackets = spark.createDataFrame([(0, None, 5), (0, 5, 90), (0, 200, None)], "g int, lo long, hi long")
-    at = OS._attach(b, brackets, ["g"], True, 3)
-    want = [v for v in values if v < 5 or 5 < v < 90 or v > 200]
-    assert sorted(r["_v"] for r in at.collect()) == want
+    rows = OS._attach(base, brackets, ["g"], True, 3).collect()
+    want = [(v, None, 5) if v < 5 else (v, 5, 90) if v < 90 else (v, 200, None)
+            for v in values if v < 5 or 5 < v < 90 or v > 200]
+    assert sorted((r["_v"], r["lo"], r["hi"]) for r in rows) == want
